@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, quality_rules, secret_scan
+from . import block_dedup, decontaminate, jaccard_join, language_id, mixing, quality_rules, secret_scan, suffix_dedup, token_file, url_filter
+from .store import Scratch
+
+#: Curated URL rules: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), shingle=4, threshold=(85, 100))
 
@@ -27,12 +37,40 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "tokens").path("file")
+    token_file.write_tokens(table(spark, sf_dir, "documents"), path, byte_bpe())
+    return token_file.read_documents(spark, path)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    return url_filter.judge(pages, pages.select("page_id", "url").join(labels, "page_id").select("url", "bad"), URL_RULES)
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_secret_scan, op7_decontaminate)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_secret_scan, op4_token_output, op5_language_id, op6_mixing, op7_decontaminate, op8_url_filter, op9_suffix_dedup, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -136,5 +136,5 @@ def byte_repeats(docs, size=200):
             if seen[b[i : i + size]] > 1:
                 gone[i : i + size] = b"\1" * size
         kept = bytes(x for x, g in zip(b, gone) if not g)
-        out[d] = (len(b), sum(gone), len(re.findall(rb"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+        out[d] = (len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(kept).hexdigest())
     return out
