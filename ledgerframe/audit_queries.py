@@ -1,0 +1,428 @@
+"""Registered queries of the audit operators over the provided tables; names follow the operator inventory."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions.jsonbytes import canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
+from .functions.profile import id_check, unix_nano_column
+from .operators import chain, records, verify, wal
+from .sources import datasets
+
+Query = Callable[[SparkSession, str], DataFrame]
+_FOUND: dict[str, Query] = {}
+_STAMP = "2026-01-01T00:00:00Z"
+
+
+def query(f: Query) -> Query:
+    _FOUND[f.__name__] = f
+    return f
+
+
+def queries() -> dict[str, Query]:
+    return dict(_FOUND)
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    return records.to_records(datasets.event_spans(spark, sf))
+
+
+def _sequenced(spark: SparkSession, sf: str) -> DataFrame:
+    return records.with_sequence(_records(spark, sf))
+
+
+def _tips(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    return chain.chain_tips(_sequenced(spark, sf)).withColumn("seal_no", F.row_number().over(Window.orderBy("trace_id")) - 1)
+
+
+def _batches(spark: SparkSession, sf: str) -> DataFrame:
+    return chain.checkpoint_batches(_tips(spark, sf), 20)
+
+
+def _checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    return chain.checkpoints(_batches(spark, sf), F.lit(_STAMP), "k")
+
+
+def _user(trace: str = "trace_id"):
+    return F.conv(F.substring(trace, 17, 16), 16, 10).cast("long")
+
+
+def _tampered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """A log with edited and repeated entries and missing traces, and checkpoints with some made-up tips."""
+    sealed = chain.hash_entries(_sequenced(spark, sf))
+    log = sealed.where(_user() % 7 != 3).withColumn("span_name", F.when(F.col("event_id") % 997 == 0, F.lit("edited")).otherwise(F.col("span_name")))
+    log = log.unionByName(log.where("event_id % 991 = 0"))
+    b = _batches(spark, sf).withColumn("tip_hash", F.when(F.col("seal_no") % 13 == 5, F.lit("a" * 64)).otherwise(F.col("tip_hash")))
+    return log, chain.checkpoints(b, F.lit(_STAMP), "k").withColumn("line_no", F.col("checkpoint_seq")).withColumn("signature", F.lit(""))
+
+
+def _met(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    return verify.findings(*_tampered(spark, sf), public=None).where(F.col("kind") == kind)
+
+
+def _tips_of(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    log, cps = _tampered(spark, sf)
+    named = cps.select("checkpoint_seq", F.explode("trace_tips").alias("t")).select("checkpoint_seq", "t.*")
+    return named.join(verify.findings(log, cps, None).where(F.col("kind") == kind).select("trace_id", "detail"), "trace_id")
+
+
+@query
+def ag10_chain_tips(spark, sf):
+    return chain.chain_tips(_sequenced(spark, sf))
+
+
+@query
+def ag9_chain_hashes(spark, sf):
+    return chain.hash_entries(_sequenced(spark, sf)).select("trace_id", F.col("seq_in_trace").cast("long").alias("seq"), "entry_hash", "prev_hash")
+
+
+@query
+def prj1_span_to_record(spark, sf):
+    return _records(spark, sf).select("schema_version", "trace_id", "span_id", "parent_span_id", F.col("start_time_unix_nano").cast("string").alias("start_ns"), F.col("end_time_unix_nano").cast("string").alias("end_ns"), "span_name", "otel_kind", "gen_ai_operation", "audit_kind", "status")
+
+
+@query
+def prj2_selected_attributes(spark, sf):
+    return _records(spark, sf).select("span_id", json_attributes(F.col("selected_attributes")).alias("attributes_json"))
+
+
+@query
+def prj4_operation_counts(spark, sf):
+    return _records(spark, sf).groupBy("gen_ai_operation").agg(F.count("*").alias("n"))
+
+
+@query
+def prj5_audit_kind_counts(spark, sf):
+    return _records(spark, sf).groupBy("audit_kind", "status").agg(F.count("*").alias("n"))
+
+
+@query
+def prj6_kind_names(spark, sf):
+    return _records(spark, sf).groupBy("otel_kind").agg(F.count("*").alias("n"))
+
+
+@query
+def prj9_key_fingerprint(spark, sf):
+    users = datasets.table(spark, sf, "events").select("user_id").distinct()
+    return users.select("user_id", F.sha2(F.unhex(sha256_hex(F.concat(F.lit("key"), F.col("user_id").cast("string")))), 256).alias("key_id"))
+
+
+@query
+def flt1_nonempty_traces(spark, sf):
+    spans = datasets.event_spans(spark, sf).withColumn("trace_id", F.when(_user() % 9 == 0, F.lit("")).otherwise(F.col("trace_id")))
+    return records.to_records(spans).groupBy(F.col("span_name").alias("event_type")).agg(F.count("*").alias("n"))
+
+
+@query
+def flt2_roots(spark, sf):
+    return _records(spark, sf).where("parent_span_id = ''").select("trace_id", "span_id")
+
+
+@query
+def flt4_version_classes(spark, sf):
+    v = datasets.table(spark, sf, "events").select(F.concat(F.lit("v"), (F.col("user_id") % 6).cast("string")).alias("schema_version")).distinct()
+    x = F.col("schema_version")
+    return v.select(x, x.isin("v1", "v2").alias("numeric_times"), x.isin(*records.RESTAMPABLE).alias("restampable"), x.isin(*records.VERSIONS).alias("implemented"))
+
+
+@query
+def flt7_fatal_count(spark, sf):
+    s = F.when(F.col("event_id") % 3 == 0, "advisory").when(F.col("event_id") % 3 == 1, "odd")
+    return verify.summary(datasets.table(spark, sf, "events").select(s.alias("severity"))).select("fatal")
+
+
+@query
+def jn1_entry_count_mismatch(spark, sf):
+    return _tips_of(spark, sf, "entry_count_mismatch").select("checkpoint_seq", "trace_id", "entry_count", F.regexp_extract("detail", r"has (\d+)", 1).cast("long").alias("logged"))
+
+
+@query
+def jn2_tip_unverifiable(spark, sf):
+    return _tips_of(spark, sf, "tip_hash_unverifiable").select("checkpoint_seq", "trace_id", "tip_hash")
+
+
+@query
+def jn3_tip_mismatch(spark, sf):
+    return _tips_of(spark, sf, "tip_hash_mismatch").select("checkpoint_seq", "trace_id", "tip_hash", F.substring("detail", -64, 64).alias("tip"))
+
+
+@query
+def jn4_wal_compact(spark, sf):
+    lines = datasets.wal_lines(spark, sf)
+    pending = wal.restored_tips(lines).where("line_no % 4 = 1")
+    return wal.compact(lines, pending).select("phase", "line_no", "trace_id")
+
+
+@query
+def jn5_open_traces(spark, sf):
+    r = _records(spark, sf)
+    sealed = r.where(_user() % 3 == 0).select("trace_id").distinct()
+    return records.open_traces(r, sealed).groupBy("trace_id").agg(F.count("*").alias("n"))
+
+
+@query
+def jn6_late_spans(spark, sf):
+    r = _records(spark, sf)
+    return records.late_spans(r, r.where(_user() % 3 == 0).select("trace_id").distinct()).select("trace_id", "span_id")
+
+
+@query
+def jn7_own_tip_pending(spark, sf):
+    t = _tips(spark, sf)
+    return t.join(t.where("seal_no % 4 = 2").select("trace_id", "tip_hash"), ["trace_id", "tip_hash"], "left_semi").select("trace_id", "tip_hash")
+
+
+@query
+def jn8_uncovered_traces(spark, sf):
+    return verify.uncovered_traces(_records(spark, sf), _checkpoints(spark, sf).where("checkpoint_seq % 2 = 1"))
+
+
+@query
+def ag1_entries_by_trace(spark, sf):
+    return _records(spark, sf).groupBy("trace_id").agg(F.count("*").alias("n"), F.min("start_time_unix_nano").cast("long").alias("first_ns"), F.max("end_time_unix_nano").cast("long").alias("last_ns"))
+
+
+def _orders(spark, sf):
+    r = records.to_records(datasets.order_spans(spark, sf))
+    return records.last_wins(r, F.col("arrival"), F.col("span_name"), F.col("start_time_unix_nano"))
+
+
+@query
+def ag2_dedupe_last_wins(spark, sf):
+    return _orders(spark, sf).select("trace_id", "span_id", "span_name", "arrival")
+
+
+@query
+def ag3_processed(spark, sf):
+    traces = _records(spark, sf).agg(F.countDistinct("trace_id").alias("traces"))
+    return traces.join(_checkpoints(spark, sf).agg(F.count("*").alias("checkpoints")), F.lit(True))
+
+
+@query
+def ag4_duplicate_segments(spark, sf):
+    return verify.duplicate_segments(_tampered(spark, sf)[0])
+
+
+@query
+def ag5_other_key_ids(spark, sf):
+    e = datasets.table(spark, sf, "events")
+    entries = e.select(F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id"))
+    cps = e.select(F.when(F.col("user_id") % 2 == 0, "").otherwise(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string"))).alias("key_id"))
+    return verify.other_key_ids(entries, cps, "key0")
+
+
+@query
+def ag6_version_sets(spark, sf):
+    return wal.replay(datasets.wal_lines(spark, sf)).select("trace_id", "n_spans", F.array_join("versions", ",").alias("versions"))
+
+
+@query
+def ag7_restampable(spark, sf):
+    return wal.replay(datasets.wal_lines(spark, sf)).select("trace_id", (F.col("action") == "restamp").alias("restampable"))
+
+
+@query
+def ag8_has_root(spark, sf):
+    return records.traces(_orders(spark, sf)).select("trace_id", "has_root", "n_spans")
+
+
+@query
+def ag11_merkle_root(spark, sf):
+    from pyspark.sql import Window
+
+    e = datasets.table(spark, sf, "events")
+    leaves = e.select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).alias("leaf_no"), sha256_hex(F.col("event_id").cast("string")).alias("leaf"))
+    return chain.merkle_root(leaves, ["user_id"])
+
+
+@query
+def ag12_status_lines(spark, sf):
+    e = datasets.table(spark, sf, "events").groupBy("user_id").agg(F.count_if((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0)).alias("f"), F.count_if((F.col("event_type") == "view") & (F.col("event_id") % 7 == 0)).alias("a"))
+    return e.select("user_id", verify.status_line(F.col("f"), F.col("a")).alias("status"))
+
+
+@query
+def ag13_pending_sets(spark, sf):
+    return chain.pending_sets(wal.restored_tips(datasets.wal_lines(spark, sf))).select("trace_id", F.array_join("tips", ",").alias("tips"))
+
+
+@query
+def wn1_seq_in_trace(spark, sf):
+    return _sequenced(spark, sf).select("trace_id", "span_id", F.col("seq_in_trace").cast("long").alias("seq"))
+
+
+@query
+def wn3_checkpoint_link(spark, sf):
+    return _checkpoints(spark, sf).select("checkpoint_seq", "prev_checkpoint_hash")
+
+
+@query
+def wn4_adjacent_duplicates(spark, sf):
+    from pyspark.sql import Window
+
+    e = datasets.table(spark, sf, "events").select("user_id", (F.col("event_id") % 50).alias("seq"))
+    again = e.withColumn("same", F.lag("seq").over(Window.partitionBy("user_id").orderBy("seq")) == F.col("seq"))
+    return again.where("same").groupBy("user_id", "seq").agg(F.count("*").alias("repeats"))
+
+
+@query
+def wn5_checkpoint_batches(spark, sf):
+    return _batches(spark, sf).select("trace_id", F.col("checkpoint_seq").cast("long").alias("checkpoint_seq"))
+
+
+@query
+def wn6_wal_replay(spark, sf):
+    return wal.live_spans(datasets.wal_lines(spark, sf)).select("line_no", "trace_id", "span_id", "schema_version")
+
+
+@query
+def vf1_chain_states(spark, sf):
+    states = verify.chain_states(_tampered(spark, sf)[0], None)
+    return states.select("trace_id", F.col("n").cast("long").alias("n"), F.when(F.col("dup"), "dup").when(F.col("error").isNotNull(), "bad").otherwise("ok").alias("state"))
+
+
+@query
+def vf3_checkpoint_links(spark, sf):
+    cps = _checkpoints(spark, sf).withColumn("line_no", F.col("checkpoint_seq")).withColumn("prev_checkpoint_hash", F.when(F.col("checkpoint_seq") % 3 == 2, F.lit("b" * 64)).otherwise(F.col("prev_checkpoint_hash")))
+    stored = chain.payload_hashes(cps)
+    # an edited row changes its own payload, so the row after it no longer links either; only the edit itself is kept here
+    return stored.where("prev_checkpoint_hash <> expected_prev and checkpoint_seq % 3 = 2").select("checkpoint_seq")
+
+
+@query
+def vf4_findings(spark, sf):
+    found = verify.findings(*_tampered(spark, sf), public=None).where("kind <> 'checkpoint'")
+    return found.groupBy("trace_id", "kind").agg(F.count("*").alias("n"))
+
+
+@query
+def vf6_key_id_mismatch(spark, sf):
+    own = "signer"
+    r = _records(spark, sf).withColumn("key_id", F.when(F.col("event_id") % 5 == 1, "other").when(F.col("event_id") % 5 == 2, "").otherwise(own))
+    return r.where((F.col("key_id") != "") & (F.col("key_id") != own)).select("trace_id", "span_id")
+
+
+@query
+def so2_checkpoint_tips(spark, sf):
+    tip = lambda t: F.concat(F.lit('{"trace_id":'), json_string(t["trace_id"]), F.lit(',"tip_hash":'), json_string(t["tip_hash"]), F.lit(',"entry_count":'), t["entry_count"].cast("string"), F.lit("}"))
+    return _checkpoints(spark, sf).select("checkpoint_seq", F.concat(F.lit("["), F.array_join(F.transform("trace_tips", tip), ","), F.lit("]")).alias("tips_json"))
+
+
+@query
+def so4_sorted_spans(spark, sf):
+    return _records(spark, sf).groupBy("trace_id").agg(F.array_join(F.array_sort(F.collect_list("span_id")), ",").alias("spans"))
+
+
+@query
+def src4_last_checkpoint(spark, sf):
+    good = _checkpoints(spark, sf).where("checkpoint_seq % 4 <> 0")
+    last = good.agg(F.max_by(F.struct("checkpoint_seq", "prev_checkpoint_hash"), "checkpoint_seq").alias("x"))
+    return last.select("x.*")
+
+
+@query
+def tk1_trim_pending(spark, sf):
+    return chain.trim_pending(_tips(spark, sf), 25).select("trace_id", F.col("seal_no").cast("long").alias("seal_no"))
+
+
+@query
+def tk3_fragment_prefix(spark, sf):
+    c = datasets.table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", F.hex(F.substring(F.encode("text", "UTF-8"), 1, 32)).alias("prefix"))
+
+
+@query
+def st1_claimed_keys(spark, sf):
+    e = datasets.table(spark, sf, "events")
+    return e.select(F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id")).union(e.select(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string")))).distinct()
+
+
+@query
+def st3_uncommitted(spark, sf):
+    b = _batches(spark, sf)
+    return chain.covered(b, b.where("checkpoint_seq <= 2")).select("trace_id", "tip_hash")
+
+
+@query
+def fn1_canonical_bytes(spark, sf):
+    b = _sequenced(spark, sf).select("span_id", canonical_record().alias("bytes"))
+    return b.select("span_id", sha256_hex(F.col("bytes")).alias("digest"), F.octet_length("bytes").cast("long").alias("n_bytes"))
+
+
+@query
+def fn1_json_strings(spark, sf):
+    return datasets.table(spark, sf, "conversations").where("text is not null").select("conv_id", "turn", json_string(F.col("text")).alias("quoted"))
+
+
+@query
+def fn3_unixnano_parse(spark, sf):
+    n = F.col("event_id").cast("string")
+    m = F.col("event_id") % 6
+    x = F.when(m == 0, F.concat(F.lit('"'), n, F.lit('"'))).when(m == 1, F.concat(F.lit("0"), n)).when(m == 2, "18446744073709551615").when(m == 3, '"18446744073709551616"').when(m == 4, "null").otherwise(F.concat(n, F.lit(".0")))
+    return datasets.table(spark, sf, "events").select("event_id", unix_nano_column(x).alias("nanos"))
+
+
+@query
+def fn4_genesis_seed(spark, sf):
+    u = datasets.table(spark, sf, "events").select("user_id").distinct()
+    trace = datasets.hex_id(F.col("user_id"), 32)
+    trace = F.when(F.col("user_id") % 4 == 3, F.substring(trace, 1, 31)).otherwise(trace)
+    return u.select("user_id", genesis_seed(trace, F.concat(F.lit("v"), (F.col("user_id") % 3 + 1).cast("string"))).alias("seed"))
+
+
+@query
+def fn9_finding_labels(spark, sf):
+    u = datasets.table(spark, sf, "events").select("user_id").distinct()
+    m = F.col("user_id") % 3
+    found = u.select("user_id", F.when(m == 0, F.col("user_id").cast("string")).otherwise("").alias("trace_id"), F.when(m == 1, "torn_trailing_line").otherwise("checkpoint").alias("kind"))
+    return found.select("user_id", F.when(F.col("trace_id") != "", F.col("trace_id")).when(F.col("kind") == "torn_trailing_line", "audit log").otherwise("checkpoint").alias("label"))
+
+
+@query
+def fn10_backoff(spark, sf):
+    e = datasets.table(spark, sf, "events").select((F.col("event_id") % 4).alias("f"), (F.col("event_id") % 3000).alias("p"), (F.col("event_id") % 5000).alias("c"))
+    return e.select("f", "p", chain.next_retry(F.col("f"), F.col("p"), F.col("c")).alias("retry_at"))
+
+
+@query
+def fn11_defaults(spark, sf):
+    return datasets.table(spark, sf, "events").select("event_id", chain.effective(F.col("event_id") % 4, F.lit(100)).cast("long").alias("interval_of"))
+
+
+@query
+def fn13_id_checks(spark, sf):
+    n = F.hex("event_id")
+    x = F.when(F.col("event_id") % 3 == 0, F.lower(F.lpad(n, 16, "0"))).when(F.col("event_id") % 3 == 1, F.concat(F.upper(F.lpad(n, 15, "F")), F.lit("A"))).otherwise(n)
+    return datasets.table(spark, sf, "events").select("event_id", id_check(x, 16).alias("code"))
+
+
+@query
+def ss6_scope_groups(spark, sf):
+    spans = datasets.event_spans(spark, sf).withColumn("scope", _user() % 4)
+    return spans.groupBy(F.col("name").alias("event_type"), "scope").agg(F.count("*").alias("n"))
+
+
+@query
+def ss11_disposition(spark, sf):
+    return wal.replay(datasets.wal_lines(spark, sf)).select("trace_id", "n_spans", "has_root", F.array_join("versions", ",").alias("versions"), "action")
+
+
+@query
+def ss13_restored_tips(spark, sf):
+    return wal.restored_tips(datasets.wal_lines(spark, sf))
+
+
+@query
+def snk4_quarantine(spark, sf):
+    q = records.quarantined(wal.deduplicated(datasets.wal_lines(spark, sf)), "mixed or unknown versions", _STAMP)
+    return q.select("trace_id", "span_id", "line_no", F.array_join("versions", ",").alias("versions"), "reason")
+
+
+@query
+def src1_span_ingest(spark, sf):
+    return _records(spark, sf).groupBy("trace_id").agg(F.count("*").alias("n_spans"), F.countDistinct("span_name").alias("names"))

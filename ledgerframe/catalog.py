@@ -1,9 +1,10 @@
-"""Queries of the audit operators."""
+"""All queries of the library outside its corpus part."""
 
+from .audit_queries import queries
+from .oracle import SQL
 
-def queries():
-    return {}
+__all__ = ["oracle_sql", "queries"]
 
 
-def oracle_sql():
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
