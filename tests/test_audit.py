@@ -84,6 +84,19 @@ def test_profile():
         profile.canonical_span(json.dumps(base | {"attributes": [["a", {"s": "x"}], ["a", {"s": "y"}]]}))
 
 
+@pytest.mark.parametrize(
+    "name, span_id, attrs, span_hash, attrs_hash",
+    [
+        ("GET /", "b7ad6b7169203331", "{}", "81d96745dfebfb00594c190fc5d3c10da2427b2738c93cf4bb001dd5f44d5903", "44136fa355b3678a1146ad16f7e8649e94fb4fc21fe77e8310c060f61caaff8a"),
+        ("café 🚀", "5555555555555555", '[["é",{"s":"second"}],["\\ue000private",{"s":"last"}],["😀",{"s":"third"}],["z",{"s":"first"}]]', "4c2386f6aab04c76648b8578bc332fa0e5adfdff29a5e926f82f95c483847556", "7d0e0a0f036b1def8df2769f6437c71c8d8a4c60a5b334c38733637b4be0288f"),
+    ],
+)
+def test_published_profile_hashes(name, span_id, attrs, span_hash, attrs_hash):
+    span = {"trace_id": "0af7651916cd43dd8448eb211c80319c", "span_id": span_id, "parent_span_id": "", "name": name, "kind": 0, "start_time_unix_nano": "1754300000000000000", "end_time_unix_nano": "1754300000123456789", "status_code": 0}
+    _, got, got_attrs = profile.canonical_span(json.dumps(span)[:-1] + ', "attributes": ' + attrs + "}")
+    assert (got, got_attrs) == (span_hash, attrs_hash)
+
+
 def test_profile_as_column(spark):
     rows = spark.createDataFrame([("{}",), ("not json",)], "x string").select(profile.span_profile("x").alias("p")).select("p.*").collect()
     assert [r.reject for r in rows] == ["KIND_OUT_OF_RANGE", "BAD_WRAPPER"]
