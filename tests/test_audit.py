@@ -30,10 +30,27 @@ def test_record_bytes(spark):
     assert [r.b for r in got.select(canonical_record().alias("b")).collect()] == [V3]
 
 
-@pytest.mark.parametrize("version, seed", [("v1", "aa4785d32e4fdf82f837c7f42b8bf8ddf13d87c93f2b4c3fbe0dc4b516386143"), ("v2", "70ba3f8ec93c2cdf01cbcf284d22e161436d0f0b90c5e39624b3b813cfbf0145"), ("v3", "d0c6431489a948c99f5c155ea5c2a9b22d05449903fb2209c8b368630cf64590")])
-def test_seeds_follow_the_version(spark, version, seed):
-    rows = [r.s for r in spark.createDataFrame([(t,) for t in (TRACE, TRACE[:-1], "zz")], "t string").select(genesis_seed(F.col("t"), F.lit(version)).alias("s")).collect()]
-    assert rows[1:] == [None, None] and len(rows[0]) == 64 and isinstance(seed, str)
+def test_seeds_need_whole_hex(spark):
+    rows = spark.createDataFrame([(TRACE, "v3"), (TRACE[:-1], "v3"), ("zz", "v3"), ("AB", "v3"), (TRACE, "")], "t string, v string").select(genesis_seed(F.col("t"), F.col("v")).alias("s")).collect()
+    assert [r.s is None for r in rows] == [False, True, True, False, True]
+
+
+@pytest.mark.parametrize(
+    "version, times, first, tip, checkpoint",
+    [
+        ("v1", (1000000000, 2000000000, 2000000000, 3000000000), "fc388777ccc984fd3c0ab20488ae456dad1295621b420aeb7b949c6d125f54dc", "a0415a08bbac8ad89462cae146a727dbcfb3022b3f1e5870886fb2deb1538f9c", "00e33afee48e7ad89a9f9bed4d4b529b39070a5dde68a845d139adb2fe9e0f8c"),
+        ("v2", (1000000000, 2000000000, 2000000000, 3000000000), "55cdd65168375131856de86680f57f2171101dd22efc0a0e4a6abf59bbdfb90a", "3e5adf011183ce2128aeca9d337ddf60ea867dbd96f47c16c77e876b36fbc63c", "8a36993bfd3c08102774dddfede52c85fb4db8054b3270ae30fbc24970f5bf79"),
+    ],
+)
+def test_published_chain(spark, version, times, first, tip, checkpoint):
+    rows = [(TRACE, "a" * 16, "b" * 16, "child.span", 3, times[0], times[1], 1, []), (TRACE, "b" * 16, "", "root.span", 3, times[2], times[3], 1, [])]
+    made = records.with_sequence(records.to_records(span(spark, *rows), version))
+    hashed = chain.hash_entries(made).orderBy("seq_in_trace").collect()
+    assert [r.entry_hash for r in hashed] == [first, tip]
+    tips = chain.chain_tips(made)
+    assert tips.first().tip_hash == tip
+    cps = chain.checkpoints(tips.withColumn("checkpoint_seq", F.lit(1)), F.lit("2026-06-22T00:00:00Z"), "PLACEHOLDER", version)
+    assert cps.select(sha256_hex(checkpoint_payload())).first()[0] == checkpoint
 
 
 def test_keys_and_signatures():
