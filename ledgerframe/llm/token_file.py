@@ -83,15 +83,21 @@ def unpack(chunks: list[bytes], more: list[bytes]) -> np.ndarray:
     return above if above is not None else np.zeros(0, np.uint32)
 
 
+_LETTER = np.array([chr(k).isalpha() and k < 128 for k in range(256)])
+_PUNCTUATION = np.array([32 < k < 127 and not chr(k).isalnum() for k in range(256)])
+
+
 class Encoder:
     """Ids of whole texts; each distinct piece is tokenized once.
 
-    A text is cut before white space that follows a character which is surely none: byte-level pre-tokenization always
-    splits there, so the ids of the pieces in order are the ids of the text.
+    A text is cut before white space that follows a character which is surely none, and before punctuation that follows
+    a letter: byte-level pre-tokenization always splits there, so the ids of the pieces in order are the ids of the
+    text. Special tokens of the file hold no white space, but letters before punctuation, so texts near ``<|`` are cut
+    at white space alone.
     """
 
     #: Pieces kept between batches.
-    KEEP = 1 << 21
+    KEEP = 1 << 22
 
     def __init__(self, blob: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -106,12 +112,15 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids before each text."""
         n = len(data)
+        raw = b""
         cut = np.zeros(n, bool)
         if n > 1:
             space = ~T._SOLID[data]
             plain = (data > 32) & (data < 127)
             plain[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80)  # Latin letters with accents
             cut[1:] = space[1:] & plain[:-1]
+            if b"<|" not in (raw := data.tobytes()):
+                cut[1:] |= _PUNCTUATION[data[1:]] & (_LETTER[data[:-1]] | (plain[:-1] & (data[:-1] >= 0x80)))
         cut[offsets[:-1][offsets[:-1] < n]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], n)
@@ -125,22 +134,21 @@ class Encoder:
         known[inside] = self.hash[at[inside]] == uniq[inside]
         new = np.flatnonzero(~known)
         if len(new):
-            raw = data.tobytes()
             found = [e.ids for e in self.model.encode_batch_fast([raw[starts[first[k]] : ends[first[k]]].decode() for k in new], add_special_tokens=False)]
             size = np.fromiter(map(len, found), np.int64, len(found))
             more = np.fromiter((x for f in found for x in f), np.uint32, int(size.sum()))
             place = len(self.off) - 1 + np.arange(len(new))
             self.off = np.concatenate((self.off, self.off[-1] + np.cumsum(size)))
             self.ids = np.concatenate((self.ids, more))
-            self.hash = np.concatenate((self.hash, uniq[new]))
-            self.where = np.concatenate((self.where, place))
-            order = np.argsort(self.hash)
-            self.hash, self.where = self.hash[order], self.where[order]
+            self.where = np.insert(self.where, at[new], place)
+            self.hash = np.insert(self.hash, at[new], uniq[new])
             at = np.searchsorted(self.hash, uniq)
-        piece = self.where[at][each] if len(uniq) else np.zeros(0, np.int64)
-        size = self.off[piece + 1] - self.off[piece]
+        piece = self.where[at] if len(uniq) else np.zeros(0, np.int64)
+        size = (self.off[piece + 1] - self.off[piece])[each]
         before = np.concatenate(([0], np.cumsum(size)))
-        ids = self.ids[np.repeat(self.off[piece] - before[:-1], size) + np.arange(before[-1])]
+        narrow = np.int32 if max(before[-1], len(self.ids)) < 1 << 31 else np.int64
+        shift = self.off[piece].astype(narrow)[each] - before[:-1].astype(narrow)
+        ids = self.ids[np.repeat(shift, size) + np.arange(before[-1], dtype=narrow)]
         return ids, before[np.searchsorted(starts, offsets)]
 
 
@@ -168,9 +176,7 @@ def _encode(shared, end_id: int):
             key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b, some, off in T.slices(data, offsets, 4 << 20):
                 ids, before = encoder.encode(some, off)
-                # an end id after each text
-                out = np.full(len(ids) + b - a, end_id, np.uint32)
-                out[np.arange(len(ids)) + np.repeat(np.arange(b - a), np.diff(before))] = ids
+                out = np.insert(ids, before[1:], end_id)
                 keys.append(key[a:b])
                 sizes.append(np.diff(before) + 1)
                 parts.append(out)
