@@ -1,7 +1,7 @@
 """All queries of the library outside its corpus part."""
 
-from .audit_queries import queries
-from .oracle import SQL
+from .plans.audit_queries import queries
+from .plans.oracle import SQL
 
 __all__ = ["oracle_sql", "queries"]
 

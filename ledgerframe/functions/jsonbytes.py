@@ -95,7 +95,7 @@ def sha256_hex(text: Column) -> Column:
 
 
 def genesis_seed(trace_id: Column, version: Column) -> Column:
-    """Hex seed of a chain, null where the reference's writer fails: an empty version, or an id that isn't hex of even
+    """Hex seed of a chain, null where no chain can start: an empty version, or an id that isn't hex of even
     length (``unhex`` alone would pad odd ones)."""
     ok = trace_id.rlike("^([0-9a-fA-F]{2})*$") & (version != "")
     return F.when(ok, F.sha2(F.concat(F.unhex(trace_id), F.encode(version, "UTF-8")), 256))

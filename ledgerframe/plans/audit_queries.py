@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.jsonbytes import canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
-from .functions.profile import id_check, unix_nano_column
-from .operators import chain, records, verify, wal
-from .sources import datasets
+from ..functions.jsonbytes import canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
+from ..functions.profile import id_check, unix_nano_column
+from ..operators import chain, records, verify, wal
+from ..sources import datasets
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, Query] = {}

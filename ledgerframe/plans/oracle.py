@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .functions.jsonbytes import ESCAPES
-from .operators.records import ALLOWED, KINDS, STATUSES
+from ..functions.jsonbytes import ESCAPES
+from ..operators.records import ALLOWED, KINDS, STATUSES
 
 
 def text(value: str) -> str:
