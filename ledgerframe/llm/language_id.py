@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .store import Scratch
 
 ORDER = 3
 _PAD = 10
@@ -118,7 +119,8 @@ class Model:
 def learn(train: DataFrame, docs_per_lang: int = 2000, max_contexts: int = 20_000) -> Model | None:
     """A model from rows (doc_id, text, lang), or None without any. About ``docs_per_lang`` documents of each language
     are counted (those whose hash is low), as for all classifiers here; 4-byte strings seen once are left out."""
-    many = train.groupBy("lang").agg(F.count(F.lit(1)).alias("many"))
+    # written first, so that Spark sees how small it is and need not shuffle texts to meet it
+    many = Scratch(train.sparkSession, "languages").keep(train.groupBy("lang").agg(F.count(F.lit(1)).alias("many")), "many")
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
     some = train.join(many, "lang").where(share < docs_per_lang / F.col("many")).select("text", "lang")
     counts = some.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
