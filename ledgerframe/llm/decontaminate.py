@@ -1,4 +1,4 @@
-"""Benchmark decontamination by spaced seeds: masks that ignore some words of a window find substituted passages too."""
+"""Benchmark decontamination by seeds so short that no passage within the threshold is without one."""
 
 from __future__ import annotations
 
@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from .native import let, words
 from .store import Scratch
 
-#: 1: the word counts, 0: it may be any. The first has period three: whatever single word of a passage is replaced, one
-#: of three successive windows ignores it. The second ignores runs of three words.
-MASKS = ("11011011011", "111000111000111")
+#: 1: the word counts, 0: it may be any. Three words in a row are enough for every pattern of substitutions that STRETCH
+#: and SHARE accept: 5 of 20 words cut the 15 equal ones into 6 runs at most, so one run has three words; the same holds
+#: for items of LEAST to 19 words.
+MASKS = ("111",)
+#: Words that an item must have to be looked for.
+LEAST = 11
 #: Words of an aligned stretch, and how many of a hundred must be equal.
 STRETCH, SHARE = 20, 75
 #: Rows of seeds that are broadcast at once; a larger benchmark is handled in several passes.
@@ -23,18 +26,15 @@ def _word_hashes(text: Column) -> Column:
 
 
 def _seeds(h: Column) -> Column:
-    """Array of structs (mask, at, hash) as one array of hashes per mask, in order of position."""
-
-    def of(mask: str) -> Column:
-        at = [k for k, c in enumerate(mask) if c == "1"]
-        some = F.transform(F.sequence(F.lit(0), F.size(h) - len(mask)), lambda i: F.xxhash64(F.lit(mask), *[F.get(h, i + k) for k in at]))
-        return F.when(F.size(h) >= len(mask), some).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array(*[of(m) for m in MASKS])
+    """Array of the hashes of the mask's words, in order of position."""
+    (mask,) = MASKS
+    at = [k for k, c in enumerate(mask) if c == "1"]
+    some = F.transform(F.sequence(F.lit(0), F.size(h) - len(mask)), lambda i: F.xxhash64(*[F.get(h, i + k) for k in at]))
+    return F.when(F.size(h) >= len(mask), some).otherwise(F.array().cast("array<bigint>"))
 
 
 def _hashed(rows: DataFrame, text: str, *keep: Column) -> DataFrame:
-    """``keep``, the word hashes ``h`` and the seeds ``s`` (an array per mask) of each row, both computed once."""
+    """``keep``, the word hashes ``h`` and the seeds ``s`` of each row, both computed once."""
     both = let(_word_hashes(F.col(text)), lambda h: F.struct(h.alias("h"), _seeds(h).alias("s")))
     return rows.select(*keep, both.alias("_x")).select("*", "_x.h", "_x.s").drop("_x")
 
@@ -51,23 +51,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     """(key, item, at, item_at, equal): verified overlaps, one per document, item and hit.
 
     A hit of any mask is verified on the aligned words around it: of some stretch of 20 words that holds the hit (or of
-    the whole item, where it is shorter) at least 75 in 100 must be equal. Items and documents shorter than the
-    shortest mask have no seeds and match nothing; null texts likewise. Words compare in lower case.
+    the whole item, where it is shorter) at least 75 in 100 must be equal. Every such stretch has a hit. Items of fewer
+    than LEAST words match nothing; null texts likewise. Words compare in lower case.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
-    items = _hashed(benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()), text, F.col(item).alias("item"))
-    seeds = items.select("item", F.col("h").alias("item_words"), F.explode_outer("s").alias("s")).select("item", "item_words", F.posexplode_outer("s").alias("item_at", "seed")).where("seed is not null")
+    items = _hashed(benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()), text, F.col(item).alias("item")).where(F.size("h") >= LEAST)
+    seeds = items.select("item", F.col("h").alias("item_words"), F.posexplode("s").alias("item_at", "seed"))
     # one row for each seed, with every place it has in the benchmark, so that a document row meets it once
     seeds = scratch.keep(seeds.groupBy("seed").agg(F.collect_list(F.struct("item", "item_at", "item_words")).alias("places")), "seeds")
     passes = max(1, -(-seeds.count() // SEEDS_AT_ONCE))
-    probes = _hashed(docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()), text, F.col(key).alias("doc")).withColumn("s", F.flatten("s"))
+    probes = _hashed(docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()), text, F.col(key).alias("doc"))
     found = None
     for k in range(passes):
         part = seeds.where(F.pmod("seed", F.lit(passes)) == k)
-        rows = probes.select("doc", "h", F.posexplode_outer("s").alias("n", "seed")).join(F.broadcast(part), "seed")
-        # positions of the second mask follow those of the first
-        first = F.greatest(F.size("h") - len(MASKS[0]) + 1, F.lit(0))
-        rows = rows.withColumn("at", F.when(F.col("n") < first, F.col("n")).otherwise(F.col("n") - first))
+        rows = probes.select("doc", "h", F.posexplode_outer("s").alias("at", "seed")).join(F.broadcast(part), "seed")
         rows = rows.select("doc", "at", "places", F.least("at", F.lit(STRETCH)).alias("_from"), F.slice("h", F.greatest(F.col("at") - STRETCH, F.lit(0)) + 1, 3 * STRETCH + 1).alias("near"))
         found = rows if found is None else found.unionByName(rows)
     hits = scratch.keep(found, "hits").select("doc", "at", "_from", "near", F.explode("places").alias("p")).select("doc", "at", "_from", "near", "p.*")
