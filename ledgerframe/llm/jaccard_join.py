@@ -17,10 +17,15 @@ one slice in common is still sure; those that agree on one of the others form a
   would only replicate everybody everywhere.
 
 Equal sets are collapsed first, so groups of copies cost one member each.
+
+Rounds leave out what is connected already, which gives the components but not the number of links. Linked documents
+share a component, so links are counted there afterwards: every pair of sets of a component whose sizes allow a link is
+decided once, exactly, in tiles of two blocks of its members, and counts for as many documents as have the sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,8 @@ _U = np.uint64
 _LEVELS = 64
 #: A region of so many members and shingles is joined whole, in one task's memory.
 LEAF, LEAF_SHINGLES = 2048, 1 << 23
+#: Members and shingles of a block of a component; a task holds two blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -156,27 +163,37 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([col["x"], col["p"], pa.array(same, pa.int64()), pa.array(size_x, pa.int64()), pa.array(size_p, pa.int64())], names=["x", "p", "same", "n_x", "n_p"])
 
 
-def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect what all links between the sets connect: all intersections are counted, by products of
-    blocks of the incidence matrix, and each component is then walked once."""
+def all_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Matrix of the links between the sets; all intersections are counted, by products of blocks of the incidence
+    matrix of the shingles that two or more sets hold."""
     n = len(sets)
     size = np.fromiter(map(len, sets), np.int64, n)
     flat = np.concatenate(sets)
     row = np.repeat(np.arange(n), size)
-    every, col = np.unique(flat, return_inverse=True)
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    equal = flat[1:] == flat[:-1]
+    shared = np.concatenate((equal, [False])) | np.concatenate(([False], equal))
+    flat, row = flat[shared], row[shared]
+    col = np.cumsum(np.concatenate(([0], flat[1:] != flat[:-1]))) if len(flat) else np.zeros(0, np.int64)
+    most = int(col[-1]) + 1 if len(col) else 0
     same = np.zeros((n, n), np.float32)
     width = 4096
-    for a in range(0, len(every), width):
+    for a in range(0, most, width):
         lo, hi = np.searchsorted(col, (a, a + width))
-        block = np.zeros((n, min(width, len(every) - a)), np.float32)
+        block = np.zeros((n, min(width, most - a)), np.float32)
         block[row[lo:hi], col[lo:hi] - a] = 1
         same += block @ block.T
     same = same.astype(np.int64)
-    linked = den * same >= num * (size[:, None] + size[None, :] - same)
-    new, out = np.ones(n, bool), []
-    for start in range(n):
+    np.fill_diagonal(same, size)
+    return den * same >= num * (size[:, None] + size[None, :] - same)
+
+
+def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect what all links between the sets connect: each component is walked once."""
+    linked = all_links(sets, num, den)
+    new, out = np.ones(len(sets), bool), []
+    for start in range(len(sets)):
         if not new[start]:
             continue
         new[start], front = False, [start]
@@ -198,12 +215,53 @@ def _join_leaf(num: int, den: int):
     return run
 
 
+def _count_tile(num: int, den: int):
+    """(doc_id, links): for the members of a tile's two blocks, the documents with a set of the other block that they
+    link to; in the tile of one block, of that block."""
+
+    def run(tile: pa.Table) -> pa.Table:
+        docs, copies, low = (tile.column(c).to_numpy() for c in ("doc_id", "copies", "low"))
+        linked = all_links([np.frombuffer(x.as_buffer(), _U) for x in tile.column("shingles")], num, den)
+        np.fill_diagonal(linked, False)
+        if not low.all():
+            linked &= low[:, None] != low[None, :]
+        return pa.table({"doc_id": pa.array(docs, pa.int64()), "links": pa.array(linked @ copies, pa.int64())})
+
+    return run
+
+
+def _degrees(roots: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+    """(rep, links): for each set of a component, the number of documents with other sets that it links to.
+
+    A component of a block's size is one tile. The members of a larger one are dealt to blocks by size class and hash,
+    and every two blocks meet in one tile, unless the sizes of their classes rule out all links; so each pair is decided
+    in exactly one tile. Different components have no link between them.
+    """
+    step = math.log(max(den / num, 1.1)) * (1 + 1e-9)
+    blocks = lambda: F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts")
+    copies = classes.select(F.col("rep").alias("doc_id"), "copies", F.col("n_shingles").alias("n")).dropDuplicates(["doc_id"])
+    member = scratch.keep(roots.select(F.col("node").alias("doc_id"), "root").join(copies, "doc_id"), "linked")
+    large = member.groupBy("root").agg(blocks()).where("parts > 1").select("root")
+    whole = member.join(large, "root", "left_anti").select(F.struct("root", F.lit(0).alias("c1"), F.lit(0).alias("p1"), F.lit(0).alias("c2"), F.lit(0).alias("p2")).alias("tile"), F.lit(True).alias("low"), "doc_id", "copies")
+    dealt = member.join(large, "root", "left_semi").withColumn("c", F.floor(F.log("n") / step).cast("int"))
+    dealt = dealt.join(dealt.groupBy("root", "c").agg(blocks()), ["root", "c"]).withColumn("p", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("parts")).cast("int"))
+    dealt = scratch.keep(dealt.select("root", "c", "p", "doc_id", "copies"), "dealt")
+    block = scratch.keep(dealt.select("root", "c", "p").distinct(), "blocks")
+    pairs = block.select("root", F.col("c").alias("c1"), F.col("p").alias("p1")).join(block.select("root", F.col("c").alias("c2"), F.col("p").alias("p2")), "root")
+    pairs = pairs.where("c2 = c1 and p2 >= p1 or c2 = c1 + 1").select(F.struct("root", "c1", "p1", "c2", "p2").alias("tile"))
+    sides = pairs.select("tile", F.lit(True).alias("low"), F.col("tile.root").alias("root"), F.col("tile.c1").alias("c"), F.col("tile.p1").alias("p"))
+    sides = sides.unionByName(pairs.where("tile.c1 <> tile.c2 or tile.p1 <> tile.p2").select("tile", F.lit(False).alias("low"), F.col("tile.root").alias("root"), F.col("tile.c2").alias("c"), F.col("tile.p2").alias("p")))
+    tiles = whole.unionByName(dealt.join(sides, ["root", "c", "p"]).select("tile", "low", "doc_id", "copies"))
+    counted = tiles.join(sets, "doc_id").groupBy("tile").applyInArrow(_count_tile(num, den), "doc_id long, links long")
+    return scratch.keep(counted.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links")), "degrees")
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row (doc_id, n_shingles, component_id, n_links) for each row of ``docs``.
 
     ``threshold`` is the least similarity as a fraction; documents link when den * |x & y| >= num * |x | y|, counted
     exactly. ``component_id`` is the smallest doc_id reachable by links, ``n_links`` the number of other documents
-    with an equal set plus links to other sets that were needed to connect them. Documents with null or blank text
+    (rows) that the document links to, those with an equal set included. Documents with null or blank text
     have no shingles, link with nothing and are their own component. Rows that repeat a doc_id give a row each. Rows
     with a null doc_id can't be named by a component: they come back with a null component. Other columns of ``docs``
     are ignored, and an empty table gives an empty result.
@@ -219,8 +277,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
     regions = _seed(named, classes, scratch)
     sets = scratch.keep(_fetch(texts, regions, shingle), "sets")
-    links, roots = _join(spark, regions, sets, scratch, num, den)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
+    roots = _join(spark, regions, sets, scratch, num, den)[1]
+    degree = _degrees(roots, classes, sets, scratch, num, den)
     facts = classes.join(degree, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     facts = scratch.keep(facts.select("fp1", "fp2", "n_shingles", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "facts")
     rows = scratch.keep(features.drop("sigs", "tags"), "rows")
