@@ -35,12 +35,14 @@ class CharClass:
 CLASSES = (
     CharClass("hex", r"^[0-9a-fA-F-]+$", "0123456789abcdefABCDEF", 3.1),
     CharClass("alnum", r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z]+$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
+    CharClass("lower", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z+/_=-]+$", "0123456789abcdefghijklmnopqrstuvwxyz+/_=-", 3.7),
+    CharClass("upper", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z+/_=-]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.7),
     CharClass("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.9),
 )
 CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
 WINDOW = 20
 #: Strings that are random by design and no secrets, or that say that they are examples.
-ALLOWED = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefgh", r"^-+|=+$|^_+$", r"^(.{1,4})\1+$", r"^[/=_-]|//")
+ALLOWED = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefgh", r"^[-=_/]+$", r"^(.{1,4})\1+$")
 
 
 def _spans(text: Column, pattern: str, rank: int, values: Column | None = None) -> Column:
