@@ -1,48 +1,44 @@
 """N-gram Jaccard self-join by pivots, Voronoi regions and triangle-inequality windows.
 
-A document is its set of distinct word shingles; d(x, y) = 1 - |x & y| / |x | y| is a metric. Documents of different
-subject are all at distance one from each other, where no pivot can tell them apart, so regions are first seeded
-with slices of the shingle space: shingles are dealt to K slices by hash, K so large that two documents within the
-threshold must agree wholly on some slices that aren't empty. Documents leave out their most frequent slices, as far as
-one slice in common is still sure; those that agree on one of the others form a region. Then:
-
-* each region elects pivots, and the distance of every member to them is computed exactly;
-* members within the threshold are linked to the pivot; a region whose members are all connected is done;
-* the others go to the Voronoi cell of their nearest pivot, and a triangle-inequality window replicates them to each
-  cell q with d(x, q) <= d(x, nearest) + 2 * eps, where a partner within eps may live; inside a cell members go to
-  rings of width eps around its pivot, replicated to the next ring, as partners differ by at most eps in d(., pivot);
-* the rings are the regions of the next round, without the pivots, whose links are all known; rounds go on until no
-  region holds two unconnected documents. A region (or all regions that share documents) with no more than LEAF members
-  and LEAF_SHINGLES shingles is joined whole in a task: there, windows of neighbours in a dense family of near copies
-  would only replicate everybody everywhere.
-
-Equal sets are collapsed first, so groups of copies cost one member each.
-
-Rounds leave out what is connected already, which gives the components but not the number of links. Linked documents
-share a component, so links are counted there afterwards: every pair of sets of a component whose sizes allow a link is
-decided once, exactly, in tiles of two blocks of its members, and counts for as many documents as have the sets.
+A document is its set of distinct word shingles; d(x, y) = 1 - |x & y| / |x | y| is a metric. Equal sets are collapsed
+first, so a group of copies costs one member. Documents of different subject are all at distance one from each other,
+where no pivot can tell them apart, so regions are seeded with slices of the shingle space: shingles are dealt to K
+slices by hash, K so large that two documents within the threshold must agree wholly on some slices that aren't empty.
+Documents leave out their most frequent slices, as far as one slice in common is still sure; those that agree on one of
+the others may be partners, and what such agreement connects makes a region. Then, in every region:
+
+* pivots are elected and the exact distance of every member to them is computed, which decides all their links;
+* the other members go to the Voronoi cell of their nearest pivot, and a triangle-inequality window of 2 * eps
+  replicates those near a border to the earlier of the two cells (``regions.cells``), so that each pair meets once;
+* the cells are joined in the same way, until no two members are left whose pair isn't decided.
+
+A task does this for whole regions (``regions.Members``). A region with more than MEMBERS members or SHINGLES shingles
+is first cut by the same round of pivots, cells and windows through Spark, its members dealt over tasks. Where that
+doesn't make it smaller (near copies that all lie within a window), it is cut into tiles of two blocks of its members.
+A region that chains of chance agreements have joined is taken apart into its slices, if these have fewer pairs.
+Whatever the cut, each pair is decided exactly, counted once, and no partner or candidate is dropped.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
 from .components import connected_components
-from .store import Scratch, spread
+from .regions import PIVOTS, SLACK, Members, cells
+from .store import Scratch
 
 _U = np.uint64
 _LEVELS = 64
-#: A region of so many members and shingles is joined whole, in one task's memory.
-LEAF, LEAF_SHINGLES = 2048, 1 << 23
-#: Members and shingles of a block of a component; a task holds two blocks.
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: Members and shingles of a region that a task may hold; what is larger is cut into cells first.
+MEMBERS, SHINGLES = 1024, 1 << 21
+#: Slices go through their counts in so many complete ranges of their hash, one after the other.
+PASSES = 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -115,145 +111,70 @@ class Slicer:
         return np.concatenate(out), np.concatenate(tags)
 
 
-def _features(text: str, size: int, num: int, den: int):
+def _fingerprint(h: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set."""
+    return int(T.mix(h.copy()).sum(dtype=_U)), int(T.mix(h ^ _U(0x94D049BB133111EB)).sum(dtype=_U))
+
+
+_ROW = "doc_id long, n_shingles long, fp1 long, fp2 long"
+
+
+def _rows(text: str, size: int):
+    """Size and fingerprint of every set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slicer = Slicer(num, den)
         for batch in batches:
-            data, offsets = T.columns(batch, text)
-            count, fp, sigs, tags, at = [], [], [], [], [0]
-            for h in shingle_sets(data, offsets, size):
+            count, fp = [], []
+            for h in shingle_sets(*T.columns(batch, text), size):
                 count.append(len(h))
-                fp.append((int(T.mix(h.copy()).sum(dtype=_U)), int(T.mix(h ^ _U(0x94D049BB133111EB)).sum(dtype=_U))))
-                if len(h):
-                    for to, x in zip((sigs, tags), slicer.signatures(h), strict=True):
-                        to.append(x)
-                at.append(at[-1] + (len(sigs[-1]) if len(h) else 0))
-            flat = np.concatenate(sigs) if sigs else np.zeros(0, _U)
-            tag = np.concatenate(tags) if tags else np.zeros(0, np.int32)
+                fp.append(_fingerprint(h))
             pair = np.array(fp, _U).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]), *[pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x)) for x in (flat.view(np.int64), tag)]],
-                names=["doc_id", "n_shingles", "fp1", "fp2", "sigs", "tags"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["doc_id", "n_shingles", "fp1", "fp2"])
 
     return run
 
 
-def _sets(text: str, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = T.columns(batch, text)
-            blobs = [h.tobytes() for h in shingle_sets(data, offsets, size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"])
+def _wanted(batch: pa.RecordBatch, text: str, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(cid, set) of the rows whose set is the one that their cid stands for; a doc_id may have several texts."""
+    cid, fp1, fp2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("cid", "fp1", "fp2"))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for k, h in enumerate(shingle_sets(*T.columns(batch, text), size)):
+        a, b = _fingerprint(h)
+        if (signed(a), signed(b)) == (fp1[k], fp2[k]):
+            yield cid[k], h
 
-    return run
 
+def _signed(text: str, size: int, num: int, den: int):
+    """(cid, sigs, tags) of the sets that stand for their class."""
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        same, size_x, size_p = [], [], []
-        for x, p in zip(col["set_x"], col["set_p"], strict=True):
-            x, p = np.frombuffer(x.as_buffer(), _U), np.frombuffer(p.as_buffer(), _U)
-            both = np.concatenate((x, p))
-            both.sort()
-            same.append(int((both[1:] == both[:-1]).sum()))
-            size_x.append(len(x))
-            size_p.append(len(p))
-        yield pa.RecordBatch.from_arrays([col["x"], col["p"], pa.array(same, pa.int64()), pa.array(size_x, pa.int64()), pa.array(size_p, pa.int64())], names=["x", "p", "same", "n_x", "n_p"])
-
-
-def all_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Matrix of the links between the sets; all intersections are counted, by products of blocks of the incidence
-    matrix of the shingles that two or more sets hold."""
-    n = len(sets)
-    size = np.fromiter(map(len, sets), np.int64, n)
-    flat = np.concatenate(sets)
-    row = np.repeat(np.arange(n), size)
-    order = np.argsort(flat, kind="stable")
-    flat, row = flat[order], row[order]
-    equal = flat[1:] == flat[:-1]
-    shared = np.concatenate((equal, [False])) | np.concatenate(([False], equal))
-    flat, row = flat[shared], row[shared]
-    col = np.cumsum(np.concatenate(([0], flat[1:] != flat[:-1]))) if len(flat) else np.zeros(0, np.int64)
-    most = int(col[-1]) + 1 if len(col) else 0
-    same = np.zeros((n, n), np.float32)
-    width = 4096
-    for a in range(0, most, width):
-        lo, hi = np.searchsorted(col, (a, a + width))
-        block = np.zeros((n, min(width, most - a)), np.float32)
-        block[row[lo:hi], col[lo:hi] - a] = 1
-        same += block @ block.T
-    same = same.astype(np.int64)
-    np.fill_diagonal(same, size)
-    return den * same >= num * (size[:, None] + size[None, :] - same)
-
-
-def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect what all links between the sets connect: each component is walked once."""
-    linked = all_links(sets, num, den)
-    new, out = np.ones(len(sets), bool), []
-    for start in range(len(sets)):
-        if not new[start]:
-            continue
-        new[start], front = False, [start]
-        while front:
-            x = front.pop()
-            found = np.flatnonzero(linked[x] & new)
-            new[found] = False
-            out += [(x, int(y)) for y in found]
-            front += found.tolist()
-    return out
-
-
-def _join_leaf(num: int, den: int):
-    def run(region: pa.Table) -> pa.Table:
-        docs = region.column("doc_id").to_numpy()
-        links = spanning_links([np.frombuffer(x.as_buffer(), _U) for x in region.column("shingles")], num, den) if len(docs) > 1 else []
-        return pa.table({"a": pa.array([int(docs[x]) for x, _ in links], pa.int64()), "b": pa.array([int(docs[y]) for _, y in links], pa.int64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slicer = Slicer(num, den)
+        for batch in batches:
+            cids, sigs, tags = [], [np.zeros(0, _U)], [np.zeros(0, np.int32)]
+            for cid, h in _wanted(batch, text, size):
+                cids.append(cid)
+                for to, x in zip((sigs, tags), slicer.signatures(h), strict=True):
+                    to.append(x)
+            at = pa.array(np.cumsum(list(map(len, sigs))), pa.int32())
+            both = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (np.concatenate(sigs).view(np.int64), np.concatenate(tags))]
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), *both], names=["cid", "sigs", "tags"])
 
     return run
 
 
-def _count_tile(num: int, den: int):
-    """(doc_id, links): for the members of a tile's two blocks, the documents with a set of the other block that they
-    link to; in the tile of one block, of that block."""
-
-    def run(tile: pa.Table) -> pa.Table:
-        docs, copies, low = (tile.column(c).to_numpy() for c in ("doc_id", "copies", "low"))
-        linked = all_links([np.frombuffer(x.as_buffer(), _U) for x in tile.column("shingles")], num, den)
-        np.fill_diagonal(linked, False)
-        if not low.all():
-            linked &= low[:, None] != low[None, :]
-        return pa.table({"doc_id": pa.array(docs, pa.int64()), "links": pa.array(linked @ copies, pa.int64())})
+def _sets(text: str, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(_wanted(batch, text, size))
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([h.tobytes() for _, h in found], pa.binary())], names=["cid", "shingles"])
 
     return run
 
 
-def _degrees(roots: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
-    """(rep, links): for each set of a component, the number of documents with other sets that it links to.
-
-    A component of a block's size is one tile. The members of a larger one are dealt to blocks by size class and hash,
-    and every two blocks meet in one tile, unless the sizes of their classes rule out all links; so each pair is decided
-    in exactly one tile. Different components have no link between them.
-    """
-    step = math.log(max(den / num, 1.1)) * (1 + 1e-9)
-    blocks = lambda: F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts")
-    copies = classes.select(F.col("rep").alias("doc_id"), "copies", F.col("n_shingles").alias("n")).dropDuplicates(["doc_id"])
-    member = scratch.keep(roots.select(F.col("node").alias("doc_id"), "root").join(copies, "doc_id"), "linked")
-    large = member.groupBy("root").agg(blocks()).where("parts > 1").select("root")
-    whole = member.join(large, "root", "left_anti").select(F.struct("root", F.lit(0).alias("c1"), F.lit(0).alias("p1"), F.lit(0).alias("c2"), F.lit(0).alias("p2")).alias("tile"), F.lit(True).alias("low"), "doc_id", "copies")
-    dealt = member.join(large, "root", "left_semi").withColumn("c", F.floor(F.log("n") / step).cast("int"))
-    dealt = dealt.join(dealt.groupBy("root", "c").agg(blocks()), ["root", "c"]).withColumn("p", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("parts")).cast("int"))
-    dealt = scratch.keep(dealt.select("root", "c", "p", "doc_id", "copies"), "dealt")
-    block = scratch.keep(dealt.select("root", "c", "p").distinct(), "blocks")
-    pairs = block.select("root", F.col("c").alias("c1"), F.col("p").alias("p1")).join(block.select("root", F.col("c").alias("c2"), F.col("p").alias("p2")), "root")
-    pairs = pairs.where("c2 = c1 and p2 >= p1 or c2 = c1 + 1").select(F.struct("root", "c1", "p1", "c2", "p2").alias("tile"))
-    sides = pairs.select("tile", F.lit(True).alias("low"), F.col("tile.root").alias("root"), F.col("tile.c1").alias("c"), F.col("tile.p1").alias("p"))
-    sides = sides.unionByName(pairs.where("tile.c1 <> tile.c2 or tile.p1 <> tile.p2").select("tile", F.lit(False).alias("low"), F.col("tile.root").alias("root"), F.col("tile.c2").alias("c"), F.col("tile.p2").alias("p")))
-    tiles = whole.unionByName(dealt.join(sides, ["root", "c", "p"]).select("tile", "low", "doc_id", "copies"))
-    counted = tiles.join(sets, "doc_id").groupBy("tile").applyInArrow(_count_tile(num, den), "doc_id long, links long")
-    return scratch.keep(counted.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("links")), "degrees")
+def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """One text or more for each class, with what its set must be."""
+    wanted = classes.select("cid", F.col("rep").alias("doc_id"), "fp1", "fp2")
+    return texts.join(wanted, "doc_id").select("cid", "fp1", "fp2", "_text")
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -262,120 +183,237 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     ``threshold`` is the least similarity as a fraction; documents link when den * |x & y| >= num * |x | y|, counted
     exactly. ``component_id`` is the smallest doc_id reachable by links, ``n_links`` the number of other documents
     (rows) that the document links to, those with an equal set included. Documents with null or blank text
-    have no shingles, link with nothing and are their own component. Rows that repeat a doc_id give a row each. Rows
-    with a null doc_id can't be named by a component: they come back with a null component. Other columns of ``docs``
-    are ignored, and an empty table gives an empty result.
+    have no shingles, link with nothing and are their own component. Rows that repeat a doc_id give a row each, with
+    the component of their own text. Rows with a null doc_id can't be named by a component: they come back with a null
+    component and no links. Other columns of ``docs`` are ignored, and an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     num, den = threshold
-    scratch = Scratch(spark, "jaccard")
+    scratch = Scratch(docs.sparkSession, "jaccard")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    features = scratch.keep(texts.mapInArrow(_features("_text", shingle, num, den), "doc_id long, n_shingles long, fp1 long, fp2 long, sigs array<long>, tags array<int>"), "features")
-    named = features.where("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = scratch.keep(classes, "classes")
-
-    regions = _seed(named, classes, scratch)
-    sets = scratch.keep(_fetch(texts, regions, shingle), "sets")
-    roots = _join(spark, regions, sets, scratch, num, den)[1]
-    degree = _degrees(roots, classes, sets, scratch, num, den)
-    facts = classes.join(degree, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    facts = scratch.keep(facts.select("fp1", "fp2", "n_shingles", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "facts")
-    rows = scratch.keep(features.drop("sigs", "tags"), "rows")
-    scratch.drop("features", "sets", "regions")
-    out = rows.join(facts, ["fp1", "fp2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-
-
-def _seed(named: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(region, doc_id): the representatives that agree on a slice, for slices on which two or more agree."""
-    reps = named.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    rows = reps.select("doc_id", F.explode(F.arrays_zip("sigs", "tags")).alias("x")).select(F.col("x.sigs").alias("region"), "doc_id", F.col("x.tags").alias("tag"))
-    shared = scratch.keep(rows.groupBy("region").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("region", "n"), "shared")
-    members = rows.join(shared, "region")
+    rows = scratch.keep(texts.mapInArrow(_rows("_text", shingle), _ROW), "rows")
+    same = ["fp1", "fp2", "n_shingles"]
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # a class is known by its row in the table that is written here
+    classes = scratch.keep(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+    slices = _seed(texts, classes, scratch, shingle, num, den)
+    busy = classes.join(slices.select("cid").distinct(), "cid", "left_semi")
+    sets = scratch.keep(_texts_of(texts.where("doc_id is not null"), busy).mapInArrow(_sets("_text", shingle), "cid long, shingles binary").dropDuplicates(["cid"]), "sets")
+    roots, degree = _join(slices, classes, sets, scratch, num, den)
+    scratch.drop("sets", "slices")
+    named = roots.join(classes.select("cid", "rep"), "cid")
+    smallest = named.groupBy("root").agg(F.min("rep").alias("component"))
+    named = named.join(smallest, "root").select("cid", "component")
+    facts = classes.join(degree, "cid", "left").join(named, "cid", "left")
+    facts = facts.select(*same, F.coalesce("component", "rep").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+    facts = scratch.keep(facts, "facts")
+    out = rows.join(facts, same, "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    linked = F.when(F.col("doc_id").isNotNull(), F.col("links"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(linked, F.lit(0)).cast("long").alias("n_links"))
+
+
+def _seed(texts: DataFrame, classes: DataFrame, scratch: Scratch, shingle: int, num: int, den: int) -> DataFrame:
+    """(slice, cid): the classes that agree on a slice, for slices on which two or more agree.
+
+    Slices are as many as a good part of the shingles. They are counted in PASSES ranges of their hash, each complete,
+    so that a range's share of them is in a shuffle at a time; only slices that are shared at all go on.
+    """
+    signed = _texts_of(texts.where("doc_id is not null"), classes).mapInArrow(_signed("_text", shingle, num, den), "cid long, sigs array<long>, tags array<int>")
+    signed = scratch.keep(signed, "signed")
+    flat = signed.select("cid", F.explode(F.arrays_zip("sigs", "tags")).alias("x")).select(F.col("x.sigs").alias("slice"), "cid", F.col("x.tags").alias("tag"))
+    met = None
+    for k in range(PASSES):
+        part = flat.where(F.pmod("slice", F.lit(PASSES)) == k)
+        shared = scratch.keep(part.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"shared-{k}")
+        found = scratch.keep(part.join(shared, "slice"), f"met-{k}")
+        scratch.drop(f"shared-{k}")
+        met = found if met is None else met.unionByName(found)
     # the slices that a document may leave out: its most frequent ones
-    place = F.row_number().over(Window.partitionBy("doc_id", "tag").orderBy(F.col("n").desc(), "region"))
-    members = scratch.keep(members.withColumn("place", place).where(F.col("place") > F.col("tag").bitwiseAND((1 << 19) - 1)).select("region", "doc_id"), "members")
+    place = F.row_number().over(Window.partitionBy("cid", "tag").orderBy(F.col("n").desc(), "slice"))
+    members = met.withColumn("place", place).where(F.col("place") > F.col("tag").bitwiseAND((1 << 19) - 1))
+    members = scratch.keep(members.select("slice", "cid").distinct(), "members")
+    scratch.drop("signed", *[f"met-{k}" for k in range(PASSES)])
     # slices on which the same documents agree say the same: one of them is enough
-    same = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.bit_xor(F.xxhash64("doc_id")).alias("all1"), F.bit_xor(F.xxhash64("doc_id", F.lit(7))).alias("all2")).where("low < high")
-    one = same.groupBy("n", "low", "high", "all1", "all2").agg(F.min("region").alias("region")).select("region")
-    regions = scratch.keep(members.join(one, "region").distinct(), "regions")
-    scratch.drop("shared", "members")
-    return regions
+    digest = [F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"all{k}") for k in (1, 2)]
+    alike = members.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("low"), F.max("cid").alias("high"), *digest).where("n > 1")
+    one = alike.groupBy("n", "low", "high", "all1", "all2").agg(F.min("slice").alias("slice")).select("slice")
+    slices = scratch.keep(members.join(one, "slice"), "slices")
+    scratch.drop("members")
+    return slices
 
 
-def _fetch(texts: DataFrame, regions: DataFrame, shingle: int) -> DataFrame:
-    """Shingle sets of the documents of the regions that hold two or more."""
-    busy = regions.groupBy("region").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("region")
-    wanted = regions.join(busy, "region").select("doc_id").distinct()
-    return texts.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_sets("_text", shingle), "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+_REGION = "region struct<kind:int,id:long>"
+_MEMBER = f"{_REGION}, cid long, blockers array<long>"
 
 
-def _join(spark: SparkSession, regions: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) that connect what the regions hold, and the components (node, root) they make.
+def _regions(slices: DataFrame, scratch: Scratch) -> DataFrame:
+    """(region, cid, blockers): what agreement on slices connects; or its slices, where these have fewer pairs.
 
-    Pairs that are connected already need no link of their own.
+    A pair of slices' members may agree on several: the first of them decides it, so the earlier slices of a document
+    block its pairs in the later ones.
     """
-    eps = (den - num) / den
-    links = spark.createDataFrame([], "a long, b long")
-    roots = None
-    step = 0
-    while True:
-        known = regions.withColumn("root", F.col("doc_id")) if roots is None else regions.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-        state = known.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("doc_id", F.lit(step)).alias("rank"), "doc_id")).alias("first"), F.min("doc_id").alias("least"))
-        state = scratch.keep(state.where("low < high").select("region", "size", F.when(F.lit(step == 0), F.col("least")).otherwise(F.col("first.doc_id")).alias("first")), f"state-{step}")
-        if state.isEmpty():
-            return links, roots if roots is not None else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        if step:
-            regions, more = _leaves(regions.join(state.select("region"), "region"), sets, scratch, num, den, step)
-            links = scratch.keep(links.unionByName(more), f"all-{step}")
-            roots = connected_components(links, scratch, f"leaf-{step}")
-            if regions.isEmpty():
-                return links, roots
-        live = regions.join(state, "region")
-        # the first document of each region; from the second round on also some more, drawn by hash
-        chance = F.lit(0.0) if step == 0 else F.least(F.lit(1.0), 8 / F.col("size"))
-        drawn = (F.pmod(F.xxhash64("doc_id", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)) < chance
-        live = scratch.keep(live.select("region", "doc_id", ((F.col("doc_id") == F.col("first")) | drawn).alias("pivot")), f"live-{step}")
-        pivots = live.where("pivot").select("region", F.col("doc_id").alias("p"))
-        met = live.select("region", F.col("doc_id").alias("x"), "pivot").join(pivots, "region").where("x <> p and (not pivot or x > p)")
-        pairs = scratch.keep(met.select("x", "p").distinct(), f"pairs-{step}")
-        wide = spread(pairs, sets.select(F.col("doc_id").alias("p"), F.col("shingles").alias("set_p")), "p").join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("set_x")), "x")
-        far = scratch.keep(wide.select("x", "p", "set_x", "set_p").mapInArrow(_overlaps, "x long, p long, same long, n_x long, n_p long"), f"far-{step}")
-        union = F.col("n_x") + F.col("n_p") - F.col("same")
-        near = far.where(den * F.col("same") >= num * union)
-        links = scratch.keep(links.unionByName(near.select(F.col("x").alias("a"), F.col("p").alias("b"))), f"links-{step}")
-        roots = connected_components(links, scratch, f"cc-{step}")
-        regions = scratch.keep(_split(live, pivots, far.withColumn("d", 1 - F.col("same") / union), roots, eps, step), f"regions-{step}")
-        step += 1
+    ends = scratch.keep(slices.groupBy("slice").agg(F.min("cid").alias("low"), F.count(F.lit(1)).alias("n")), "ends")
+    chained = connected_components(slices.join(ends, "slice").select(F.col("low").alias("a"), F.col("cid").alias("b")), scratch, "chains")
+    whole = chained.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    apart = ends.join(chained, F.col("low") == F.col("node")).groupBy("root").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    large = whole.where(F.col("members") > MEMBERS).join(apart, "root").where("pairs < cast(members as double) * members").select("root")
+    large = scratch.keep(large, "chained")
+    if large.isEmpty():
+        return chained.select(F.struct(F.lit(0).alias("kind"), F.col("root").alias("id")).alias("region"), F.col("node").alias("cid"), F.array().cast("array<long>").alias("blockers"))
+    loose = chained.join(large, "root", "left_semi").select(F.col("node").alias("cid"))
+    mine = slices.join(loose, "cid").withColumn("all", F.collect_list("slice").over(Window.partitionBy("cid")))
+    mine = mine.select(F.struct(F.lit(1).alias("kind"), F.col("slice").alias("id")).alias("region"), "cid", F.filter("all", lambda s: s < F.col("slice")).alias("blockers"))
+    tight = chained.join(large, "root", "left_anti")
+    tight = tight.select(F.struct(F.lit(0).alias("kind"), F.col("root").alias("id")).alias("region"), F.col("node").alias("cid"), F.array().cast("array<long>").alias("blockers"))
+    return tight.unionByName(mine)
+
+
+_FOUND = "cid long, links long, root long"
+
+
+def _members(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """cid, sets, copies and blockers of a region's rows, in the order of cid."""
+    table = table.sort_by("cid")
+    sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("shingles")]
+    blockers = table.column("blockers").combine_chunks()
+    flat, at = blockers.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(blockers.value_lengths().to_numpy(zero_copy_only=False)))) if len(blockers) else np.zeros(1, np.int64)
+    return table.column("cid").to_numpy(), sets, table.column("copies").to_numpy(), [flat[at[k] : at[k + 1]] for k in range(len(sets))]
+
+
+def _decide(num: int, den: int):
+    """All pairs of a region: for each member its links, and the smallest member it is connected with."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cid, sets, copies, blockers = _members(table)
+        region = Members(sets, copies, blockers, num, den)
+        region.decide_all()
+        return pa.table({"cid": pa.array(cid), "links": pa.array(region.degree), "root": pa.array(cid[region.top])})
+
+    return run
+
 
+_ROUND = f"{_FOUND}, cell int, home boolean"
+
+
+def _measure(num: int, den: int):
+    """A round for a part of a large region: its members and the region's pivots. The links of the pivots are decided
+    here; the other members come back with the cells they go to."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cid, sets, copies, blockers = _members(table)
+        order = table.sort_by("cid")
+        pivot, own = (order.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("pivot", "own"))
+        region = Members(sets, copies, blockers, num, den)
+        at, index = np.flatnonzero(pivot), np.flatnonzero(own)
+        d, linked = region.measure(at, index)
+        # two pivots meet in the part that owns the later one
+        owned = ~pivot[index][None, :] | (index[None, :] > at[:, None])
+        region.count(at, index, linked, owned)
+        cell, home, member = cells(d, region.eps)
+        stay = ~pivot[index][member]
+        cell, home, member = cell[stay], home[stay], index[member[stay]]
+        n, m = len(cid), len(cell)
+        return pa.table(
+            {
+                "cid": pa.array(np.concatenate((cid, cid[member]))),
+                "links": pa.array(np.concatenate((region.degree, np.zeros(m, np.int64)))),
+                "root": pa.array(np.concatenate((cid[region.top], np.zeros(m, np.int64)))),
+                "cell": pa.array(np.concatenate((np.zeros(n, np.int32), cell.astype(np.int32))), mask=np.arange(n + m) < n),
+                "home": pa.array(np.concatenate((np.zeros(n, bool), home))),
+            }
+        )
+
+    return run
+
+
+def _sizes(members: DataFrame, by: str) -> DataFrame:
+    """(by, n, parts): members of a region, and of how many times a task's share it is."""
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / MEMBERS), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int")
+    return members.groupBy(by).agg(F.count(F.lit(1)).alias("n"), parts.alias("parts"))
 
-def _leaves(regions: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int, step: int) -> tuple[DataFrame, DataFrame]:
-    """Join the regions that are small enough; the others, and the links found.
 
-    Regions that share documents make one cluster, mostly a family of near copies, which is joined once; the regions of a
-    cluster that is too large are joined or kept one by one.
+def _dealt(parts: Column) -> Column:
+    return F.pmod(F.xxhash64("cid", F.lit(11)), parts).cast("int")
+
+
+def _join(slices: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(cid, root) of what is linked with anything, and (cid, links)."""
+    about = classes.select("cid", "copies", "n_shingles")
+    facts = sets.join(about.drop("n_shingles"), "cid")
+    members = scratch.keep(_regions(slices, scratch).join(about.drop("copies"), "cid"), "regions-0")
+    found, step = [], 0
+    while True:
+        sizes = scratch.keep(_sizes(members, "region").where("parts > 1"), f"large-{step}")
+        final = sizes.isEmpty()
+        small = members if final else members.join(sizes, "region", "left_anti")
+        decided = small.select("region", "cid", "blockers").join(facts, "cid").groupBy("region").applyInArrow(_decide(num, den), _FOUND)
+        found.append(scratch.keep(decided, f"found-{step}"))
+        if final:
+            break
+        cut, links = _round(members.join(sizes, "region"), facts, scratch, num, den, step)
+        found.append(links)
+        step += 1
+        members = scratch.keep(cut, f"regions-{step}")
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    degree = scratch.keep(every.groupBy("cid").agg(F.sum("links").alias("links")), "degree")
+    ends = every.where("root <> cid").select(F.col("root").alias("a"), F.col("cid").alias("b"))
+    if step or not every.where(F.col("root") == F.col("cid")).join(every.where("root <> cid").select("cid"), "cid", "left_semi").isEmpty():
+        roots = connected_components(ends, scratch, "linked").select(F.col("node").alias("cid"), "root")
+    else:  # every document lies in one region, which knows its component
+        roots = every.select("cid", "root")
+    return roots, degree
+
+
+def _round(large: DataFrame, facts: DataFrame, scratch: Scratch, num: int, den: int, step: int) -> tuple[DataFrame, DataFrame]:
+    """One round for regions that no task should hold: the cells they are cut into, and the links of their pivots.
+
+    ``large`` has region, cid, blockers, n_shingles, n and parts. Members are dealt over parts, each of which gets the
+    pivots as well. A region whose cells would hold more than three quarters of it, or would double it, is cut into
+    tiles instead: its members are dealt to blocks and every two blocks make a tile, in which members of one block
+    block each other. Tiles hold two thirds of a task's share, so most are decided at once.
     """
-    ends = regions.groupBy("region").agg(F.min("doc_id").alias("low"))
-    cluster = connected_components(regions.join(ends, "region").select(F.col("low").alias("a"), F.col("doc_id").alias("b")), scratch, f"clusters-{step}")
-    member = scratch.keep(regions.join(cluster.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id").join(sets.select("doc_id", (F.length("shingles") / 8).alias("n")), "doc_id"), f"members-{step}")
-    small = lambda key: (F.count(F.lit(1)) <= LEAF) & (F.sum("n") <= LEAF_SHINGLES)  # noqa: E731, ARG005
-    whole = member.select("cluster", "doc_id", "n").distinct().groupBy("cluster").agg(small("cluster").alias("whole"))
-    single = member.groupBy("region").agg(small("region").alias("single"))
-    member = scratch.keep(member.join(whole, "cluster").join(single, "region"), f"sorted-{step}")
-    leaf = member.where("whole or single").select(F.when(F.col("whole"), F.col("cluster")).otherwise(F.col("region")).alias("leaf"), "whole", "doc_id").distinct()
-    links = leaf.join(sets, "doc_id").groupBy("leaf", "whole").applyInArrow(_join_leaf(num, den), "a long, b long")
-    links = scratch.keep(links, f"leaf-links-{step}")
-    return member.where("not whole and not single").select("region", "doc_id"), links
-
-
-def _split(live: DataFrame, pivots: DataFrame, far: DataFrame, roots: DataFrame, eps: float, step: int) -> DataFrame:
-    """The rings of Voronoi cells that still hold unconnected documents, with their windows."""
-    own = live.where("not pivot").select("region", F.col("doc_id").alias("x")).join(roots.withColumnRenamed("node", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
-    open_ = own.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("region")
-    seen = own.select("region", "x").join(open_, "region").join(pivots, "region").join(far.select("x", "p", "d"), ["x", "p"])
-    nearest = seen.groupBy("region", "x").agg(F.min("d").alias("least"))
-    slack = 1e-9
-    cells = seen.join(nearest, ["region", "x"]).where(F.col("d") <= F.col("least") + 2 * eps + slack)
-    ring = F.floor(F.col("d") / (eps + slack))
-    return cells.select(F.explode(F.array(ring, ring + 1)).alias("ring"), "region", "p", "x").select(F.xxhash64("region", "p", "ring", F.lit(step)).alias("region"), F.col("x").alias("doc_id")).distinct()
+    rank = F.row_number().over(Window.partitionBy("region").orderBy("rank"))
+    # pivots by hash: the lowest few of each part first, so that no window holds a region
+    spread = Window.partitionBy("region", "part").orderBy("rank")
+    dealt = large.withColumn("part", _dealt(F.col("parts"))).withColumn("rank", F.xxhash64("cid", F.lit(step)))
+    dealt = scratch.keep(dealt, f"dealt-{step}")
+    some = dealt.withColumn("_n", F.row_number().over(spread)).where(F.col("_n") <= PIVOTS).drop("_n")
+    pivots = some.withColumn("_n", rank).where(F.col("_n") <= PIVOTS).drop("_n")
+    pivots = scratch.keep(pivots, f"pivots-{step}")
+    mine = dealt.join(pivots.select("region", "cid", F.lit(True).alias("pivot")), ["region", "cid"], "left")
+    mine = mine.select("region", "part", "cid", "blockers", F.coalesce("pivot", F.lit(False)).alias("pivot"), F.lit(True).alias("own"))
+    other = pivots.withColumn("home", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> home")
+    other = other.select("region", "part", "cid", "blockers", F.lit(True).alias("pivot"), F.lit(False).alias("own"))
+    measured = mine.unionByName(other).join(facts, "cid").groupBy("region", "part").applyInArrow(_keyed(_measure(num, den)), f"{_REGION}, {_ROUND}")
+    measured = scratch.keep(measured, f"round-{step}")
+    links = measured.where("cell is null").select("cid", "links", "root")
+
+    rows = measured.where("cell is not null").select("region", "cid", "cell", "home")
+    shape = rows.groupBy("region", "cell").agg(F.count(F.lit(1)).alias("k")).groupBy("region").agg(F.max("k").alias("largest"), F.sum("k").alias("total"))
+    size = large.select("region", "n", "parts").distinct()
+    fate = scratch.keep(shape.join(size, "region").select("region", "parts", (F.greatest(F.col("largest") / 0.75, F.col("total") / 2) <= F.col("n")).alias("gains")), f"fate-{step}")
+    was = dealt.join(pivots.select("region", "cid"), ["region", "cid"], "left_anti").select("region", "cid", "blockers", "n_shingles")
+    token = lambda *c: F.xxhash64("region.kind", "region.id", F.lit(step), *c)
+    region = lambda *c: F.struct(F.lit(2 + step).alias("kind"), token(*c).alias("id")).alias("region")
+
+    cut = rows.join(fate.where("gains"), "region", "left_semi").join(was, ["region", "cid"])
+    guest = F.when(F.col("home"), F.col("blockers")).otherwise(F.concat("blockers", F.array(token("cell", F.lit(1)))))
+    cut = cut.select(region("cell"), "cid", guest.alias("blockers"), "n_shingles")
+    blocks = was.join(fate.where("not gains"), "region").withColumn("parts", 3 * F.col("parts")).withColumn("block", _dealt(F.col("parts")))
+    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("block", o).alias("a"), F.greatest("block", o).alias("b"))))
+    blocks = blocks.withColumn("tile", tile)
+    mate = F.when(F.col("tile.a") == F.col("tile.b"), F.col("blockers")).otherwise(F.concat("blockers", F.array(token("block", F.lit(2)))))
+    return cut.unionByName(blocks.select(region("tile.a", "tile.b"), "cid", mate.alias("blockers"), "n_shingles")), links
+
+
+def _keyed(run):
+    """``run`` with the region of the group before its columns."""
+
+    def keyed(table: pa.Table) -> pa.Table:
+        out = run(table)
+        return out.add_column(0, "region", pa.array([table.column("region")[0].as_py()] * out.num_rows, table.schema.field("region").type))
+
+    return keyed
