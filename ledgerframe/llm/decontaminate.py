@@ -1,4 +1,5 @@
-"""Benchmark decontamination by seeds so short that no passage within the threshold is without one."""
+"""Benchmark decontamination by spaced seeds: masks that ignore some words, so that a copy with words replaced still
+agrees with the benchmark on what the mask takes, and verification of the aligned words around each hit."""
 
 from __future__ import annotations
 
@@ -8,16 +9,20 @@ from pyspark.sql import functions as F
 from .native import let, words
 from .store import Scratch
 
-#: 1: the word counts, 0: it may be any. Three words in a row are enough for every pattern of substitutions that STRETCH
-#: and SHARE accept: 5 of 20 words cut the 15 equal ones into 6 runs at most, so one run has three words; the same holds
-#: for items of LEAST to 19 words.
-MASKS = ("111",)
-#: Words that an item must have to be looked for.
-LEAST = 11
+#: 1: the word counts, 0: it may be any. The first mask is for items of STRETCH words or more: however 5 of 20 words are
+#: replaced, it hits somewhere. The second is for shorter items, with 25 in 100 words replaced (tests/llm try all ways).
+MASKS = ("10111", "1101")
 #: Words of an aligned stretch, and how many of a hundred must be equal.
 STRETCH, SHARE = 20, 75
-#: Rows of seeds that are broadcast at once; a larger benchmark is handled in several passes.
-SEEDS_AT_ONCE = 1_000_000
+#: Items of fewer words than this must be found whole, and items of fewer than SHORTEST are no evidence of anything.
+LEAST, SHORTEST = 11, 5
+#: Seeds of a benchmark that are broadcast, some 100 MB; more are joined by a shuffle.
+BROADCAST_SEEDS = 1_000_000
+
+
+def needed(size: int) -> int:
+    """Equal words that an item of ``size`` words needs in a stretch."""
+    return size if size < LEAST else -(-min(STRETCH, size) * SHARE // 100)
 
 
 def _word_hashes(text: Column) -> Column:
@@ -25,50 +30,58 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words(F.lower(text)), lambda w: F.xxhash64(w))
 
 
-def _seeds(h: Column) -> Column:
-    """Array of the hashes of the mask's words, in order of position."""
-    (mask,) = MASKS
-    at = [k for k, c in enumerate(mask) if c == "1"]
-    some = F.transform(F.sequence(F.lit(0), F.size(h) - len(mask)), lambda i: F.xxhash64(*[F.get(h, i + k) for k in at]))
-    return F.when(F.size(h) >= len(mask), some).otherwise(F.array().cast("array<bigint>"))
-
-
-def _hashed(rows: DataFrame, text: str, *keep: Column) -> DataFrame:
-    """``keep``, the word hashes ``h`` and the seeds ``s`` of each row, both computed once."""
-    both = let(_word_hashes(F.col(text)), lambda h: F.struct(h.alias("h"), _seeds(h).alias("s")))
-    return rows.select(*keep, both.alias("_x")).select("*", "_x.h", "_x.s").drop("_x")
+def _seeds(h: Column, mask: int) -> Column:
+    """Array of the hashes of the words that a mask takes, at each position."""
+    span, at = len(MASKS[mask]), [k for k, c in enumerate(MASKS[mask]) if c == "1"]
+    some = F.transform(F.sequence(F.lit(0), F.size(h) - span), lambda i: F.xxhash64(F.lit(mask), *[F.get(h, i + k) for k in at]))
+    return F.when(F.size(h) >= span, some).otherwise(F.array().cast("array<bigint>"))
 
 
 def _best(row: str, item: str, at: str, item_at: str) -> Column:
     """Most equal words in any stretch of STRETCH aligned words that starts up to STRETCH words before the hit and
     holds it; ``row`` is the array of words of the document from position ``at`` - STRETCH on."""
-    lo = -STRETCH
-    equal = F.transform(F.sequence(F.lit(lo), F.lit(2 * STRETCH)), lambda d: F.when((F.col(item_at) + d >= 0) & (F.col("_from") + d >= 0), F.coalesce((F.get(F.col(row), F.col("_from") + d) == F.get(F.col(item), F.col(item_at) + d)).cast("int"), F.lit(0))).otherwise(0))
-    return let(equal, lambda e: F.array_max(F.transform(F.sequence(F.lit(0), F.lit(STRETCH)), lambda k: F.aggregate(F.slice(e, k + 1, STRETCH), F.lit(0), lambda a, b: a + b))))
+    inside = lambda d: (F.col(item_at) + d >= 0) & (F.col("_from") + d >= 0)
+    same = lambda d: F.get(F.col(row), F.col("_from") + d) == F.get(F.col(item), F.col(item_at) + d)
+    one = lambda d: F.when(inside(d), F.coalesce(same(d).cast("int"), F.lit(0))).otherwise(0)
+    equal = F.transform(F.sequence(F.lit(-STRETCH), F.lit(2 * STRETCH)), one)
+    total = lambda e, k: F.aggregate(F.slice(e, k + 1, STRETCH), F.lit(0), lambda a, b: a + b)
+    return let(equal, lambda e: F.array_max(F.transform(F.sequence(F.lit(0), F.lit(STRETCH)), lambda k: total(e, k))))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """(key, item, at, item_at, equal): verified overlaps, one per document, item and hit.
 
-    A hit of any mask is verified on the aligned words around it: of some stretch of 20 words that holds the hit (or of
-    the whole item, where it is shorter) at least 75 in 100 must be equal. Every such stretch has a hit. Items of fewer
-    than LEAST words match nothing; null texts likewise. Words compare in lower case.
+    A hit is verified on the aligned words around it: of some stretch of 20 words that holds the hit (or of the whole
+    item, where it is shorter) at least 75 in 100 must be equal, and all of an item of fewer than LEAST words. Every
+    such stretch has a hit. Items of fewer than SHORTEST words match nothing; null texts likewise. Words compare in
+    lower case. Seeds carry item and place alone; the words of an item meet the hits by its id.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
-    items = _hashed(benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()), text, F.col(item).alias("item")).where(F.size("h") >= LEAST)
-    seeds = items.select("item", F.col("h").alias("item_words"), F.posexplode("s").alias("item_at", "seed"))
-    # one row for each seed, with every place it has in the benchmark, so that a document row meets it once
-    seeds = scratch.keep(seeds.groupBy("seed").agg(F.collect_list(F.struct("item", "item_at", "item_words")).alias("places")), "seeds")
-    passes = max(1, -(-seeds.count() // SEEDS_AT_ONCE))
-    probes = _hashed(docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()), text, F.col(key).alias("doc"))
-    found = None
-    for k in range(passes):
-        part = seeds.where(F.pmod("seed", F.lit(passes)) == k)
-        rows = probes.select("doc", "h", F.posexplode_outer("s").alias("at", "seed")).join(F.broadcast(part), "seed")
-        rows = rows.select("doc", "at", "places", F.least("at", F.lit(STRETCH)).alias("_from"), F.slice("h", F.greatest(F.col("at") - STRETCH, F.lit(0)) + 1, 3 * STRETCH + 1).alias("near"))
-        found = rows if found is None else found.unionByName(rows)
-    hits = scratch.keep(found, "hits").select("doc", "at", "_from", "near", F.explode("places").alias("p")).select("doc", "at", "_from", "near", "p.*")
-    least = F.ceil(F.least(F.lit(STRETCH), F.size("item_words")) * SHARE / 100)
+    items = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(F.col(item).alias("item"), _word_hashes(F.col(text)).alias("item_words"))
+    mask = F.when(F.size("item_words") >= STRETCH, 0).otherwise(1)
+    items = scratch.keep(items.where(F.size("item_words") >= SHORTEST).distinct().withColumn("mask", mask), "items")
+    used = sorted(r.mask for r in items.select("mask").distinct().collect()) or [0]
+    found = [items.where(F.col("mask") == m).select("item", F.posexplode(_seeds(F.col("item_words"), m)).alias("item_at", "seed")) for m in used]
+    seeds = scratch.keep((found[0] if len(found) == 1 else found[0].unionByName(found[1])).distinct(), "seeds")
+
+    rows = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull())
+    whole = let(_word_hashes(F.col(text)), lambda h: F.struct(h.alias("h"), *[_seeds(h, m).alias(f"s{m}") for m in used]))
+    rows = rows.select(F.col(key).alias("doc"), whole.alias("x"))
+    every = F.concat(*[F.col(f"x.s{m}") for m in used])
+    rows = rows.select("doc", F.col("x.h").alias("h"), F.size(f"x.s{used[0]}").alias("first"), F.posexplode_outer(every).alias("pos", "seed"))
+    rows = rows.withColumn("at", F.when(F.col("pos") < F.col("first"), F.col("pos")).otherwise(F.col("pos") - F.col("first")))
+    near = F.slice("h", F.greatest(F.col("at") - STRETCH, F.lit(0)) + 1, 3 * STRETCH + 1).alias("near")
+    if seeds.count() <= BROADCAST_SEEDS:
+        met = rows.join(F.broadcast(seeds), "seed").select("doc", "at", near, "item", "item_at")
+    else:  # texts don't go through the shuffle: what is near a hit is looked up again by its document
+        places = rows.select("doc", "at", "seed").join(seeds, "seed").select("doc", "at", "item", "item_at")
+        places = places.groupBy("doc").agg(F.collect_list(F.struct("at", "item", "item_at")).alias("places"))
+        words_of = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), _word_hashes(F.col(text)).alias("h"))
+        met = words_of.join(places, "doc").select("doc", "h", F.explode("places").alias("p")).select("doc", "h", "p.*").select("doc", "at", near, "item", "item_at")
+    hits = scratch.keep(met, "hits").join(items.select("item", "item_words"), "item")
+    hits = hits.withColumn("_from", F.least("at", F.lit(STRETCH)))
+    size = F.size("item_words")
+    least = F.when(size < LEAST, size).otherwise(F.ceil(F.least(F.lit(STRETCH), size) * SHARE / 100))
     hits = hits.withColumn("equal", _best("near", "item_words", "at", "item_at")).where(F.col("equal") >= least)
     return hits.select(F.col("doc").alias(key), F.col("item").alias(item), "at", "item_at", "equal")
 

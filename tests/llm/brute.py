@@ -86,25 +86,31 @@ def written(spans, kinds=("assign", "access", "hex", "entropy")):
     return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def leaks(docs, items, masks, stretch, share):
-    """{doc_id: set of items} by masks at every position and the same verification."""
-    seeds = defaultdict(list)
+def leaks(docs, items, needed, stretch, shortest):
+    """{doc_id: set of items}: all alignments of each item are slid along each document, without masks or seeds."""
+    found = defaultdict(set)
     low = lambda t: [x.lower() for x in words(t)]
     texts = {i: low(t) for i, t in items}
+    where = defaultdict(list)
     for i, w in texts.items():
-        for m in masks:
-            for a in range(len(w) - len(m) + 1):
-                seeds[m, tuple(w[a + k] for k, c in enumerate(m) if c == "1")].append((i, a))
-    found = defaultdict(set)
+        for a, x in enumerate(w):
+            where[x].append((i, a))
     for d, t in docs:
-        w = low(t)
-        for m in masks:
-            for p in range(len(w) - len(m) + 1):
-                for i, a in seeds.get((m, tuple(w[p + k] for k, c in enumerate(m) if c == "1")), ()):
-                    x = texts[i]
-                    eq = [int(0 <= p + k < len(w) and 0 <= a + k < len(x) and w[p + k] == x[a + k]) for k in range(-stretch, 2 * stretch + 1)]
-                    if max(sum(eq[k : k + stretch]) for k in range(stretch + 1)) * 100 >= share * min(stretch, len(x)):
-                        found[d].add(i)
+        equal = defaultdict(list)
+        for p, x in enumerate(low(t)):
+            for i, a in where.get(x, ()):
+                equal[i, p - a].append(a)
+        for (i, _), at in equal.items():
+            n = len(texts[i])
+            if n < shortest or len(at) < needed(n):
+                continue
+            k = 0
+            for j, a in enumerate(at):
+                while a - at[k] >= stretch:
+                    k += 1
+                if j - k + 1 >= needed(n):
+                    found[d].add(i)
+                    break
     return found
 
 

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import brute
+import pytest
 
 from ledgerframe.llm import decontaminate
 
@@ -14,9 +15,11 @@ def aligned(docs, items, stretch=20, share=75):
     for (d, t), (i, x) in itertools.product(docs, items):
         w, x = ([y.lower() for y in brute.words(z)] for z in (t, x))
         size = min(stretch, len(x))
+        if size < decontaminate.SHORTEST:
+            continue
         for shift in range(-len(x), len(w)):
             eq = [int(0 <= shift + k < len(w) and w[shift + k] == x[k]) for k in range(len(x))]
-            if len(x) >= decontaminate.LEAST and max(sum(eq[k : k + size]) for k in range(len(x) - size + 1)) * 100 >= share * size:
+            if max(sum(eq[k : k + size]) for k in range(len(x) - size + 1)) >= (size if size < decontaminate.LEAST else size * share / 100):
                 found.setdefault(d, set()).add(i)
     return found
 
@@ -33,7 +36,7 @@ def _copies(rng, words, n):
 
 def test_every_pattern_within_the_threshold_is_found(spark):
     rng = random.Random(5)
-    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((3, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 30, 59))]
+    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((3, 5, 7, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 30, 59))]
     docs, common = [], [f"c{k}" for k in range(9)]
     for _, text in items:
         for copy in _copies(rng, text.split(), 12):
@@ -52,3 +55,26 @@ def test_every_fifth_and_fourth_word_replaced(spark):
     docs = [(p, " ".join("x" if k % p == 2 else w for k, w in enumerate(words))) for p in (3, 4, 5)]
     out = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"))
     assert {r.doc_id: (r.contaminated, r.equal) for r in out.collect()} == {3: (False, 0), 4: (True, 15), 5: (True, 16)}
+
+
+@pytest.mark.parametrize("size", range(5, 21))
+def test_masks_hit_whatever_words_are_replaced(size):
+    mask = decontaminate.MASKS[size < decontaminate.STRETCH]
+    at = [sum(1 << (o + k) for k, c in enumerate(mask) if c == "1") for o in range(size - len(mask) + 1)]
+    for gone in itertools.combinations(range(size), size - decontaminate.needed(size)):
+        left = (1 << size) - 1 - sum(1 << k for k in gone)
+        assert any(left & m == m for m in at)
+    assert any("0" in m for m in decontaminate.MASKS)
+
+
+def test_more_seeds_than_are_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((6, 12, 25, 25))]
+    items += [(9, items[2][1])]
+    docs = [(k, "a b " + " ".join(c)) for k, c in enumerate(c for _, t in items for c in _copies(rng, t.split(), 4))]
+    docs += [(500, None), (501, ""), (502, items[3][1]), (502, items[3][1])]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {r.doc_id: r["items"] for r in decontaminate.decontaminate(*frames).collect()}
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    assert {r.doc_id: r["items"] for r in decontaminate.decontaminate(*frames).collect()} == want
+    assert want[502] == [3] and any(9 in x and 2 in x for x in want.values())
