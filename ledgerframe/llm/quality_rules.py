@@ -19,33 +19,26 @@ from .store import Scratch
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_digits", "n_lines")
 
 
-def _left(x: Column, bits: Column) -> Column:
-    return F.call_function("shiftleft", x, bits)
-
-
-def _right(x: Column, bits: Column) -> Column:
-    return F.call_function("shiftrightunsigned", x, bits)
-
-
 def _repeat_words(w: Column) -> Column:
     """Words that lie in a 3-word window found twice or more in the text.
 
-    Each window is a 64-bit hash whose low bits give way to its position; sorted, equal windows are neighbours. The
-    positions of repeated windows, sorted, then cover min(3, distance to the next) words each.
+    Windows are pairs (hash, position) in order, so equal windows are neighbours. The positions of repeated windows, in
+    order, then cover min(3, distance to the next) words each.
     """
 
     def of(h: Column) -> Column:
         n = F.size(h)
-        bits = F.length(F.bin(n.cast("long")))
 
         def marked(s: Column) -> Column:
-            same = lambda a, b: _right(a, bits) == _right(b, bits)
-            again = F.filter(s, lambda x, k: ((k > 0) & same(x, F.get(s, k - 1))) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
-            at = F.sort_array(F.transform(again, lambda x: x.bitwiseAND(_left(F.lit(1).cast("long"), bits) - 1)))
-            return let(at, lambda p: F.aggregate(F.transform(p, lambda x, k: F.coalesce(F.least(F.get(p, k + 1) - x, F.lit(3)), F.lit(3))), F.lit(0).cast("long"), lambda a, b: a + b))
+            same = lambda x, k: F.get(s, k)["h"] == x["h"]
+            again = F.filter(s, lambda x, k: ((k > 0) & same(x, k - 1)) | F.coalesce(same(x, k + 1), F.lit(False)))
+            at = F.sort_array(F.transform(again, lambda x: x["at"]))
+            step = lambda p: F.transform(p, lambda x, k: F.coalesce(F.least(F.get(p, k + 1) - x, F.lit(3)), F.lit(3)))
+            return let(at, lambda p: F.aggregate(step(p), F.lit(0).cast("long"), lambda a, b: a + b))
 
-        packed = F.transform(F.sequence(F.lit(0), n - 3), lambda i: _left(F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)), bits).bitwiseOR(i.cast("long")))
-        return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(F.sort_array(packed), marked))
+        window = lambda i: F.struct(F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)).alias("h"), i.alias("at"))
+        windows = F.transform(F.sequence(F.lit(0), n - 3), window)
+        return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(F.sort_array(windows), marked))
 
     return let(F.transform(w, lambda x: F.xxhash64(x)), of)
 
@@ -177,18 +170,36 @@ def learn(train: DataFrame, scratch: Scratch, bins: int = 32, max_rules: int = 8
     return found
 
 
+def _known(labels: DataFrame, key: str) -> DataFrame:
+    """(doc_id, bad) of the labels that teach."""
+    rows = labels.where(F.col("quality").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("doc_id"))
+    sides = rows.agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high")
+    return sides.select("doc_id", (F.col("low") == 0).alias("bad"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DecisionList:
+    """The rules that the labelled rows of ``docs`` teach; only these are read for it."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    some = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")).join(_known(labels, key), "doc_id")
+    return learn(scratch.keep(statistics(some, "_text", ("doc_id", "bad")), "statistics").where(~base_failed()), scratch)
+
+
+def verdicts(stats: DataFrame, rules: DecisionList) -> DataFrame:
+    """``stats`` with ``base_failed``, ``rule`` and ``kept``."""
+    rows = stats.withColumn("base_failed", base_failed())
+    rows = rows.withColumn("rule", F.when(~F.col("base_failed"), rules.rule()))
+    return rows.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: key, the statistics, ``base_failed``, ``rule`` (the text of the rule that rejects
     it, or null) and ``kept``.
 
     ``labels`` has the key and ``quality`` (1 good, 0 bad); rows without a quality, with a null key or with conflicting
-    labels teach nothing; without labels of both kinds there are no rules and only the base counts. Null and blank texts have no words
-    and fail the base. Rows that repeat are judged alike, row by row; other columns are ignored.
+    labels teach nothing; without labels of both kinds there are no rules and only the base counts. Null and blank
+    texts have no words and fail the base. Rows that repeat are judged alike, row by row; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "quality")
-    stats = scratch.keep(statistics(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")), "_text").withColumn("base_failed", base_failed()), "statistics")
-    known = labels.where(F.col("quality").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(F.min("quality").alias("low"), F.max("quality").alias("high")).where("low = high")
-    rules = learn(stats.where("not base_failed").join(known.select("doc_id", (F.col("low") == 0).alias("bad")), "doc_id"), scratch)
-    rule = rules.rule()
-    out = stats.withColumn("rule", F.when(~F.col("base_failed"), rule)).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    stats = scratch.keep(statistics(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")), "_text"), "statistics")
+    out = verdicts(stats, learn(stats.where(~base_failed()).join(_known(labels, key), "doc_id"), scratch))
     return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import string
 
 import brute
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ def test_secrets(frame, documents):
 
 def test_leaks(spark, frame, documents):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    want = brute.leaks(documents, items, decontaminate.MASKS, decontaminate.STRETCH, decontaminate.SHARE)
+    want = brute.leaks(documents, items, decontaminate.needed, decontaminate.STRETCH, decontaminate.SHORTEST)
     out = decontaminate.decontaminate(frame, spark.createDataFrame([*items, (99, None), (98, "too short")], "item_id long, text string"))
     assert {r.doc_id: r["items"] for r in out.collect() if r.contaminated} == {d: sorted(i) for d, i in want.items()}
     assert out.count() == len(documents)
@@ -57,3 +59,22 @@ def test_leaks_with_substitutions(spark):
     got = {r.doc_id: r.contaminated for r in decontaminate.decontaminate(docs, bench).collect()}
     assert got == {1: True, 2: False, None: False, 3: False}
     assert decontaminate.decontaminate(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_many_matches_and_long_candidates(spark):
+    """Folds go over blocks; what they find is that of one fold."""
+    rng = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    many = " ".join(f"token={''.join(rng.choices(letters, k=9))}" for _ in range(900))
+    long = "".join(rng.choice(letters) if k % 90 < 60 else "aA1"[k % 3] for k in range(3000))
+    docs = [(1, many), (2, "x " + long + " y"), (3, None), (4, "".join(rng.choices("0123456789abcdef", k=700)))]
+    for r in secret_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        text = dict(docs)[r.doc_id]
+        want = brute.base_spans(text) + brute.entropy_spans(text, secret_scan.CANDIDATE, secret_scan.ALLOWED, secret_scan.CLASSES, secret_scan.WINDOW)
+        assert r.spans == brute.written(want)
+
+
+def test_long_text_with_repeats(spark):
+    text = " ".join(f"w{k * k % 611}" for k in range(40_000))
+    (got,) = quality_rules.statistics(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert tuple(got)[1:6] == brute.statistics(text)
