@@ -3,7 +3,7 @@
 Each language has a tree of byte contexts of up to three bytes with the counts of what followed. A text costs, under a
 language, the sum of exact code lengths: a byte seen in the longest context costs -log2(count / (total + distinct)), else
 the escape -log2(distinct / (total + distinct)) and what it costs in the next shorter context; below order zero all 257
-symbols cost the same. The statistics are frozen, so all code lengths are worked out once into one table.
+symbols cost the same. The statistics are frozen, so a worker works out each code length once.
 """
 
 from __future__ import annotations
@@ -52,82 +52,121 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(list(names[(key >> np.uint64(32)).astype(np.int64)]), pa.string()), pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
 
+class Tree:
+    """Frozen counts of one language: for each order the contexts, with what followed them, and the strings."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.orders = []
+        for order in range(ORDER, -1, -1):
+            keys, where = np.unique(grams & np.uint32((1 << 8 * (order + 1)) - 1 & 0xFFFFFFFF), return_inverse=True)
+            n = np.bincount(where, n, len(keys))
+            contexts, own = np.unique(keys >> np.uint32(8), return_inverse=True)
+            self.orders.append((keys, n, contexts, np.bincount(own, n), np.bincount(own)))
+            grams = keys
+
+    def bits(self, keys: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each string of four after the three before it."""
+        out, open_ = np.zeros(len(keys)), np.arange(len(keys))
+        for order, (strings, n, contexts, total, kinds) in zip(range(ORDER, -1, -1), self.orders, strict=True):
+            key = keys[open_] & np.uint32((1 << 8 * (order + 1)) - 1 & 0xFFFFFFFF)
+            at = np.minimum(np.searchsorted(contexts, key >> np.uint32(8)), len(contexts) - 1)
+            seen = contexts[at] == key >> np.uint32(8)
+            string = np.minimum(np.searchsorted(strings, key), len(strings) - 1)
+            found = strings[string] == key
+            whole = total[at] + kinds[at]
+            out[open_[found]] += np.log2(whole[found] / n[string[found]])
+            escaped = seen & ~found
+            out[open_[escaped]] += np.log2(whole[escaped] / kinds[at[escaped]])
+            open_ = open_[~found]
+        out[open_] += np.log2(257.0)
+        return out
+
+
 class Model:
-    """Code lengths of every symbol after every context, for all languages side by side."""
+    """The trees of all languages, and the code lengths of the strings of four bytes that were asked for."""
+
+    #: Slots of the table of strings, and strings kept.
+    SLOTS, KEEP = 1 << 21, 1 << 20
 
-    def __init__(self, langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]], max_contexts: int):
+    def __init__(self, langs: list[str], grams: list[tuple[np.ndarray, np.ndarray]]):
         self.langs = langs
-        size = len(langs)
-        seen = np.unique(np.concatenate([np.unique(np.stack([(g >> s) & 255 for s in (0, 8, 16, 24)])) for g, _ in grams]))
-        symbols = seen.astype(np.uint8)
-        m = self.m = len(symbols) + 1  # the last stands for bytes never seen
-        self.symbol = np.full(256, m - 1, np.int64)
-        self.symbol[symbols] = np.arange(m - 1)
-        coded = []
-        for g, n in grams:
-            key = np.zeros(len(g), np.int64)
-            for s in (24, 16, 8, 0):
-                key = key * m + self.symbol[(g >> s) & 255]
-            coded.append((key, n.astype(np.float64)))
-        # contexts of each order by their number in base m; order three only the most frequent
-        rows, base = np.full((1, m, size), np.log2(257.0), np.float32), np.zeros(1, np.int64)
-        self.lookup = np.zeros(m**ORDER, np.int32)
-        tables, total = [], 0
-        for order in range(ORDER + 1):
-            every = [np.unique(k % m ** (order + 1), return_inverse=True) for k, _ in coded]
-            every = [(u, np.bincount(i, n, len(u))) for (u, i), (_, n) in zip(every, coded, strict=True)]
-            ctx, where = np.unique(np.concatenate([u // m for u, _ in every]), return_inverse=True)
-            if order == ORDER and len(ctx) > max_contexts:
-                weight = np.bincount(where, np.concatenate([n for _, n in every]), len(ctx))
-                ctx = np.sort(ctx[np.argsort(-weight, kind="stable")[:max_contexts]])
-            # each context starts from the row of the context that is shorter by its first byte
-            own = rows[np.searchsorted(base, ctx % m ** max(order - 1, 0)) if order else np.zeros(len(ctx), np.int64)].copy()
-            for k, (u, n) in enumerate(every):
-                c = np.searchsorted(ctx, u // m)
-                ok = (c < len(ctx)) & (ctx[np.minimum(c, len(ctx) - 1)] == u // m)
-                c, s, n = c[ok], u[ok] % m, n[ok]
-                sums, kinds = np.bincount(c, n, len(ctx)), np.bincount(c, minlength=len(ctx))
-                has = kinds > 0
-                own[has, :, k] += np.log2((sums[has] + kinds[has]) / kinds[has])[:, None]
-                own[c, s, k] = np.log2((sums[c] + kinds[c]) / n)
-            span = m ** (ORDER - order)
-            if order == ORDER:
-                self.lookup[ctx] = total + np.arange(len(ctx))
-            elif order == 0:
-                self.lookup[:] = total
-            else:
-                grid = self.lookup.reshape(span, m**order)
-                grid[:, ctx] = total + np.arange(len(ctx), dtype=np.int32)
-            tables.append(own.reshape(-1, size))
-            total += len(ctx)
-            rows, base = own, ctx
-        self.table = np.concatenate(tables)
+        self.trees = [Tree(g.astype(np.uint32), n.astype(np.float64)) for g, n in grams]
+        self.slots = None
+
+    def __getstate__(self):
+        return {"langs": self.langs, "trees": self.trees, "slots": None}
+
+    def clear(self) -> None:
+        self.slots = np.full(self.SLOTS, -1, np.int32)
+        self.keys, self.costs = np.zeros(0, np.uint32), np.zeros((0, len(self.langs)), np.float32)
+        # strings whose slot another one has, sorted, and their numbers
+        self.rest, self.rest_number = np.zeros(0, np.uint32), np.zeros(0, np.int32)
+
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """Row of ``costs`` for each string; those never asked for are worked out and added."""
+        if self.slots is None or len(self.keys) > self.KEEP:
+            self.clear()
+        slot = ((keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - 21)).astype(np.int32)
+        out = self.slots[slot]
+        other = out < 0
+        if len(self.keys):
+            other |= self.keys[out] != keys
+        if not other.any():
+            return out
+        uniq, first, each = np.unique(keys[other], return_index=True, return_inverse=True)
+        at = np.searchsorted(self.rest, uniq)
+        inside = at < len(self.rest)
+        known = np.zeros(len(uniq), bool)
+        known[inside] = self.rest[at[inside]] == uniq[inside]
+        number = np.empty(len(uniq), np.int32)
+        number[known] = self.rest_number[at[known]]
+        new = np.flatnonzero(~known)
+        number[new] = len(self.keys) + np.arange(len(new))
+        self.keys = np.concatenate((self.keys, uniq[new]))
+        self.costs = np.concatenate((self.costs, np.stack([t.bits(uniq[new]) for t in self.trees], axis=1).astype(np.float32)))
+        place = slot[np.flatnonzero(other)[first[new]]]
+        _, winner = np.unique(place, return_index=True)
+        free = np.zeros(len(new), bool)
+        free[winner] = True
+        free &= self.slots[place] < 0
+        self.slots[place[free]] = number[new[free]]
+        late = new[~free]
+        self.rest, self.rest_number = np.concatenate((self.rest, uniq[late])), np.concatenate((self.rest_number, number[late]))
+        order = np.argsort(self.rest, kind="stable")
+        self.rest, self.rest_number = self.rest[order], self.rest_number[order]
+        out[other] = number[each]
+        return out
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
         out, at = padded(data, offsets)
-        s = self.symbol[out]
-        m = self.m
-        where = np.zeros(len(s), np.int64)
-        where[ORDER:] = self.lookup[(s[:-3] * m + s[1:-2]) * m + s[2:-1]]
-        cost = self.table[where * m + s]
+        if not len(data):
+            return np.zeros((len(offsets) - 1, len(self.langs)))
+        wide = out.astype(np.uint32)
+        number = np.zeros(len(out), np.int32)
+        number[ORDER:] = self.numbers(wide[:-3] << np.uint32(24) | wide[1:-2] << np.uint32(16) | wide[2:-1] << np.uint32(8) | wide[3:])
+        cost = self.costs[number]
         for k in range(ORDER):
             cost[at[:-1] + k] = 0
         return np.add.reduceat(cost, at[:-1], axis=0, dtype=np.float64)
 
 
-def learn(train: DataFrame, docs_per_lang: int = 2000, max_contexts: int = 20_000) -> Model | None:
-    """A model from rows (doc_id, text, lang), or None without any. About ``docs_per_lang`` documents of each language
-    are counted (those whose hash is low), as for all classifiers here; 4-byte strings seen once are left out."""
+def learn(train: DataFrame, docs_per_lang: int = 2000) -> Model | None:
+    """A model from rows (doc_id, text, lang), or None without any.
+
+    About ``docs_per_lang`` documents of each language are counted (those whose hash is low), which bounds what the
+    driver gathers and ships: the different strings of four bytes of so many texts, some 100,000 a language at 8 bytes.
+    All that was counted is kept. A language whose texts are all empty can't be learned.
+    """
     # written first, so that Spark sees how small it is and need not shuffle texts to meet it
     many = Scratch(train.sparkSession, "languages").keep(train.groupBy("lang").agg(F.count(F.lit(1)).alias("many")), "many")
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
     some = train.join(many, "lang").where(share < docs_per_lang / F.col("many")).select("text", "lang")
-    counts = some.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
+    counts = some.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     if not len(counts):
         return None
     langs = sorted(counts["lang"].unique())
-    return Model(langs, [(g["gram"].to_numpy(), g["n"].to_numpy()) for g in (counts[counts["lang"] == x] for x in langs)], max_contexts)
+    return Model(langs, [(g["gram"].to_numpy(), g["n"].to_numpy()) for g in (counts[counts["lang"] == x] for x in langs)])
 
 
 def held_out(key: Column) -> Column:
@@ -154,9 +193,10 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.langs, "und"], object)
+        size = max(1 << 16, min(T.SLICE_BYTES, (1 << 23) // len(model.langs)))
         for batch in batches:
             data, offsets = T.columns(batch, "text")
-            bits = np.concatenate([model.bits(some, off) for _, _, some, off in T.slices(data, offsets)]) if batch.num_rows else np.zeros((0, len(names) - 1))
+            bits = np.concatenate([model.bits(some, off) for _, _, some, off in T.slices(data, offsets, size)]) if batch.num_rows else np.zeros((0, len(names) - 1))
             has = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             best = bits.argmin(axis=1) if len(bits) else np.zeros(0, np.int64)
             least = bits.min(axis=1) if len(bits) else np.zeros(0)
