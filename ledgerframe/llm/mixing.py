@@ -49,7 +49,8 @@ def _copies(levels: DataFrame) -> DataFrame:
     down = Window.partitionBy("source").orderBy(F.col("importance").desc())
     before = down.rowsBetween(Window.unboundedPreceding, -1)
     after = down.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    c = (F.col("target") - MOST * F.coalesce(F.sum("level_size").over(before), F.lit(0))) / F.sum(F.col("level_size") * F.col("importance")).over(after)
+    rest = F.col("target") - MOST * F.coalesce(F.sum("level_size").over(before), F.lit(0))
+    c = F.try_divide(rest, F.sum(F.col("level_size") * F.col("importance")).over(after))
     rows = levels.withColumn("c", c).withColumn("at", F.row_number().over(down))
     fits = F.when(F.col("c") * F.col("importance") <= MOST, F.struct("at", "c"))
     rows = rows.withColumn("c", F.min(fits).over(Window.partitionBy("source"))["c"])
@@ -68,16 +69,17 @@ def default_importance(size: Column) -> Column:
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", importance: Column | None = None) -> DataFrame:
-    """One row (key, size, source_size, target, copies, taken) for each row of ``docs``.
+    """One row (key, source, size, print, source_size, target, copies, taken) for each row of ``docs``.
 
-    ``size`` is the number of words (0 for null), ``copies`` how often the mix takes the document and ``taken`` their
-    product. ``importance`` is a small positive integer computed from ``size``. Rows that repeat a key are sampled
-    as one rank and so mostly alike; a null source is a source of its own; empty documents are never counted against a
-    target. An empty table gives an empty result. Columns besides text, source and key are ignored.
+    ``size`` is the number of words (0 for null), ``print`` the text's xxhash64, ``copies`` how often the mix takes the document and ``taken`` their
+    product. ``importance`` is a small positive integer computed from ``size``. Random numbers come from key and text:
+    rows that repeat a key with other texts, or have none, are sampled on their own; rows that repeat both share one
+    rank. So ``copies`` depends on key, text and source alone. A null source is a source of its own; empty documents
+    are never taken. An empty table gives an empty result. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     size = F.size(words(F.col(text))).cast("long")
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(text).alias("print"))
     rows = scratch.keep(rows.withColumn("importance", default_importance(F.col("size")) if importance is None else importance), "sizes")
     levels = rows.groupBy("source", "importance").agg(F.sum("size").alias("level_size"))
     goal = scratch.keep(targets(levels.groupBy("source").agg(F.sum("level_size").alias("source_size"))), "targets")
@@ -88,7 +90,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     plan = scratch.keep(plan, "plan")
     small = plan.withColumnsRenamed({"source": "_s", "importance": "_i"})
     odds = rows.join(small, rows["source"].eqNullSafe(small["_s"]) & (rows["importance"] == small["_i"])).drop("_s", "_i")
-    u = _uniform(F.col("doc_id"))
+    u = _uniform(F.col("doc_id"), F.col("print"))
     odds = odds.withColumn("whole", F.floor("expected")).withColumn("p", F.col("expected") - F.col("whole"))
     rank = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
     # the rank as a number of 3 * _STEP bits: its share in the whole line of odds
@@ -119,4 +121,5 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     ends = left.select(F.col("source").alias("_s"), "cut")
     out = odds.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
     copies = (F.col("whole") + F.coalesce((F.col("rank") < F.col("cut")).cast("int"), F.lit(0))).cast("long")
-    return out.select(F.col("doc_id").alias(key), F.col("source").alias(source), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    copies = F.when(F.col("size") > 0, copies).otherwise(0)
+    return out.select(F.col("doc_id").alias(key), F.col("source").alias(source), "size", "print", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
