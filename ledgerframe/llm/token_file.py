@@ -22,7 +22,9 @@ from . import textops as T
 
 _BLOCK = 512
 SEGMENT_TOKENS = 1 << 20
-_SCHEMA = "part int, seq int, n_tokens long, doc_ids binary, doc_tokens binary, chunks array<binary>, more array<binary>, ranks array<binary>"
+#: Tokens of a stretch whose positions are read together.
+ASKED = 1 << 16
+_SCHEMA = "part int, seq int, n_tokens long, n_nulls long, doc_ids binary, doc_tokens binary, chunks array<binary>, more array<binary>, ranks array<binary>"
 
 
 def pack(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -162,18 +164,19 @@ def _encode(shared, end_id: int):
         blob = shared.value
         encoder = _ENCODERS.setdefault(zlib.crc32(blob), None) or _ENCODERS.__setitem__(zlib.crc32(blob), Encoder(blob)) or _ENCODERS[zlib.crc32(blob)]
         part, seq = TaskContext.get().partitionId(), 0
-        keys, sizes, parts, held = [], [], [], 0
+        keys, sizes, parts, held, nulls = [], [], [], 0, 0
 
         def segment() -> pa.RecordBatch:
             ids = np.concatenate(parts)
             c, m, r = pack(ids)
-            row = {"part": part, "seq": seq, "n_tokens": len(ids), "doc_ids": np.concatenate(keys).astype("<i8").tobytes(), "doc_tokens": np.concatenate(sizes).astype("<i8").tobytes(), "chunks": c, "more": m, "ranks": r}
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.binary())] * 3]
+            row = {"part": part, "seq": seq, "n_tokens": len(ids), "n_nulls": nulls, "doc_ids": np.concatenate(keys).astype("<i8").tobytes(), "doc_tokens": np.concatenate(sizes).astype("<i8").tobytes(), "chunks": c, "more": m, "ranks": r}
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.binary())] * 3]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds, strict=True)], names=list(row))
 
         for batch in batches:
             data, offsets = T.columns(batch, "text")
-            key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            key = batch.column(0).fill_null(0).to_numpy().astype(np.int64)
+            absent = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             for a, b, some, off in T.slices(data, offsets, 4 << 20):
                 ids, before = encoder.encode(some, off)
                 out = np.insert(ids, before[1:], end_id)
@@ -181,9 +184,10 @@ def _encode(shared, end_id: int):
                 sizes.append(np.diff(before) + 1)
                 parts.append(out)
                 held += len(out)
+                nulls += int(absent[a:b].sum())
                 if held >= SEGMENT_TOKENS:
                     yield segment()
-                    seq, keys, sizes, parts, held = seq + 1, [], [], [], 0
+                    seq, keys, sizes, parts, held, nulls = seq + 1, [], [], [], 0, 0
         if parts:
             yield segment()
 
@@ -194,14 +198,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, te
     """Write the ids of all texts, each followed by ``end_id``, in ascending key order as a token file at ``path``.
 
     ``tokenizer`` is the file of a tokenizers model with byte-level pre-tokenization; the driver reads it once and
-    ships it. A null or empty text has the end id alone. Rows without a key can't be addressed and are not written.
-    Rows that repeat a key follow one another. An empty table gives a file without segments.
+    ships it. A null or empty text has the end id alone. Rows without a key come first; a segment tells how many of
+    its documents have none. Rows that repeat a key follow one another, in the order of their texts' digests. An empty
+    table gives a file without segments. Other columns are ignored.
     """
     spark = docs.sparkSession
     with open(tokenizer, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # rows that repeat an id are dealt by their texts, so that a file has one order and no id is too large for a task
+    rows = rows.withColumn("print", F.xxhash64("text")).repartitionByRange("doc_id", "print").sortWithinPartitions("doc_id", "print").drop("print")
     rows.mapInArrow(_encode(shared, end_id), _SCHEMA).write.mode("overwrite").parquet(path)
 
 
@@ -214,7 +220,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = memoryview(ids.tobytes())
             crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
             k = len(size)
-            yield pa.RecordBatch.from_arrays([pa.array([row["part"]] * k, pa.int32()), pa.array([row["seq"]] * k, pa.int32()), pa.array(np.frombuffer(row["doc_ids"], "<i8")), pa.array(ends - size), pa.array(size), pa.array(crc, pa.int64())], names=["part", "seq", "doc_id", "off", "n_tokens", "ids_crc32"])
+            keys = pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=np.arange(k) < row["n_nulls"])
+            yield pa.RecordBatch.from_arrays([pa.array([row["part"]] * k, pa.int32()), pa.array([row["seq"]] * k, pa.int32()), keys, pa.array(ends - size), pa.array(size), pa.array(crc, pa.int64())], names=["part", "seq", "doc_id", "off", "n_tokens", "ids_crc32"])
 
 
 def _bases(segments: DataFrame) -> DataFrame:
@@ -228,24 +235,34 @@ def _bases(segments: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of a token file, from its decoded ids."""
     segments = spark.read.schema(_SCHEMA).parquet(path)
-    rows = segments.select("part", "seq", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(_documents, "part int, seq int, doc_id long, off long, n_tokens long, ids_crc32 long")
+    rows = segments.select("part", "seq", "n_nulls", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(_documents, "part int, seq int, doc_id long, off long, n_tokens long, ids_crc32 long")
     return rows.join(_bases(segments), ["part", "seq"]).select("doc_id", (F.col("off") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_tokens(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
     """(position, id) for a table of token ``position``s of the whole file; positions beyond it give no row.
 
-    Positions and segments meet on the multiples of SEGMENT_TOKENS that a segment touches.
+    Positions find their segment by the multiples of SEGMENT_TOKENS that it touches; what is asked of a segment is dealt
+    in lists of at most ASKED positions, so that a segment is read once for each list and no list is too large.
     """
     segments = spark.read.schema(_SCHEMA).parquet(path)
-    placed = segments.join(_bases(segments), ["part", "seq"]).withColumn("cell", F.explode(F.sequence(F.floor(F.col("base") / SEGMENT_TOKENS), F.floor((F.col("base") + F.col("n_tokens") - 1) / SEGMENT_TOKENS))))
+    touched = F.sequence(F.floor(F.col("base") / SEGMENT_TOKENS), F.floor((F.col("base") + F.col("n_tokens") - 1) / SEGMENT_TOKENS))
+    placed = segments.select("part", "seq", "n_tokens").join(_bases(segments), ["part", "seq"]).withColumn("cell", F.explode(touched))
     asked = positions.select("position", F.floor(F.col("position") / SEGMENT_TOKENS).alias("cell"))
-    met = asked.join(placed, "cell").where("position >= base and position < base + n_tokens")
+    met = asked.join(placed, "cell").where("position >= base and position < base + n_tokens").select("part", "seq", (F.col("position") - F.col("base")).alias("at"), "base")
+    # a list covers one stretch of a segment, which has ASKED tokens; positions asked twice come back twice
+    stretch = F.floor(F.col("at") / ASKED)
+    lists = met.groupBy("part", "seq", "base", stretch.alias("stretch"), "at").agg(F.count(F.lit(1)).alias("times"))
+    lists = lists.groupBy("part", "seq", "base", "stretch").agg(F.collect_list(F.struct("at", "times")).alias("asked"))
+    rows = lists.join(segments.select("part", "seq", "chunks", "more", "ranks"), ["part", "seq"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            ids = [int(access(r["chunks"], r["more"], r["ranks"], np.array([r["position"] - r["base"]]))[0]) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int64())], names=["position", "id"])
-
-    return met.select("position", "base", "chunks", "more", "ranks").mapInArrow(run, "position long, id long")
+            for r in batch.to_pylist():
+                at = np.array([x["at"] for x in r["asked"]], np.int64)
+                times = np.array([x["times"] for x in r["asked"]], np.int64)
+                ids = access(r["chunks"], r["more"], r["ranks"], at).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(r["base"] + at), pa.array(ids), pa.array(times)], names=["position", "id", "times"])
+
+    read = rows.select("base", "asked", "chunks", "more", "ranks").mapInArrow(run, "position long, id long, times long")
+    return read.select("position", "id", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_n")).drop("_n")

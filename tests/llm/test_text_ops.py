@@ -15,20 +15,22 @@ MORE = ["a  b  c  d\n\n e", "it's <|endoftext|> here's\t\tx ", "日本 語　
 
 def test_token_file_round_trip(spark, documents, tmp_path):
     rows = documents + [(200_000 + k, t) for k, t in enumerate(MORE)]
-    docs = spark.createDataFrame([*rows, (None, "no key")], "doc_id long, text string").repartition(7)
+    rows += [(None, "no key"), (7_000_000, "again"), (7_000_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     path = str(tmp_path / "file")
     token_file.write_tokens(docs, path, FILE)
-    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_file.read_documents(spark, path).collect()}
-    model, start, want, flat = Tokenizer.from_file(FILE), 0, {}, []
-    for d, t in sorted(rows):
+    got = sorted(tuple(r)[1:] + (r.doc_id,) for r in token_file.read_documents(spark, path).collect())
+    model, start, want, flat = Tokenizer.from_file(FILE), 0, [], []
+    # of the two rows with one id, the one whose text has the smaller digest comes first
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is None)):
         ids = [*model.encode(t or "", add_special_tokens=False).ids, 0]
-        want[d] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        want.append((start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), d))
         start += len(ids)
         flat += ids
     assert got == want
-    ask = list(range(0, len(flat), 997)) + [len(flat) - 1, len(flat) + 5]
-    read = {r.position: r.id for r in token_file.read_tokens(spark, path, spark.createDataFrame([(x,) for x in ask], "position long")).collect()}
-    assert read == {x: flat[x] for x in ask if x < len(flat)}
+    ask = list(range(0, len(flat), 997)) + [len(flat) - 1, len(flat) + 5, 3, 3]
+    read = sorted(tuple(r) for r in token_file.read_tokens(spark, path, spark.createDataFrame([(x,) for x in ask], "position long")).collect())
+    assert read == sorted((x, flat[x]) for x in ask if x < len(flat))
 
 
 def test_codes():
@@ -52,7 +54,7 @@ def test_code_lengths_are_those_of_the_tree(spark):
             counts["en" if k < 2 else "es"][raw[i - 3 : i + 1]] += 1
 
     def bits(lang, ctx, s):
-        grams = {g: n for g, n in counts[lang].items() if n > 1}
+        grams = counts[lang]
         after = {}
         for g, n in grams.items():
             if g[3 - len(ctx) : 3] == ctx:
@@ -68,6 +70,12 @@ def test_code_lengths_are_those_of_the_tree(spark):
         want = [sum(bits(x, raw[i - 3 : i], raw[i]) for i in range(3, len(raw))) for x in model.langs]
         got = model.bits(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
         assert np.allclose(got[0], want, rtol=1e-4)
+    # asked again, from the table, and with a table too small for its strings
+    model.SLOTS = 1 << 21
+    for _ in range(2):
+        again = model.bits(np.frombuffer(b"the casathe mat", np.uint8), np.array([0, 8, 15]))
+        assert np.allclose(again[0], model.bits(np.frombuffer(b"the casa", np.uint8), np.array([0, 8]))[0], rtol=1e-5)
+        model.KEEP = 0
 
 
 def test_held_out_accuracy(spark):
@@ -83,6 +91,9 @@ def test_language_edges(spark):
     assert got[2] == got[3] == "und" and set(got) == {1, 2, 3, None, 5}
     assert {r.lang_pred for r in language_id.identify(docs.where("doc_id = 3")).collect()} == {"und"}
     assert language_id.identify(docs.limit(0)).count() == 0
+    # a language of one short text is learned as well
+    two = spark.createDataFrame([(1, "some words here", "en"), (4, "qx", "qq"), (5, "some words", "en"), (8, "qx qx", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(two.where("not crc32(cast(doc_id as string)) % 4 = 2 or lang is null")).collect()}.get(8) == "qq"
 
 
 def _targets(sizes):
