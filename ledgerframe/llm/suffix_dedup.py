@@ -1,16 +1,20 @@
-"""Suffix-array deduplication of byte strings by the common-prefix interval tree.
-
-Suffixes start at anchors, places that the content chooses (a least hash within any 200-byte string), so equal strings
-have anchors at equal places and one suffix in about seventy is enough. The suffixes that share their first 64 bytes
-with another make enhanced suffix arrays, one for each range of the hash of those bytes: they are sorted, neighbours'
-common prefixes are taken, and one scan with a stack closes the intervals of the common-prefix tree. An interval is a
-right-maximal repeat with all its occurrences, not only neighbours; the text to the left of each occurrence, compared
-within the interval, tells how far the repeat reaches there, whether the left sides are diverse or not. An occurrence
-whose left and right reach together make 200 bytes is a repeat to remove.
-
-Equal surroundings (136 bytes to the left and 200 to the right) collapse into one suffix first. What still shares its
-first bytes with more than ``group`` other surroundings is too large for one task: there, all strings of 200 bytes
-around the anchors are compared by hash in one aggregation, which finds the same spans.
+"""Exact substring deduplication by the common-prefix interval tree of an enhanced suffix array.
+
+Texts are bytes. Suffixes that matter are anchored: an anchor is the minimum hash of 64 bytes within some 137 positions,
+so every string of 200 bytes holds one at a place that depends on its content alone. Suffixes that start with the same
+64 bytes as another make enhanced suffix arrays, one for each range of the hash of those bytes: they are sorted,
+neighbours' common prefixes are taken, and one scan with a stack closes the intervals of the common-prefix tree. An
+interval is a right-maximal repeat with all its occurrences, not only neighbours. Whether it can be extended to the left
+is tested within it: its members' left sides, nearest byte first, are sorted and scanned in the same way, and a node of
+that second tree is left-diverse, as its members differ in the byte before it (or it ends there). A node of both trees
+with 200 bytes or more is a maximal repeat group; it is put out with all its occurrences where no other group covers
+more around the anchor of one of them.
+
+Equal surroundings (136 bytes to the left and 200 to the right) are one suffix and, if they occur twice, a group of
+their own. They are equal by two independent hashes of 64 bits, that of the 64 bytes and that of the whole; all else is
+compared byte by byte. What still shares its first bytes with more than ``group`` other surroundings is too large for
+one task: there, all strings of 200 bytes around the anchors are compared by hash in one aggregation, which is exact
+as well and gives the same spans, as one group for each string.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ def _anchors(length: int):
                 n = len(some)
                 if n < length:
                     continue
-                sums = T.prefix_sums(T.byte_values(some))
+                sums, other = T.prefix_sums(T.byte_values(some)), T.prefix_sums(T.byte_values(some, 1), 1)
                 starts = np.arange(n - GRAM + 1)
                 gram = T.range_hash(sums, starts, starts + GRAM)
                 at = T.anchors(gram, length - GRAM + 1)
@@ -51,7 +55,7 @@ def _anchors(length: int):
                 ok = (at + GRAM <= end) & (end - begin >= length)
                 at, row, begin, end = at[ok], row[ok], begin[ok], end[ok]
                 left, right = np.minimum(at - begin, length - GRAM), np.minimum(end - at, length)
-                around = T.range_hash(sums, at - left, at + right) ^ T.mix(left.astype(np.uint64) + np.uint64(1))
+                around = T.range_hash(other, at - left, at + right, 1) ^ T.mix(left.astype(np.uint64) + np.uint64(1))
                 yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(around.view(np.int64)), pa.array(docs[a:b][row]), pa.array((at - begin).astype(np.int32)), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))], names=["g", "cx", "doc", "at", "l", "r"])
 
     return run
@@ -62,17 +66,23 @@ _ANCHORS = "g long, cx long, doc long, at int, l int, r int"
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(g, cx, lefts, rights): the bytes around each place of a text; the left side reversed, nearest byte first."""
+
+    def cut(data: np.ndarray, start: np.ndarray, size: np.ndarray, step: int) -> pa.Array:
+        """Binary array of the bytes from each start on, forwards or backwards."""
+        ends = np.concatenate(([0], np.cumsum(size)))
+        within = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
+        return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[np.repeat(start, size) + step * within])]).cast(pa.binary())
+
     for batch in batches:
-        rows = batch.to_pydict()
-        g, cx, left, right = [], [], [], []
-        for text, places in zip(rows["text"], rows["places"], strict=True):
-            raw = text.encode()
-            for p in places:
-                g.append(p["g"])
-                cx.append(p["cx"])
-                left.append(raw[p["at"] - p["l"] : p["at"]][::-1])
-                right.append(raw[p["at"] : p["at"] + p["r"]])
-        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(cx, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["g", "cx", "lefts", "rights"])
+        data, offsets = T.columns(batch, "text")
+        places = batch.column(batch.schema.get_field_index("places"))
+        for a, b, some, off in T.slices(data, offsets):
+            mine = places.slice(a, b - a)
+            flat = mine.flatten()
+            g, cx, at, left, right = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("g", "cx", "at", "l", "r"))
+            at = np.repeat(off[:-1], mine.value_lengths().to_numpy(zero_copy_only=False)) + at
+            sides = [cut(some, at - 1, left, -1), cut(some, at, right, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(cx), *sides], names=["g", "cx", "lefts", "rights"])
 
 
 class Table:
@@ -94,61 +104,93 @@ class Table:
         return out
 
 
-def intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(depth, first, last) of all intervals of a common-prefix array with a depth of ``least`` or more.
+def tree(lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, first, last, node) of a common-prefix tree: its intervals with a depth of ``least`` or more, closed by
+    one scan with a stack, and for each place of ``lcp`` the interval whose depth it is (-1: none).
 
     ``lcp[i]`` is the common prefix of the suffixes i and i + 1; the interval holds the suffixes first to last.
     """
-    out, stack = [], []
+    depth, first, last, node = [], [], [], np.full(len(lcp), -1, np.int64)
+    stack: list[tuple[int, int, list[int]]] = []
     for i, d in enumerate([*lcp.tolist(), -1]):
-        first = i
+        begin = i
         while stack and stack[-1][0] > d:
-            depth, first = stack.pop()
-            out.append((depth, first, i))
-        if d >= least and (not stack or stack[-1][0] < d):
-            stack.append((d, first))
-    return out
-
-
-def reaches(lefts: list[bytes], rights: list[bytes], length: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix how far repeats of ``length`` bytes or more with any other reach to its left and right (0: none)."""
+            high, begin, links = stack.pop()
+            node[links] = len(depth)
+            depth.append(high)
+            first.append(begin)
+            last.append(i)
+        if d >= least:
+            if stack and stack[-1][0] == d:
+                stack[-1][2].append(i)
+            else:
+                stack.append((d, begin, [i]))
+    return *(np.array(x, np.int64) for x in (depth, first, last)), node
+
+
+def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, member, left, right): maximal repeat groups of ``length`` bytes or more among suffixes, each with all
+    its members, and how far it reaches to the left and right of their anchors.
+
+    Of the groups that hold a suffix those are given that reach furthest to its left (of these furthest to its right),
+    and the other way round; all other groups cover nothing more.
+    """
     n = len(lefts)
     right, left = Table(rights, length), Table(lefts, length - GRAM)
     sa = right.order
     lcp = right.common(sa[:-1], sa[1:]) if n > 1 else np.zeros(0, np.int64)
     rank = np.empty(n, np.int64)
     rank[left.order] = np.arange(n)
-    best_l, best_r = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    found = np.array(intervals(lcp, GRAM), np.int64).reshape(-1, 3)
-    # all members of all intervals, in the order of their left sides within each, a bounded number at a time
-    size = found[:, 2] - found[:, 1] + 1
+    depth, first, last, _ = tree(lcp, GRAM)
+    size = last - first + 1
     ends = np.cumsum(size)
+    # candidates: the deepest left-diverse node of each member in each right-maximal interval
+    found: list[np.ndarray] = []
+    members: list[np.ndarray] = []
+    nodes = 0
     a = 0
-    while a < len(found):
+    while a < len(depth):  # a bounded number of members at a time
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 18), "right")))
         many = size[a:b]
         own = np.repeat(np.arange(a, b), many)
-        member = sa[found[own, 1] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)]
+        member = sa[first[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)]
         order = np.lexsort((rank[member], own))
         own, member = own[order], member[order]
         near = left.common(member[:-1], member[1:])
         near[own[:-1] != own[1:]] = -1
-        reach = np.maximum(np.append(near, -1), np.append([-1], near))
-        depth = found[own, 0]
-        ok = reach + depth >= length
-        np.maximum.at(best_l, member[ok], reach[ok])
-        np.maximum.at(best_r, member[ok], depth[ok])
+        e, lo, hi, node = tree(near, 0)
+        # a member's deepest node is that of the nearer of its two neighbours
+        before, after = np.append([-1], near), np.append(near, -1)
+        mine = np.where(after >= before, np.append(node, -1), np.append([-1], node))
+        on = np.flatnonzero(mine >= 0)
+        reach_l, reach_r = e[mine[on]], depth[own[on]]
+        ok = reach_l + reach_r >= length
+        on, reach_l, reach_r = on[ok], reach_l[ok], reach_r[ok]
+        found.append(np.stack((member[on], reach_l, reach_r, nodes + mine[on])))
+        used = np.unique(mine[on])
+        span = hi[used] - lo[used] + 1
+        at = lo[np.repeat(used, span)] + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+        members.append(np.stack((np.repeat(nodes + used, span), member[at], np.repeat(e[used], span), depth[own[at]])))
+        nodes += len(e)
         a = b
-    return best_l, best_r
+    if not found:
+        return (np.zeros(0, np.int64),) * 4
+    x, reach_l, reach_r, node = np.concatenate(found, axis=1)
+    best = []
+    for keys in ((reach_r, reach_l, x), (reach_l, reach_r, x)):
+        order = np.lexsort(keys)
+        best.append(node[order][np.append(x[order][1:] != x[order][:-1], True)] if len(order) else node)
+    group, member, reach_l, reach_r = np.concatenate(members, axis=1)
+    chosen = np.isin(group, np.concatenate(best))
+    return group[chosen], member[chosen], reach_l[chosen], reach_r[chosen]
 
 
 def _tree(length: int):
     def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        bl, br = reaches(t.column("lefts").to_pylist(), t.column("rights").to_pylist(), length)
-        ok = np.flatnonzero(br)
-        g, cx = (t.column(c).to_numpy()[ok] for c in ("g", "cx"))
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(cx), pa.array(bl[ok].astype(np.int32)), pa.array(br[ok].astype(np.int32))], names=["g", "cx", "l", "r"])
+        group, member, left, right = repeat_groups(t.column("lefts").to_pylist(), t.column("rights").to_pylist(), length)
+        g, cx = (t.column(c).to_numpy()[member] for c in ("g", "cx"))
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(group), pa.array(cx), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))], names=["g", "part", "cx", "l", "r"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by g; what is gathered is cut where g changes."""
@@ -213,27 +255,50 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(off)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeats(docs: DataFrame, scratch: Scratch, text: str, length: int, group: int) -> DataFrame:
-    """(doc, start, end): spans of bytes that repeats of ``length`` bytes or more cover, possibly overlapping."""
-    texts = docs.where(f"doc_id is not null and length({text}) >= {length // 4}").select("doc_id", F.col(text).alias("text"))
+def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int) -> tuple[DataFrame, DataFrame]:
+    """Anchors (g, cx, doc, at), and groups (g, part, cx, l, r) of their surroundings."""
     anchors = scratch.keep(texts.mapInArrow(_anchors(length), _ANCHORS), "anchors")
-    around = anchors.groupBy("g", "cx").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"), F.max("l").alias("l"), F.max("r").alias("r"))
-    around = scratch.keep(around, "around")
+    one = [F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"), F.max("l").alias("l"), F.max("r").alias("r")]
+    around = scratch.keep(anchors.groupBy("g", "cx").agg(F.count(F.lit(1)).alias("n"), *one), "around")
     shared = scratch.keep(around.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "shared")
-    places = around.join(shared, "g").groupBy("doc").agg(F.collect_list(F.struct("g", "cx", "at", "l", "r", "k")).alias("places"))
+    places = around.join(shared.select("g"), "g").groupBy("doc").agg(F.collect_list(F.struct("g", "cx", "at", "l", "r")).alias("places"))
     bytes_of = texts.join(places, F.col("doc_id") == F.col("doc")).select("text", "places")
-    big = shared.where(F.col("k") > group).isEmpty()
     sides = scratch.keep(bytes_of.mapInArrow(_surroundings, "g long, cx long, lefts binary, rights binary"), "sides")
-    small = sides if big else sides.join(shared.where(F.col("k") > group), "g", "left_anti")
-    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(_tree(length), "g long, cx long, l int, r int")
-    if not big:
-        strings = sides.join(shared.where(F.col("k") > group), "g", "left_semi").mapInArrow(_strings(length), "h long, g long, cx long, o int")
+    large = shared.where(F.col("k") > group)
+    none = large.isEmpty()
+    small = sides if none else sides.join(large, "g", "left_anti")
+    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(_tree(length), "g long, part long, cx long, l int, r int")
+    if not none:
+        strings = sides.join(large, "g", "left_semi").mapInArrow(_strings(length), "h long, g long, cx long, o int")
         strings = scratch.keep(strings, "strings")
         # the same string around another anchor is no second occurrence
         again = scratch.keep(strings.groupBy("h", "g", "o").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "again")
-        found = found.unionByName(strings.join(again, ["h", "g", "o"]).groupBy("g", "cx").agg(F.max("o").alias("l"), (F.lit(length) - F.min("o")).alias("r")))
-    full = around.where("n > 1").select("g", "cx", "l", "r")
-    hit = scratch.keep(full.unionByName(found).groupBy("g", "cx").agg(F.max("l").alias("hl"), F.max("r").alias("hr")), "hit")
+        found = found.unionByName(strings.join(again, ["h", "g", "o"]).select("g", F.xxhash64("h", "o").alias("part"), "cx", F.col("o").alias("l"), (F.lit(length) - F.col("o")).alias("r")))
+    same = around.where("n > 1").select("g", F.col("cx").alias("part"), "cx", "l", "r")
+    return anchors.select("g", "cx", "doc", "at"), same.unionByName(found)
+
+
+def _usable(rows: DataFrame, text: str, length: int) -> DataFrame:
+    return rows.where(f"doc_id is not null and length({text}) >= {length // 4}").select("doc_id", F.col(text).alias("text"))
+
+
+def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200, group: int = GROUP) -> DataFrame:
+    """(g, part, key, start, end): maximal repeat groups, one row for each occurrence of each group (g, part).
+
+    Groups are as far as the surroundings of their anchor see them: 136 bytes to its left and 200 to its right. A longer
+    repeat is a chain of such groups. Rows with a null key or text take no part.
+    """
+    scratch = Scratch(docs.sparkSession, "suffixes")
+    anchors, found = _anchored(_usable(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", length), scratch, length, group)
+    met = anchors.join(scratch.keep(found, "groups"), ["g", "cx"])
+    return met.select("g", "part", F.col("doc").alias(key), (F.col("at") - F.col("l")).alias("start"), (F.col("at") + F.col("r")).alias("end"))
+
+
+def repeats(docs: DataFrame, scratch: Scratch, text: str, length: int, group: int) -> DataFrame:
+    """(doc, start, end): spans of bytes that maximal repeat groups cover, one for each anchor in any."""
+    anchors, found = _anchored(_usable(docs, text, length), scratch, length, group)
+    # all groups of a suffix hold its anchor, so together they cover one span around it
+    hit = scratch.keep(found.groupBy("g", "cx").agg(F.max("l").alias("hl"), F.max("r").alias("hr")), "hit")
     return anchors.join(hit, ["g", "cx"]).select("doc", (F.col("at") - F.col("hl")).alias("start"), (F.col("at") + F.col("hr")).alias("end"))
 
 
