@@ -3,7 +3,8 @@
 Every text is a reference: its non-overlapping blocks of ten words are indexed by hash. Every rolling window of ten
 words of every text probes the index. A window of twenty words that occurs twice holds a whole block of the other
 occurrence, whatever its offset, so its place is hit on both sides. Hits are extended to the windows of twenty words
-around them; those are compared whole, by hash, and what the later ones of a kind cover, run by run, is removed.
+around them; those are compared whole, by 128 bits of hash, and what the later ones of a kind cover, run by run, is
+removed. Blocks meet by 64 bits, as a false hit only makes a candidate more.
 
 Probes are as many as words, so they go through the join in PASSES passes by ranges of the hash, which bounds the disk
 that shuffles hold at any time; each pass handles its range completely.
@@ -72,7 +73,7 @@ def _marked(first: np.ndarray, marks: pa.Array, window: int, block: int) -> tupl
 
 
 def _candidates(window: int, block: int):
-    """(h, doc, pos) of the first place of each marked window content in each text."""
+    """(h, h2, doc, pos) of the first place of each marked window content in each text; the content by 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,13 +83,15 @@ def _candidates(window: int, block: int):
             for a, b, some, off in T.slices(data, offsets):
                 starts, ends, first = T.words(some, off)
                 row, pos = _marked(first, marks.slice(a, b - a), window, block)
-                sums = T.prefix_sums(T.bytes_hashes(some, starts, ends))
-                h = T.range_hash(sums, first[row] + pos, first[row] + pos + window)
-                order = np.lexsort((pos, h, row))
+                begin = first[row] + pos
+                both = [T.range_hash(T.prefix_sums(T.bytes_hashes(some, starts, ends, k), k), begin, begin + window, k) for k in (0, 1)]
+                order = np.lexsort((pos, both[1], both[0], row))
                 new = np.ones(len(order), bool)
-                new[1:] = (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])
+                for x in (row, *both):
+                    new[1:] &= x[order][1:] == x[order][:-1]
+                new[1:] = ~new[1:]
                 keep = order[new]
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(docs[a:b][row[keep]]), pa.array(pos[keep].astype(np.int32))], names=["h", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(h[keep].view(np.int64)) for h in both], pa.array(docs[a:b][row[keep]]), pa.array(pos[keep].astype(np.int32))], names=["h", "h2", "doc", "pos"])
 
     return run
 
@@ -154,7 +157,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     by_doc = scratch.keep(found.groupBy("doc").agg(F.collect_list("pos").alias("marks")), "marks")
     scratch.drop(*[f"marks-{k}" for k in range(passes)])
     near = texts.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "marks")
-    places = near.mapInArrow(_candidates(window, block), _PLACES).groupBy("h").agg(F.min_by("pos", "doc").alias("pos"), F.min("doc").alias("doc"))
+    places = near.mapInArrow(_candidates(window, block), "h long, h2 long, doc long, pos int").groupBy("h", "h2").agg(F.min_by("pos", "doc").alias("pos"), F.min("doc").alias("doc"))
     firsts = scratch.keep(places.groupBy("doc").agg(F.collect_list("pos").alias("firsts")), "firsts")
     none = F.array().cast("array<int>")
     whole = rows.join(by_doc, F.col("doc_id") == F.col("doc"), "left").drop("doc").join(firsts, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", F.coalesce("marks", none).alias("marks"), F.coalesce("firsts", none).alias("firsts"))
