@@ -7,18 +7,23 @@ A table written here survives the loss of any executor and cuts the lineage of w
 from __future__ import annotations
 
 import contextlib
+import contextvars
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``, or a fresh temporary one for sessions that set none."""
+    """The shared folder: ``spark.checkpoint.dir``. A session in one process that sets none gets a temporary folder;
+    on a cluster such a folder would be the driver's alone, so there it must be set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="ledgerframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -26,19 +31,51 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Held while an intermediate table is written: its shuffle files go when the write ends, since readers use the table,
 #: and Python workers get texts in batches of a few megabytes.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
+_lock = threading.Lock()
+_held: dict[int, tuple[int, dict[str, str]]] = {}
 
 
 @contextlib.contextmanager
 def writing(spark: SparkSession) -> Iterator[None]:
-    before = {k: spark.conf.get(k) for k in _WRITING}
+    """Settings for a write; writes of several threads share them, and the last to end restores what was set before."""
+    with _lock:
+        count, before = _held.get(id(spark), (0, {}))
+        if not count:
+            before = {k: spark.conf.get(k) for k in _WRITING}
+            for k, v in _WRITING.items():
+                spark.conf.set(k, v)
+        _held[id(spark)] = count + 1, before
     try:
-        for k, v in _WRITING.items():
-            spark.conf.set(k, v)
         yield
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        with _lock:
+            count, before = _held.pop(id(spark))
+            if count > 1:
+                _held[id(spark)] = count - 1, before
+            else:
+                for k, v in before.items():
+                    spark.conf.set(k, v)
+
+
+_made: contextvars.ContextVar[list[Scratch] | None] = contextvars.ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[None]:
+    """Operators called inside keep their intermediate tables until the block ends, when nothing may read them."""
+    made: list[Scratch] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for scratch in made:
+            scratch.drop("")
 
 
 class Scratch:
@@ -47,9 +84,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, operator: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{operator}-{uuid.uuid4().hex}"
+        if (made := _made.get()) is not None:
+            made.append(self)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}".rstrip("/")
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it as read back."""
@@ -63,16 +102,3 @@ class Scratch:
         for name in names:
             target = jvm.org.apache.hadoop.fs.Path(self.path(name))
             target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def spread(pairs: DataFrame, facts: DataFrame, key: str, rows_per_part: int = 256) -> DataFrame:
-    """Inner join of ``pairs`` with one wide row per ``key`` of ``facts``, safe for keys that own most pairs.
-
-    A key with many pairs gets ceil(count / rows_per_part) numbered copies of its wide row and each pair picks one of
-    them, so no task receives more than a bounded number of pairs for one copy. No pair is lost.
-    """
-    parts = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).cast("int").alias("_parts"))
-    wide = facts.join(parts, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    few = parts.where("_parts > 1")
-    dealt = pairs.join(few, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*pairs.columns), F.col("_parts")), F.lit(0)).cast("int"))
-    return dealt.drop("_parts").join(wide.drop("_parts"), [key, "_part"]).drop("_part")
