@@ -56,6 +56,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the label of a page is that of the document with its number: bad if it is toxic or of low quality
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
     return url_filter.judge(pages, pages.select("page_id", "url").join(labels, "page_id").select("url", "bad"), URL_RULES)

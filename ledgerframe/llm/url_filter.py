@@ -36,23 +36,33 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(*[F.coalesce(b, F.array().cast("array<string>")) for b in both]))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, least: int = 20) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.002, least: int = 20, lift: float = 1.25, z: float = 2.0) -> DataFrame:
     """(rule, items, confidence, support) from rows (url, bad): token combinations that imply a bad page.
 
-    Rules that a more general one of at least the same confidence covers are left out. FP-growth runs distributed; its rules are few, as
-    each stands for ``support`` of all labelled rows and for ``least`` rows.
+    A rule stands for ``support`` of all labelled rows, and for ``least`` bad rows at the fewest. How confident it must
+    be is learned from the labels: ``lift`` times the share of bad rows among all, and so much that the lower end of its
+    confidence interval (Wilson, ``z`` standard errors) is above that share. Rules that a more general one of at least
+    the same confidence covers are left out. FP-growth runs distributed, and its rules are few, as each stands for
+    ``support`` of the rows. A url that repeats counts each time; a null url, or a null label, teaches nothing.
     """
-    baskets = labelled.where("url is not null and bad is not null").select(F.concat(tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(_BAD))).otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0)
+    none = F.array().cast("array<string>")
+    known = labelled.where("url is not null and bad is not null")
+    baskets = known.select(F.concat(tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(_BAD))).otherwise(none)).alias("items"), "bad").where(F.size("items") > 0)
     schema = "rule long, items array<string>, confidence double, support double"
-    n = baskets.count()
-    if not n:
+    n, bad = baskets.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    if not bad:
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=confidence).fit(baskets)
+    base = bad / n
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=min(1.0, lift * base)).fit(baskets.select("items"))
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD))).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    p, m = F.col("confidence"), F.col("support") * n / F.col("confidence")
+    lower = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    rules = rules.where(lower > base)
     # more general rules: every rule of fewer tokens that has its first token in this one and lies within it
     wide = rules.select(F.explode("items").alias("first"), "items", "confidence")
     less = rules.select(F.col("items")[0].alias("first"), F.col("items").alias("general"), F.col("confidence").alias("at_least"))
-    within = wide.join(less, "first").where((F.size("general") < F.size("items")) & (F.col("at_least") >= F.col("confidence")) & (F.size(F.array_except("general", "items")) == 0)).select("items").distinct()
+    covers = (F.size("general") < F.size("items")) & (F.col("at_least") >= F.col("confidence")) & (F.size(F.array_except("general", "items")) == 0)
+    within = wide.join(less, "first").where(covers).select("items").distinct()
     kept = rules.join(within, "items", "left_anti")
     return kept.select(F.xxhash64("items").alias("rule"), "items", "confidence", "support")
 
@@ -77,8 +87,9 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str
 
     ``rules`` are curated (verdict, host, path): one fits its host and all subdomains where the path of the url starts
     with its own, and the longest wins. Where none fits the mined rules decide: block if one matches. A url that is
-    null or has no ``://`` has an empty host and path, fits no rule and is allowed. ``labelled`` has (url, bad); without
-    bad pages nothing is mined. Rows that repeat are judged alike; other columns are ignored.
+    null or has no ``://`` has an empty host and path, fits no rule and is allowed, unless a mined rule of its query
+    names matches. ``labelled`` has (url, bad); without bad pages nothing is mined. Urls that repeat are matched once and
+    judged alike; other columns are ignored, and an empty table gives an empty result.
     """
     scratch = Scratch(pages.sparkSession, "urls")
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))

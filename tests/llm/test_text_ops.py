@@ -1,3 +1,6 @@
+import itertools
+import math
+import random
 import zlib
 
 import brute
@@ -153,3 +156,48 @@ def test_url_rules_are_mined(spark):
     assert out.where((F.col("verdict") == "block") != bad).count() == 0
     rules = url_filter.mine(pages.select("url", bad.alias("bad"))).collect()
     assert [sorted(r["items"]) for r in rules] == [["p:shop", "q:ad"]]
+
+
+def _rules(rows, least, lift, z):
+    """All token combinations that a plain count accepts, without those that a more general rule covers."""
+    base = sum(bad for _, bad in rows) / len(rows)
+    found = {}
+    every = sorted({t for items, _ in rows for t in items})
+    for size in (1, 2, 3, 4):
+        for items in itertools.combinations(every, size):
+            met = [bad for have, bad in rows if set(items) <= have]
+            k, m = sum(met), len(met)
+            if k < max(least, 0.002 * len(rows)):
+                continue
+            p = k / m
+            lower = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+            if p >= lift * base and lower > base:
+                found[items] = p
+    return {i: p for i, p in found.items() if not any(set(o) < set(i) and q >= p - 1e-12 for o, q in found.items())}
+
+
+def test_mined_rules_against_plain_counts(spark):
+    rng = random.Random(2)
+    pages = []
+    for k in range(1500):
+        spam, host = rng.random() < 0.3, rng.choice(("a", "b", "c"))
+        url = f"http://{host}.{'xyz' if spam else 'org'}/{rng.choice(('shop', 'news'))}/{k}" + rng.choice(("", "?ad=1"))
+        pages.append((k, url, rng.random() < (0.8 if spam and "shop" in url else 0.4 if host == "b" else 0.1)))
+    pages += [(9000, None, True), (9001, "http://a.org/x", None), (9002, "no scheme", False), (9003, pages[0][1], True)]
+    labelled = spark.createDataFrame(pages, "page_id long, url string, bad boolean")
+    own = {r.url: set(r.t) for r in labelled.select("url", url_filter.tokens(F.col("url")).alias("t")).collect() if r.url}
+    want = _rules([(own[u], b) for _, u, b in pages if u and b is not None and own[u]], 20, 1.25, 2.0)
+    got = {tuple(sorted(r["items"])): r.confidence for r in url_filter.mine(labelled.select("url", "bad")).collect()}
+    assert len(want) > 3 and set(got) == {tuple(sorted(i)) for i in want}
+    out = url_filter.judge(labelled.select("page_id", "url"), labelled.select("url", "bad"), []).collect()
+    for r in out:
+        url = dict((p, u) for p, u, _ in pages)[r.page_id]
+        hit = [p for i, p in want.items() if url and set(i) <= own[url]]
+        assert r.verdict == ("block" if hit else "allow") and (not hit or abs(r.confidence - max(hit)) < 1e-9)
+
+
+def test_mined_rules_decide_on_a_real_table(spark):
+    from ledgerframe.llm.queries import op8_url_filter
+
+    out = op8_url_filter(spark, "/root/testdata/sf0.1")
+    assert out.where("rule is null and verdict = 'block'").count() == out.where("confidence is not null").count()
