@@ -6,57 +6,92 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import ed25519
 from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed, sha256_hex
+from .stage import kept
 
 ZERO_HASH = "0" * 64
+EMPTY_BATCH = "EMPTY_BATCH"
+
+
+def in_chain_order(rows: DataFrame, *ties: str) -> DataFrame:
+    """Rows dealt by trace and sorted along each chain, for functions that stream with one hash of state: a trace of any
+    length needs no memory of its own. A chain is serial, so the entries of one trace do pass through one task."""
+    return rows.repartition("trace_id").sortWithinPartitions("trace_id", "seq_in_trace", *ties)
+
+
+def _texts(batch: pa.RecordBatch, *names: str) -> list[list]:
+    return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
 def chain_tips(records: DataFrame) -> DataFrame:
     """(trace_id, entry_count, tip_hash): an ordered fold of each trace, sha256(bytes + previous hash), from its seed.
 
-    The fold runs over one array per trace on the JVM and keeps only the last hash. Traces too long for an array go
-    through ``hash_entries``, which streams.
+    The tip of a trace whose seed can't be made is null.
     """
-    rows = records.select("trace_id", "schema_version", "seq_in_trace", canonical_record().alias("bytes"))
-    by = rows.groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("seq_in_trace", "bytes"))).alias("e"), F.min_by("schema_version", "seq_in_trace").alias("v"))
-    step = lambda acc, x: F.sha2(F.concat(F.encode(x["bytes"], "UTF-8"), F.unhex(acc)), 256)
-    return by.select("trace_id", F.size("e").cast("long").alias("entry_count"), F.aggregate("e", genesis_seed(F.col("trace_id"), F.col("v")), step).alias("tip_hash"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trace, count, now = None, 0, None
+        for batch in batches:
+            done = []
+            for t, seed, text in zip(*_texts(batch, "trace_id", "_seed", "_bytes"), strict=True):
+                if t != trace:
+                    if count:
+                        done.append((trace, count, now and now.hex()))
+                    trace, count, now = t, 0, seed and bytes.fromhex(seed)
+                count += 1
+                now = now and hashlib.sha256(text.encode() + now).digest()
+            yield _tips(done)
+        if count:
+            yield _tips([(trace, count, now and now.hex())])
+
+    def _tips(done: list[tuple]) -> pa.RecordBatch:
+        t, n, h = zip(*done, strict=True) if done else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(n, pa.int64()), pa.array(h, pa.string())], names=["trace_id", "entry_count", "tip_hash"])
+
+    rows = records.select("trace_id", "seq_in_trace", genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("_seed"), canonical_record().alias("_bytes"))
+    return in_chain_order(rows).mapInArrow(run, "trace_id string, entry_count long, tip_hash string")
+
+
+SIGNED = ("entry_hash", "prev_hash", "key_id", "algorithm", "signature")
 
 
 def hash_entries(records: DataFrame, key: bytes | None = None) -> DataFrame:
     """``records`` with entry_hash, prev_hash and, given a private key, key_id, algorithm and signature.
 
-    Traces are hash-partitioned and sorted, and rows stream through with one hash of state, so a trace of any length
-    needs no memory of its own.
+    All columns go through the stream, so nothing is joined back. Entries of a trace whose seed can't be made have null
+    hashes.
     """
     public = ed25519.public_key(key) if key else b""
-    names = ["entry_hash", "prev_hash", "key_id", "algorithm", "signature"]
-    own = records.schema.names
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trace, prev = None, ""
-        for frame in frames:
-            out = []
-            for t, seed, text in zip(frame["trace_id"], frame["_seed"], frame["_bytes"]):
+    own = len(records.columns)
+    by = hashlib.sha256(public).hexdigest() if key else ""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trace, prev = None, None
+        for batch in batches:
+            out: list[tuple] = []
+            for t, seed, text in zip(*_texts(batch, "trace_id", "_seed", "_bytes"), strict=True):
                 if t != trace:
                     trace, prev = t, seed
+                if prev is None:
+                    out.append((None, None, by, "ed25519" if key else "", ""))
+                    continue
                 payload = text.encode() + bytes.fromhex(prev)
                 now = hashlib.sha256(payload).hexdigest()
                 sig = base64.b64encode(ed25519.sign(key, payload)).decode() if key else ""
-                out.append((now, prev, hashlib.sha256(public).hexdigest() if key else "", "ed25519" if key else "", sig))
+                out.append((now, prev, by, "ed25519" if key else "", sig))
                 prev = now
-            more = pd.DataFrame(out, columns=names, index=frame.index)
-            yield pd.concat([frame[["trace_id", "seq_in_trace"]], more], axis=1)
+            more = zip(*out, strict=True) if out else [()] * len(SIGNED)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *[pa.array(x, pa.string()) for x in more]], names=[*batch.schema.names[:own], *SIGNED])
 
-    rows = records.select("trace_id", "seq_in_trace", genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("_seed"), canonical_record().alias("_bytes"))
-    rows = rows.repartition("trace_id").sortWithinPartitions("trace_id", "seq_in_trace")
-    hashed = rows.mapInPandas(run, "trace_id string, seq_in_trace int, " + ", ".join(f"{n} string" for n in names))
-    return records.join(hashed, ["trace_id", "seq_in_trace"]).select(*own, *names)
+    rows = records.select("*", genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("_seed"), canonical_record().alias("_bytes"))
+    schema = T.StructType([*records.schema.fields, *[T.StructField(n, T.StringType()) for n in SIGNED]])
+    return in_chain_order(rows).mapInArrow(run, schema)
 
 
 def checkpoint_batches(sealed: DataFrame, every: int = 100) -> DataFrame:
@@ -64,41 +99,50 @@ def checkpoint_batches(sealed: DataFrame, every: int = 100) -> DataFrame:
     return sealed.withColumn("checkpoint_seq", F.floor(F.col("seal_no") / every) + 1)
 
 
-def checkpoints(tips: DataFrame, timestamp: Column, key_id: str = "", version: str = "v3") -> DataFrame:
+def checkpoints(tips: DataFrame, timestamp: Column, key_id: str = "", version: str = "v3", prev: str = ZERO_HASH) -> DataFrame:
     """Unsigned checkpoints in order, from tips (trace_id, tip_hash, entry_count, checkpoint_seq): tips sorted by
-    trace, each checkpoint linked to the payload hash of the one before.
+    trace, each checkpoint linked to the payload hash of the one before; ``prev`` is that of the last one committed.
 
-    The link is a recursion over a sequence that is serial by definition and small (one row for a hundred traces), so
-    it streams through one sorted partition that holds one hash.
+    The link is a recursion over a sequence that is serial by definition and small (one row for a hundred traces). The
+    payloads are made in parallel and written first; then they stream through one sorted partition that holds one hash.
     """
-    by = tips.groupBy("checkpoint_seq").agg(F.array_sort(F.collect_list(F.struct("trace_id", "tip_hash", F.col("entry_count").cast("long").alias("entry_count")))).alias("trace_tips"))
+    fields = [F.col("tip_hash"), F.col("entry_count").cast("long").alias("entry_count")]
+    by = tips.groupBy("checkpoint_seq").agg(F.array_sort(F.collect_list(F.struct("trace_id", *fields))).alias("trace_tips"))
+    names = ["schema_version", "checkpoint_seq", "timestamp", "prev_checkpoint_hash", "trace_tips", "key_id", "algorithm"]
     open_ = by.select(F.lit(version).alias("schema_version"), "checkpoint_seq", timestamp.alias("timestamp"), F.lit("@prev@").alias("prev_checkpoint_hash"), "trace_tips", F.lit(key_id).alias("key_id"), F.lit("ed25519").alias("algorithm"))
+    open_ = kept(open_.withColumn("_payload", checkpoint_payload()))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev = ZERO_HASH
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = prev
+        for batch in batches:
             out = []
-            for text in frame["_payload"]:
-                out.append(prev)
-                prev = hashlib.sha256(text.replace('"@prev@"', f'"{prev}"', 1).encode()).hexdigest()
-            yield pd.DataFrame({"checkpoint_seq": frame["checkpoint_seq"], "prev_checkpoint_hash": out})
+            for text in batch.column(1).to_pylist():
+                out.append(last)
+                last = hashlib.sha256(text.replace('"@prev@"', f'"{last}"', 1).encode()).hexdigest()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["checkpoint_seq", "prev_checkpoint_hash"])
 
-    payloads = open_.select("checkpoint_seq", checkpoint_payload().alias("_payload")).coalesce(1).sortWithinPartitions("checkpoint_seq")
-    links = payloads.mapInPandas(run, "checkpoint_seq long, prev_checkpoint_hash string")
-    return open_.drop("prev_checkpoint_hash").join(links, "checkpoint_seq").select("schema_version", "checkpoint_seq", "timestamp", "prev_checkpoint_hash", "trace_tips", "key_id", "algorithm")
+    ordered = open_.select("checkpoint_seq", "_payload").repartition(1).sortWithinPartitions("checkpoint_seq")
+    kind = dict(open_.dtypes)["checkpoint_seq"]
+    links = ordered.mapInArrow(run, f"checkpoint_seq {kind}, prev_checkpoint_hash string")
+    return open_.drop("prev_checkpoint_hash").join(links, "checkpoint_seq").select(*names)
 
 
-def payload_hashes(lines: DataFrame, order: str = "line_no") -> DataFrame:
-    """Checkpoint rows with the hash of their payload and the one they should link to: that of the row before."""
+def payload_hashes(lines: DataFrame, order: str = "line_no", first: str = ZERO_HASH) -> DataFrame:
+    """Checkpoint rows with the hash of their payload and the one they should link to: that of the line before, or
+    ``first``. Lines have consecutive numbers, so each meets the one before it by number."""
     hashed = lines.withColumn("payload_hash", sha256_hex(checkpoint_payload()))
-    return hashed.withColumn("expected_prev", F.lag("payload_hash", 1, ZERO_HASH).over(Window.orderBy(order)))
+    before = hashed.select((F.col(order) + 1).alias("_next"), F.col("payload_hash").alias("_before"))
+    return hashed.join(before, F.col(order) == F.col("_next"), "left").withColumn("expected_prev", F.coalesce("_before", F.lit(first))).drop("_next", "_before")
 
 
 def trim_pending(pending: DataFrame, keep: int) -> DataFrame:
     """The newest ``keep`` pending tips by seal_no; all of them where ``keep`` is not positive."""
-    if keep <= 0:
-        return pending
-    return pending.withColumn("_n", F.row_number().over(Window.orderBy(F.col("seal_no").desc()))).where(F.col("_n") <= keep).drop("_n")
+    return pending if keep <= 0 else pending.orderBy(F.col("seal_no").desc()).limit(keep)
+
+
+def drop_pending(pending: DataFrame) -> tuple[DataFrame, int]:
+    """No pending tips, and how many there were."""
+    return pending.limit(0), pending.count()
 
 
 def covered(pending: DataFrame, committed: DataFrame) -> DataFrame:
@@ -124,7 +168,7 @@ def effective(value: Column, default: Column) -> Column:
 
 
 def merkle_root(leaves: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Root of the RFC 6962 tree over (leaf_no, leaf), hex digests of 32 bytes, for each group; null if there is none.
+    """Root of the RFC 6962 tree over (leaf_no, leaf), hex digests of 32 bytes, for each group of ``by`` columns.
 
     A leaf hashes with a zero byte before it, a node with a one; a node without a sibling rises unchanged, which gives
     the tree of that paper. Each level is one aggregation over half as many rows, so no task holds a tree.
@@ -138,3 +182,9 @@ def merkle_root(leaves: DataFrame, by: list[str] | None = None) -> DataFrame:
         pair = F.when(right.isNull(), left).otherwise(F.sha2(F.concat(F.unhex(F.lit("01")), F.unhex(left), F.unhex(right)), 256))
         rows = rows.groupBy(*by, F.floor(F.col("n") / 2).alias("m")).agg(pair.alias("h")).withColumnRenamed("m", "n")
     return rows.select(*by, F.col("h").alias("root"))
+
+
+def batch_roots(batches: DataFrame, leaves: DataFrame, by: list[str]) -> DataFrame:
+    """(by, root, reject) of every batch: its Merkle root, or EMPTY_BATCH where it has no leaf."""
+    found = batches.select(*by).distinct().join(merkle_root(leaves, by), by, "left")
+    return found.withColumn("reject", F.when(F.col("root").isNull(), EMPTY_BATCH))

@@ -6,15 +6,20 @@ trace; findings carry a sort key, so a report has one order wherever its rows we
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import ed25519
 from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed
-from .chain import payload_hashes
+from .chain import in_chain_order, payload_hashes
+from .stage import kept
 
 # Kinds of findings.
 FATAL = ("chain", "checkpoint", "tip_hash_mismatch", "entry_count_mismatch", "tip_hash_unverifiable", "duplicate_trace_segment")
@@ -35,63 +40,113 @@ def chain_states(entries: DataFrame, public: bytes | None) -> DataFrame:
     """(trace_id, n, dup, error, tip): the first error along each chain, or its recomputed tip.
 
     An entry is checked for the version of its chain, its signature (if a key is given) and its stored hash. The hash of
-    an entry needs the recomputed hash of the one before, so a fold gives all payloads' hashes; signatures are checked on
-    rows, in parallel, and the first failing position of a trace counts.
+    an entry needs the recomputed hash of the one before, so chains stream in order, with one hash of state; signatures
+    are checked afterwards, on rows that are dealt anew, so that a long chain's are checked in parallel.
     """
-    rows = entries.select("trace_id", "seq_in_trace", "schema_version", "entry_hash", "algorithm", "signature", canonical_record().alias("bytes"))
-    by = rows.groupBy("trace_id").agg(F.array_sort(F.collect_list(F.struct("seq_in_trace", "schema_version", "bytes", "entry_hash", "algorithm", "signature"))).alias("e"), F.countDistinct("seq_in_trace").alias("distinct"))
-    first = F.col("e")[0]["schema_version"]
-    step = lambda acc, x: F.concat(acc, F.array(F.sha2(F.concat(F.encode(x["bytes"], "UTF-8"), F.unhex(F.element_at(acc, -1))), 256)))
-    by = by.withColumn("hashes", F.aggregate("e", F.array(genesis_seed(F.col("trace_id"), first)), step))
-    flat = by.select("trace_id", F.size("e").alias("n"), (F.col("distinct") < F.size("e")).alias("dup"), first.alias("version"), "hashes", F.posexplode("e").alias("pos", "x"))
-    payload = F.concat(F.encode("x.bytes", "UTF-8"), F.unhex(F.get("hashes", F.col("pos"))))
-    bad_sig = F.lit(None).cast("string") if public is None else ed25519.verified(public, payload, F.col("x.algorithm"), F.col("x.signature"))
-    now = F.get("hashes", F.col("pos") + 1)
-    flat = flat.select("trace_id", "n", "dup", "pos", "version", "x.schema_version", "x.entry_hash", F.element_at("hashes", 1).alias("seed"), now.alias("now"), bad_sig.alias("bad_sig"))
-    at = F.concat(F.lit("seq "), F.col("pos").cast("string"), F.lit(": "))
+    names = ["trace_id", "seq_in_trace", "schema_version", "entry_hash", "algorithm", "signature", "seed", "bytes"]
+    rows = entries.select(*names[:6], genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed"), canonical_record().alias("bytes"))
+    own = len(names) - 2 * (public is None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trace = last = version = start = prev = None
+        pos = 0
+        for batch in batches:
+            out = []
+            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("trace_id", "seq_in_trace", "schema_version", "seed", "bytes")]
+            for t, seq, own_version, seed, text in zip(*columns, strict=True):
+                if t != trace:
+                    trace, last, version, start, pos = t, None, own_version, seed, 0
+                    prev = seed and bytes.fromhex(seed)
+                now = prev and hashlib.sha256(text.encode() + prev).digest()
+                out.append((pos, seq == last, version, start is None, prev and prev.hex(), now and now.hex()))
+                last, prev, pos = seq, now, pos + 1
+            more = list(zip(*out, strict=True)) if out else [()] * 6
+            kinds = [pa.int64(), pa.bool_(), pa.string(), pa.bool_(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *[pa.array(x, k) for x, k in zip(more, kinds, strict=True)]], names=[*batch.schema.names[:own], *_WALKED])
+
+    schema = T.StructType([*rows.schema.fields[:own], *[T.StructField(n, k) for n, k in zip(_WALKED, (T.LongType(), T.BooleanType(), T.StringType(), T.BooleanType(), T.StringType(), T.StringType()), strict=True)]])
+    flat = in_chain_order(rows, "schema_version", "bytes", "entry_hash").mapInArrow(run, schema)
+    bad_sig = F.lit(None).cast("string")
+    if public is not None:
+        flat = flat.repartition("trace_id", "pos")
+        bad_sig = ed25519.verified(public, F.concat(F.encode("bytes", "UTF-8"), F.unhex("prev")), F.col("algorithm"), F.col("signature"))
+    flat = flat.withColumn("bad_sig", bad_sig)
+    at = F.concat(F.lit("entry "), F.col("pos").cast("string"), F.lit(": "))
     wrong = (
-        F.when(F.col("seed").isNull(), F.lit("no genesis seed for this trace_id and schema_version"))
-        .when(F.col("schema_version") != F.col("version"), F.concat(at, F.format_string('schema_version "%s" does not match the chain\'s "%s": entries of different schema versions must not share a chain', "schema_version", "version")))
+        F.when(F.col("unseeded"), F.lit("the chain has no seed: its trace_id is no hex, or its schema_version is empty"))
+        .when(F.col("schema_version") != F.col("version"), F.concat(at, F.format_string("schema_version %s in a chain of %s", "schema_version", "version")))
         .when(F.col("bad_sig").isNotNull(), F.concat(at, F.col("bad_sig")))
-        .when(~F.col("entry_hash").eqNullSafe(F.col("now")), F.concat(at, F.format_string("entry_hash mismatch: stored %s, recomputed %s", "entry_hash", "now")))
+        .when(~F.col("entry_hash").eqNullSafe(F.col("now")), F.concat(at, F.format_string("stored hash %s, its content gives %s", "entry_hash", "now")))
     )
-    out = flat.withColumn("wrong", wrong).groupBy("trace_id").agg(F.first("n").alias("n"), F.first("dup").alias("dup"), F.min_by("wrong", F.when(F.col("wrong").isNotNull(), F.col("pos"))).alias("error"), F.max_by("now", "pos").alias("last"))
+    first = F.min_by("wrong", F.when(F.col("wrong").isNotNull(), F.col("pos")))
+    out = flat.withColumn("wrong", wrong).groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("again").alias("dup"), first.alias("error"), F.max_by("now", "pos").alias("last"))
     return out.select("trace_id", "n", "dup", "error", F.when(~F.col("dup") & F.col("error").isNull(), F.col("last")).alias("tip"))
 
 
+_WALKED = ("pos", "again", "version", "unseeded", "prev", "now")
+
+
+def odd_key_ids(entries: DataFrame, states: DataFrame, own: str) -> DataFrame:
+    """Entries of verified chains that claim another key than the one that signed them."""
+    good = states.where("tip is not null").select("trace_id")
+    return entries.where((F.col("key_id") != "") & (F.col("key_id") != own)).join(good, "trace_id", "left_semi")
+
+
+def bad_links(checkpoints: DataFrame) -> DataFrame:
+    """Checkpoints whose link isn't the payload hash of the line before, with that as expected_prev."""
+    return payload_hashes(checkpoints).where("prev_checkpoint_hash <> expected_prev")
+
+
+def cross_checks(states: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """(line_no, checkpoint_seq, pos, trace_id, tip_hash, entry_count, logged, tip, kind): tips of checkpoints that the
+    log contradicts, one row for each kind of contradiction; a count and a tip may both be wrong."""
+    named = checkpoints.select("line_no", "checkpoint_seq", F.posexplode("trace_tips").alias("pos", "t")).select("line_no", "checkpoint_seq", "pos", "t.*")
+    met = named.join(states.select("trace_id", F.col("n").alias("logged"), "tip"), "trace_id", "left")
+    failed = F.col("logged").isNotNull() & F.col("tip").isNull()
+    logged = F.coalesce("logged", F.lit(0)).cast("long")
+    count = F.when(logged != F.col("entry_count"), "entry_count_mismatch")
+    tip = F.when(failed, "tip_hash_unverifiable").when(F.col("tip") != F.col("tip_hash"), "tip_hash_mismatch")
+    rows = met.select("line_no", "checkpoint_seq", "pos", "trace_id", "tip_hash", "entry_count", logged.alias("logged"), "tip", F.explode(F.array(count, tip)).alias("kind"))
+    return rows.where("kind is not null")
+
+
 def findings(entries: DataFrame, checkpoints: DataFrame, public: bytes | None, torn: str | None = None, strict_seq: bool = False) -> DataFrame:
     """All findings, with their sort key (phase, k1, k2, k3).
 
-    ``checkpoints`` has line_no in file order. Without a public key signatures aren't checked (key ids then aren't
-    compared either). ``strict_seq`` also reports gaps in checkpoint_seq, which by default are not looked at.
+    ``checkpoints`` has line_no in file order, without gaps. Without a public key signatures aren't checked (key ids
+    then aren't compared either). ``strict_seq`` also reports gaps in checkpoint_seq, which by default are not looked at.
+    Chain states and checkpoints are worked out once and kept.
     """
-    states = chain_states(entries, public)
+    states = kept(chain_states(entries, public))
     none, zero = F.lit(None).cast("string"), F.lit(0)
+    text = lambda *c: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in c])
+    word = lambda c: F.col(c).cast("string")
     parts = [
-        _finding(states.where("dup"), 0, F.col("trace_id"), zero, zero, F.col("trace_id"), F.lit("duplicate_trace_segment"), "fatal", F.lit("more than one entry with the same seq_in_trace")),
+        _finding(states.where("dup"), 0, F.col("trace_id"), zero, zero, F.col("trace_id"), F.lit("duplicate_trace_segment"), "fatal", F.lit("a seq_in_trace occurs more than once")),
         _finding(states.where("not dup and error is not null"), 0, F.col("trace_id"), zero, zero, F.col("trace_id"), F.lit("chain"), "fatal", F.col("error")),
     ]
     if public is not None:
         own = ed25519.key_id(public)
-        odd = entries.join(states.where("tip is not null").select("trace_id"), "trace_id").where((F.col("key_id") != "") & (F.col("key_id") != own))
-        parts.append(_finding(odd, 0, F.col("trace_id"), F.lit(1), F.col("seq_in_trace"), F.col("trace_id"), F.lit("key_id_field_mismatch"), "advisory", F.concat(F.lit("seq "), F.col("seq_in_trace").cast("string"), F.lit(": entry key_id "), F.col("key_id"), F.lit(f" does not match verified signer {own}"))))
+        detail = text("entry ", word("seq_in_trace"), ": claims key_id ", F.col("key_id"), f", signed by {own}")
+        parts.append(_finding(odd_key_ids(entries, states, own), 0, F.col("trace_id"), F.lit(1), F.col("seq_in_trace"), F.col("trace_id"), F.lit("key_id_field_mismatch"), "advisory", detail))
     linked = payload_hashes(checkpoints)
     bad_sig = none if public is None else ed25519.verified(public, F.encode(checkpoint_payload(), "UTF-8"), F.lit("ed25519"), F.col("signature"))
-    link = F.when(F.col("prev_checkpoint_hash") != F.col("expected_prev"), F.format_string("prev_checkpoint_hash mismatch: got %s, want %s", "prev_checkpoint_hash", "expected_prev"))
-    wrong = linked.withColumn("bad_sig", bad_sig).withColumn("error", F.coalesce(link, F.concat(F.lit("checkpoint: "), F.col("bad_sig")))).where("error is not null")
-    seq = F.concat(F.lit("seq "), F.col("checkpoint_seq").cast("string"), F.lit(": "))
-    parts.append(_finding(wrong, 1, F.lpad(F.col("line_no").cast("string"), 20, "0"), zero, zero, F.lit(""), F.lit("checkpoint"), "fatal", F.concat(seq, F.col("error"))))
+    link = F.when(F.col("prev_checkpoint_hash") != F.col("expected_prev"), text("links to ", F.col("prev_checkpoint_hash"), ", the one before is ", F.col("expected_prev")))
+    wrong = linked.withColumn("bad_sig", bad_sig).withColumn("error", F.coalesce(link, F.col("bad_sig"))).where("error is not null")
+    line = F.lpad(word("line_no"), 20, "0")
+    seq = text("checkpoint ", word("checkpoint_seq"), ": ")
+    parts.append(_finding(wrong, 1, line, zero, zero, F.lit(""), F.lit("checkpoint"), "fatal", F.concat(seq, F.col("error"))))
     if strict_seq:
-        gap = checkpoints.withColumn("before", F.lag("checkpoint_seq", 1, 0).over(Window.orderBy("line_no"))).where("checkpoint_seq <> before + 1")
-        parts.append(_finding(gap, 1, F.lpad(F.col("line_no").cast("string"), 20, "0"), zero, F.lit(1), F.lit(""), F.lit("checkpoint"), "fatal", F.concat(seq, F.lit("checkpoint_seq is not one more than the one before"))))
-    met = checkpoints.select("line_no", F.posexplode("trace_tips").alias("pos", "tip")).select("line_no", "pos", "tip.*").join(states, "trace_id", "left")
-    line = F.lpad(F.col("line_no").cast("string"), 20, "0")
-    logged = F.coalesce("n", F.lit(0))
-    parts.append(_finding(met.where(logged != F.col("entry_count")), 1, line, F.col("pos") + 1, zero, F.col("trace_id"), F.lit("entry_count_mismatch"), "fatal", F.concat(F.lit("checkpoint says "), F.col("entry_count").cast("string"), F.lit(", log has "), logged.cast("string"))))
-    failed = F.col("n").isNotNull() & F.col("tip").isNull()
-    kind = F.when(failed, "tip_hash_unverifiable").when(F.col("tip") != F.col("tip_hash"), "tip_hash_mismatch")
-    detail = F.when(failed, F.concat(F.lit("chain verification failed; checkpoint tip_hash "), F.col("tip_hash"), F.lit(" cannot be confirmed"))).otherwise(F.concat(F.lit("checkpoint tip_hash "), F.col("tip_hash"), F.lit(", recomputed "), F.col("tip")))
-    parts.append(_finding(met.withColumn("kind", kind).where("kind is not null"), 1, line, F.col("pos") + 1, F.lit(1), F.col("trace_id"), F.col("kind"), "fatal", detail))
+        before = checkpoints.select((F.col("line_no") + 1).alias("_next"), F.col("checkpoint_seq").alias("_before"))
+        gap = checkpoints.join(before, F.col("line_no") == F.col("_next"), "left").where(F.col("checkpoint_seq") != F.coalesce("_before", zero) + 1)
+        parts.append(_finding(gap, 1, line, zero, F.lit(1), F.lit(""), F.lit("checkpoint"), "fatal", F.concat(seq, F.lit("its number doesn't follow the one before"))))
+    told = (
+        F.when(F.col("kind") == "entry_count_mismatch", text("checkpoint counts ", word("entry_count"), " entries, the log has ", word("logged")))
+        .when(F.col("kind") == "tip_hash_unverifiable", text("the chain failed, so tip ", F.col("tip_hash"), " can't be compared"))
+        .otherwise(text("checkpoint has tip ", F.col("tip_hash"), ", the log gives ", F.col("tip")))
+    )
+    last = (F.col("kind") != "entry_count_mismatch").cast("int")
+    parts.append(_finding(cross_checks(states, checkpoints), 1, line, F.col("pos") + 1, last, F.col("trace_id"), F.col("kind"), "fatal", told))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -163,11 +218,25 @@ def label(trace_id: str, kind: str) -> str:
     return trace_id or ("audit log" if kind == "torn_trailing_line" else "checkpoint")
 
 
+def label_column(trace_id: Column, kind: Column) -> Column:
+    """``label`` of rows of findings."""
+    return F.when(trace_id != "", trace_id).when(kind == "torn_trailing_line", "audit log").otherwise("checkpoint")
+
+
+# Short escapes of a quoted text; other characters outside printable ASCII are written by their numbers.
+_SHORT = {7: "\\a", 8: "\\b", 9: "\\t", 10: "\\n", 11: "\\v", 12: "\\f", 13: "\\r", 34: '\\"', 92: "\\\\"}
+
+
 def quoted(text: str, most: int) -> str:
-    """Untrusted text as an ASCII literal of at most ``most`` bytes, cut between characters."""
+    """Untrusted text as an ASCII literal of at most ``most`` bytes, cut between characters, and what was left out."""
     raw = text.encode("utf-8", "surrogatepass")
     cut = raw[:most].decode("utf-8", "ignore") if len(raw) > most else text
-    return json.dumps(cut) + ("..." if len(raw) > most else "")
+    out = []
+    for c in map(ord, cut):
+        plain = chr(c) if 32 <= c < 127 else f"\\x{c:02x}" if c < 128 else f"\\u{c:04x}" if c < 1 << 16 else f"\\U{c:08x}"
+        out.append(_SHORT.get(c, plain))
+    rest = len(raw) - len(cut.encode("utf-8", "surrogatepass"))
+    return f'"{"".join(out)}"' + (f" [truncated: {rest} more byte(s)]" if rest else "")
 
 
 def report(entries: DataFrame, checkpoints: DataFrame, public: bytes, torn: str | None = None) -> Report:
