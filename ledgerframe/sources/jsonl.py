@@ -1,6 +1,6 @@
 """Ordered reading and writing of line-delimited JSON logs.
 
-Files are split over tasks; the order of lines is (file offset of the split, position within it). Blank lines don't
+Files are split over tasks; the order of lines is (file, offset of the split, position within it). Blank lines don't
 count. A bad last line is a torn write, reported or dropped; any other bad line of a log is an error.
 """
 
@@ -11,12 +11,13 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.profile import unix_nano
+from ..operators.stage import kept
 
 #: Longest line that is read.
 MOST_BYTES = 4 << 20
@@ -62,25 +63,27 @@ class MalformedLine(ValueError):
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(order, line) of the non-blank lines of a file, trimmed; a missing file is empty. ``order`` grows with the
-    place in the file and has gaps."""
+    """(order, line) of the non-blank lines of a file, or of the files of a folder in the order of their paths, trimmed;
+    a missing file is empty. ``order`` grows with the place of a line and has gaps."""
     try:
-        raw = spark.read.option("lineSep", "\n").text(path)
+        raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], "order struct<block:long,row:long>, line string")
-    placed = raw.select(F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("order"), F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("line"))
+        return spark.createDataFrame([], "order struct<file:string,block:long,row:long>, line string")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    placed = raw.select(place.alias("order"), F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("line"))
     return placed.where("line <> ''")
 
 
 def numbered(rows: DataFrame) -> DataFrame:
     """``rows`` of ``lines()`` with line_no, from 1: counts per split first, so only they meet in one window."""
-    block = F.col("order.block")
-    counts = rows.groupBy(block.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    split = F.struct("order.file", "order.block")
+    counts = rows.groupBy(split.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("b", (F.sum("n").over(Window.orderBy("b")) - F.col("n")).alias("before"))
-    own = F.row_number().over(Window.partitionBy(block).orderBy("order.row"))
-    return rows.withColumn("_own", own).join(before, block == F.col("b")).select((F.col("_own") + F.col("before")).cast("long").alias("line_no"), "line")
+    own = F.row_number().over(Window.partitionBy(split).orderBy("order.row"))
+    placed = rows.withColumn("_own", own).withColumn("_b", split).join(before, F.col("_b") == F.col("b"))
+    return placed.select((F.col("_own") + F.col("before")).cast("long").alias("line_no"), "line")
 
 
 def _fits(value, kind: T.DataType):
@@ -141,12 +144,15 @@ def _as_dict(value, kind: T.DataType):
 
 
 def _strict(found: DataFrame) -> tuple[DataFrame, str | None]:
-    """Good rows, and the text of a torn last line; raises on a bad line before it."""
-    bad = found.where((F.col("error").isNotNull()) | (F.col("size") > MOST_BYTES)).orderBy("line_no").limit(2).collect()
-    last = found.agg(F.max("line_no")).first()[0]
-    if bad and (bad[0].line_no != last or bad[0].size > MOST_BYTES):
-        raise MalformedLine(f"line {bad[0].line_no}: {bad[0].error or 'too long'}")
-    return found.where("error is null"), (f"line {bad[0].line_no}: {bad[0].error}" if bad else None)
+    """Good rows, and the text of a torn last line; raises on a bad line before it. Lines are parsed once, and one
+    aggregation tells whether all is well."""
+    found = kept(found)
+    bad = F.col("error").isNotNull() | (F.col("size") > MOST_BYTES)
+    first = F.min(F.when(bad, F.struct("line_no", "error", "size"))).alias("first")
+    seen = found.agg(F.max("line_no").alias("last"), first).first()
+    if seen.first and (seen.first.line_no != seen.last or seen.first.size > MOST_BYTES):
+        raise MalformedLine(f"line {seen.first.line_no}: {seen.first.error or 'too long'}")
+    return found.where("error is null"), (f"line {seen.first.line_no}: {seen.first.error}" if seen.first else None)
 
 
 def read_entries(spark: SparkSession, path: str) -> tuple[DataFrame, str | None]:
@@ -174,14 +180,20 @@ def read_wal(spark: SparkSession, path: str) -> DataFrame:
     return good.select("line_no", "value.type", "value.trace_id", *[F.col(f"value.record.{f.name}") for f in RECORD.fields if f.name != "trace_id"], "value.tip_hash", "value.entry_count")
 
 
-def write_lines(rows: DataFrame, path: str, *order: str) -> None:
-    """Write the column ``line`` as text files that sort in the given order."""
-    rows.orderBy(*order).select("line").write.mode("append").text(path)
+def batch_path(path: str, batch_id: int) -> str:
+    """The folder of a batch; folders sort by name as the batches by number."""
+    return f"{path.rstrip('/')}/batch={batch_id:012d}"
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append a batch of a stream so that a repeated batch replaces itself: one folder for each batch id."""
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+def write_batch(rows: DataFrame, path: str, batch_id: int, *order: str) -> None:
+    """Write the column ``line`` of a batch of a stream as text, in the given order, so that a repeated batch replaces
+    itself: one folder for each batch id, which appears as a whole when Spark commits it."""
+    rows.orderBy(*order).select("line").write.mode("overwrite").text(batch_path(path, batch_id))
+
+
+def dropped_prefix(fragment: Column, most: int = 256) -> Column:
+    """What a repair tells of the bytes it dropped: the first ``most`` of them."""
+    return F.substring(fragment, 1, most)
 
 
 def torn_tail(tail: bytes, most: int = MOST_BYTES) -> tuple[str, int]:

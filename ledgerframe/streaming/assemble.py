@@ -1,25 +1,21 @@
-"""Streaming trace assembly and sealing.
+"""Streaming trace assembly.
 
 Spans of a trace are held in state until its root has come (with all spans of the same batch) or until it was idle for
 ``timeout_ms`` of processing time; then the trace is emitted once. Spans that come later pass through marked as late
-while the emission is remembered, which is for twice the timeout. Time is that of arrival: there is no watermark.
+while the emission is remembered, which is for twice the timeout from the emission on, however many late spans come.
+After that a span starts its trace anew. Time is that of arrival: there is no watermark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.jsonbytes import canonical_checkpoint, canonical_entry
-from ..operators import chain, records
-from ..sources import jsonl
-
 SPAN = T.StructType(
     [
         T.StructField("trace_id", T.StringType()),
@@ -31,62 +27,39 @@ SPAN = T.StructType(
 )
 ASSEMBLED = T.StructType([*SPAN.fields, T.StructField("segment", T.StringType())])
 
-
-@dataclass(frozen=True)
-class Settings:
-    """Checked settings; zeros stand for the defaults."""
-
-    log_path: str
-    checkpoint_path: str
-    timeout_ms: int = 30_000
-    checkpoint_interval: int = 100
-    max_pending: int = 0
-    min_retry_ms: int = 1000
-
-    def __post_init__(self):
-        if not self.log_path or not self.checkpoint_path:
-            raise ValueError("log_path and checkpoint_path are required")
-        if self.log_path == self.checkpoint_path or self.checkpoint_path == f"{self.log_path}.quarantine":
-            raise ValueError("paths must differ")
-        if self.timeout_ms < 0 or self.checkpoint_interval < 0 or self.min_retry_ms < 0:
-            raise ValueError("settings can't be negative")
-        if 0 < self.max_pending < self.interval:
-            raise ValueError("max_pending can't be less than the checkpoint interval")
-
-    @property
-    def interval(self) -> int:
-        return self.checkpoint_interval or 100
-
-    @property
-    def pending_cap(self) -> int:
-        return self.max_pending or 10 * self.interval
-
-    @property
-    def timeout(self) -> int:
-        return self.timeout_ms or 30_000
-
-
-#: Spans of a trace that is still open, as parallel arrays by span id, and whether the trace was emitted.
+#: Spans of a trace that is still open, as parallel arrays, and when the trace was emitted (0: not yet).
 STATE = T.StructType(
     [
         T.StructField("span_ids", T.ArrayType(T.StringType())),
         T.StructField("parents", T.ArrayType(T.StringType())),
         T.StructField("arrivals", T.ArrayType(T.LongType())),
         T.StructField("payloads", T.ArrayType(T.StringType())),
-        T.StructField("emitted", T.BooleanType()),
+        T.StructField("emitted_ms", T.LongType()),
     ]
 )
 
 
+def carried(spans: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Spans of any columns in the columns of SPAN: the whole span is the payload, as JSON. ``arrival`` orders spans of
+    one id; without it, it is the time at which the batch is read."""
+    when = F.unix_millis(F.current_timestamp()) if arrival is None else F.col(arrival).cast("long")
+    return spans.select("trace_id", "span_id", "parent_span_id", when.alias("arrival"), F.to_json(F.struct("*")).alias("payload"))
+
+
+def restored(assembled: DataFrame, schema: T.StructType) -> DataFrame:
+    """The spans that ``carried`` packed, with arrival and segment."""
+    return assembled.select("arrival", "segment", F.from_json("payload", schema).alias("x")).select("x.*", "arrival", "segment")
+
+
 def _assembler(timeout_ms: int):
     def emit(key, spans: dict, state: GroupState, segment: str) -> pd.DataFrame:
         # what is left is the memory of the emission, which a timer ends
-        state.update(([], [], [], [], True))
+        state.update(([], [], [], [], state.getCurrentProcessingTimeMs()))
         state.setTimeoutDuration(2 * timeout_ms)
         return pd.DataFrame([(key[0], k, *v, segment) for k, v in sorted(spans.items())], columns=ASSEMBLED.fieldNames())
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ids, parents, arrivals, payloads, emitted = state.get if state.exists else ([], [], [], [], False)
+        ids, parents, arrivals, payloads, emitted = state.get if state.exists else ([], [], [], [], 0)
         spans = {k: v for k, *v in zip(ids, parents, arrivals, payloads)}
         if state.hasTimedOut:
             if emitted:
@@ -95,17 +68,18 @@ def _assembler(timeout_ms: int):
                 yield emit(key, spans, state, "partial")
             return
         rows = pd.concat(list(frames))
-        if emitted:
-            state.setTimeoutDuration(2 * timeout_ms)
+        left = emitted + 2 * timeout_ms - state.getCurrentProcessingTimeMs()
+        if emitted and left > 0:
+            state.setTimeoutDuration(int(left))
             yield rows[SPAN.fieldNames()].assign(segment="late")
             return
-        for r in rows.sort_values("arrival").itertuples(index=False):
+        for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
             if r.span_id not in spans or spans[r.span_id][1] <= r.arrival:
                 spans[r.span_id] = [r.parent_span_id, int(r.arrival), r.payload]
-        if any(v[0] == "" for v in spans.values()):
+        if any(not v[0] for v in spans.values()):
             yield emit(key, spans, state, "complete")
         else:
-            state.update((list(spans), *[[v[k] for v in spans.values()] for k in range(3)], False))
+            state.update((list(spans), *[[v[k] for v in spans.values()] for k in range(3)], 0))
             state.setTimeoutDuration(timeout_ms)
 
     return run
@@ -117,33 +91,16 @@ def assemble(spans: DataFrame, timeout_ms: int = 30_000) -> DataFrame:
     return by.applyInPandasWithState(_assembler(timeout_ms), ASSEMBLED, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def seal(records_: DataFrame, settings: Settings, key: bytes, stamp: str, batch_id: int, tips_so_far: int = 0) -> None:
-    """Seal the traces of a micro-batch: sequence, hash, sign and append, then commit their tips in checkpoints.
+def flushed(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a stopped stream still holds of open traces, in the columns of ASSEMBLED, as partial segments.
 
-    Rows go to one folder for each batch id, so a batch that is repeated after a failure replaces what it wrote.
+    The state is read from the stream's checkpoint folder; it is not changed, so a stream that is started again from
+    there would emit these traces once more: flush a stream that ends for good.
     """
-    from pyspark.sql import Window
-
-    sealed = chain.hash_entries(records.with_sequence(records_), key)
-    lines = sealed.select("trace_id", "seq_in_trace", canonical_entry().alias("line"), "entry_hash")
-    jsonl.write_batch(lines, settings.log_path, batch_id)
-    written = records_.sparkSession.read.parquet(f"{settings.log_path.rstrip('/')}/batch={batch_id}")
-    tips = written.groupBy("trace_id").agg(F.max_by("entry_hash", "seq_in_trace").alias("tip_hash"), F.count(F.lit(1)).alias("entry_count"))
-    tips = tips.withColumn("seal_no", F.row_number().over(Window.orderBy("trace_id")) - 1 + tips_so_far)
-    commit(chain.checkpoint_batches(tips, settings.interval), settings, key, stamp, batch_id)
-
-
-def commit(tips: DataFrame, settings: Settings, key: bytes, stamp: str, batch_id: int) -> None:
-    """Sign and append the checkpoints of a batch; the payload's signature is made where the row is."""
-    import base64
-
-    from ..functions import ed25519
-    from ..functions.jsonbytes import checkpoint_payload
-
-    @F.pandas_udf("string")
-    def signed(payload: pd.Series) -> pd.Series:
-        return payload.map(lambda p: base64.b64encode(ed25519.sign(key, p.encode())).decode())
-
-    cps = chain.checkpoints(tips, F.lit(stamp), ed25519.key_id(ed25519.public_key(key)))
-    cps = cps.withColumn("signature", signed(checkpoint_payload()))
-    jsonl.write_batch(cps.select("checkpoint_seq", canonical_checkpoint().alias("line")), settings.checkpoint_path, batch_id)
+    held = spark.read.format("statestore").load(checkpoint)
+    fields = {f.name.lower(): f for f in held.schema["value"].dataType.fields}
+    state = "value.groupState" if "groupstate" in fields else "value"
+    open_ = held.select("key.trace_id", F.col(state).alias("s")).where("s.emitted_ms = 0")
+    each = F.explode(F.arrays_zip("s.span_ids", "s.parents", "s.arrivals", "s.payloads"))
+    rows = open_.select("trace_id", each.alias("x"))
+    return rows.select("trace_id", F.col("x.span_ids").alias("span_id"), F.col("x.parents").alias("parent_span_id"), F.col("x.arrivals").alias("arrival"), F.col("x.payloads").alias("payload"), F.lit("partial").alias("segment"))
