@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.jsonbytes import canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
+from ..functions.jsonbytes import canonical_checkpoint, canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
 from ..functions.profile import id_check, unix_nano_column
-from ..operators import chain, records, verify, wal
-from ..sources import datasets
+from ..operators import chain, records, stage, verify, wal
+from ..sources import datasets, jsonl, otlp
+from ..streaming import assemble, seal
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, Query] = {}
@@ -35,9 +38,7 @@ def _sequenced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tips(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return chain.chain_tips(_sequenced(spark, sf)).withColumn("seal_no", F.row_number().over(Window.orderBy("trace_id")) - 1)
+    return stage.numbered(chain.chain_tips(_sequenced(spark, sf)), "trace_id")
 
 
 def _batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,22 +54,29 @@ def _user(trace: str = "trace_id"):
 
 
 def _tampered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """A log with edited and repeated entries and missing traces, and checkpoints with some made-up tips."""
+    """A log with edited and repeated entries and missing traces, and checkpoints with some made-up tips and links."""
     sealed = chain.hash_entries(_sequenced(spark, sf))
     log = sealed.where(_user() % 7 != 3).withColumn("span_name", F.when(F.col("event_id") % 997 == 0, F.lit("edited")).otherwise(F.col("span_name")))
-    log = log.unionByName(log.where("event_id % 991 = 0"))
+    log = stage.kept(log.unionByName(log.where("event_id % 991 = 0")))
     b = _batches(spark, sf).withColumn("tip_hash", F.when(F.col("seal_no") % 13 == 5, F.lit("a" * 64)).otherwise(F.col("tip_hash")))
-    return log, chain.checkpoints(b, F.lit(_STAMP), "k").withColumn("line_no", F.col("checkpoint_seq")).withColumn("signature", F.lit(""))
+    cps = chain.checkpoints(b, F.lit(_STAMP), "k").withColumn("line_no", F.col("checkpoint_seq")).withColumn("signature", F.lit(""))
+    return log, stage.kept(_unlinked(cps))
 
 
-def _met(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    return verify.findings(*_tampered(spark, sf), public=None).where(F.col("kind") == kind)
+def _unlinked(cps: DataFrame) -> DataFrame:
+    """Checkpoints of which every third links to nothing."""
+    return cps.withColumn("prev_checkpoint_hash", F.when(F.col("checkpoint_seq") % 3 == 2, F.lit("b" * 64)).otherwise(F.col("prev_checkpoint_hash")))
 
 
-def _tips_of(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+def _contradicted(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     log, cps = _tampered(spark, sf)
-    named = cps.select("checkpoint_seq", F.explode("trace_tips").alias("t")).select("checkpoint_seq", "t.*")
-    return named.join(verify.findings(log, cps, None).where(F.col("kind") == kind).select("trace_id", "detail"), "trace_id")
+    return verify.cross_checks(stage.kept(verify.chain_states(log, None)), cps).where(F.col("kind") == kind)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the session's checkpoints."""
+    stage.kept(spark.range(0))
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 @query
@@ -138,17 +146,17 @@ def flt7_fatal_count(spark, sf):
 
 @query
 def jn1_entry_count_mismatch(spark, sf):
-    return _tips_of(spark, sf, "entry_count_mismatch").select("checkpoint_seq", "trace_id", "entry_count", F.regexp_extract("detail", r"has (\d+)", 1).cast("long").alias("logged"))
+    return _contradicted(spark, sf, "entry_count_mismatch").select("checkpoint_seq", "trace_id", "entry_count", "logged")
 
 
 @query
 def jn2_tip_unverifiable(spark, sf):
-    return _tips_of(spark, sf, "tip_hash_unverifiable").select("checkpoint_seq", "trace_id", "tip_hash")
+    return _contradicted(spark, sf, "tip_hash_unverifiable").select("checkpoint_seq", "trace_id", "tip_hash")
 
 
 @query
 def jn3_tip_mismatch(spark, sf):
-    return _tips_of(spark, sf, "tip_hash_mismatch").select("checkpoint_seq", "trace_id", "tip_hash", F.substring("detail", -64, 64).alias("tip"))
+    return _contradicted(spark, sf, "tip_hash_mismatch").select("checkpoint_seq", "trace_id", "tip_hash", "tip")
 
 
 @query
@@ -199,8 +207,9 @@ def ag2_dedupe_last_wins(spark, sf):
 
 @query
 def ag3_processed(spark, sf):
-    traces = _records(spark, sf).agg(F.countDistinct("trace_id").alias("traces"))
-    return traces.join(_checkpoints(spark, sf).agg(F.count("*").alias("checkpoints")), F.lit(True))
+    traces = _records(spark, sf).agg(F.countDistinct("trace_id").alias("traces")).withColumn("checkpoints", F.lit(0).cast("long"))
+    cps = _checkpoints(spark, sf).agg(F.count("*").alias("checkpoints")).withColumn("traces", F.lit(0).cast("long"))
+    return traces.unionByName(cps).agg(F.sum("traces").alias("traces"), F.sum("checkpoints").alias("checkpoints"))
 
 
 @query
@@ -233,11 +242,10 @@ def ag8_has_root(spark, sf):
 
 @query
 def ag11_merkle_root(spark, sf):
-    from pyspark.sql import Window
-
     e = datasets.table(spark, sf, "events")
-    leaves = e.select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1).alias("leaf_no"), sha256_hex(F.col("event_id").cast("string")).alias("leaf"))
-    return chain.merkle_root(leaves, ["user_id"])
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    leaves = e.select("user_id", place.alias("leaf_no"), sha256_hex(F.col("event_id").cast("string")).alias("leaf"))
+    return chain.batch_roots(e.select("user_id"), leaves.where("user_id % 5 <> 0"), ["user_id"])
 
 
 @query
@@ -263,8 +271,6 @@ def wn3_checkpoint_link(spark, sf):
 
 @query
 def wn4_adjacent_duplicates(spark, sf):
-    from pyspark.sql import Window
-
     e = datasets.table(spark, sf, "events").select("user_id", (F.col("event_id") % 50).alias("seq"))
     again = e.withColumn("same", F.lag("seq").over(Window.partitionBy("user_id").orderBy("seq")) == F.col("seq"))
     return again.where("same").groupBy("user_id", "seq").agg(F.count("*").alias("repeats"))
@@ -288,23 +294,19 @@ def vf1_chain_states(spark, sf):
 
 @query
 def vf3_checkpoint_links(spark, sf):
-    cps = _checkpoints(spark, sf).withColumn("line_no", F.col("checkpoint_seq")).withColumn("prev_checkpoint_hash", F.when(F.col("checkpoint_seq") % 3 == 2, F.lit("b" * 64)).otherwise(F.col("prev_checkpoint_hash")))
-    stored = chain.payload_hashes(cps)
-    # an edited row changes its own payload, so the row after it no longer links either; only the edit itself is kept here
-    return stored.where("prev_checkpoint_hash <> expected_prev and checkpoint_seq % 3 = 2").select("checkpoint_seq")
+    cps = _unlinked(_checkpoints(spark, sf).withColumn("line_no", F.col("checkpoint_seq")))
+    return verify.bad_links(cps).select("checkpoint_seq", "prev_checkpoint_hash", "expected_prev")
 
 
 @query
 def vf4_findings(spark, sf):
-    found = verify.findings(*_tampered(spark, sf), public=None).where("kind <> 'checkpoint'")
-    return found.groupBy("trace_id", "kind").agg(F.count("*").alias("n"))
+    return verify.findings(*_tampered(spark, sf), public=None).groupBy("trace_id", "kind", "severity").agg(F.count("*").alias("n"))
 
 
 @query
 def vf6_key_id_mismatch(spark, sf):
-    own = "signer"
-    r = _records(spark, sf).withColumn("key_id", F.when(F.col("event_id") % 5 == 1, "other").when(F.col("event_id") % 5 == 2, "").otherwise(own))
-    return r.where((F.col("key_id") != "") & (F.col("key_id") != own)).select("trace_id", "span_id")
+    log = _tampered(spark, sf)[0].withColumn("key_id", F.when(F.col("event_id") % 5 == 1, "other").when(F.col("event_id") % 5 == 2, "").otherwise("signer"))
+    return verify.odd_key_ids(log, verify.chain_states(log, None), "signer").select("trace_id", "span_id", "key_id")
 
 
 @query
@@ -320,9 +322,11 @@ def so4_sorted_spans(spark, sf):
 
 @query
 def src4_last_checkpoint(spark, sf):
-    good = _checkpoints(spark, sf).where("checkpoint_seq % 4 <> 0")
-    last = good.agg(F.max_by(F.struct("checkpoint_seq", "prev_checkpoint_hash"), "checkpoint_seq").alias("x"))
-    return last.select("x.*")
+    line = canonical_checkpoint()
+    lines = _checkpoints(spark, sf).withColumn("signature", F.lit("")).select("checkpoint_seq", F.when(F.col("checkpoint_seq") % 4 == 0, F.substring(line, 1, 90)).otherwise(line).alias("line"))
+    path = _folder(spark, "checkpoints")
+    jsonl.write_batch(lines, path, 0, "checkpoint_seq")
+    return jsonl.last_checkpoint(spark, path).select("checkpoint_seq", "prev_checkpoint_hash")
 
 
 @query
@@ -333,7 +337,7 @@ def tk1_trim_pending(spark, sf):
 @query
 def tk3_fragment_prefix(spark, sf):
     c = datasets.table(spark, sf, "conversations")
-    return c.select("conv_id", "turn", F.hex(F.substring(F.encode("text", "UTF-8"), 1, 32)).alias("prefix"))
+    return c.select("conv_id", "turn", F.hex(jsonl.dropped_prefix(F.encode("text", "UTF-8"))).alias("prefix"))
 
 
 @query
@@ -356,7 +360,7 @@ def fn1_canonical_bytes(spark, sf):
 
 @query
 def fn1_json_strings(spark, sf):
-    return datasets.table(spark, sf, "conversations").where("text is not null").select("conv_id", "turn", json_string(F.col("text")).alias("quoted"))
+    return datasets.table(spark, sf, "conversations").select("conv_id", "turn", json_string(F.col("text")).alias("quoted"))
 
 
 @query
@@ -379,8 +383,8 @@ def fn4_genesis_seed(spark, sf):
 def fn9_finding_labels(spark, sf):
     u = datasets.table(spark, sf, "events").select("user_id").distinct()
     m = F.col("user_id") % 3
-    found = u.select("user_id", F.when(m == 0, F.col("user_id").cast("string")).otherwise("").alias("trace_id"), F.when(m == 1, "torn_trailing_line").otherwise("checkpoint").alias("kind"))
-    return found.select("user_id", F.when(F.col("trace_id") != "", F.col("trace_id")).when(F.col("kind") == "torn_trailing_line", "audit log").otherwise("checkpoint").alias("label"))
+    trace, kind = F.when(m == 0, F.col("user_id").cast("string")).otherwise(""), F.when(m == 1, "torn_trailing_line").otherwise("checkpoint")
+    return u.select("user_id", verify.label_column(trace, kind).alias("label"))
 
 
 @query
@@ -403,8 +407,10 @@ def fn13_id_checks(spark, sf):
 
 @query
 def ss6_scope_groups(spark, sf):
-    spans = datasets.event_spans(spark, sf).withColumn("scope", _user() % 4)
-    return spans.groupBy(F.col("name").alias("event_type"), "scope").agg(F.count("*").alias("n"))
+    pair = lambda k, v: F.array(F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")))
+    spans = datasets.event_spans(spark, sf).withColumns({"segment": F.lit("complete"), "resource_schema": F.lit(""), "scope_schema": F.lit(""), "scope_name": F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")), "scope_version": F.lit("1"), "resource_attributes": pair("host", F.col("event_id") % 2), "scope_attributes": pair("x", F.lit("y"))})
+    out = otlp.regrouped(spans, "span_id", "name")
+    return out.select("trace_id", "resource_key", "scope_name", F.array_join("spans.span_id", ",").alias("spans"))
 
 
 @query
@@ -425,4 +431,62 @@ def snk4_quarantine(spark, sf):
 
 @query
 def src1_span_ingest(spark, sf):
-    return _records(spark, sf).groupBy("trace_id").agg(F.count("*").alias("n_spans"), F.countDistinct("span_name").alias("names"))
+    return records.to_records(otlp.spans(_requests(spark, sf))).select("trace_id", "span_id", "parent_span_id", F.col("start_time_unix_nano").cast("string").alias("start_ns"), "span_name", "otel_kind", "status", "audit_kind", json_attributes(F.col("selected_attributes")).alias("attributes_json"))
+
+
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as export requests in JSON, one for each user, with attributes of all kinds."""
+    e = datasets.event_spans(spark, sf)
+    text = F.transform("attributes", lambda a: F.struct(a["key"].alias("key"), F.struct(a["value"].alias("stringValue")).alias("value")))
+    typed = lambda key, kind, value: F.struct(F.lit(key).alias("key"), F.struct(value.alias(kind)).alias("value"))
+    more = [("gen_ai.usage.input_tokens", "intValue", F.col("event_id").cast("string")), ("gen_ai.usage.output_tokens", "doubleValue", F.col("event_id") / 4), ("gen_ai.request.model", "boolValue", F.col("event_id") % 2 == 0)]
+    named = [F.to_json(F.array(typed(*m))) for m in more]
+    joined = F.concat(F.to_json(text), *named)
+    attributes = F.regexp_replace(joined, r"\]\[", ",")
+    one = F.concat(F.lit('{"attributes":'), attributes, F.lit(","), F.substring(F.to_json(F.struct(F.col("trace_id").alias("traceId"), F.col("span_id").alias("spanId"), F.col("parent_span_id").alias("parentSpanId"), "name", "kind", F.col("start_time_unix_nano").cast("string").alias("startTimeUnixNano"), F.col("end_time_unix_nano").alias("endTimeUnixNano"), F.struct(F.col("status_code").alias("code")).alias("status"))), 2, 1 << 20))
+    by = e.select("trace_id", one.alias("x")).groupBy("trace_id").agg(F.array_join(F.collect_list("x"), ",").alias("x"))
+    return by.select(F.concat(F.lit('{"resourceSpans":[{"scopeSpans":[{"scope":{"name":"s"},"spans":['), "x", F.lit("]}]}]}")).alias("value"))
+
+
+@query
+def prj3_attribute_text(spark, sf):
+    e = datasets.table(spark, sf, "events").select("event_id", (F.col("event_id") % 7).alias("m"))
+    n = F.col("event_id").cast("string")
+    tag = lambda kind, x: F.concat(F.lit(f'{{"{kind}":'), x, F.lit("}"))
+    quote = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    raw = F.when(F.col("m") == 0, tag("stringValue", quote(n))).when(F.col("m") == 1, tag("intValue", quote(n))).when(F.col("m") == 2, tag("doubleValue", (F.col("event_id") / 4).cast("string"))).when(F.col("m") == 3, tag("boolValue", (F.col("event_id") % 2 == 0).cast("string"))).when(F.col("m") == 4, tag("bytesValue", quote(F.base64(F.encode(n, "UTF-8")))))
+    items = tag("arrayValue", F.concat(F.lit('{"values":['), tag("intValue", n), F.lit(',{"stringValue":"<x>"}]}')))
+    raw = raw.when(F.col("m") == 5, items).otherwise(F.lit("{}"))
+    return e.select("event_id", otlp.value_texts(F.array(raw))[0].alias("text"))
+
+
+@query
+def fn7_attributes_key(spark, sf):
+    e = datasets.table(spark, sf, "events")
+    pair = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"))
+    given = F.when(F.col("event_id") % 2 == 0, F.array(pair("b", F.col("event_type")), pair("a", F.col("user_id")))).otherwise(F.array(pair("a", F.col("user_id")), pair("b", F.col("event_type"))))
+    return e.groupBy(otlp.attributes_key(given).alias("attributes")).agg(F.count("*").alias("n"))
+
+
+@query
+def tk4_drop_pending(spark, sf):
+    left, dropped = chain.drop_pending(_tips(spark, sf))
+    return left.agg(F.count("*").alias("pending")).withColumn("dropped", F.lit(dropped).cast("long"))
+
+
+@query
+def ss8_sealed_batches(spark, sf):
+    """Three batches of traces, the last one twice, sealed one after the other, read back and verified."""
+    spans = datasets.event_spans(spark, sf).drop("event_id")
+    settings = seal.Settings(path := _folder(spark, "sealed"), f"{path}.checkpoints", checkpoint_interval=20)
+    sealer = seal.Sealer(settings, T.StructType(spans.schema.fields), stamp=lambda: _STAMP)
+    packed = stage.kept(assemble.carried(spans, "start_time_unix_nano").withColumn("segment", F.lit("complete")))
+    for k in (0, 1, 2, 2):
+        sealer(packed.where(_user() % 3 == k), k)
+    entries, torn = jsonl.read_entries(spark, settings.log_path)
+    cps = jsonl.read_checkpoints(spark, settings.checkpoint_path)
+    found = verify.findings(entries, cps, None, torn).count()
+    tips = cps.select("checkpoint_seq", F.size("trace_tips").alias("tips"))
+    passed = sealer.passed(spark, 3)
+    per = tips.agg(F.count("*").alias("checkpoints"), F.coalesce(F.sum("tips"), F.lit(0)).alias("covered"))
+    return per.withColumns({"findings": F.lit(found).cast("long"), "entries": F.lit(entries.count()).cast("long"), "pending": F.lit(len(passed["pending"])).cast("long"), "sealed": F.lit(passed["sealed"]).cast("long")})

@@ -70,9 +70,23 @@ TAMPERED = (
     + """,
 st AS (SELECT user_id, trace_id, count(*) AS n0, bool_or(event_id % 997 = 0) AS edited, bool_or(event_id % 991 = 0) AS repeated, count(*) + count(*) FILTER (event_id % 991 = 0) AS n FROM c WHERE user_id % 7 <> 3 GROUP BY user_id, trace_id),
 cs AS (SELECT st.*, tips.tip_hash AS tip, CASE WHEN repeated THEN 'dup' WHEN edited THEN 'bad' ELSE 'ok' END AS state FROM st JOIN tips USING (trace_id)),
-m AS (SELECT b.checkpoint_seq, b.trace_id, b.entry_count, CASE WHEN b.seal_no % 13 = 5 THEN repeat('a', 64) ELSE b.tip_hash END AS tip_hash, coalesce(cs.n, 0) AS n, cs.state, cs.tip FROM b LEFT JOIN cs USING (trace_id))
+made AS (SELECT * REPLACE (CASE WHEN seal_no % 13 = 5 THEN repeat('a', 64) ELSE tip_hash END AS tip_hash) FROM b),
+m AS (SELECT made.checkpoint_seq, made.trace_id, made.entry_count, made.tip_hash, coalesce(cs.n, 0) AS n, cs.state, cs.tip FROM made LEFT JOIN cs USING (trace_id))
 """
 )
+
+
+def _links(tips: str) -> str:
+    """``lk``: checkpoints over a table of tips, every third with a link to nothing, and what each should link to."""
+    return f"""
+lp AS (SELECT checkpoint_seq, '[' || string_agg({_TIP}, ',' ORDER BY trace_id) || ']' AS tips_json FROM {tips} GROUP BY checkpoint_seq),
+lq AS (SELECT checkpoint_seq, '{{"schema_version":"v3","checkpoint_seq":' || checkpoint_seq || ',"timestamp":"2026-01-01T00:00:00Z","prev_checkpoint_hash":"' AS head, '","trace_tips":' || tips_json || ',"key_id":"k","algorithm":"ed25519"}}' AS tail FROM lp),
+lf AS (SELECT list_reduce(list(head || '@' || tail ORDER BY checkpoint_seq), lambda a, x: a || sha256(encode(replace(x, '@', right(a, 64)))), repeat('0', 64)) AS links FROM lq),
+ls AS (SELECT checkpoint_seq, head, tail, CASE WHEN checkpoint_seq % 3 = 2 THEN repeat('b', 64) ELSE substr(links, CAST((checkpoint_seq - 1) * 64 + 1 AS BIGINT), 64) END AS prev_checkpoint_hash FROM lq, lf),
+lk AS (SELECT checkpoint_seq, prev_checkpoint_hash, coalesce(lag(sha256(encode(head || prev_checkpoint_hash || tail))) OVER (ORDER BY checkpoint_seq), repeat('0', 64)) AS expected_prev FROM ls)
+"""
+
+
 _WAL = f"""
 w AS (SELECT event_id AS line_no, CASE WHEN event_id % 100 = 97 THEN 'sealed' ELSE 'span' END AS type, {_hex('user_id', 32)} AS trace_id, CASE WHEN event_id % 100 <> 97 THEN {_hex('event_id % 13', 16)} END AS span_id,
   CASE WHEN event_id % 100 <> 97 THEN CASE WHEN user_id % 10 < 5 THEN 'v3' WHEN user_id % 10 < 7 THEN (CASE WHEN event_id % 2 = 0 THEN 'v2' ELSE 'v3' END) WHEN user_id % 10 < 8 THEN 'v1' WHEN user_id % 10 < 9 THEN (CASE WHEN event_id % 3 = 0 THEN 'v1' ELSE 'v3' END) ELSE 'v99' END END AS schema_version,
@@ -95,13 +109,20 @@ for _ in range(12):
     _MERKLE.append(f"SELECT user_id, n // 2 AS n, CASE WHEN max(CASE WHEN n % 2 = 1 THEN h END) IS NULL THEN max(CASE WHEN n % 2 = 0 THEN h END) ELSE sha256(unhex('01') || unhex(max(CASE WHEN n % 2 = 0 THEN h END)) || unhex(max(CASE WHEN n % 2 = 1 THEN h END))) END AS h FROM m{len(_MERKLE) - 1} GROUP BY user_id, n // 2")
 
 _FINDINGS = """
-SELECT trace_id, kind, n FROM (
+SELECT trace_id, kind, 'fatal' AS severity, n FROM (
  SELECT trace_id, CASE state WHEN 'dup' THEN 'duplicate_trace_segment' ELSE 'chain' END AS kind, CAST(1 AS BIGINT) AS n FROM cs WHERE state <> 'ok'
  UNION ALL SELECT trace_id, 'entry_count_mismatch', CAST(1 AS BIGINT) FROM m WHERE n <> entry_count
  UNION ALL SELECT trace_id, 'tip_hash_unverifiable', CAST(1 AS BIGINT) FROM m WHERE state IN ('dup', 'bad')
- UNION ALL SELECT trace_id, 'tip_hash_mismatch', CAST(1 AS BIGINT) FROM m WHERE state = 'ok' AND tip <> tip_hash)
+ UNION ALL SELECT trace_id, 'tip_hash_mismatch', CAST(1 AS BIGINT) FROM m WHERE state = 'ok' AND tip <> tip_hash
+ UNION ALL SELECT '', 'checkpoint', count(*) FROM lk WHERE prev_checkpoint_hash <> expected_prev HAVING count(*) > 0)
 """
 
+_quarter = "CASE WHEN event_id % 4 = 0 THEN CAST(event_id // 4 AS VARCHAR) ELSE CAST(event_id / 4 AS VARCHAR) END"
+#: Records whose attributes also came as numbers and booleans; these stand before others in the order of the list.
+_MORE = _PAIRS | {"gen_ai.request.model": "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END", "gen_ai.usage.input_tokens": "CAST(event_id AS VARCHAR)", "gen_ai.usage.output_tokens": _quarter}
+_EVERY = ", ".join(f"CASE WHEN {_MORE[k]} IS NOT NULL THEN '{{\"key\":\"{k}\",\"value\":' || {json_string(_MORE[k])} || '}}' END" for k in ALLOWED if k in _MORE)
+_TYPED = RECORDS + f", typed AS (SELECT r.* REPLACE ('[' || concat_ws(',', {_EVERY.replace('event_id', 'r.event_id')}) || ']' AS attributes_json) FROM r JOIN (SELECT event_id AS own, op FROM e) ON own = r.event_id)"
+
 SQL = {
     "ag10_chain_tips": f"WITH {CHAINS} SELECT trace_id, entry_count, tip_hash FROM tips",
     "ag9_chain_hashes": f"WITH {CHAINS} SELECT c.trace_id, CAST(c.seq_in_trace AS BIGINT) AS seq, substr(h.hashes, CAST(c.seq_in_trace * 64 + 65 AS BIGINT), 64) AS entry_hash, substr(h.hashes, CAST(c.seq_in_trace * 64 + 1 AS BIGINT), 64) AS prev_hash FROM c JOIN h USING (trace_id)",
@@ -131,7 +152,7 @@ SQL = {
     "ag6_version_sets": f"WITH {_WAL} SELECT trace_id, n_spans, versions FROM a",
     "ag7_restampable": f"WITH {_WAL} SELECT trace_id, action = 'restamp' AS restampable FROM a",
     "ag8_has_root": f"WITH {_ORDERS} " + _ONE_ROOT.format("x"),
-    "ag11_merkle_root": "WITH " + ", ".join(f"m{k} AS ({q})" for k, q in enumerate(_MERKLE)) + f" SELECT user_id, h AS root FROM m{len(_MERKLE) - 1}",
+    "ag11_merkle_root": "WITH " + ", ".join(f"m{k} AS ({q})" for k, q in enumerate(_MERKLE)) + f" SELECT user_id, CASE WHEN user_id % 5 <> 0 THEN h END AS root, CASE WHEN user_id % 5 = 0 THEN 'EMPTY_BATCH' END AS reject FROM m{len(_MERKLE) - 1}",
     "ag12_status_lines": "SELECT user_id, CASE WHEN f = 0 AND a = 0 THEN 'Status: OK' WHEN f = 0 THEN 'Status: OK (' || a || ' advisory finding(s))' WHEN a = 0 THEN 'Status: FAILED (' || f || ' error(s))' ELSE 'Status: FAILED (' || f || ' fatal, ' || a || ' advisory)' END AS status FROM (SELECT user_id, count(*) FILTER (event_type = 'error' AND event_id % 5 = 0) AS f, count(*) FILTER (event_type = 'view' AND event_id % 7 = 0) AS a FROM events GROUP BY user_id)",
     "ag13_pending_sets": f"WITH {_WAL} SELECT trace_id, array_to_string(list_sort(list(DISTINCT tip_hash)), ',') AS tips FROM w WHERE tip_hash <> '' GROUP BY trace_id",
     "wn1_seq_in_trace": f"WITH {RECORDS} SELECT trace_id, span_id, CAST(seq_in_trace AS BIGINT) AS seq FROM s",
@@ -140,27 +161,31 @@ SQL = {
     "wn5_checkpoint_batches": f"WITH {CHECKPOINTS} SELECT trace_id, CAST(checkpoint_seq AS BIGINT) AS checkpoint_seq FROM b",
     "wn6_wal_replay": f"WITH {_WAL} SELECT line_no, trace_id, span_id, schema_version FROM live",
     "vf1_chain_states": f"WITH {TAMPERED} SELECT trace_id, CAST(n AS BIGINT) AS n, state FROM cs",
-    "vf3_checkpoint_links": f"WITH {CHECKPOINTS} SELECT checkpoint_seq FROM k WHERE checkpoint_seq % 3 = 2",
-    "vf4_findings": f"WITH {TAMPERED} {_FINDINGS}",
-    "vf6_key_id_mismatch": f"WITH {RECORDS} SELECT trace_id, span_id FROM r WHERE event_id % 5 = 1",
+    "vf3_checkpoint_links": f"WITH {CHECKPOINTS}, {_links('b')} SELECT checkpoint_seq, prev_checkpoint_hash, expected_prev FROM lk WHERE prev_checkpoint_hash <> expected_prev",
+    "vf4_findings": f"WITH {TAMPERED}, {_links('made')} {_FINDINGS}",
+    "vf6_key_id_mismatch": f"WITH {TAMPERED} SELECT c.trace_id, c.span_id, 'other' AS key_id FROM c JOIN cs USING (trace_id) WHERE cs.state = 'ok' AND c.event_id % 5 = 1",
     "so2_checkpoint_tips": f"WITH {CHECKPOINTS} SELECT checkpoint_seq, tips_json FROM p",
     "so4_sorted_spans": f"WITH {RECORDS} SELECT trace_id, string_agg(span_id, ',' ORDER BY span_id) AS spans FROM r GROUP BY trace_id",
     "src4_last_checkpoint": f"WITH {CHECKPOINTS} SELECT checkpoint_seq, prev_checkpoint_hash FROM k WHERE checkpoint_seq = (SELECT max(checkpoint_seq) FROM k WHERE checkpoint_seq % 4 <> 0)",
     "tk1_trim_pending": f"WITH {CHECKPOINTS} SELECT trace_id, CAST(seal_no AS BIGINT) AS seal_no FROM no ORDER BY seal_no DESC LIMIT 25",
-    "tk3_fragment_prefix": "SELECT conv_id, turn, hex(encode(text)[1:32]) AS prefix FROM conversations",
+    "tk3_fragment_prefix": "SELECT conv_id, turn, hex(encode(text)[1:256]) AS prefix FROM conversations",
     "st1_claimed_keys": "SELECT DISTINCT k AS key_id FROM (SELECT 'key' || (event_id % 5) AS k FROM events UNION ALL SELECT 'cp' || (user_id % 4) FROM events)",
     "st3_uncommitted": f"WITH {CHECKPOINTS} SELECT trace_id, tip_hash FROM b WHERE checkpoint_seq > 2",
     "fn1_canonical_bytes": f"WITH {RECORDS} SELECT span_id, sha256(encode(bytes)) AS digest, strlen(bytes) AS n_bytes FROM c",
-    "fn1_json_strings": f"SELECT conv_id, turn, {json_string('text')} AS quoted FROM conversations WHERE text IS NOT NULL",
+    "fn1_json_strings": f"SELECT conv_id, turn, {json_string('text')} AS quoted FROM conversations",
     "fn3_unixnano_parse": f"SELECT event_id, CASE WHEN x = 'null' THEN '0' WHEN regexp_full_match(d, '0|[1-9][0-9]*') AND length(d) <= 20 AND CAST(CASE WHEN regexp_full_match(d, '[0-9]+') THEN d ELSE '0' END AS HUGEINT) <= 18446744073709551615 THEN d END AS nanos FROM (SELECT event_id, x, trim(x, '\"') AS d FROM (SELECT event_id, {_TIMES} AS x FROM events))",
     "fn4_genesis_seed": "SELECT user_id, CASE WHEN user_id % 4 = 3 THEN NULL ELSE sha256(unhex(t) || encode('v' || (user_id % 3 + 1))) END AS seed FROM (SELECT DISTINCT user_id, " + _hex("user_id", 32) + " AS t FROM events)",
     "fn9_finding_labels": "SELECT DISTINCT user_id, CASE WHEN user_id % 3 = 0 THEN CAST(user_id AS VARCHAR) WHEN user_id % 3 = 1 THEN 'audit log' ELSE 'checkpoint' END AS label FROM events",
     "fn10_backoff": "SELECT f, p, CASE WHEN c > 0 THEN least(x, c) ELSE x END AS retry_at FROM (SELECT event_id % 4 AS f, event_id % 3000 AS p, event_id % 5000 AS c, CASE WHEN event_id % 4 > 1 THEN least(event_id % 3000 * 2, event_id % 3000 + 1024) ELSE event_id % 3000 + 1 END AS x FROM events)",
     "fn11_defaults": "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 100 ELSE event_id % 4 END AS interval_of FROM events",
     "fn13_id_checks": "SELECT event_id, CASE WHEN length(t) <> 16 THEN 'ID_BAD_LENGTH' WHEN NOT regexp_full_match(t, '[0-9a-f]*') THEN 'ID_NOT_LOWERCASE_HEX' END AS code FROM (SELECT event_id, CASE event_id % 3 WHEN 0 THEN lower(lpad(to_hex(event_id), 16, '0')) WHEN 1 THEN upper(lpad(to_hex(event_id), 15, 'F')) || 'A' ELSE to_hex(event_id) END AS t FROM events)",
-    "ss6_scope_groups": "SELECT event_type, user_id % 4 AS scope, count(*) AS n FROM events GROUP BY event_type, user_id % 4",
+    "ss6_scope_groups": f"WITH {RECORDS} SELECT trace_id, '\"host\"=\"' || (event_id % 2) || '\"' AS resource_key, 's' || (event_id % 3) AS scope_name, string_agg(span_id, ',' ORDER BY span_id) AS spans FROM r GROUP BY trace_id, event_id % 2, event_id % 3",
     "ss11_disposition": f"WITH {_WAL} SELECT trace_id, n_spans, has_root, versions, action FROM a",
     "ss13_restored_tips": f"WITH {_WAL} SELECT line_no, trace_id, tip_hash, entry_count FROM w WHERE tip_hash <> ''",
     "snk4_quarantine": f"WITH {_WAL} SELECT d.trace_id, d.span_id, d.line_no, a.versions, 'mixed or unknown versions' AS reason FROM d JOIN a USING (trace_id) WHERE a.action = 'quarantine'",
-    "src1_span_ingest": f"WITH {RECORDS} SELECT trace_id, count(*) AS n_spans, count(DISTINCT span_name) AS names FROM r GROUP BY trace_id",
+    "src1_span_ingest": f"WITH {_TYPED} SELECT trace_id, span_id, parent_span_id, CAST(start_ns AS VARCHAR) AS start_ns, span_name, otel_kind, status, audit_kind, attributes_json FROM typed",
+    "prj3_attribute_text": f"SELECT event_id, CASE event_id % 7 WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN {_quarter} WHEN 3 THEN CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END WHEN 4 THEN base64(encode(n)) WHEN 5 THEN '[' || n || ',\"\\u003cx\\u003e\"]' ELSE '' END AS text FROM (SELECT event_id, CAST(event_id AS VARCHAR) AS n FROM events)",
+    "fn7_attributes_key": "SELECT '\"a\"=\"' || user_id || '\"' || chr(1) || '\"b\"=\"' || event_type || '\"' AS attributes, count(*) AS n FROM events GROUP BY user_id, event_type",
+    "tk4_drop_pending": "SELECT CAST(0 AS BIGINT) AS pending, count(DISTINCT user_id) AS dropped FROM events",
+    "ss8_sealed_batches": "SELECT CAST(t // 20 AS BIGINT) AS checkpoints, CAST(t // 20 * 20 AS BIGINT) AS covered, CAST(0 AS BIGINT) AS findings, e AS entries, CAST(t % 20 AS BIGINT) AS pending, t AS sealed FROM (SELECT count(DISTINCT user_id) AS t, count(*) AS e FROM events)",
 }

@@ -2,7 +2,6 @@
 
 import base64
 import json
-import time
 from decimal import Decimal
 
 import pytest
@@ -10,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerframe.functions import ed25519, profile
 from ledgerframe.functions.jsonbytes import canonical_entry, canonical_record, canonical_checkpoint, checkpoint_payload, genesis_seed, sha256_hex
-from ledgerframe.operators import chain, records, verify, wal
-from ledgerframe.sources import jsonl
+from ledgerframe.operators import chain, records, stage, verify, wal
+from ledgerframe.sources import jsonl, otlp
 
 KEY = bytes(range(32))
 PUBLIC = ed25519.public_key(KEY)
@@ -135,6 +134,8 @@ def test_merkle_root_equals_the_recursion(spark):
         df = spark.createDataFrame([(k, x.hex()) for k, x in enumerate(leaves[:n])], "leaf_no long, leaf string")
         assert chain.merkle_root(df).first().root == root(leaves[:n]).hex()
     assert chain.merkle_root(spark.createDataFrame([], "leaf_no long, leaf string")).count() == 0
+    none = chain.batch_roots(spark.createDataFrame([("b",)], "batch string"), spark.createDataFrame([], "batch string, leaf_no long, leaf string"), ["batch"])
+    assert [tuple(r) for r in none.collect()] == [("b", None, "EMPTY_BATCH")]
 
 
 @pytest.fixture(scope="module")
@@ -232,57 +233,90 @@ def test_dispositions(spark):
     assert [r[0] for r in df.select(records.disposition(F.col("v"))).collect()] == list(cases.values())
 
 
-def test_assembly_in_a_stream(spark, tmp_path):
-    from ledgerframe.streaming import assemble
+def test_quoting_of_untrusted_text():
+    assert verify.quoted("a" * 64, 128) == f'"{"a" * 64}"'
+    assert verify.quoted('x"\\\n\x1b\x7fé😀', 128) == r'"x\"\\\n\x1b\x7f\u00e9\U0001f600"'
+    # cut between characters, with what was left out
+    assert verify.quoted("é" * 5, 5) == r'"\u00e9\u00e9" [truncated: 6 more byte(s)]'
 
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    source = tmp_path / "in"
-    rows = [("t1", "b", "a", 1, "x"), ("t1", "a", "", 2, "y"), ("t1", "b", "a", 3, "again"), ("t2", "c", "z", 4, "w"), ("", "d", "", 5, "v")]
-    spark.createDataFrame(rows, assemble.SPAN).coalesce(1).write.parquet(str(source))
-    stream = assemble.assemble(spark.readStream.schema(assemble.SPAN).parquet(str(source)), 600_000)
-    q = stream.writeStream.format("memory").queryName("assembled").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").start()
 
-    def rows_of(n):
-        """The output once it has n rows; timers keep such a query busy, so it never counts as processed."""
-        end = time.monotonic() + 90
-        while spark.table("assembled").count() < n and time.monotonic() < end:
-            time.sleep(0.5)
-        return sorted(tuple(r) for r in spark.table("assembled").collect())
+def test_many_other_key_ids(spark):
+    made = verify.Report(0, 0, [], [f"{k:02d}" for k in range(13)])
+    text = made.text()
+    assert "claims 13 key_id" in text and '"09"' in text and '"10"' not in text and "3 more" in text
 
-    try:
-        complete = [("t1", "a", "", 2, "y", "complete"), ("t1", "b", "a", 3, "again", "complete")]
-        assert rows_of(2) == complete
-        spark.createDataFrame([("t1", "e", "a", 6, "u")], assemble.SPAN).coalesce(1).write.mode("append").parquet(str(source))
-        assert rows_of(3) == [*complete, ("t1", "e", "a", 6, "u", "late")]
-    finally:
-        q.stop()
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
 
+def test_lines_of_several_files_keep_their_order(spark, tmp_path):
+    for k, part in enumerate((["a", "b"], ["c"], ["", "d", "e"])):
+        jsonl.write_batch(spark.createDataFrame([(j, x) for j, x in enumerate(part)], "n int, line string"), str(tmp_path / "log"), k, "n")
+    assert [tuple(r) for r in jsonl.numbered(jsonl.lines(spark, str(tmp_path / "log"))).orderBy("line_no").collect()] == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
 
-def test_settings():
-    from ledgerframe.streaming.assemble import Settings
 
-    s = Settings("log", "cp", checkpoint_interval=0, timeout_ms=0)
-    assert (s.interval, s.pending_cap, s.timeout) == (100, 1000, 30_000)
-    for bad in (("", "cp"), ("log", "log"), ("log", "log.quarantine")):
-        with pytest.raises(ValueError):
-            Settings(*bad)
-    with pytest.raises(ValueError):
-        Settings("log", "cp", max_pending=5)
-
-
-def test_sealing_a_batch(spark, tmp_path):
-    from ledgerframe.streaming.assemble import Settings, seal
-
-    rows = [(f"{t:032x}", f"{s:016x}", "", "n", 1, s, s, 1, []) for t in range(3) for s in range(2)]
-    made = records.to_records(span(spark, *rows))
-    s = Settings(str(tmp_path / "log"), str(tmp_path / "cp"), checkpoint_interval=2)
-    for _ in range(2):  # a repeated batch replaces itself
-        seal(made, s, KEY, "2026-01-01T00:00:00Z", 7)
-    lines = spark.read.parquet(s.log_path)
-    assert lines.count() == 6
-    lines.orderBy("trace_id", "seq_in_trace").coalesce(1).select("line").write.text(str(tmp_path / "text"))
-    spark.read.parquet(s.checkpoint_path).orderBy("checkpoint_seq").coalesce(1).select("line").write.text(str(tmp_path / "cptext"))
-    entries, torn = jsonl.read_entries(spark, str(tmp_path / "text"))
-    found = verify.findings(entries, jsonl.read_checkpoints(spark, str(tmp_path / "cptext")), PUBLIC, torn)
-    assert found.count() == 0 and sha256_hex is not None
+def test_write_ahead_log_lines(spark, tmp_path):
+    line = '{"type":"span","trace_id":"t","record":{"schema_version":"v3","trace_id":"t","span_id":"s","seq_in_trace":0,"start_time_unix_nano":"5"}}'
+    (tmp_path / "wal").write_text("\n".join([line, "torn {", '{"type":"sealed","trace_id":"t","tip_hash":"h","entry_count":1}', line[:30]]) + "\n")
+    rows = jsonl.read_wal(spark, str(tmp_path / "wal"))
+    assert [(r.line_no, r.type, r.span_id, r.tip_hash) for r in rows.orderBy("line_no").collect()] == [(1, "span", "s", ""), (3, "sealed", "", "h")]
+    assert wal.live_spans(rows).count() == 0 and wal.restored_tips(rows).count() == 1
+
+
+def test_torn_checkpoint_is_dropped(spark, log):
+    place, _, c = log
+    (place / "torn").write_text("\n".join(c) + "\n" + c[0][:50])
+    assert jsonl.read_checkpoints(spark, str(place / "torn")).count() == len(c)
+
+
+def test_gaps_in_checkpoint_numbers(spark, log):
+    _, e, c = log
+    _, rows, place = kinds(spark, log, e, c)
+    (place / "gap").write_text(c[1] + "\n")
+    cps = jsonl.read_checkpoints(spark, str(place / "gap"))
+    assert verify.findings(rows, cps, PUBLIC).count() == 1
+    assert [r.kind for r in verify.findings(rows, cps, PUBLIC, strict_seq=True).collect()] == ["checkpoint"] * 2
+
+
+def test_long_chain_has_one_tip(spark):
+    """One trace of many entries, dealt over many partitions, and others between."""
+    n = 3000
+    rows = spark.range(n).select(F.lit("ab" * 16).alias("trace_id"), F.lpad(F.hex("id"), 16, "0").alias("span_id"), F.lit("").alias("parent_span_id"), F.lit("n").alias("name"), F.lit(1).alias("kind"), F.col("id").cast("decimal(20,0)").alias("start_time_unix_nano"), F.col("id").cast("decimal(20,0)").alias("end_time_unix_nano"), F.lit(1).alias("status_code"), F.array().cast("array<struct<key:string,value:string>>").alias("attributes"))
+    made = records.with_sequence(records.to_records(rows.repartition(9)))
+    hashed = chain.hash_entries(made)
+    tip = chain.chain_tips(made).first()
+    assert tip.entry_count == n and tip.tip_hash == hashed.where(f"seq_in_trace = {n - 1}").first().entry_hash
+    assert verify.chain_states(hashed, None).first().tip == tip.tip_hash
+    broken = hashed.withColumn("span_name", F.when(F.col("seq_in_trace") == 1234, "x").otherwise(F.col("span_name")))
+    state = verify.chain_states(broken, None).first()
+    assert state.tip is None and state.error.startswith("entry 1234: ")
+
+
+def test_numbers_of_rows(spark):
+    df = spark.createDataFrame([(f"{k * 7919 % 1000:04d}",) for k in range(1000)], "x string").repartition(6)
+    assert [r.seal_no for r in stage.numbered(df, "x").orderBy("x").collect()] == list(range(1000))
+    assert stage.numbered(df.limit(0), "x").count() == 0
+
+
+def test_typed_values():
+    cases = {
+        '{"stringValue":"a<b"}': "a<b", '{"intValue":"12"}': "12", '{"intValue":-3}': "-3", '{"boolValue":true}': "true", '{"doubleValue":1.0}': "1", '{"doubleValue":0.25}': "0.25",
+        '{"doubleValue":1e21}': "1e+21", '{"doubleValue":"NaN"}': "json: unsupported value: NaN", '{"doubleValue":-0.0}': "-0", '{"bytesValue":"3q2+7w=="}': "3q2+7w==", "{}": "", None: "",
+        '{"arrayValue":{"values":[{"intValue":"1"},{"stringValue":"<"},{"doubleValue":2.0},{}]}}': '[1,"\\u003c",2,null]',
+        '{"kvlistValue":{"values":[{"key":"b","value":{"boolValue":false}},{"key":"a","value":{"arrayValue":{}}}]}}': '{"a":[],"b":false}',
+    }
+    for raw, want in cases.items():
+        assert otlp.value_text(raw) == want
+
+
+def test_spans_of_export_requests(spark):
+    span = {"traceId": TRACE, "spanId": "0102030405060708", "name": "gen_ai.chat", "kind": "SPAN_KIND_CLIENT", "startTimeUnixNano": "1764547200123456789", "endTimeUnixNano": 1764547200987654321, "status": {"code": 1}, "attributes": [{"key": "gen_ai.system", "value": {"stringValue": "openai"}}, {"key": "gen_ai.request.model", "value": {"stringValue": "gpt-4o"}}, {"key": "gen_ai.operation.name", "value": {"stringValue": "chat"}}]}
+    request = {"resourceSpans": [{"schemaUrl": "u", "resource": {"attributes": [{"key": "host", "value": {"intValue": "7"}}]}, "scopeSpans": [{"scope": {"name": "lib", "version": "2"}, "spans": [span, {"name": "bare"}]}]}]}
+    rows = otlp.spans(spark.createDataFrame([(json.dumps(request),), ("not json",), ("{}",), (None,)], "value string"))
+    assert rows.count() == 2
+    made = records.with_sequence(records.to_records(rows.drop("resource_attributes", "scope_attributes")))
+    assert [r.b for r in made.select(canonical_record().alias("b")).collect()] == [V3]
+    out = otlp.regrouped(rows.where("trace_id <> ''").withColumn("segment", F.lit("complete")), "span_id", "name").first()
+    assert out.resource_key == '"host"="7"' and out.scope_name == "lib" and [s.name for s in out.spans] == ["gen_ai.chat"]
+
+
+def test_new_keys_differ():
+    a, b = ed25519.new_key(), ed25519.new_key()
+    assert a != b and len(a) == 32 and ed25519.verify(ed25519.public_key(a), b"m", ed25519.sign(a, b"m"))
