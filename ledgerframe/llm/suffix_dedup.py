@@ -33,8 +33,10 @@ from .store import Scratch
 GRAM = 64
 #: Surroundings that one task sorts together, for suffixes with the same first bytes.
 GROUP = 50_000
-#: Bytes of surroundings that a task gathers before it works on them.
-_GATHER = 24 << 20
+#: Bytes of surroundings that a task gathers before it works on them; suffixes with the same first bytes stay together.
+_GATHER = 8 << 20
+#: Places whose bytes are cut at once, and members of intervals that are compared at once.
+_PLACES, _MEMBERS = 1 << 11, 1 << 16
 
 
 def _anchors(length: int):
@@ -76,12 +78,13 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         data, offsets = T.columns(batch, "text")
         places = batch.column(batch.schema.get_field_index("places"))
-        for a, b, some, off in T.slices(data, offsets):
-            mine = places.slice(a, b - a)
-            flat = mine.flatten()
-            g, cx, at, left, right = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("g", "cx", "at", "l", "r"))
-            at = np.repeat(off[:-1], mine.value_lengths().to_numpy(zero_copy_only=False)) + at
-            sides = [cut(some, at - 1, left, -1), cut(some, at, right, 1)]
+        row = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
+        flat = places.flatten()
+        for k in range(0, len(flat), _PLACES):
+            some = flat.slice(k, _PLACES)
+            g, cx, at, left, right = (some.field(n).to_numpy(zero_copy_only=False) for n in ("g", "cx", "at", "l", "r"))
+            at = offsets[:-1][row[k : k + _PLACES]] + at
+            sides = [cut(data, at - 1, left, -1), cut(data, at, right, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(cx), *sides], names=["g", "cx", "lefts", "rights"])
 
 
@@ -144,13 +147,12 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
     depth, first, last, _ = tree(lcp, GRAM)
     size = last - first + 1
     ends = np.cumsum(size)
-    # candidates: the deepest left-diverse node of each member in each right-maximal interval
-    found: list[np.ndarray] = []
-    members: list[np.ndarray] = []
-    nodes = 0
-    a = 0
+    # for each member the deepest left-diverse node in each right-maximal interval; the best of these, in both orders
+    best, best_node = np.full((2, n), -1), np.full((2, n), -1)
+    parts: list[tuple] = []
+    nodes = a = 0
     while a < len(depth):  # a bounded number of members at a time
-        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 18), "right")))
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _MEMBERS, "right")))
         many = size[a:b]
         own = np.repeat(np.arange(a, b), many)
         member = sa[first[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)]
@@ -166,23 +168,23 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
         reach_l, reach_r = e[mine[on]], depth[own[on]]
         ok = reach_l + reach_r >= length
         on, reach_l, reach_r = on[ok], reach_l[ok], reach_r[ok]
-        found.append(np.stack((member[on], reach_l, reach_r, nodes + mine[on])))
-        used = np.unique(mine[on])
-        span = hi[used] - lo[used] + 1
-        at = lo[np.repeat(used, span)] + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-        members.append(np.stack((np.repeat(nodes + used, span), member[at], np.repeat(e[used], span), depth[own[at]])))
+        for k, key in enumerate((reach_l << 10 | reach_r, reach_r << 10 | reach_l)):
+            more = np.argsort(key, kind="stable")
+            more = more[key[more] > best[k][member[on[more]]]]
+            best[k][member[on[more]]] = key[more]  # the last of several, which is the largest, stays
+            best_node[k][member[on[more]]] = nodes + mine[on[more]]
+        if len(on):
+            parts.append((nodes, member.astype(np.int32), lo, hi, e, depth[own[lo]]))
         nodes += len(e)
         a = b
-    if not found:
-        return (np.zeros(0, np.int64),) * 4
-    x, reach_l, reach_r, node = np.concatenate(found, axis=1)
-    best = []
-    for keys in ((reach_r, reach_l, x), (reach_l, reach_r, x)):
-        order = np.lexsort(keys)
-        best.append(node[order][np.append(x[order][1:] != x[order][:-1], True)] if len(order) else node)
-    group, member, reach_l, reach_r = np.concatenate(members, axis=1)
-    chosen = np.isin(group, np.concatenate(best))
-    return group[chosen], member[chosen], reach_l[chosen], reach_r[chosen]
+    chosen = np.unique(best_node[best_node >= 0])
+    out = [(np.zeros(0, np.int64),) * 4]
+    for begin, member, lo, hi, e, d in parts:
+        used = chosen[(chosen >= begin) & (chosen < begin + len(lo))] - begin
+        span = hi[used] - lo[used] + 1
+        at = np.repeat(lo[used], span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+        out.append((np.repeat(begin + used, span), member[at].astype(np.int64), np.repeat(e[used], span), np.repeat(d[used], span)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _tree(length: int):
