@@ -71,7 +71,7 @@ def default_importance(size: Column) -> Column:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", importance: Column | None = None) -> DataFrame:
     """One row (key, source, size, print, source_size, target, copies, taken) for each row of ``docs``.
 
-    ``size`` is the number of words (0 for null), ``print`` the text's xxhash64, ``copies`` how often the mix takes the document and ``taken`` their
+    ``size`` is the number of words (0 for null), ``print`` the text's digest, ``copies`` how often the mix takes the document and ``taken`` their
     product. ``importance`` is a small positive integer computed from ``size``. Random numbers come from key and text:
     rows that repeat a key with other texts, or have none, are sampled on their own; rows that repeat both share one
     rank. So ``copies`` depends on key, text and source alone. A null source is a source of its own; empty documents
@@ -79,7 +79,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     """
     scratch = Scratch(docs.sparkSession, "mix")
     size = F.size(words(F.col(text))).cast("long")
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(text).alias("print"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.md5(text).alias("print"))
     rows = scratch.keep(rows.withColumn("importance", default_importance(F.col("size")) if importance is None else importance), "sizes")
     levels = rows.groupBy("source", "importance").agg(F.sum("size").alias("level_size"))
     goal = scratch.keep(targets(levels.groupBy("source").agg(F.sum("level_size").alias("source_size"))), "targets")

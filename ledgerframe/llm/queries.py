@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, decontaminate, jaccard_join, language_id, mixing, quality_rules, secret_scan, suffix_dedup, token_file, url_filter
+from . import block_dedup, decontaminate, jaccard_join, language_id, mixing, oracle, quality_rules, secret_scan, suffix_dedup, token_file, url_filter
 from .store import Scratch
 
 #: Curated URL rules: verdict, host, path.
@@ -52,7 +52,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumn("items", F.array_join("items", ","))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
