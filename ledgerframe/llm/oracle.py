@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing
+from . import decontaminate, mixing, secret_scan
 
 _SPLIT = r"'[\x20\x09-\x0D]+'"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,8 +94,60 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN size > 0 THEN whole + C
 FROM b LEFT JOIN z ON b.source IS NOT DISTINCT FROM z.source
 """
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(name: str, pattern: str) -> str:
+    """``name``: (doc_id, k, hit, start, stop) of all matches; positions are sums of what lies before."""
+    return f"""{name} AS (SELECT doc_id, k, hit, stop - length(hit) AS start, stop FROM (
+  SELECT doc_id, k, hits[k] AS hit, sum(length(pieces[k]) + length(hits[k])) OVER (PARTITION BY doc_id ORDER BY k) AS stop FROM (
+    SELECT doc_id, hits, pieces, unnest(range(1, len(hits) + 1)) AS k FROM (
+      SELECT doc_id, regexp_extract_all(t, {_quoted(pattern)}) AS hits, string_split_regex(t, {_quoted(pattern)}) AS pieces FROM d))))"""
+
+
+_DIGIT, _SMALL, _LARGE = (f"regexp_matches(hit, '{c}')" for c in ("[0-9]", "[a-z]", "[A-Z]"))
+#: Conditions of the classes without look-ahead, in their order.
+_CLASSES = {
+    "hex": "regexp_full_match(hit, '[0-9a-fA-F-]+')",
+    "alnum": f"{_DIGIT} AND ({_SMALL} OR {_LARGE}) AND regexp_full_match(hit, '[0-9A-Za-z]+')",
+    "lower": f"{_DIGIT} AND {_SMALL} AND regexp_full_match(hit, '[0-9a-z+/_=-]+')",
+    "upper": f"{_DIGIT} AND {_LARGE} AND regexp_full_match(hit, '[0-9A-Z+/_=-]+')",
+    "base64": f"{_DIGIT} AND {_SMALL} AND {_LARGE}",
+}
+_BITS = "CASE " + " ".join(f"WHEN {_CLASSES[c.name]} THEN {c.bits}" for c in secret_scan.CLASSES) + " END"
+#: The allow-list without back references: what is made of copies of its first one to four characters.
+_COPIES = " OR ".join(f"length(hit) % {k} = 0 AND length(hit) >= {2 * k} AND hit = repeat(left(hit, {k}), length(hit) // {k})" for k in range(1, 5))
+_ALLOWED = " OR ".join(f"regexp_matches(hit, {_quoted(a)})" for a in secret_scan.ALLOWED if "\\1" not in a) + f" OR {_COPIES}"
+_W = secret_scan.WINDOW
+_LIST = "coalesce(string_agg(['assign', 'access', 'hex', 'entropy'][rank + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank, stop) {}, '')"
+#: Matches by their kinds; windows of candidates by counting their characters, high ones joined to runs.
+_SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_matches("m0", secret_scan.ASSIGN)},
+v AS (SELECT doc_id, unnest(vals) AS val, generate_subscripts(vals, 1) AS k FROM (SELECT doc_id, regexp_extract_all(t, {_quoted(secret_scan.ASSIGN)}, 2) AS vals FROM d)),
+{_matches("m1", secret_scan.ACCESS)},
+{_matches("m2", secret_scan.HEX)},
+{_matches("m3", secret_scan.CANDIDATE)},
+c AS (SELECT doc_id, start AS begin, hit, {_BITS} AS bits FROM m3 WHERE NOT ({_ALLOWED})),
+w AS (SELECT doc_id, begin, bits, hit, unnest(range(0, length(hit) - {_W - 1})) AS i FROM c WHERE bits IS NOT NULL),
+x AS (SELECT doc_id, begin, bits, i, ch, count(*) AS n FROM (SELECT doc_id, begin, bits, i, unnest(string_split(substr(hit, i + 1, {_W}), '')) AS ch FROM w) GROUP BY doc_id, begin, bits, i, ch),
+y AS (SELECT doc_id, begin, i FROM x GROUP BY doc_id, begin, i, bits HAVING log2({_W}) - sum(n * log2(n)) / {_W} >= bits),
+z AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id, begin ORDER BY i) + {_W} THEN 0 ELSE 1 END AS new FROM y),
+r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, begin ORDER BY i) AS g FROM z),
+s AS (SELECT doc_id, 0 AS rank, start, stop FROM m0 JOIN v USING (doc_id, k) WHERE length(val) >= {secret_scan.ASSIGN_LEAST}
+  UNION ALL SELECT doc_id, 1, start, stop FROM m1 UNION ALL SELECT doc_id, 2, start, stop FROM m2
+  UNION ALL SELECT doc_id, 3, begin + min(i), begin + max(i) + {_W} FROM r GROUP BY doc_id, begin, g)
+SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex, count(*) FILTER (rank = 3) AS n_entropy,
+  sha256({_LIST.format("FILTER (rank < 3)")}) AS base_sha256, {_LIST.format("")} AS spans
+FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
 SQL = {
     "op1_ngram_jaccard_join": _JACCARD,
+    "op3_secret_scan": _SECRETS,
     "op6_mixing": _MIX,
     "op7_decontaminate": _LEAKS,
     "op9_suffix_dedup": _BYTES,
