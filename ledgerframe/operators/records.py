@@ -54,11 +54,6 @@ def audit_kind(attributes: Column, status_code: Column) -> Column:
     )
 
 
-def attribute_text(value: Column) -> Column:
-    """Text of a typed value (struct of s string, b boolean, i long, y binary): the one field that is set."""
-    return F.coalesce(value["s"], value["b"].cast("string"), value["i"].cast("string"), F.base64(value["y"]), F.lit(""))
-
-
 def to_records(spans: DataFrame, version: str = CURRENT_VERSION) -> DataFrame:
     """Records without a sequence number yet; other columns of ``spans`` that records lack are kept after them."""
     kept = [c for c in spans.columns if c not in {"name", "kind", "status_code", "attributes"} and c not in {"trace_id", "span_id", "parent_span_id", "start_time_unix_nano", "end_time_unix_nano"}]

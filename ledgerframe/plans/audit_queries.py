@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonbytes import canonical_checkpoint, canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
+from ..functions.jsonbytes import canonical_checkpoint, canonical_entry, canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
 from ..functions.profile import id_check, unix_nano_column
 from ..operators import chain, records, stage, verify, wal
 from ..sources import datasets, jsonl, otlp
@@ -490,3 +490,18 @@ def ss8_sealed_batches(spark, sf):
     passed = sealer.passed(spark, 3)
     per = tips.agg(F.count("*").alias("checkpoints"), F.coalesce(F.sum("tips"), F.lit(0)).alias("covered"))
     return per.withColumns({"findings": F.lit(found).cast("long"), "entries": F.lit(entries.count()).cast("long"), "pending": F.lit(len(passed["pending"])).cast("long"), "sealed": F.lit(passed["sealed"]).cast("long")})
+
+
+@query
+def ss12_restamped(spark, sf):
+    return wal.restamped(datasets.wal_lines(spark, sf)).select("line_no", "trace_id", "span_id", "schema_version")
+
+
+@query
+def src2_conversation_log(spark, sf):
+    """Conversations as traces: sealed lines written as text, read back strictly, with their hashes."""
+    made = records.with_sequence(records.to_records(datasets.conversation_spans(spark, sf)))
+    path = _folder(spark, "log")
+    jsonl.write_batch(chain.hash_entries(made).select("trace_id", "seq_in_trace", canonical_entry().alias("line")), path, 0, "trace_id", "seq_in_trace")
+    entries, torn = jsonl.read_entries(spark, path)
+    return entries.select("line_no", "trace_id", "span_id", "span_name", "audit_kind", F.lit(torn).cast("string").alias("torn"))
