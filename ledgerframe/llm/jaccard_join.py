@@ -360,7 +360,7 @@ def _join(slices: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scrat
         every = every.unionByName(f)
     degree = scratch.keep(every.groupBy("cid").agg(F.sum("links").alias("links")), "degree")
     ends = every.where("root <> cid").select(F.col("root").alias("a"), F.col("cid").alias("b"))
-    if step or not every.where(F.col("root") == F.col("cid")).join(every.where("root <> cid").select("cid"), "cid", "left_semi").isEmpty():
+    if step or not every.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         roots = connected_components(ends, scratch, "linked").select(F.col("node").alias("cid"), "root")
     else:  # every document lies in one region, which knows its component
         roots = every.select("cid", "root")

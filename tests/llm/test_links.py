@@ -45,9 +45,10 @@ def test_links_of_dense_families(spark, monkeypatch, most):
     assert {r.doc_id: r.component_id for r in out} == {d: top for d, (_, top) in brute.components(docs, 4, 85, 100).items()}
 
 
-@pytest.mark.parametrize("most", [1024, 11])
+@pytest.mark.parametrize("most", [1024, 60, 11])
 def test_chain_of_near_copies(spark, monkeypatch, most):
-    """Each document is near the next ones alone, and cells have true borders."""
+    """Each document is near the next ones alone, and cells have true borders. With room for 60 members the chain is
+    taken apart into its slices, none of which is cut."""
     monkeypatch.setattr(jaccard_join, "MEMBERS", most)
     words = [f"w{k}" for k in range(700)]
     docs = [(k, " ".join(words[4 * k : 4 * k + 100])) for k in range(140)]
