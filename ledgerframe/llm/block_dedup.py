@@ -91,7 +91,10 @@ def _candidates(window: int, block: int):
                     new[1:] &= x[order][1:] == x[order][:-1]
                 new[1:] = ~new[1:]
                 keep = order[new]
-                yield pa.RecordBatch.from_arrays([*[pa.array(h[keep].view(np.int64)) for h in both], pa.array(docs[a:b][row[keep]]), pa.array(pos[keep].astype(np.int32))], names=["h", "h2", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(h[keep].view(np.int64)) for h in both], pa.array(docs[a:b][row[keep]]), pa.array(pos[keep].astype(np.int32))],
+                    names=["h", "h2", "doc", "pos"],
+                )
 
     return run
 
@@ -122,7 +125,10 @@ def _removal(window: int, block: int):
                     if left[k] < n[k]:
                         w = list(compress(w, keep[first[k] : first[k + 1]].tolist()))
                     sha.append(hashlib.sha256(b" ".join(w)).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(n - left), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array(n - left), pa.array(sha, pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+                )
 
     return run
 
@@ -144,7 +150,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     texts = rows.where("doc_id is not null and text is not null")
     marks = []
     for part in range(passes):
-        index = texts.mapInArrow(_grams(window, block, True, part, passes), _PLACES).groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("d"), F.min("pos").alias("p"))
+        index = texts.mapInArrow(_grams(window, block, True, part, passes), _PLACES).groupBy("h").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("doc").alias("d"),
+            F.min("pos").alias("p"),
+        )
         index = scratch.keep(index, f"index-{part}")
         probes = texts.mapInArrow(_grams(window, block, False, part, passes), _PLACES)
         # a block that only meets itself is no hit
@@ -157,9 +167,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     by_doc = scratch.keep(found.groupBy("doc").agg(F.collect_list("pos").alias("marks")), "marks")
     scratch.drop(*[f"marks-{k}" for k in range(passes)])
     near = texts.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "marks")
-    places = near.mapInArrow(_candidates(window, block), "h long, h2 long, doc long, pos int").groupBy("h", "h2").agg(F.min_by("pos", "doc").alias("pos"), F.min("doc").alias("doc"))
+    places = near.mapInArrow(
+        _candidates(window, block),
+        "h long, h2 long, doc long, pos int",
+    ).groupBy("h", "h2").agg(F.min_by("pos", "doc").alias("pos"), F.min("doc").alias("doc"))
     firsts = scratch.keep(places.groupBy("doc").agg(F.collect_list("pos").alias("firsts")), "firsts")
     none = F.array().cast("array<int>")
-    whole = rows.join(by_doc, F.col("doc_id") == F.col("doc"), "left").drop("doc").join(firsts, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", F.coalesce("marks", none).alias("marks"), F.coalesce("firsts", none).alias("firsts"))
+    whole = rows.join(by_doc, F.col("doc_id") == F.col("doc"), "left").drop("doc").join(firsts, F.col("doc_id") == F.col("doc"), "left").select(
+        "doc_id",
+        "text",
+        F.coalesce("marks", none).alias("marks"),
+        F.coalesce("firsts", none).alias("firsts"),
+    )
     out = whole.mapInArrow(_removal(window, block), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out

@@ -40,5 +40,11 @@ def connected_components(links: DataFrame, scratch: Scratch, tag: str = "cc") ->
             found = scratch.keep(found.join(over, found["root"] == over["mid"], "left").select("node", F.coalesce("top", "root").alias("root")), f"{tag}-found-{step}")
         side = lambda c: up.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))  # noqa: E731, B023
         step += 1
-        edges = scratch.keep(edges.join(side("a"), "a").join(side("b"), "b").where("a_root <> b_root").select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).distinct(), f"{tag}-edges-{step}")
+        edges = scratch.keep(
+            edges.join(side("a"), "a").join(side("b"), "b").where("a_root <> b_root").select(
+                F.least("a_root", "b_root").alias("a"),
+                F.greatest("a_root", "b_root").alias("b"),
+            ).distinct(),
+            f"{tag}-edges-{step}",
+        )
     return found if found is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

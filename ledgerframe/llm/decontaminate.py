@@ -95,4 +95,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
     """
     by = overlaps(docs, benchmark, text, key, item).groupBy(key).agg(F.sort_array(F.collect_set(item)).alias("items"), F.max("equal").cast("long").alias("equal"))
     out = docs.select(key).join(by, key, "left")
-    return out.select(key, F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast(by.schema["items"].dataType)).alias("items"), F.coalesce("equal", F.lit(0)).cast("long").alias("equal"))
+    return out.select(
+        key,
+        F.col("items").isNotNull().alias("contaminated"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items", F.array().cast(by.schema["items"].dataType)).alias("items"),
+        F.coalesce("equal", F.lit(0)).cast("long").alias("equal"),
+    )

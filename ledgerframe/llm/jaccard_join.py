@@ -129,7 +129,10 @@ def _rows(text: str, size: int):
                 count.append(len(h))
                 fp.append(_fingerprint(h))
             pair = np.array(fp, _U).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["doc_id", "n_shingles", "fp1", "fp2"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(count, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
+                names=["doc_id", "n_shingles", "fp1", "fp2"],
+            )
 
     return run
 
@@ -260,7 +263,11 @@ def _regions(slices: DataFrame, scratch: Scratch) -> DataFrame:
     large = whole.where(F.col("members") > MEMBERS).join(apart, "root").where("pairs < cast(members as double) * members").select("root")
     large = scratch.keep(large, "chained")
     if large.isEmpty():
-        return chained.select(F.struct(F.lit(0).alias("kind"), F.col("root").alias("id")).alias("region"), F.col("node").alias("cid"), F.array().cast("array<long>").alias("blockers"))
+        return chained.select(
+            F.struct(F.lit(0).alias("kind"), F.col("root").alias("id")).alias("region"),
+            F.col("node").alias("cid"),
+            F.array().cast("array<long>").alias("blockers"),
+        )
     loose = chained.join(large, "root", "left_semi").select(F.col("node").alias("cid"))
     mine = slices.join(loose, "cid").withColumn("all", F.collect_list("slice").over(Window.partitionBy("cid")))
     mine = mine.select(F.struct(F.lit(1).alias("kind"), F.col("slice").alias("id")).alias("region"), "cid", F.filter("all", lambda s: s < F.col("slice")).alias("blockers"))
@@ -277,7 +284,9 @@ def _members(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray,
     table = table.sort_by("cid")
     sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("shingles")]
     blockers = table.column("blockers").combine_chunks()
-    flat, at = blockers.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(blockers.value_lengths().to_numpy(zero_copy_only=False)))) if len(blockers) else np.zeros(1, np.int64)
+    flat, at = blockers.flatten().to_numpy(zero_copy_only=False), np.concatenate(
+        ([0], np.cumsum(blockers.value_lengths().to_numpy(zero_copy_only=False)))
+    ) if len(blockers) else np.zeros(1, np.int64)
     return table.column("cid").to_numpy(), sets, table.column("copies").to_numpy(), [flat[at[k] : at[k + 1]] for k in range(len(sets))]
 
 
@@ -394,7 +403,10 @@ def _round(large: DataFrame, facts: DataFrame, scratch: Scratch, num: int, den:
     rows = measured.where("cell is not null").select("region", "cid", "cell", "home")
     shape = rows.groupBy("region", "cell").agg(F.count(F.lit(1)).alias("k")).groupBy("region").agg(F.max("k").alias("largest"), F.sum("k").alias("total"))
     size = large.select("region", "n", "parts").distinct()
-    fate = scratch.keep(shape.join(size, "region").select("region", "parts", (F.greatest(F.col("largest") / 0.75, F.col("total") / 2) <= F.col("n")).alias("gains")), f"fate-{step}")
+    fate = scratch.keep(
+        shape.join(size, "region").select("region", "parts", (F.greatest(F.col("largest") / 0.75, F.col("total") / 2) <= F.col("n")).alias("gains")),
+        f"fate-{step}",
+    )
     was = dealt.join(pivots.select("region", "cid"), ["region", "cid"], "left_anti").select("region", "cid", "blockers", "n_shingles")
     token = lambda *c: F.xxhash64("region.kind", "region.id", F.lit(step), *c)
     region = lambda *c: F.struct(F.lit(2 + step).alias("kind"), token(*c).alias("id")).alias("region")

@@ -49,7 +49,14 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 inside[at[:-1] + k] = False
             key = key[inside[3:]] | own[3:][inside[3:]].astype(np.uint64) << np.uint64(32)
             key, n = np.unique(key, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(list(names[(key >> np.uint64(32)).astype(np.int64)]), pa.string()), pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(names[(key >> np.uint64(32)).astype(np.int64)]), pa.string()),
+                    pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)),
+                    pa.array(n),
+                ],
+                names=["lang", "gram", "n"],
+            )
 
 
 class Tree:
@@ -202,6 +209,15 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
             least = bits.min(axis=1) if len(bits) else np.zeros(0)
             score = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
             per = least / np.maximum(np.diff(offsets), 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(names[np.where(has, best, -1)]), pa.string()), pa.array(np.where(has, score, 0.0)), pa.array(np.where(has, per, np.nan), mask=~has)], names=[key, "held_out", "lang_pred", "score", "bits_per_byte"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(list(names[np.where(has, best, -1)]), pa.string()),
+                    pa.array(np.where(has, score, 0.0)),
+                    pa.array(np.where(has, per, np.nan), mask=~has),
+                ],
+                names=[key, "held_out", "lang_pred", "score", "bits_per_byte"],
+            )
 
     return asked.mapInArrow(run, f"{key} {kind}, held_out boolean, lang_pred string, score double, bits_per_byte double")

@@ -36,12 +36,20 @@ def targets(sizes: DataFrame) -> DataFrame:
     before = full.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select(
         "*",
-        ((F.sum("source_size").over(every) - MOST * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))).alias("unit"),
+        (
+            (
+                F.sum("source_size").over(every) - MOST * F.coalesce(F.sum("source_size").over(before), F.lit(0))
+            ) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
+        ).alias("unit"),
     )
     fits = F.col("unit") * F.col("weight") <= MOST * F.col("source_size")
     ranked = rows.withColumn("unit", F.when(fits, F.col("unit"))).withColumn("at", F.row_number().over(full))
     ranked = ranked.withColumn("unit", F.min(F.when(F.col("unit").isNotNull(), F.struct("at", "unit"))).over(every)["unit"])
-    return ranked.select("source", "source_size", F.least(MOST * F.col("source_size").cast("double"), F.coalesce(F.col("unit") * F.col("weight"), F.lit(float("inf")))).alias("target"))
+    return ranked.select(
+        "source",
+        "source_size",
+        F.least(MOST * F.col("source_size").cast("double"), F.coalesce(F.col("unit") * F.col("weight"), F.lit(float("inf")))).alias("target"),
+    )
 
 
 def _copies(levels: DataFrame) -> DataFrame:
@@ -54,7 +62,11 @@ def _copies(levels: DataFrame) -> DataFrame:
     rows = levels.withColumn("c", c).withColumn("at", F.row_number().over(down))
     fits = F.when(F.col("c") * F.col("importance") <= MOST, F.struct("at", "c"))
     rows = rows.withColumn("c", F.min(fits).over(Window.partitionBy("source"))["c"])
-    return rows.select("source", "importance", F.greatest(F.lit(0.0), F.least(F.lit(float(MOST)), F.coalesce(F.col("c") * F.col("importance"), F.lit(float(MOST))))).alias("expected"))
+    return rows.select(
+        "source",
+        "importance",
+        F.greatest(F.lit(0.0), F.least(F.lit(float(MOST)), F.coalesce(F.col("c") * F.col("importance"), F.lit(float(MOST))))).alias("expected"),
+    )
 
 
 def _uniform(*keys: Column) -> Column:
@@ -98,7 +110,11 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     odds = odds.withColumn("rank", F.when((F.col("p") > 0) & (F.col("size") > 0), F.least(bits, F.lit((1 << 3 * _STEP) - 1))))
     odds = scratch.keep(odds, "ranks")
     # words left for the sample: cut the line of ranks where they are used up, ten bits at a time
-    left = odds.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("whole") * F.col("size")).alias("sure")).select("source", (F.col("target") - F.col("sure")).alias("room"), F.lit(0).cast("long").alias("cut"))
+    left = odds.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("whole") * F.col("size")).alias("sure")).select(
+        "source",
+        (F.col("target") - F.col("sure")).alias("room"),
+        F.lit(0).cast("long").alias("cut"),
+    )
     left = scratch.keep(left, "room-0")
     for step in range(3):
         shift = (2 - step) * _STEP
@@ -112,14 +128,34 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
         over = bins.where("upto > room").groupBy("source").agg(F.min(F.struct("bin", "before", "words", "room")).alias("x")).select(F.col("source").alias("_s"), "x.*")
         joined = left.join(over.drop("room"), F.col("source").eqNullSafe(F.col("_s")), "left")
         if step < 2:
-            left = joined.select("source", F.when(F.col("bin").isNull(), F.col("room")).otherwise(F.col("room") - F.col("before")).alias("room"), F.when(F.col("bin").isNull(), F.lit(1 << 3 * _STEP).cast("long")).otherwise(F.call_function("shiftleft", F.col("bin"), F.lit(shift))).alias("cut"))
+            left = joined.select(
+                "source",
+                F.when(F.col("bin").isNull(), F.col("room")).otherwise(F.col("room") - F.col("before")).alias("room"),
+                F.when(
+                    F.col("bin").isNull(),
+                    F.lit(1 << 3 * _STEP).cast("long"),
+                ).otherwise(F.call_function("shiftleft", F.col("bin"), F.lit(shift))).alias("cut"),
+            )
         else:
             rest = F.col("room") - F.col("before")
             closer = F.col("words") - rest < rest
-            left = joined.select("source", F.lit(0.0).alias("room"), F.when(F.col("bin").isNull(), F.col("cut") + (1 << _STEP)).otherwise(F.col("bin") + closer.cast("int")).alias("cut"))
+            left = joined.select(
+                "source",
+                F.lit(0.0).alias("room"),
+                F.when(F.col("bin").isNull(), F.col("cut") + (1 << _STEP)).otherwise(F.col("bin") + closer.cast("int")).alias("cut"),
+            )
         left = scratch.keep(left, f"room-{step + 1}")
     ends = left.select(F.col("source").alias("_s"), "cut")
     out = odds.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
     copies = (F.col("whole") + F.coalesce((F.col("rank") < F.col("cut")).cast("int"), F.lit(0))).cast("long")
     copies = F.when(F.col("size") > 0, copies).otherwise(0)
-    return out.select(F.col("doc_id").alias(key), F.col("source").alias(source), "size", "print", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(
+        F.col("doc_id").alias(key),
+        F.col("source").alias(source),
+        "size",
+        "print",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
+    )

@@ -139,7 +139,10 @@ def learn(train: DataFrame, scratch: Scratch, bins: int = 32, max_rules: int = 8
         rule: list[tuple[str, bool, int]] = []
         covered = left.where("grow")
         while len(rule) < max_conditions:
-            hist = covered.select("bad", F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(n).alias("b")) for n in names])).alias("x")).groupBy("x.f", "x.b").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
+            hist = covered.select(
+                "bad",
+                F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(n).alias("b")) for n in names])).alias("x"),
+            ).groupBy("x.f", "x.b").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
             one = {f: sorted((r.b, r.p, r.n) for r in hist if r.f == f) for f in names}
             p0, n0 = (sum(x[k] for x in one[names[0]]) for k in (1, 2))
             if not p0 or not n0:

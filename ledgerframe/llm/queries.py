@@ -72,7 +72,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_quality_rules, op3_secret_scan, op4_token_output, op5_language_id, op6_mixing, op7_decontaminate, op8_url_filter, op9_suffix_dedup, op10_substring_dedup)}
+    return {
+        f.__name__: f for f in (
+            op1_ngram_jaccard_join,
+            op2_quality_rules,
+            op3_secret_scan,
+            op4_token_output,
+            op5_language_id,
+            op6_mixing,
+            op7_decontaminate,
+            op8_url_filter,
+            op9_suffix_dedup,
+            op10_substring_dedup,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -160,10 +160,23 @@ def _entropy_spans(text: Column) -> Column:
         return out.otherwise(none)
 
     def moved(hits: Column, spans: Column) -> Column:
-        each = F.transform(F.arrays_zip(hits.alias("hit"), spans.alias("span")), lambda x: F.transform(runs(x["hit"]), lambda r: F.struct((x["span"]["start"] + r["lo"]).alias("start"), F.lit(3).alias("rank"), (x["span"]["start"] + r["hi"]).alias("end"))))
+        each = F.transform(
+            F.arrays_zip(hits.alias("hit"), spans.alias("span")),
+            lambda x: F.transform(
+                runs(x["hit"]),
+                lambda r: F.struct(
+                    (x["span"]["start"] + r["lo"]).alias("start"),
+                    F.lit(3).alias("rank"),
+                    (x["span"]["start"] + r["hi"]).alias("end"),
+                ),
+            ),
+        )
         return F.flatten(each)
 
-    return let(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda hits: F.when(F.size(hits) == 0, F.array().cast(_SPAN)).otherwise(moved(hits, _spans(text, CANDIDATE, 3))))
+    return let(
+        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
+        lambda hits: F.when(F.size(hits) == 0, F.array().cast(_SPAN)).otherwise(moved(hits, _spans(text, CANDIDATE, 3))),
+    )
 
 
 def _written(spans: Column) -> Column:
@@ -181,7 +194,13 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     t = F.col("_t")
     values = F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2))
-    rows = rows.select("doc_id", _spans(t, ASSIGN, 0, values).alias("assign"), _spans(t, ACCESS, 1).alias("access"), _spans(t, HEX, 2).alias("hex"), _entropy_spans(t).alias("entropy"))
+    rows = rows.select(
+        "doc_id",
+        _spans(t, ASSIGN, 0, values).alias("assign"),
+        _spans(t, ACCESS, 1).alias("access"),
+        _spans(t, HEX, 2).alias("hex"),
+        _entropy_spans(t).alias("entropy"),
+    )
     base = F.concat("assign", "access", "hex")
     return rows.select(
         F.col("doc_id").alias(key), "assign", "access", "hex", "entropy",

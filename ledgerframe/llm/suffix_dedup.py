@@ -58,7 +58,17 @@ def _anchors(length: int):
                 at, row, begin, end = at[ok], row[ok], begin[ok], end[ok]
                 left, right = np.minimum(at - begin, length - GRAM), np.minimum(end - at, length)
                 around = T.range_hash(other, at - left, at + right, 1) ^ T.mix(left.astype(np.uint64) + np.uint64(1))
-                yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int64)), pa.array(around.view(np.int64)), pa.array(docs[a:b][row]), pa.array((at - begin).astype(np.int32)), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))], names=["g", "cx", "doc", "at", "l", "r"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(gram[at].view(np.int64)),
+                        pa.array(around.view(np.int64)),
+                        pa.array(docs[a:b][row]),
+                        pa.array((at - begin).astype(np.int32)),
+                        pa.array(left.astype(np.int32)),
+                        pa.array(right.astype(np.int32)),
+                    ],
+                    names=["g", "cx", "doc", "at", "l", "r"],
+                )
 
     return run
 
@@ -73,7 +83,11 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         """Binary array of the bytes from each start on, forwards or backwards."""
         ends = np.concatenate(([0], np.cumsum(size)))
         within = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
-        return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[np.repeat(start, size) + step * within])]).cast(pa.binary())
+        return pa.Array.from_buffers(
+            pa.large_binary(),
+            len(size),
+            [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[np.repeat(start, size) + step * within])],
+        ).cast(pa.binary())
 
     for batch in batches:
         data, offsets = T.columns(batch, "text")
@@ -192,7 +206,10 @@ def _tree(length: int):
         t = pa.Table.from_batches(rows)
         group, member, left, right = repeat_groups(t.column("lefts").to_pylist(), t.column("rights").to_pylist(), length)
         g, cx = (t.column(c).to_numpy()[member] for c in ("g", "cx"))
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(group), pa.array(cx), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))], names=["g", "part", "cx", "l", "r"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(g), pa.array(group), pa.array(cx), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))],
+            names=["g", "part", "cx", "l", "r"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by g; what is gathered is cut where g changes."""
@@ -223,7 +240,10 @@ def _strings(length: int):
                 sums = T.prefix_sums(T.byte_values(np.frombuffer(left[::-1] + right, np.uint8)))
                 o = np.arange(max(0, length - len(right)), len(left) + 1)
                 h = T.range_hash(sums, len(left) - o, len(left) - o + length)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(o), g)), pa.array(np.full(len(o), cx)), pa.array(o.astype(np.int32))], names=["h", "g", "cx", "o"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(np.full(len(o), g)), pa.array(np.full(len(o), cx)), pa.array(o.astype(np.int32))],
+                    names=["h", "g", "cx", "o"],
+                )
 
     return run
 
@@ -254,7 +274,10 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if removed[k]:
                     text = some[off[k] : off[k + 1]][~gone[base[k] : base[k] + len(text)]].tobytes()
                 sha.append(hashlib.sha256(text).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(off)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), pa.array(np.diff(off)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            )
 
 
 def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int) -> tuple[DataFrame, DataFrame]:
@@ -275,7 +298,15 @@ def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int) -> tu
         strings = scratch.keep(strings, "strings")
         # the same string around another anchor is no second occurrence
         again = scratch.keep(strings.groupBy("h", "g", "o").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "again")
-        found = found.unionByName(strings.join(again, ["h", "g", "o"]).select("g", F.xxhash64("h", "o").alias("part"), "cx", F.col("o").alias("l"), (F.lit(length) - F.col("o")).alias("r")))
+        found = found.unionByName(
+            strings.join(again, ["h", "g", "o"]).select(
+                "g",
+                F.xxhash64("h", "o").alias("part"),
+                "cx",
+                F.col("o").alias("l"),
+                (F.lit(length) - F.col("o")).alias("r"),
+            )
+        )
     same = around.where("n > 1").select("g", F.col("cx").alias("part"), "cx", "l", "r")
     return anchors.select("g", "cx", "doc", "at"), same.unionByName(found)
 

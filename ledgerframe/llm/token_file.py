@@ -169,7 +169,17 @@ def _encode(shared, end_id: int):
         def segment() -> pa.RecordBatch:
             ids = np.concatenate(parts)
             c, m, r = pack(ids)
-            row = {"part": part, "seq": seq, "n_tokens": len(ids), "n_nulls": nulls, "doc_ids": np.concatenate(keys).astype("<i8").tobytes(), "doc_tokens": np.concatenate(sizes).astype("<i8").tobytes(), "chunks": c, "more": m, "ranks": r}
+            row = {
+                "part": part,
+                "seq": seq,
+                "n_tokens": len(ids),
+                "n_nulls": nulls,
+                "doc_ids": np.concatenate(keys).astype("<i8").tobytes(),
+                "doc_tokens": np.concatenate(sizes).astype("<i8").tobytes(),
+                "chunks": c,
+                "more": m,
+                "ranks": r,
+            }
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.binary())] * 3]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds, strict=True)], names=list(row))
 
@@ -221,7 +231,17 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
             k = len(size)
             keys = pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=np.arange(k) < row["n_nulls"])
-            yield pa.RecordBatch.from_arrays([pa.array([row["part"]] * k, pa.int32()), pa.array([row["seq"]] * k, pa.int32()), keys, pa.array(ends - size), pa.array(size), pa.array(crc, pa.int64())], names=["part", "seq", "doc_id", "off", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["part"]] * k, pa.int32()),
+                    pa.array([row["seq"]] * k, pa.int32()),
+                    keys,
+                    pa.array(ends - size),
+                    pa.array(size),
+                    pa.array(crc, pa.int64()),
+                ],
+                names=["part", "seq", "doc_id", "off", "n_tokens", "ids_crc32"],
+            )
 
 
 def _bases(segments: DataFrame) -> DataFrame:
@@ -235,7 +255,10 @@ def _bases(segments: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of a token file, from its decoded ids."""
     segments = spark.read.schema(_SCHEMA).parquet(path)
-    rows = segments.select("part", "seq", "n_nulls", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(_documents, "part int, seq int, doc_id long, off long, n_tokens long, ids_crc32 long")
+    rows = segments.select("part", "seq", "n_nulls", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(
+        _documents,
+        "part int, seq int, doc_id long, off long, n_tokens long, ids_crc32 long",
+    )
     return rows.join(_bases(segments), ["part", "seq"]).select("doc_id", (F.col("off") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -102,4 +102,11 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str
     rows = rows.withColumns({"rule": none if name is None else name, "_own": none if verdict is None else verdict})
     hits = match(rows.where("rule is null"), mine(labelled), scratch).withColumnRenamed("url", "_u")
     out = rows.join(hits, F.col("url") == F.col("_u"), "left")
-    return out.select(F.col("page_id").alias(key), "host", "path", "rule", F.coalesce("_own", F.when(F.col("confidence").isNotNull(), F.lit("block")), F.lit("allow")).alias("verdict"), "confidence")
+    return out.select(
+        F.col("page_id").alias(key),
+        "host",
+        "path",
+        "rule",
+        F.coalesce("_own", F.when(F.col("confidence").isNotNull(), F.lit("block")), F.lit("allow")).alias("verdict"),
+        "confidence",
+    )
