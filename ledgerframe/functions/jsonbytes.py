@@ -26,7 +26,21 @@ ESCAPES = [
 ]
 
 # Fields of a record in the order of its bytes.
-RECORD_FIELDS = ("schema_version", "trace_id", "span_id", "parent_span_id", "seq_in_trace", "start_time_unix_nano", "end_time_unix_nano", "span_name", "otel_kind", "gen_ai_operation", "audit_kind", "selected_attributes", "status")
+RECORD_FIELDS = (
+    "schema_version",
+    "trace_id",
+    "span_id",
+    "parent_span_id",
+    "seq_in_trace",
+    "start_time_unix_nano",
+    "end_time_unix_nano",
+    "span_name",
+    "otel_kind",
+    "gen_ai_operation",
+    "audit_kind",
+    "selected_attributes",
+    "status",
+)
 NUMERIC_TIME_VERSIONS = ("v1", "v2")
 
 
@@ -72,7 +86,15 @@ def canonical_entry(get=F.col) -> Column:
 
 def checkpoint_payload(get=F.col) -> Column:
     """What a checkpoint signs: all its fields but the signature, tips in stored order."""
-    tip = lambda t: F.concat(F.lit('{"trace_id":'), json_string(t["trace_id"]), F.lit(',"tip_hash":'), json_string(t["tip_hash"]), F.lit(',"entry_count":'), t["entry_count"].cast("string"), F.lit("}"))
+    tip = lambda t: F.concat(
+        F.lit('{"trace_id":'),
+        json_string(t["trace_id"]),
+        F.lit(',"tip_hash":'),
+        json_string(t["tip_hash"]),
+        F.lit(',"entry_count":'),
+        t["entry_count"].cast("string"),
+        F.lit("}"),
+    )
     return F.concat(
         F.lit('{"schema_version":'), json_string(get("schema_version")),
         F.lit(',"checkpoint_seq":'), get("checkpoint_seq").cast("string"),

@@ -109,7 +109,15 @@ def checkpoints(tips: DataFrame, timestamp: Column, key_id: str = "", version: s
     fields = [F.col("tip_hash"), F.col("entry_count").cast("long").alias("entry_count")]
     by = tips.groupBy("checkpoint_seq").agg(F.array_sort(F.collect_list(F.struct("trace_id", *fields))).alias("trace_tips"))
     names = ["schema_version", "checkpoint_seq", "timestamp", "prev_checkpoint_hash", "trace_tips", "key_id", "algorithm"]
-    open_ = by.select(F.lit(version).alias("schema_version"), "checkpoint_seq", timestamp.alias("timestamp"), F.lit("@prev@").alias("prev_checkpoint_hash"), "trace_tips", F.lit(key_id).alias("key_id"), F.lit("ed25519").alias("algorithm"))
+    open_ = by.select(
+        F.lit(version).alias("schema_version"),
+        "checkpoint_seq",
+        timestamp.alias("timestamp"),
+        F.lit("@prev@").alias("prev_checkpoint_hash"),
+        "trace_tips",
+        F.lit(key_id).alias("key_id"),
+        F.lit("ed25519").alias("algorithm"),
+    )
     open_ = kept(open_.withColumn("_payload", checkpoint_payload()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

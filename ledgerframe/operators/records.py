@@ -56,7 +56,15 @@ def audit_kind(attributes: Column, status_code: Column) -> Column:
 
 def to_records(spans: DataFrame, version: str = CURRENT_VERSION) -> DataFrame:
     """Records without a sequence number yet; other columns of ``spans`` that records lack are kept after them."""
-    kept = [c for c in spans.columns if c not in {"name", "kind", "status_code", "attributes"} and c not in {"trace_id", "span_id", "parent_span_id", "start_time_unix_nano", "end_time_unix_nano"}]
+    kept = [
+        c for c in spans.columns if c not in {"name", "kind", "status_code", "attributes"} and c not in {
+            "trace_id",
+            "span_id",
+            "parent_span_id",
+            "start_time_unix_nano",
+            "end_time_unix_nano",
+        }
+    ]
     a = F.coalesce(F.col("attributes"), F.array().cast(spans.schema["attributes"].dataType))
     return spans.where("trace_id <> ''").select(
         F.lit(version).alias("schema_version"),

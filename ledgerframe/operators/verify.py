@@ -28,7 +28,16 @@ _COLUMNS = ("phase", "k1", "k2", "k3", "trace_id", "kind", "severity", "detail")
 
 
 def _finding(rows: DataFrame, phase: int, k1: Column, k2: Column, k3: Column, trace: Column, kind: Column, severity: str, detail: Column) -> DataFrame:
-    return rows.select(F.lit(phase).alias("phase"), k1.cast("string").alias("k1"), k2.cast("long").alias("k2"), k3.cast("long").alias("k3"), trace.alias("trace_id"), kind.alias("kind"), F.lit(severity).alias("severity"), detail.alias("detail"))
+    return rows.select(
+        F.lit(phase).alias("phase"),
+        k1.cast("string").alias("k1"),
+        k2.cast("long").alias("k2"),
+        k3.cast("long").alias("k3"),
+        trace.alias("trace_id"),
+        kind.alias("kind"),
+        F.lit(severity).alias("severity"),
+        detail.alias("detail"),
+    )
 
 
 def duplicate_segments(entries: DataFrame) -> DataFrame:
@@ -79,7 +88,12 @@ def chain_states(entries: DataFrame, public: bytes | None) -> DataFrame:
         .when(~F.col("entry_hash").eqNullSafe(F.col("now")), F.concat(at, F.format_string("stored hash %s, its content gives %s", "entry_hash", "now")))
     )
     first = F.min_by("wrong", F.when(F.col("wrong").isNotNull(), F.col("pos")))
-    out = flat.withColumn("wrong", wrong).groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("again").alias("dup"), first.alias("error"), F.max_by("now", "pos").alias("last"))
+    out = flat.withColumn("wrong", wrong).groupBy("trace_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_or("again").alias("dup"),
+        first.alias("error"),
+        F.max_by("now", "pos").alias("last"),
+    )
     return out.select("trace_id", "n", "dup", "error", F.when(~F.col("dup") & F.col("error").isNull(), F.col("last")).alias("tip"))
 
 
@@ -122,13 +136,35 @@ def findings(entries: DataFrame, checkpoints: DataFrame, public: bytes | None, t
     text = lambda *c: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in c])
     word = lambda c: F.col(c).cast("string")
     parts = [
-        _finding(states.where("dup"), 0, F.col("trace_id"), zero, zero, F.col("trace_id"), F.lit("duplicate_trace_segment"), "fatal", F.lit("a seq_in_trace occurs more than once")),
+        _finding(
+            states.where("dup"),
+            0,
+            F.col("trace_id"),
+            zero,
+            zero,
+            F.col("trace_id"),
+            F.lit("duplicate_trace_segment"),
+            "fatal",
+            F.lit("a seq_in_trace occurs more than once"),
+        ),
         _finding(states.where("not dup and error is not null"), 0, F.col("trace_id"), zero, zero, F.col("trace_id"), F.lit("chain"), "fatal", F.col("error")),
     ]
     if public is not None:
         own = ed25519.key_id(public)
         detail = text("entry ", word("seq_in_trace"), ": claims key_id ", F.col("key_id"), f", signed by {own}")
-        parts.append(_finding(odd_key_ids(entries, states, own), 0, F.col("trace_id"), F.lit(1), F.col("seq_in_trace"), F.col("trace_id"), F.lit("key_id_field_mismatch"), "advisory", detail))
+        parts.append(
+            _finding(
+                odd_key_ids(entries, states, own),
+                0,
+                F.col("trace_id"),
+                F.lit(1),
+                F.col("seq_in_trace"),
+                F.col("trace_id"),
+                F.lit("key_id_field_mismatch"),
+                "advisory",
+                detail,
+            )
+        )
     linked = payload_hashes(checkpoints)
     bad_sig = none if public is None else ed25519.verified(public, F.encode(checkpoint_payload(), "UTF-8"), F.lit("ed25519"), F.col("signature"))
     link = F.when(F.col("prev_checkpoint_hash") != F.col("expected_prev"), text("links to ", F.col("prev_checkpoint_hash"), ", the one before is ", F.col("expected_prev")))

@@ -91,7 +91,19 @@ def ag9_chain_hashes(spark, sf):
 
 @query
 def prj1_span_to_record(spark, sf):
-    return _records(spark, sf).select("schema_version", "trace_id", "span_id", "parent_span_id", F.col("start_time_unix_nano").cast("string").alias("start_ns"), F.col("end_time_unix_nano").cast("string").alias("end_ns"), "span_name", "otel_kind", "gen_ai_operation", "audit_kind", "status")
+    return _records(spark, sf).select(
+        "schema_version",
+        "trace_id",
+        "span_id",
+        "parent_span_id",
+        F.col("start_time_unix_nano").cast("string").alias("start_ns"),
+        F.col("end_time_unix_nano").cast("string").alias("end_ns"),
+        "span_name",
+        "otel_kind",
+        "gen_ai_operation",
+        "audit_kind",
+        "status",
+    )
 
 
 @query
@@ -192,7 +204,11 @@ def jn8_uncovered_traces(spark, sf):
 
 @query
 def ag1_entries_by_trace(spark, sf):
-    return _records(spark, sf).groupBy("trace_id").agg(F.count("*").alias("n"), F.min("start_time_unix_nano").cast("long").alias("first_ns"), F.max("end_time_unix_nano").cast("long").alias("last_ns"))
+    return _records(spark, sf).groupBy("trace_id").agg(
+        F.count("*").alias("n"),
+        F.min("start_time_unix_nano").cast("long").alias("first_ns"),
+        F.max("end_time_unix_nano").cast("long").alias("last_ns"),
+    )
 
 
 def _orders(spark, sf):
@@ -250,7 +266,10 @@ def ag11_merkle_root(spark, sf):
 
 @query
 def ag12_status_lines(spark, sf):
-    e = datasets.table(spark, sf, "events").groupBy("user_id").agg(F.count_if((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0)).alias("f"), F.count_if((F.col("event_type") == "view") & (F.col("event_id") % 7 == 0)).alias("a"))
+    e = datasets.table(spark, sf, "events").groupBy("user_id").agg(
+        F.count_if((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0)).alias("f"),
+        F.count_if((F.col("event_type") == "view") & (F.col("event_id") % 7 == 0)).alias("a"),
+    )
     return e.select("user_id", verify.status_line(F.col("f"), F.col("a")).alias("status"))
 
 
@@ -311,7 +330,15 @@ def vf6_key_id_mismatch(spark, sf):
 
 @query
 def so2_checkpoint_tips(spark, sf):
-    tip = lambda t: F.concat(F.lit('{"trace_id":'), json_string(t["trace_id"]), F.lit(',"tip_hash":'), json_string(t["tip_hash"]), F.lit(',"entry_count":'), t["entry_count"].cast("string"), F.lit("}"))
+    tip = lambda t: F.concat(
+        F.lit('{"trace_id":'),
+        json_string(t["trace_id"]),
+        F.lit(',"tip_hash":'),
+        json_string(t["tip_hash"]),
+        F.lit(',"entry_count":'),
+        t["entry_count"].cast("string"),
+        F.lit("}"),
+    )
     return _checkpoints(spark, sf).select("checkpoint_seq", F.concat(F.lit("["), F.array_join(F.transform("trace_tips", tip), ","), F.lit("]")).alias("tips_json"))
 
 
@@ -323,7 +350,10 @@ def so4_sorted_spans(spark, sf):
 @query
 def src4_last_checkpoint(spark, sf):
     line = canonical_checkpoint()
-    lines = _checkpoints(spark, sf).withColumn("signature", F.lit("")).select("checkpoint_seq", F.when(F.col("checkpoint_seq") % 4 == 0, F.substring(line, 1, 90)).otherwise(line).alias("line"))
+    lines = _checkpoints(spark, sf).withColumn("signature", F.lit("")).select(
+        "checkpoint_seq",
+        F.when(F.col("checkpoint_seq") % 4 == 0, F.substring(line, 1, 90)).otherwise(line).alias("line"),
+    )
     path = _folder(spark, "checkpoints")
     jsonl.write_batch(lines, path, 0, "checkpoint_seq")
     return jsonl.last_checkpoint(spark, path).select("checkpoint_seq", "prev_checkpoint_hash")
@@ -343,7 +373,9 @@ def tk3_fragment_prefix(spark, sf):
 @query
 def st1_claimed_keys(spark, sf):
     e = datasets.table(spark, sf, "events")
-    return e.select(F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id")).union(e.select(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string")))).distinct()
+    return e.select(
+        F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id")
+    ).union(e.select(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string")))).distinct()
 
 
 @query
@@ -367,7 +399,10 @@ def fn1_json_strings(spark, sf):
 def fn3_unixnano_parse(spark, sf):
     n = F.col("event_id").cast("string")
     m = F.col("event_id") % 6
-    x = F.when(m == 0, F.concat(F.lit('"'), n, F.lit('"'))).when(m == 1, F.concat(F.lit("0"), n)).when(m == 2, "18446744073709551615").when(m == 3, '"18446744073709551616"').when(m == 4, "null").otherwise(F.concat(n, F.lit(".0")))
+    x = F.when(
+        m == 0,
+        F.concat(F.lit('"'), n, F.lit('"')),
+    ).when(m == 1, F.concat(F.lit("0"), n)).when(m == 2, "18446744073709551615").when(m == 3, '"18446744073709551616"').when(m == 4, "null").otherwise(F.concat(n, F.lit(".0")))
     return datasets.table(spark, sf, "events").select("event_id", unix_nano_column(x).alias("nanos"))
 
 
@@ -408,7 +443,17 @@ def fn13_id_checks(spark, sf):
 @query
 def ss6_scope_groups(spark, sf):
     pair = lambda k, v: F.array(F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")))
-    spans = datasets.event_spans(spark, sf).withColumns({"segment": F.lit("complete"), "resource_schema": F.lit(""), "scope_schema": F.lit(""), "scope_name": F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")), "scope_version": F.lit("1"), "resource_attributes": pair("host", F.col("event_id") % 2), "scope_attributes": pair("x", F.lit("y"))})
+    spans = datasets.event_spans(spark, sf).withColumns(
+        {
+            "segment": F.lit("complete"),
+            "resource_schema": F.lit(""),
+            "scope_schema": F.lit(""),
+            "scope_name": F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")),
+            "scope_version": F.lit("1"),
+            "resource_attributes": pair("host", F.col("event_id") % 2),
+            "scope_attributes": pair("x", F.lit("y")),
+        }
+    )
     out = otlp.regrouped(spans, "span_id", "name")
     return out.select("trace_id", "resource_key", "scope_name", F.array_join("spans.span_id", ",").alias("spans"))
 
@@ -431,7 +476,17 @@ def snk4_quarantine(spark, sf):
 
 @query
 def src1_span_ingest(spark, sf):
-    return records.to_records(otlp.spans(_requests(spark, sf))).select("trace_id", "span_id", "parent_span_id", F.col("start_time_unix_nano").cast("string").alias("start_ns"), "span_name", "otel_kind", "status", "audit_kind", json_attributes(F.col("selected_attributes")).alias("attributes_json"))
+    return records.to_records(otlp.spans(_requests(spark, sf))).select(
+        "trace_id",
+        "span_id",
+        "parent_span_id",
+        F.col("start_time_unix_nano").cast("string").alias("start_ns"),
+        "span_name",
+        "otel_kind",
+        "status",
+        "audit_kind",
+        json_attributes(F.col("selected_attributes")).alias("attributes_json"),
+    )
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,11 +494,35 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
     e = datasets.event_spans(spark, sf)
     text = F.transform("attributes", lambda a: F.struct(a["key"].alias("key"), F.struct(a["value"].alias("stringValue")).alias("value")))
     typed = lambda key, kind, value: F.struct(F.lit(key).alias("key"), F.struct(value.alias(kind)).alias("value"))
-    more = [("gen_ai.usage.input_tokens", "intValue", F.col("event_id").cast("string")), ("gen_ai.usage.output_tokens", "doubleValue", F.col("event_id") / 4), ("gen_ai.request.model", "boolValue", F.col("event_id") % 2 == 0)]
+    more = [
+        ("gen_ai.usage.input_tokens", "intValue", F.col("event_id").cast("string")),
+        ("gen_ai.usage.output_tokens", "doubleValue", F.col("event_id") / 4),
+        ("gen_ai.request.model", "boolValue", F.col("event_id") % 2 == 0),
+    ]
     named = [F.to_json(F.array(typed(*m))) for m in more]
     joined = F.concat(F.to_json(text), *named)
     attributes = F.regexp_replace(joined, r"\]\[", ",")
-    one = F.concat(F.lit('{"attributes":'), attributes, F.lit(","), F.substring(F.to_json(F.struct(F.col("trace_id").alias("traceId"), F.col("span_id").alias("spanId"), F.col("parent_span_id").alias("parentSpanId"), "name", "kind", F.col("start_time_unix_nano").cast("string").alias("startTimeUnixNano"), F.col("end_time_unix_nano").alias("endTimeUnixNano"), F.struct(F.col("status_code").alias("code")).alias("status"))), 2, 1 << 20))
+    one = F.concat(
+        F.lit('{"attributes":'),
+        attributes,
+        F.lit(","),
+        F.substring(
+            F.to_json(
+                F.struct(
+                    F.col("trace_id").alias("traceId"),
+                    F.col("span_id").alias("spanId"),
+                    F.col("parent_span_id").alias("parentSpanId"),
+                    "name",
+                    "kind",
+                    F.col("start_time_unix_nano").cast("string").alias("startTimeUnixNano"),
+                    F.col("end_time_unix_nano").alias("endTimeUnixNano"),
+                    F.struct(F.col("status_code").alias("code")).alias("status"),
+                )
+            ),
+            2,
+            1 << 20,
+        ),
+    )
     by = e.select("trace_id", one.alias("x")).groupBy("trace_id").agg(F.array_join(F.collect_list("x"), ",").alias("x"))
     return by.select(F.concat(F.lit('{"resourceSpans":[{"scopeSpans":[{"scope":{"name":"s"},"spans":['), "x", F.lit("]}]}]}")).alias("value"))
 
@@ -454,7 +533,10 @@ def prj3_attribute_text(spark, sf):
     n = F.col("event_id").cast("string")
     tag = lambda kind, x: F.concat(F.lit(f'{{"{kind}":'), x, F.lit("}"))
     quote = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
-    raw = F.when(F.col("m") == 0, tag("stringValue", quote(n))).when(F.col("m") == 1, tag("intValue", quote(n))).when(F.col("m") == 2, tag("doubleValue", (F.col("event_id") / 4).cast("string"))).when(F.col("m") == 3, tag("boolValue", (F.col("event_id") % 2 == 0).cast("string"))).when(F.col("m") == 4, tag("bytesValue", quote(F.base64(F.encode(n, "UTF-8")))))
+    raw = F.when(F.col("m") == 0, tag("stringValue", quote(n))).when(F.col("m") == 1, tag("intValue", quote(n))).when(F.col("m") == 2, tag("doubleValue", (F.col("event_id") / 4).cast("string"))).when(
+        F.col("m") == 3,
+        tag("boolValue", (F.col("event_id") % 2 == 0).cast("string")),
+    ).when(F.col("m") == 4, tag("bytesValue", quote(F.base64(F.encode(n, "UTF-8")))))
     items = tag("arrayValue", F.concat(F.lit('{"values":['), tag("intValue", n), F.lit(',{"stringValue":"<x>"}]}')))
     raw = raw.when(F.col("m") == 5, items).otherwise(F.lit("{}"))
     return e.select("event_id", otlp.value_texts(F.array(raw))[0].alias("text"))
@@ -464,7 +546,10 @@ def prj3_attribute_text(spark, sf):
 def fn7_attributes_key(spark, sf):
     e = datasets.table(spark, sf, "events")
     pair = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"))
-    given = F.when(F.col("event_id") % 2 == 0, F.array(pair("b", F.col("event_type")), pair("a", F.col("user_id")))).otherwise(F.array(pair("a", F.col("user_id")), pair("b", F.col("event_type"))))
+    given = F.when(
+        F.col("event_id") % 2 == 0,
+        F.array(pair("b", F.col("event_type")), pair("a", F.col("user_id"))),
+    ).otherwise(F.array(pair("a", F.col("user_id")), pair("b", F.col("event_type"))))
     return e.groupBy(otlp.attributes_key(given).alias("attributes")).agg(F.count("*").alias("n"))
 
 
@@ -489,7 +574,14 @@ def ss8_sealed_batches(spark, sf):
     tips = cps.select("checkpoint_seq", F.size("trace_tips").alias("tips"))
     passed = sealer.passed(spark, 3)
     per = tips.agg(F.count("*").alias("checkpoints"), F.coalesce(F.sum("tips"), F.lit(0)).alias("covered"))
-    return per.withColumns({"findings": F.lit(found).cast("long"), "entries": F.lit(entries.count()).cast("long"), "pending": F.lit(len(passed["pending"])).cast("long"), "sealed": F.lit(passed["sealed"]).cast("long")})
+    return per.withColumns(
+        {
+            "findings": F.lit(found).cast("long"),
+            "entries": F.lit(entries.count()).cast("long"),
+            "pending": F.lit(len(passed["pending"])).cast("long"),
+            "sealed": F.lit(passed["sealed"]).cast("long"),
+        }
+    )
 
 
 @query

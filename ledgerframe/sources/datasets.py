@@ -54,9 +54,37 @@ def order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     order stands for their arrival."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     trace = lambda c: hex_id(F.col(c), 32).alias("trace_id")
-    root = o.select(trace("o_orderkey"), F.lit("0" * 15 + "f").alias("span_id"), F.lit("").alias("parent_span_id"), F.concat(F.lit("order "), F.col("o_orderstatus")).alias("name"), F.lit(2).alias("kind"), _nanos("o_orderdate").alias("start_time_unix_nano"), _nanos("o_orderdate").alias("end_time_unix_nano"), F.lit(1).alias("status_code"), F.lit("").alias("arrival"))
-    arrival = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")], F.round(F.col("l_quantity") * 100).cast("long").cast("string"), F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"), F.round(F.col("l_discount") * 100).cast("long").cast("string"), F.round(F.col("l_tax") * 100).cast("long").cast("string"), _nanos("l_shipdate").cast("string"))
-    lines = li.select(trace("l_orderkey"), hex_id(F.col("l_linenumber"), 16).alias("span_id"), F.lit("0" * 15 + "f").alias("parent_span_id"), F.concat(F.lit("line "), F.col("l_returnflag")).alias("name"), F.lit(3).alias("kind"), _nanos("l_shipdate").alias("start_time_unix_nano"), _nanos("l_shipdate").alias("end_time_unix_nano"), F.lit(0).alias("status_code"), arrival.alias("arrival"))
+    root = o.select(
+        trace("o_orderkey"),
+        F.lit("0" * 15 + "f").alias("span_id"),
+        F.lit("").alias("parent_span_id"),
+        F.concat(F.lit("order "), F.col("o_orderstatus")).alias("name"),
+        F.lit(2).alias("kind"),
+        _nanos("o_orderdate").alias("start_time_unix_nano"),
+        _nanos("o_orderdate").alias("end_time_unix_nano"),
+        F.lit(1).alias("status_code"),
+        F.lit("").alias("arrival"),
+    )
+    arrival = F.concat_ws(
+        "|",
+        *[F.col(c).cast("string") for c in ("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")],
+        F.round(F.col("l_quantity") * 100).cast("long").cast("string"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"),
+        F.round(F.col("l_discount") * 100).cast("long").cast("string"),
+        F.round(F.col("l_tax") * 100).cast("long").cast("string"),
+        _nanos("l_shipdate").cast("string"),
+    )
+    lines = li.select(
+        trace("l_orderkey"),
+        hex_id(F.col("l_linenumber"), 16).alias("span_id"),
+        F.lit("0" * 15 + "f").alias("parent_span_id"),
+        F.concat(F.lit("line "), F.col("l_returnflag")).alias("name"),
+        F.lit(3).alias("kind"),
+        _nanos("l_shipdate").alias("start_time_unix_nano"),
+        _nanos("l_shipdate").alias("end_time_unix_nano"),
+        F.lit(0).alias("status_code"),
+        arrival.alias("arrival"),
+    )
     return root.unionByName(lines).withColumn("attributes", F.array().cast("array<struct<key:string,value:string>>"))
 
 
@@ -80,7 +108,10 @@ def wal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as write-ahead-log lines: every event whose number ends in 97 seals its user's trace, and versions vary."""
     e = table(spark, sf_dir, "events")
     seal = F.col("event_id") % 100 == 97
-    version = F.when(F.col("user_id") % 10 < 5, F.lit("v3")).when(F.col("user_id") % 10 < 7, F.when(F.col("event_id") % 2 == 0, "v2").otherwise("v3")).when(F.col("user_id") % 10 < 8, F.lit("v1")).when(F.col("user_id") % 10 < 9, F.when(F.col("event_id") % 3 == 0, "v1").otherwise("v3")).otherwise(F.lit("v99"))
+    version = F.when(F.col("user_id") % 10 < 5, F.lit("v3")).when(
+        F.col("user_id") % 10 < 7,
+        F.when(F.col("event_id") % 2 == 0, "v2").otherwise("v3"),
+    ).when(F.col("user_id") % 10 < 8, F.lit("v1")).when(F.col("user_id") % 10 < 9, F.when(F.col("event_id") % 3 == 0, "v1").otherwise("v3")).otherwise(F.lit("v99"))
     return e.select(
         F.col("event_id").alias("line_no"),
         F.when(seal, "sealed").otherwise("span").alias("type"),

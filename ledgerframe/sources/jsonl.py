@@ -54,7 +54,15 @@ CHECKPOINT = T.StructType(
         T.StructField("signature", T.StringType()),
     ]
 )
-WAL = T.StructType([T.StructField("type", T.StringType()), T.StructField("trace_id", T.StringType()), T.StructField("record", RECORD), T.StructField("tip_hash", T.StringType()), T.StructField("entry_count", T.LongType())])
+WAL = T.StructType(
+    [
+        T.StructField("type", T.StringType()),
+        T.StructField("trace_id", T.StringType()),
+        T.StructField("record", RECORD),
+        T.StructField("tip_hash", T.StringType()),
+        T.StructField("entry_count", T.LongType()),
+    ]
+)
 _ZERO = {"string": "", "integer": 0, "long": 0}
 
 
@@ -130,7 +138,14 @@ def parsed(rows: DataFrame, schema: T.StructType) -> DataFrame:
                 except (ValueError, RecursionError) as e:
                     values.append(None)
                     errors.append(str(e))
-            yield pd.DataFrame({"line_no": frame["line_no"], "value": pd.Series(values, dtype=object), "error": pd.Series(errors, dtype=object), "size": frame["line"].map(lambda x: len(x.encode()))})
+            yield pd.DataFrame(
+                {
+                    "line_no": frame["line_no"],
+                    "value": pd.Series(values, dtype=object),
+                    "error": pd.Series(errors, dtype=object),
+                    "size": frame["line"].map(lambda x: len(x.encode())),
+                }
+            )
 
     return rows.mapInPandas(run, out)
 
@@ -177,7 +192,14 @@ def last_checkpoint(spark: SparkSession, path: str) -> DataFrame:
 def read_wal(spark: SparkSession, path: str) -> DataFrame:
     """Write-ahead-log lines; bad ones are skipped anywhere."""
     good = parsed(numbered(lines(spark, path)), WAL).where("error is null")
-    return good.select("line_no", "value.type", "value.trace_id", *[F.col(f"value.record.{f.name}") for f in RECORD.fields if f.name != "trace_id"], "value.tip_hash", "value.entry_count")
+    return good.select(
+        "line_no",
+        "value.type",
+        "value.trace_id",
+        *[F.col(f"value.record.{f.name}") for f in RECORD.fields if f.name != "trace_id"],
+        "value.tip_hash",
+        "value.entry_count",
+    )
 
 
 def batch_path(path: str, batch_id: int) -> str:

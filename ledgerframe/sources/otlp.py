@@ -143,4 +143,8 @@ def regrouped(assembled: DataFrame, *span_columns: str) -> DataFrame:
     the order of their ids. ``span_columns`` are what a span keeps."""
     keyed = assembled.withColumns({"resource_key": attributes_key(F.col("resource_attributes")), "scope_key": attributes_key(F.col("scope_attributes"))})
     spans_of = F.array_sort(F.collect_list(F.struct("span_id", *[c for c in span_columns if c != "span_id"])))
-    return keyed.groupBy(*SCOPE_KEY).agg(F.any_value("resource_attributes").alias("resource_attributes"), F.any_value("scope_attributes").alias("scope_attributes"), spans_of.alias("spans"))
+    return keyed.groupBy(*SCOPE_KEY).agg(
+        F.any_value("resource_attributes").alias("resource_attributes"),
+        F.any_value("scope_attributes").alias("scope_attributes"),
+        spans_of.alias("spans"),
+    )

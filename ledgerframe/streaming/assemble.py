@@ -103,4 +103,11 @@ def flushed(spark: SparkSession, checkpoint: str) -> DataFrame:
     open_ = held.select("key.trace_id", F.col(state).alias("s")).where("s.emitted_ms = 0")
     each = F.explode(F.arrays_zip("s.span_ids", "s.parents", "s.arrivals", "s.payloads"))
     rows = open_.select("trace_id", each.alias("x"))
-    return rows.select("trace_id", F.col("x.span_ids").alias("span_id"), F.col("x.parents").alias("parent_span_id"), F.col("x.arrivals").alias("arrival"), F.col("x.payloads").alias("payload"), F.lit("partial").alias("segment"))
+    return rows.select(
+        "trace_id",
+        F.col("x.span_ids").alias("span_id"),
+        F.col("x.parents").alias("parent_span_id"),
+        F.col("x.arrivals").alias("arrival"),
+        F.col("x.payloads").alias("payload"),
+        F.lit("partial").alias("segment"),
+    )

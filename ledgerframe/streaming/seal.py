@@ -117,7 +117,19 @@ class Sealer:
         before = [n for n in names if n.startswith("batch=") and int(n[6:]) < batch_id]
         if before:
             return spark.read.schema(PASSED).parquet(f"{s.state.rstrip('/')}/{max(before)}").first().asDict(recursive=True)
-        out = {"batch": -1, "seq": 0, "prev_hash": chain.ZERO_HASH, "sealed": 0, "late": 0, "quarantined": 0, "cap_dropped": 0, "failures": 0, "retry_at": 0, "tried_ms": 0, "pending": []}
+        out = {
+            "batch": -1,
+            "seq": 0,
+            "prev_hash": chain.ZERO_HASH,
+            "sealed": 0,
+            "late": 0,
+            "quarantined": 0,
+            "cap_dropped": 0,
+            "failures": 0,
+            "retry_at": 0,
+            "tried_ms": 0,
+            "pending": [],
+        }
         last = jsonl.last_checkpoint(spark, s.checkpoint_path).select("checkpoint_seq", sha256_hex(checkpoint_payload()).alias("h")).first()
         return out | ({"seq": last.checkpoint_seq, "prev_hash": last.h} if last else {})
 
@@ -155,7 +167,15 @@ class Sealer:
         bad = made.where("reason is not null")
         text = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
         versions = F.concat(F.lit("["), F.array_join(F.transform("versions", json_string), ","), F.lit("]"))
-        line = F.concat_ws(",", text("trace_id", json_string(F.col("trace_id"))), text("quarantined_at", json_string(F.lit(self.stamp()))), text("reason", json_string(F.col("reason"))), text("schema_versions", versions), text("current_schema_version", json_string(F.lit(records.CURRENT_VERSION))), text("record", canonical_record()))
+        line = F.concat_ws(
+            ",",
+            text("trace_id", json_string(F.col("trace_id"))),
+            text("quarantined_at", json_string(F.lit(self.stamp()))),
+            text("reason", json_string(F.col("reason"))),
+            text("schema_versions", versions),
+            text("current_schema_version", json_string(F.lit(records.CURRENT_VERSION))),
+            text("record", canonical_record()),
+        )
         lines = kept(bad.withColumn("seq_in_trace", F.lit(0)).select("trace_id", "span_id", F.concat(F.lit("{"), line, F.lit("}")).alias("line")))
         n = lines.count()
         if n:
