@@ -23,7 +23,7 @@ SPANS = "trace_id string, span_id string, parent_span_id string, name string, ki
 def one_partition(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     yield
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 class Stream:
