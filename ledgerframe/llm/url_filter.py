@@ -42,8 +42,10 @@ def mine(labelled: DataFrame, support: float = 0.002, least: int = 20, lift: flo
     A rule stands for ``support`` of all labelled rows, and for ``least`` bad rows at the fewest. How confident it must
     be is learned from the labels: ``lift`` times the share of bad rows among all, and so much that the lower end of its
     confidence interval (Wilson, ``z`` standard errors) is above that share. Rules that a more general one of at least
-    the same confidence covers are left out. FP-growth runs distributed, and its rules are few, as each stands for
-    ``support`` of the rows. A url that repeats counts each time; a null url, or a null label, teaches nothing.
+    the same confidence covers are left out, and so are those that don't hold to the same standard on the labelled rows
+    that no more confident rule matches: what made them look good is the other rule's. FP-growth runs distributed, and
+    its rules are few, as each stands for ``support`` of the rows. A url that repeats counts each time; a null url, or a
+    null label, teaches nothing.
     """
     none = F.array().cast("array<string>")
     known = labelled.where("url is not null and bad is not null")
@@ -55,31 +57,41 @@ def mine(labelled: DataFrame, support: float = 0.002, least: int = 20, lift: flo
     base = bad / n
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=min(1.0, lift * base)).fit(baskets.select("items"))
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD))).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
-    p, m = F.col("confidence"), F.col("support") * n / F.col("confidence")
-    lower = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-    rules = rules.where(lower > base)
+    rules = rules.where(_lower(F.col("confidence"), F.col("support") * n / F.col("confidence"), z) > base)
     # more general rules: every rule of fewer tokens that has its first token in this one and lies within it
     wide = rules.select(F.explode("items").alias("first"), "items", "confidence")
     less = rules.select(F.col("items")[0].alias("first"), F.col("items").alias("general"), F.col("confidence").alias("at_least"))
     covers = (F.size("general") < F.size("items")) & (F.col("at_least") >= F.col("confidence")) & (F.size(F.array_except("general", "items")) == 0)
     within = wide.join(less, "first").where(covers).select("items").distinct()
-    kept = rules.join(within, "items", "left_anti")
-    return kept.select(F.xxhash64("items").alias("rule"), "items", "confidence", "support")
+    kept = rules.join(within, "items", "left_anti").select(F.xxhash64("items").alias("rule"), "items", "confidence", "support")
+    scratch = Scratch(labelled.sparkSession, "mined")
+    kept = scratch.keep(kept, "kept")
+    own = known.join(match(known, kept, scratch).select("url", "rule"), "url").groupBy("rule").agg(F.count(F.lit(1)).alias("m"), F.count_if("bad").alias("k"))
+    share = F.col("k") / F.col("m")
+    holds = own.where((share >= lift * base) & (_lower(share, F.col("m"), z) > base)).select("rule")
+    return kept.join(holds, "rule", "left_semi")
+
+
+def _lower(p: Column, m: Column, z: float) -> Column:
+    """Lower end of the Wilson interval of a share ``p`` among ``m``."""
+    return (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
 
 
 def match(urls: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
-    """(url, confidence, n_rules) of the distinct urls that a rule matches, by an inverted index: a rule waits at its
-    rarest token, and a url looks at the rules of its own tokens alone."""
+    """(url, rule, confidence, n_rules) of the distinct urls that a rule matches, with the most confident rule (of
+    several the one with more tokens), by an inverted index: a rule waits at its rarest token, and a url looks at the
+    rules of its own tokens alone."""
     rules = scratch.keep(rules, "rules")
     if rules.isEmpty():
-        return urls.select("url", F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("n_rules")).limit(0)
+        return urls.select("url", F.lit(0).cast("long").alias("rule"), F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("n_rules")).limit(0)
     rows = scratch.keep(urls.where("url is not null").select("url").distinct().withColumn("tokens", tokens(F.col("url"))), "tokens")
     wanted = rules.select(F.explode("items").alias("token")).distinct()
     counts = rows.select(F.explode("tokens").alias("token")).join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     index = rules.withColumn("token", F.explode("items")).join(counts, "token", "left")
     index = index.groupBy("rule", "items", "confidence").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token"))
     met = rows.select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token").where(F.size(F.array_except("items", "tokens")) == 0)
-    return met.groupBy("url").agg(F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("n_rules"))
+    best = F.max(F.struct("confidence", F.size("items").alias("size"), "items", "rule"))
+    return met.groupBy("url").agg(best.alias("best"), F.count(F.lit(1)).alias("n_rules")).select("url", "best.rule", "best.confidence", "n_rules")
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", key: str = "page_id") -> DataFrame:
@@ -100,7 +112,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str
         verdict = F.when(fits, what) if verdict is None else verdict.when(fits, what)
     none = F.lit(None).cast("string")
     rows = rows.withColumns({"rule": none if name is None else name, "_own": none if verdict is None else verdict})
-    hits = match(rows.where("rule is null"), mine(labelled), scratch).withColumnRenamed("url", "_u")
+    hits = match(rows.where("rule is null"), mine(labelled), scratch).select(F.col("url").alias("_u"), "confidence")
     out = rows.join(hits, F.col("url") == F.col("_u"), "left")
     return out.select(
         F.col("page_id").alias(key),
