@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,3 +145,45 @@ def byte_repeats(docs, size=200):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out[d] = (len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(kept).hexdigest())
     return out
+
+
+def vocabulary(docs):
+    """{word: n} of the spelling operator."""
+    n = Counter()
+    for d, t in docs:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 5 and k >= 3}
+
+
+def near(a, b):
+    """Whether one code point inserted, deleted or replaced turns ``a`` into ``b``."""
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    i = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+    return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
+
+
+def spelling(n):
+    """Rows (word, form, root, n, n_near, form_n) from {word: n}, by the places where words lose a code point."""
+    lost = defaultdict(set)
+    for w in n:
+        for k in range(len(w) + 1):
+            lost[w[:k] + w[k + 1 :]].add(w)
+        lost[w].add(w)
+    found = {w: {v for k in range(len(w) + 1) for v in lost[w[:k] + w[k + 1 :]] | lost[w] if near(w, v)} for w in n}
+    form = {}
+    for w, them in found.items():
+        best = min(them, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(found[w]), form[w] and n[form[w]]))
+    return sorted(out)
