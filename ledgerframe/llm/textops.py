@@ -11,12 +11,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes that end a word: space and the controls 9 to 13.
+#: Bytes of words: all but space and the controls 9 to 13.
 _SOLID = np.ones(256, bool)
 _SOLID[[9, 10, 11, 12, 13, 32]] = False
 #: A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Bytes that end a word.
+SPACES = ~_SOLID
 
 _U = np.uint64
 _BASES = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
@@ -151,3 +153,40 @@ def anchors(values: np.ndarray, width: int) -> np.ndarray:
     padded = np.full(n + width - 1, np.iinfo(values.dtype).max, values.dtype)
     padded[width - 1 : n] = ~least
     return np.flatnonzero(~sliding_min(padded, width) == values)
+
+
+def blocks(data: np.ndarray, offsets: np.ndarray, most: int, ends: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Like ``slices``, but a text of more than ``most`` bytes is cut too, after a byte for which ``ends`` is true, so
+    that memory doesn't grow with the longest text. Offsets are those of the parts of texts that lie in the block."""
+    at, total = int(offsets[0]), int(offsets[-1])
+    while at < total:
+        stop = min(at + most, total)
+        if stop < total:
+            row = int(np.searchsorted(offsets, stop, "right")) - 1
+            if offsets[row] > at:
+                stop = int(offsets[row])
+            else:
+                limit = int(offsets[row + 1])
+                while stop < limit:
+                    found = np.flatnonzero(ends[data[stop : min(stop + 4096, limit)]])
+                    if len(found):
+                        stop += int(found[0]) + 1
+                        break
+                    stop = min(stop + 4096, limit)
+        a, b = int(np.searchsorted(offsets, at, "right")) - 1, int(np.searchsorted(offsets, stop, "left"))
+        yield a, b, data[at:stop], np.clip(offsets[a : b + 1], at, stop) - at
+        at = stop
+
+
+def split(some: np.ndarray, off: np.ndarray, breaks: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of a block of texts, A-Z in lower case, between bytes for which ``breaks`` is true; where each starts."""
+    solid = ~breaks[some]
+    begin, final = solid.copy(), solid.copy()
+    begin[1:] &= ~solid[:-1]
+    final[:-1] &= ~solid[1:]
+    inner = off[1:-1][(off[1:-1] > 0) & (off[1:-1] < len(some))]
+    begin[inner] = solid[inner]
+    final[inner - 1] = solid[inner - 1]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(final) + 1
+    at = np.concatenate((np.zeros(1, np.int64), np.cumsum(ends - starts)))
+    return pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(LOWER[some][solid])]), starts
