@@ -11,7 +11,7 @@ with 200 bytes or more is a maximal repeat group; it is put out with all its occ
 more around the anchor of one of them.
 
 Equal surroundings (136 bytes to the left and 200 to the right) are one suffix and, if they occur twice, a group of
-their own. They are equal by two independent hashes of 64 bits, that of the 64 bytes and that of the whole; all else is
+their own. They are equal by two independent hashes of 61 bits, that of the 64 bytes and that of the whole; all else is
 compared byte by byte. What still shares its first bytes with more than ``group`` other surroundings is too large for
 one task: there, all strings of 200 bytes around the anchors are compared by hash in one aggregation, which is exact
 as well and gives the same spans, as one group for each string.
@@ -43,12 +43,12 @@ def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = T.columns(batch, "text")
-            docs = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            docs, prints = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
             for a, b, some, off in T.slices(data, offsets):
                 n = len(some)
                 if n < length:
                     continue
-                sums, other = T.prefix_sums(T.byte_values(some)), T.prefix_sums(T.byte_values(some, 1), 1)
+                sums, other = T.prefix_sums(some), T.prefix_sums(some, 1)
                 starts = np.arange(n - GRAM + 1)
                 gram = T.range_hash(sums, starts, starts + GRAM)
                 at = T.anchors(gram, length - GRAM + 1)
@@ -57,23 +57,26 @@ def _anchors(length: int):
                 ok = (at + GRAM <= end) & (end - begin >= length)
                 at, row, begin, end = at[ok], row[ok], begin[ok], end[ok]
                 left, right = np.minimum(at - begin, length - GRAM), np.minimum(end - at, length)
-                around = T.range_hash(other, at - left, at + right, 1) ^ T.mix(left.astype(np.uint64) + np.uint64(1))
+                around = T.range_hash(other, at - left, at + right) ^ T.mix(left.astype(np.uint64) + np.uint64(1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(gram[at].view(np.int64)),
                         pa.array(around.view(np.int64)),
                         pa.array(docs[a:b][row]),
+                        pa.array(prints[a:b][row]),
                         pa.array((at - begin).astype(np.int32)),
                         pa.array(left.astype(np.int32)),
                         pa.array(right.astype(np.int32)),
                     ],
-                    names=["g", "cx", "doc", "at", "l", "r"],
+                    names=["g", "cx", "doc", "print", "at", "l", "r"],
                 )
 
     return run
 
 
-_ANCHORS = "g long, cx long, doc long, at int, l int, r int"
+_ANCHORS = "g long, cx long, doc long, print long, at int, l int, r int"
+#: What tells the rows of a table: the id and a print of the text, so that rows of one id with other texts are others.
+_ROW = ["doc", "print"]
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,13 +124,14 @@ class Table:
         return out
 
 
-def tree(lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(depth, first, last, node) of a common-prefix tree: its intervals with a depth of ``least`` or more, closed by
-    one scan with a stack, and for each place of ``lcp`` the interval whose depth it is (-1: none).
+def tree(lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(depth, first, last, above, node) of a common-prefix tree: its intervals with a depth of ``least`` or more, closed
+    by one scan with a stack, the depth of the interval around each (-1: none), and for each place of ``lcp`` the interval
+    whose depth it is (-1: none).
 
     ``lcp[i]`` is the common prefix of the suffixes i and i + 1; the interval holds the suffixes first to last.
     """
-    depth, first, last, node = [], [], [], np.full(len(lcp), -1, np.int64)
+    depth, first, last, above, node = [], [], [], [], np.full(len(lcp), -1, np.int64)
     stack: list[tuple[int, int, list[int]]] = []
     for i, d in enumerate([*lcp.tolist(), -1]):
         begin = i
@@ -137,20 +141,22 @@ def tree(lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
             depth.append(high)
             first.append(begin)
             last.append(i)
+            above.append(max(stack[-1][0] if stack else -1, d if d >= least else -1))
         if d >= least:
             if stack and stack[-1][0] == d:
                 stack[-1][2].append(i)
             else:
                 stack.append((d, begin, [i]))
-    return *(np.array(x, np.int64) for x in (depth, first, last)), node
+    return *(np.array(x, np.int64) for x in (depth, first, last, above)), node
 
 
-def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(group, member, left, right): maximal repeat groups of ``length`` bytes or more among suffixes, each with all
     its members, and how far it reaches to the left and right of their anchors.
 
     Of the groups that hold a suffix those are given that reach furthest to its left (of these furthest to its right),
-    and the other way round; all other groups cover nothing more.
+    and the other way round; all other groups cover nothing more. With ``every``, those are given as well that hold all
+    occurrences of any string of ``length`` bytes.
     """
     n = len(lefts)
     right, left = Table(rights, length), Table(lefts, length - GRAM)
@@ -158,12 +164,13 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
     lcp = right.common(sa[:-1], sa[1:]) if n > 1 else np.zeros(0, np.int64)
     rank = np.empty(n, np.int64)
     rank[left.order] = np.arange(n)
-    depth, first, last, _ = tree(lcp, GRAM)
+    depth, first, last, around, _ = tree(lcp, GRAM)
     size = last - first + 1
     ends = np.cumsum(size)
     # for each member the deepest left-diverse node in each right-maximal interval; the best of these, in both orders
     best, best_node = np.full((2, n), -1), np.full((2, n), -1)
     parts: list[tuple] = []
+    more_nodes = [np.zeros(0, np.int64)]
     nodes = a = 0
     while a < len(depth):  # a bounded number of members at a time
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _MEMBERS, "right")))
@@ -174,7 +181,7 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
         own, member = own[order], member[order]
         near = left.common(member[:-1], member[1:])
         near[own[:-1] != own[1:]] = -1
-        e, lo, hi, node = tree(near, 0)
+        e, lo, hi, above, node = tree(near, 0)
         # a member's deepest node is that of the nearer of its two neighbours
         before, after = np.append([-1], near), np.append(near, -1)
         mine = np.where(after >= before, np.append(node, -1), np.append([-1], node))
@@ -189,9 +196,14 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
             best_node[k][member[on[more]]] = nodes + mine[on[more]]
         if len(on):
             parts.append((nodes, member.astype(np.int32), lo, hi, e, depth[own[lo]]))
+        if every and len(e):
+            # a string that begins o bytes before the anchor has its occurrences in the widest interval and node that
+            # are as deep as its two sides; o ranges over those for which this interval is the widest
+            d, wider = depth[own[lo]], np.maximum(around[own[lo]], GRAM - 1)
+            more_nodes.append(nodes + np.flatnonzero((e + d >= length) & (above + wider < length - 1)))
         nodes += len(e)
         a = b
-    chosen = np.unique(best_node[best_node >= 0])
+    chosen = np.unique(np.concatenate((best_node[best_node >= 0], *more_nodes)))
     out = [(np.zeros(0, np.int64),) * 4]
     for begin, member, lo, hi, e, d in parts:
         used = chosen[(chosen >= begin) & (chosen < begin + len(lo))] - begin
@@ -201,10 +213,10 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], length: int = 200) ->
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _tree(length: int):
+def _tree(length: int, every: bool):
     def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        group, member, left, right = repeat_groups(t.column("lefts").to_pylist(), t.column("rights").to_pylist(), length)
+        group, member, left, right = repeat_groups(t.column("lefts").to_pylist(), t.column("rights").to_pylist(), length, every)
         g, cx = (t.column(c).to_numpy()[member] for c in ("g", "cx"))
         return pa.RecordBatch.from_arrays(
             [pa.array(g), pa.array(group), pa.array(cx), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))],
@@ -237,7 +249,7 @@ def _strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g, cx, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sums = T.prefix_sums(T.byte_values(np.frombuffer(left[::-1] + right, np.uint8)))
+                sums = T.prefix_sums(np.frombuffer(left[::-1] + right, np.uint8))
                 o = np.arange(max(0, length - len(right)), len(left) + 1)
                 h = T.range_hash(sums, len(left) - o, len(left) - o + length)
                 yield pa.RecordBatch.from_arrays(
@@ -280,19 +292,19 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int) -> tuple[DataFrame, DataFrame]:
-    """Anchors (g, cx, doc, at), and groups (g, part, cx, l, r) of their surroundings."""
+def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Anchors (g, cx, doc, print, at), and groups (g, part, cx, l, r) of their surroundings."""
     anchors = scratch.keep(texts.mapInArrow(_anchors(length), _ANCHORS), "anchors")
-    one = [F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"), F.max("l").alias("l"), F.max("r").alias("r")]
-    around = scratch.keep(anchors.groupBy("g", "cx").agg(F.count(F.lit(1)).alias("n"), *one), "around")
+    one = F.min(F.struct("doc", "print", "at", "l", "r")).alias("one")
+    around = scratch.keep(anchors.groupBy("g", "cx").agg(F.count(F.lit(1)).alias("n"), one).select("g", "cx", "n", "one.*"), "around")
     shared = scratch.keep(around.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "shared")
-    places = around.join(shared.select("g"), "g").groupBy("doc").agg(F.collect_list(F.struct("g", "cx", "at", "l", "r")).alias("places"))
-    bytes_of = texts.join(places, F.col("doc_id") == F.col("doc")).select("text", "places")
+    places = around.join(shared.select("g"), "g").groupBy(*_ROW).agg(F.collect_list(F.struct("g", "cx", "at", "l", "r")).alias("places"))
+    bytes_of = texts.join(places, _ROW).select("text", "places")
     sides = scratch.keep(bytes_of.mapInArrow(_surroundings, "g long, cx long, lefts binary, rights binary"), "sides")
     large = shared.where(F.col("k") > group)
     none = large.isEmpty()
     small = sides if none else sides.join(large, "g", "left_anti")
-    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(_tree(length), "g long, part long, cx long, l int, r int")
+    found = small.repartition("g").sortWithinPartitions("g").mapInArrow(_tree(length, every), "g long, part long, cx long, l int, r int")
     if not none:
         strings = sides.join(large, "g", "left_semi").mapInArrow(_strings(length), "h long, g long, cx long, o int")
         strings = scratch.keep(strings, "strings")
@@ -308,47 +320,55 @@ def _anchored(texts: DataFrame, scratch: Scratch, length: int, group: int) -> tu
             )
         )
     same = around.where("n > 1").select("g", F.col("cx").alias("part"), "cx", "l", "r")
-    return anchors.select("g", "cx", "doc", "at"), same.unionByName(found)
+    return anchors.select("g", "cx", *_ROW, "at"), same.unionByName(found)
 
 
-def _usable(rows: DataFrame, text: str, length: int) -> DataFrame:
-    return rows.where(f"doc_id is not null and length({text}) >= {length // 4}").select("doc_id", F.col(text).alias("text"))
+def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(doc, print, text) of every row; the print is 60 bits of a digest, and null texts have the same."""
+    digest = F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
+    return docs.select(F.col(key).cast("long").alias("doc"), digest.alias("print"), F.col(text).alias("text"))
+
+
+def _usable(rows: DataFrame, length: int) -> DataFrame:
+    return rows.where(f"doc is not null and length(text) >= {length // 4}")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200, group: int = GROUP) -> DataFrame:
-    """(g, part, key, start, end): maximal repeat groups, one row for each occurrence of each group (g, part).
+    """(g, part, key, print, start, end): maximal repeat groups, one row for each occurrence of each group (g, part);
+    ``print`` tells rows of one key with other texts apart. Every string of ``length`` bytes that occurs twice lies in a
+    group that holds all its occurrences.
 
     Groups are as far as the surroundings of their anchor see them: 136 bytes to its left and 200 to its right. A longer
     repeat is a chain of such groups. Rows with a null key or text take no part.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
-    anchors, found = _anchored(_usable(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", length), scratch, length, group)
+    anchors, found = _anchored(_usable(_rows(docs, text, key), length), scratch, length, group, every=True)
     met = anchors.join(scratch.keep(found, "groups"), ["g", "cx"])
-    return met.select("g", "part", F.col("doc").alias(key), (F.col("at") - F.col("l")).alias("start"), (F.col("at") + F.col("r")).alias("end"))
+    return met.select("g", "part", F.col("doc").alias(key), "print", (F.col("at") - F.col("l")).alias("start"), (F.col("at") + F.col("r")).alias("end"))
 
 
-def repeats(docs: DataFrame, scratch: Scratch, text: str, length: int, group: int) -> DataFrame:
-    """(doc, start, end): spans of bytes that maximal repeat groups cover, one for each anchor in any."""
-    anchors, found = _anchored(_usable(docs, text, length), scratch, length, group)
+def repeats(rows: DataFrame, scratch: Scratch, length: int, group: int) -> DataFrame:
+    """(doc, print, start, end): spans of bytes that maximal repeat groups cover, one for each anchor in any."""
+    anchors, found = _anchored(_usable(rows, length), scratch, length, group)
     # all groups of a suffix hold its anchor, so together they cover one span around it
     hit = scratch.keep(found.groupBy("g", "cx").agg(F.max("l").alias("hl"), F.max("r").alias("hr")), "hit")
-    return anchors.join(hit, ["g", "cx"]).select("doc", (F.col("at") - F.col("hl")).alias("start"), (F.col("at") + F.col("hr")).alias("end"))
+    return anchors.join(hit, ["g", "cx"]).select(*_ROW, (F.col("at") - F.col("hl")).alias("start"), (F.col("at") + F.col("hr")).alias("end"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = 200, group: int = GROUP) -> DataFrame:
     """One row (key, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``: bytes covered by a string of
     ``length`` bytes that also starts anywhere else in the table are removed.
 
-    Null texts are empty. Rows with a null key take no part and keep all bytes. Rows that repeat a key are copies of
-    each other like any rows; if their texts differ, spans found in one are removed from the other as well. Other columns are
+    Null texts are empty. Rows with a null key take no part and keep all bytes. Rows that repeat a key are rows like any
+    others: equal ones are copies of each other, and of different ones each is judged on its own. Other columns are
     ignored, and an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    spans = repeats(rows, scratch, "text", length, group)
-    by_doc = scratch.keep(spans.groupBy("doc").agg(F.collect_list("start").alias("froms"), F.collect_list("end").alias("tos")), "spans")
+    rows = _rows(docs, text, key)
+    spans = repeats(rows, scratch, length, group)
+    by_doc = scratch.keep(spans.groupBy(*_ROW).agg(F.collect_list("start").alias("froms"), F.collect_list("end").alias("tos")), "spans")
     scratch.drop("anchors", "around", "sides", "shared")
     none = F.array().cast("array<int>")
-    whole = rows.join(by_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", F.coalesce("froms", none).alias("froms"), F.coalesce("tos", none).alias("tos"))
+    whole = rows.join(by_doc, _ROW, "left").select(F.col("doc").alias("doc_id"), "text", F.coalesce("froms", none).alias("froms"), F.coalesce("tos", none).alias("tos"))
     out = whole.mapInArrow(_removal, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out

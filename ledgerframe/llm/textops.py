@@ -21,8 +21,12 @@ LOWER[65:91] += 32
 SPACES = ~_SOLID
 
 _U = np.uint64
-_BASES = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
 SLICE_BYTES = 1 << 20
+# The prime of the hashes and two bases below it, drawn at random once. Different strings of n values have
+# the same hash under a random base with a chance of n in 2**61, whatever their pattern.
+PRIME = (1 << 61) - 1
+_BASES = (0x1B7C3E94A5D06F28, 0x0E92D41F8B35C7A6)
+_P, _LOW = _U(PRIME), _U(0xFFFFFFFF)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,45 +39,75 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_TABLES = [mix(np.arange(1, 257, dtype=np.uint64) * _U(0x2545F4914F6CDD1D) + _U(977 * s)) | _U(1) for s in (1, 2)]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for any 64-bit words."""
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _joined(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """(high * 2**32 + low) modulo the prime; 2**61 is one."""
+    return _reduced((high >> _U(29)) + ((high & _U((1 << 29) - 1)) << _U(32)) + (low & _P) + (low >> _U(61)))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for numbers below it."""
+    al, ah, bl, bh = a & _LOW, a >> _U(32), b & _LOW, b >> _U(32)
+    high = al * bh + ah * bl  # 2**64 is eight
+    return _reduced(_joined(high, al * bl) + ah * bh * _U(8))
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n at least."""
+    """base**i and base**-i modulo the prime for i < n at least. Those for a slice are kept, longer ones are not."""
     if which not in _POWERS or len(_POWERS[which][0]) < n:
         size = max(n, SLICE_BYTES + 4096)
-        base = int(_BASES[which])
         out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
+        for b in (_BASES[which], pow(_BASES[which], -1, PRIME)):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate((p, times(p[: size - len(p)], np.full(1, pow(b, len(p), PRIME), np.uint64))))
+            out.append(p)
+        if size > SLICE_BYTES + 4096:
+            return out[0][:n], out[1][:n]
         _POWERS[which] = (out[0], out[1])
     up, down = _POWERS[which]
     return up[:n], down[:n]
 
 
-def prefix_sums(values: np.ndarray, which: int = 0) -> np.ndarray:
-    """sum of values[j] * base**j for j < i, for every i; ranges are hashed from it by range_hash()."""
-    up, _ = _powers(which, len(values))
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up, out=out[1:])
-    return out
+class Sums:
+    """Prefix sums of values[j] * base**j modulo the prime, in two halves that don't overflow."""
 
+    def __init__(self, values: np.ndarray, which: int):
+        up, self.down = _powers(which, len(values) + 1)
+        up = up[:-1]
+        if values.dtype == np.uint8 and len(values) < 1 << 22:
+            # one more than the byte, so that no value is zero; the halves of a power times nine bits stay small
+            small = values.astype(np.uint64) + _U(1)
+            low, high = small * (up & _LOW), small * (up >> _U(32))
+        else:
+            term = times(_reduced(values.astype(np.uint64) + _U(values.dtype == np.uint8)), up)
+            low, high = term & _LOW, term >> _U(32)
+        self.low, self.high = np.zeros(len(values) + 1, np.uint64), np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(low, out=self.low[1:])
+        np.cumsum(high, out=self.high[1:])
 
-def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hashes of values[start:end], equal for equal content wherever it stands."""
-    _, down = _powers(which, len(sums))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _U(0x9FB21C651E98DF25))
 
+def prefix_sums(values: np.ndarray, which: int = 0) -> Sums:
+    """Of bytes, or of hashes; ranges are hashed from it by range_hash()."""
+    return Sums(values, which)
 
-def bytes_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    return range_hash(prefix_sums(_TABLES[which][data], which), starts, ends, which)
 
+def range_hash(sums: Sums, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of values[start:end], equal for equal content wherever it stands: numbers below 2**61, spread over 64 bits."""
+    whole = _joined(sums.high[ends] - sums.high[starts], sums.low[ends] - sums.low[starts])
+    return mix(times(whole, sums.down[starts]))
 
-def byte_values(data: np.ndarray, which: int = 0) -> np.ndarray:
-    return _TABLES[which][data]
+
+def bytes_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    return range_hash(prefix_sums(data, which), starts, ends)
 
 
 def columns(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +157,7 @@ def gram_hashes(word_hash: np.ndarray, first: np.ndarray, size: int, which: int
     np.add.at(ok, first[:-1], 1)
     np.add.at(ok, stop, -1)
     at = np.flatnonzero(np.cumsum(ok[:-1]) > 0)
-    return at, range_hash(prefix_sums(word_hash, which), at, at + size, which)
+    return at, range_hash(prefix_sums(word_hash, which), at, at + size)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

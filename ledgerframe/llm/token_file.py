@@ -110,6 +110,7 @@ class Encoder:
 
     def clear(self) -> None:
         self.hash, self.where, self.ids, self.off = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.check = np.zeros(0, np.uint64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids before each text."""
@@ -128,12 +129,20 @@ class Encoder:
         ends = np.append(starts[1:], n)
         h = T.bytes_hashes(data, starts, ends)
         uniq, first, each = np.unique(h, return_index=True, return_inverse=True)
+        # pieces are the same by two hashes; the second is compared wherever the first is the same
+        check = T.bytes_hashes(data, starts, ends, 1)
+        if (check != check[first][each]).any():
+            raise ValueError("two pieces of the text have the same hash")
         if len(self.hash) > self.KEEP:
             self.clear()
         at = np.searchsorted(self.hash, uniq)
         known = np.zeros(len(uniq), bool)
         inside = at < len(self.hash)
         known[inside] = self.hash[at[inside]] == uniq[inside]
+        old = np.flatnonzero(known)
+        if (self.check[self.where[at[old]]] != check[first[old]]).any():
+            self.clear()
+            return self.encode(data, offsets)
         new = np.flatnonzero(~known)
         if len(new):
             found = [e.ids for e in self.model.encode_batch_fast([raw[starts[first[k]] : ends[first[k]]].decode() for k in new], add_special_tokens=False)]
@@ -142,6 +151,7 @@ class Encoder:
             place = len(self.off) - 1 + np.arange(len(new))
             self.off = np.concatenate((self.off, self.off[-1] + np.cumsum(size)))
             self.ids = np.concatenate((self.ids, more))
+            self.check = np.concatenate((self.check, check[first[new]]))
             self.where = np.insert(self.where, at[new], place)
             self.hash = np.insert(self.hash, at[new], uniq[new])
             at = np.searchsorted(self.hash, uniq)
