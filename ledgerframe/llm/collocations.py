@@ -44,6 +44,8 @@ _BREAK = _PIECE.copy()
 _BREAK[[9, 32]] = True
 #: Positions that a task gathers before it counts them, and places of a chunk of an array that is summed.
 _HELD, _CHUNK = 1 << 21, 1 << 13
+#: Chunks, by hash, in which keys are united.
+_UNITED = 1 << 8
 _STREAM = "chunk int, salt int, part binary, carried binary"
 
 
@@ -94,35 +96,39 @@ def _chunks(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield _row(chunk, part)
 
 
-def _tree_sum(parts: DataFrame, kind: str, most: int | None = None) -> DataFrame:
-    """Chunks (chunk, part) of the sum of the tasks' arrays; sums stop at ``most``. Sixteen sums of each chunk first,
-    then their sum; a task adds one row after the other."""
+def _tree(parts: DataFrame, kind: str, add: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Chunks (chunk, part) of what ``add`` makes of the arrays of all tasks: of each chunk sixteen results first, then
+    theirs; a task takes one array after the other."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = total = None
 
         def out() -> pa.RecordBatch:
-            done = (total if most is None else np.minimum(total, most)).astype(kind)
-            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([done.tobytes()], pa.binary())], names=["chunk", "salt", "part"])
+            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "salt", "part"])
 
         for batch in batches:
-            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                part = np.frombuffer(key[2], kind).astype(np.int64)
-                if key[:2] == now:
-                    total += part
+            for chunk, salt, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                part = np.frombuffer(raw, kind)
+                if (chunk, salt) == now:
+                    total = add(total, part)
                     continue
                 if now is not None:
                     yield out()
-                now, total = key[:2], part
+                now, total = (chunk, salt), part
         if now is not None:
             yield out()
 
     for salt in (F.col("salt"), F.lit(0)):
         rows = parts.select("chunk", salt.alias("salt"), "part")
-        parts = rows.repartition("chunk", "salt").sortWithinPartitions("chunk", "salt").mapInArrow(add, "chunk int, salt int, part binary")
+        parts = rows.repartition("chunk", "salt").sortWithinPartitions("chunk", "salt").mapInArrow(run, "chunk int, salt int, part binary")
     return parts.select("chunk", "part")
 
 
+def _capped(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of bytes, 255 at most."""
+    return np.minimum(a.astype(np.uint16) + b, 255).astype(np.uint8)
+
+
 class Pairs:
     """Keys of the neighbours in a stream, where both are frequent."""
 
@@ -170,18 +176,29 @@ def _bucket_counts(stream: DataFrame, pairs: Callable[[], Pairs], buckets: int)
             counts[at] = np.minimum(counts[at] + n, 255)
         yield from _chunks(counts)
 
-    return _tree_sum(stream.select("part").mapInArrow(run, _STREAM), "uint8", 255)
+    return _tree(stream.select("part").mapInArrow(run, _STREAM), "uint8", _capped)
 
 
 def _candidates(stream: DataFrame, pairs: Callable[[], Pairs], bits: Callable[[], np.ndarray]) -> DataFrame:
+    """The different keys of full buckets: tasks send sorted arrays of theirs, and the arrays are united as a tree."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = bits()
         for keys in _gathered(batches, pairs()):
             at = _bucket(keys, 8 * len(full))
             found = np.unique(keys[(full[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)])
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["key"])
+            chunk = _bucket(found, _UNITED)
+            order = np.argsort(chunk, kind="stable")
+            ends = np.searchsorted(chunk[order], np.arange(_UNITED + 1))
+            for k in np.flatnonzero(np.diff(ends)):
+                yield _row(int(k), found[order[ends[k] : ends[k + 1]]])
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(1).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["key"])
 
-    return stream.select("part").mapInArrow(run, "key long").distinct()
+    return _tree(stream.select("part").mapInArrow(run, _STREAM), "uint64", np.union1d).mapInArrow(single, "key long")
 
 
 def _slot_counts(stream: DataFrame, pairs: Callable[[], Pairs], hashed: Callable[[], PerfectHash], base: int, final: bool) -> DataFrame:
@@ -250,7 +267,7 @@ def _longer(stream: DataFrame, frequent: np.ndarray | None, least: int, buckets:
         part = candidates.where(F.pmod(F.xxhash64("key"), F.lit(rounds)) == j).toArrow().column("key").to_numpy()
         hashed = context.broadcast(PerfectHash(part.view(_U)))
         out = scratch.keep(_slot_counts(stream, pairs, lambda h=hashed: h.value, base, j == rounds - 1), f"slots-{k}-{j}")
-        sums = _tree_sum(out.where("chunk >= 0"), "int64")
+        sums = _tree(out.where("chunk >= 0"), "int64", np.add)
 
         def read(batches: Iterator[pa.RecordBatch], h=hashed, base=base) -> Iterator[pa.RecordBatch]:
             for batch in batches:
