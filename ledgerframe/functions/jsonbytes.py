@@ -59,10 +59,15 @@ def json_attributes(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("["), F.array_join(F.transform(value, item), ","), F.lit("]")), F.lit("null"))
 
 
+def numeric_times(version: Column) -> Column:
+    """Whether records of a version write times as numbers."""
+    return version.isin(*NUMERIC_TIME_VERSIONS)
+
+
 def canonical_record(get=F.col) -> Column:
     """Bytes (as text) of a record; ``get(name)`` gives a field. v1 and v2 write times as numbers, later versions as
     strings."""
-    number = get("schema_version").isin(*NUMERIC_TIME_VERSIONS)
+    number = numeric_times(get("schema_version"))
     parts = []
     for k, name in enumerate(RECORD_FIELDS):
         parts.append(F.lit(("," if k else "{") + f'"{name}":'))

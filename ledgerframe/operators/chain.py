@@ -153,6 +153,11 @@ def drop_pending(pending: DataFrame) -> tuple[DataFrame, int]:
     return pending.limit(0), pending.count()
 
 
+def still_pending(tips: DataFrame, pending: DataFrame) -> DataFrame:
+    """Tips that wait for a checkpoint themselves; another tip of their trace doesn't count."""
+    return tips.join(pending.select("trace_id", "tip_hash").distinct(), ["trace_id", "tip_hash"], "left_semi")
+
+
 def covered(pending: DataFrame, committed: DataFrame) -> DataFrame:
     """Pending tips that a committed checkpoint doesn't cover."""
     return pending.join(committed.select("trace_id", "tip_hash"), ["trace_id", "tip_hash"], "left_anti")

@@ -23,14 +23,24 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, *order: str, name: str = "seal_no") -> DataFrame:
-    """``df`` with the place of each row in the given order, from 0.
+def numbered(df: DataFrame, *order: str, name: str = "seal_no", before: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the place of each row in the given order, from 0, and the columns ``before`` of the row before it in
+    the struct ``_before`` (null for the first row).
 
-    Rows are dealt by ranges of the order and numbered within; only the counts of the ranges meet in one window.
+    Rows are dealt by ranges of the order and numbered within, where ``ties`` order what is equal; only one row of each
+    range, its count and its last row, meets the others in a window.
     """
     dealt = kept(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select(F.col("_part").alias("_p"), (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    rows = dealt.withColumn("_own", own).join(F.broadcast(before), F.col("_part") == F.col("_p"))
-    return rows.withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_part", "_p", "_own", "_before")
+    whole = (*order, *ties)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), *[F.max_by(F.struct(*before), F.struct(*whole)).alias("_last")] * bool(before))
+    parts = Window.orderBy("_part")
+    edges = [(F.sum("_n").over(parts) - F.col("_n")).alias("_start"), *[F.lag("_last").over(parts).alias("_edge")] * bool(before)]
+    within = Window.partitionBy("_part").orderBy(*whole)
+    rows = dealt.withColumn("_own", F.row_number().over(within) - 1)
+    if before:
+        rows = rows.withColumn("_before", F.lag(F.struct(*before)).over(within))
+    # one row a range
+    rows = rows.join(F.broadcast(counts.select(F.col("_part").alias("_p"), *edges)), F.col("_part") == F.col("_p"))
+    if before:
+        rows = rows.withColumn("_before", F.coalesce("_before", "_edge"))
+    return rows.withColumn(name, (F.col("_own") + F.col("_start")).cast("long")).drop("_part", "_p", "_own", "_start", "_edge")

@@ -1,25 +1,21 @@
 """Verification of a whole log: chains, checkpoints and the cross-checks between them, as rows of findings.
 
-Entries and checkpoints are DataFrames (see ``sources.jsonl``). Everything is joins, windows and one ordered fold per
-trace; findings carry a sort key, so a report has one order wherever its rows were computed.
+Entries and checkpoints are DataFrames (see ``sources.jsonl``). Everything is joins and windows; findings carry a sort
+key, so a report has one order wherever its rows were computed.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import ed25519
 from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed
-from .chain import in_chain_order, payload_hashes
-from .stage import kept
+from .chain import payload_hashes
+from .stage import kept, numbered
 
 # Kinds of findings.
 FATAL = ("chain", "checkpoint", "tip_hash_mismatch", "entry_count_mismatch", "tip_hash_unverifiable", "duplicate_trace_segment")
@@ -40,64 +36,55 @@ def _finding(rows: DataFrame, phase: int, k1: Column, k2: Column, k3: Column, tr
     )
 
 
+def repeated_numbers(entries: DataFrame, trace: str = "trace_id", seq: str = "seq_in_trace") -> DataFrame:
+    """(trace, seq, repeats): sequence numbers that occur again in their trace, and how often."""
+    return entries.groupBy(trace, seq).agg((F.count(F.lit(1)) - 1).alias("repeats")).where("repeats > 0")
+
+
 def duplicate_segments(entries: DataFrame) -> DataFrame:
     """Traces in which a sequence number occurs more than once."""
-    return entries.groupBy("trace_id").agg((F.count(F.lit(1)) > F.countDistinct("seq_in_trace")).alias("dup")).where("dup").select("trace_id")
+    return repeated_numbers(entries).select("trace_id").distinct()
 
 
 def chain_states(entries: DataFrame, public: bytes | None) -> DataFrame:
     """(trace_id, n, dup, error, tip): the first error along each chain, or its recomputed tip.
 
-    An entry is checked for the version of its chain, its signature (if a key is given) and its stored hash. The hash of
-    an entry needs the recomputed hash of the one before, so chains stream in order, with one hash of state; signatures
-    are checked afterwards, on rows that are dealt anew, so that a long chain's are checked in parallel.
+    An entry is checked for the version of its chain, its signature (if a key is given) and its stored hash. A chain is
+    made serially, but checked in parallel: as long as no entry before it is wrong, the stored hash of the entry before is
+    the one that recomputing the chain would give, and its version that of the chain. So every entry is compared with its
+    neighbour alone, whichever task that is in, and the first entry that fails is the first that a serial check finds;
+    what later ones say doesn't count. A long chain is dealt over all tasks, and without signatures all is done by Spark's
+    own functions.
     """
-    names = ["trace_id", "seq_in_trace", "schema_version", "entry_hash", "algorithm", "signature", "seed", "bytes"]
-    rows = entries.select(*names[:6], genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed"), canonical_record().alias("bytes"))
-    own = len(names) - 2 * (public is None)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trace = last = version = start = prev = None
-        pos = 0
-        for batch in batches:
-            out = []
-            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("trace_id", "seq_in_trace", "schema_version", "seed", "bytes")]
-            for t, seq, own_version, seed, text in zip(*columns, strict=True):
-                if t != trace:
-                    trace, last, version, start, pos = t, None, own_version, seed, 0
-                    prev = seed and bytes.fromhex(seed)
-                now = prev and hashlib.sha256(text.encode() + prev).digest()
-                out.append((pos, seq == last, version, start is None, prev and prev.hex(), now and now.hex()))
-                last, prev, pos = seq, now, pos + 1
-            more = list(zip(*out, strict=True)) if out else [()] * 6
-            kinds = [pa.int64(), pa.bool_(), pa.string(), pa.bool_(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:own], *[pa.array(x, k) for x, k in zip(more, kinds, strict=True)]], names=[*batch.schema.names[:own], *_WALKED])
-
-    schema = T.StructType([*rows.schema.fields[:own], *[T.StructField(n, k) for n, k in zip(_WALKED, (T.LongType(), T.BooleanType(), T.StringType(), T.BooleanType(), T.StringType(), T.StringType()), strict=True)]])
-    flat = in_chain_order(rows, "schema_version", "bytes", "entry_hash").mapInArrow(run, schema)
+    names = ["trace_id", "seq_in_trace", "schema_version", "entry_hash"]
+    rows = entries.select(*names, *["algorithm", "signature"] * (public is not None), genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed"), canonical_record().alias("bytes"))
+    rows = numbered(rows, "trace_id", "seq_in_trace", name="place", before=tuple(names), ties=("schema_version", "bytes", "entry_hash"))
+    last = F.col("_before")
+    inner = last["trace_id"].eqNullSafe(F.col("trace_id"))
+    prev = F.when(inner, last["entry_hash"]).otherwise(F.col("seed"))
+    payload = F.concat(F.encode("bytes", "UTF-8"), F.unhex("prev"))
     bad_sig = F.lit(None).cast("string")
     if public is not None:
-        flat = flat.repartition("trace_id", "pos")
-        bad_sig = ed25519.verified(public, F.concat(F.encode("bytes", "UTF-8"), F.unhex("prev")), F.col("algorithm"), F.col("signature"))
-    flat = flat.withColumn("bad_sig", bad_sig)
-    at = F.concat(F.lit("entry "), F.col("pos").cast("string"), F.lit(": "))
+        bad_sig = ed25519.verified(public, payload, F.col("algorithm"), F.col("signature"))
+    flat = rows.select(
+        "trace_id", "place", "schema_version", "entry_hash", "bytes", *["algorithm", "signature"] * (public is not None),
+        prev.alias("prev"),
+        (inner & last["seq_in_trace"].eqNullSafe(F.col("seq_in_trace"))).alias("again"),
+        F.when(inner, last["schema_version"]).otherwise(F.col("schema_version")).alias("version"),
+        (~inner & F.col("seed").isNull()).alias("unseeded"),
+    ).withColumn("now", F.sha2(payload, 256)).withColumn("bad_sig", bad_sig)
     wrong = (
         F.when(F.col("unseeded"), F.lit("the chain has no seed: its trace_id is no hex, or its schema_version is empty"))
-        .when(F.col("schema_version") != F.col("version"), F.concat(at, F.format_string("schema_version %s in a chain of %s", "schema_version", "version")))
-        .when(F.col("bad_sig").isNotNull(), F.concat(at, F.col("bad_sig")))
-        .when(~F.col("entry_hash").eqNullSafe(F.col("now")), F.concat(at, F.format_string("stored hash %s, its content gives %s", "entry_hash", "now")))
+        .when(F.col("schema_version") != F.col("version"), F.format_string("schema_version %s in a chain of %s", "schema_version", "version"))
+        .when(F.col("bad_sig").isNotNull(), F.col("bad_sig"))
+        .when(~F.col("entry_hash").eqNullSafe(F.col("now")), F.format_string("stored hash %s, its content gives %s", "entry_hash", "now"))
     )
-    first = F.min_by("wrong", F.when(F.col("wrong").isNotNull(), F.col("pos")))
-    out = flat.withColumn("wrong", wrong).groupBy("trace_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bool_or("again").alias("dup"),
-        first.alias("error"),
-        F.max_by("now", "pos").alias("last"),
-    )
-    return out.select("trace_id", "n", "dup", "error", F.when(~F.col("dup") & F.col("error").isNull(), F.col("last")).alias("tip"))
-
-
-_WALKED = ("pos", "again", "version", "unseeded", "prev", "now")
+    flat = flat.withColumn("wrong", wrong)
+    first = F.min(F.when(F.col("wrong").isNotNull(), F.struct("place", "wrong", "unseeded"))).alias("first")
+    out = flat.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or("again").alias("dup"), first, F.min("place").alias("start"), F.max_by("entry_hash", "place").alias("last"))
+    at = F.when(F.col("first.unseeded"), F.lit("")).otherwise(F.concat(F.lit("entry "), (F.col("first.place") - F.col("start")).cast("string"), F.lit(": ")))
+    error = F.concat(at, F.col("first.wrong"))
+    return out.select("trace_id", "n", "dup", error.alias("error"), F.when(~F.col("dup") & F.col("first").isNull(), F.col("last")).alias("tip"))
 
 
 def odd_key_ids(entries: DataFrame, states: DataFrame, own: str) -> DataFrame:
@@ -191,9 +178,14 @@ def findings(entries: DataFrame, checkpoints: DataFrame, public: bytes | None, t
     return out.orderBy("phase", "k1", "k2", "k3")
 
 
+def claimed_key_ids(entries: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """Distinct key ids, but empty ones, that entries or checkpoints claim."""
+    return entries.select("key_id").union(checkpoints.select("key_id")).where("key_id <> ''").distinct()
+
+
 def other_key_ids(entries: DataFrame, checkpoints: DataFrame, own: str) -> DataFrame:
-    """Distinct key ids, not empty and not ``own``, that entries or checkpoints claim."""
-    return entries.select("key_id").union(checkpoints.select("key_id")).where((F.col("key_id") != "") & (F.col("key_id") != own)).distinct()
+    """Claimed key ids that aren't ``own``."""
+    return claimed_key_ids(entries, checkpoints).where(F.col("key_id") != own)
 
 
 def uncovered_traces(entries: DataFrame, checkpoints: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chain import still_pending
 from .records import disposition, traces
 
 
@@ -43,5 +44,5 @@ def restamped(lines: DataFrame, version: str = "v3") -> DataFrame:
 def compact(lines: DataFrame, pending: DataFrame) -> DataFrame:
     """Lines that a rewritten log keeps, in order (phase, line_no): first the seals whose tip still waits for a
     checkpoint, then the live spans."""
-    seals = lines.where("type = 'sealed'").join(pending.select("trace_id", "tip_hash").distinct(), ["trace_id", "tip_hash"], "left_semi").select(*lines.columns)
+    seals = still_pending(lines.where("type = 'sealed'"), pending).select(*lines.columns)
     return seals.withColumn("phase", F.lit(0)).unionByName(live_spans(lines).withColumn("phase", F.lit(1)))

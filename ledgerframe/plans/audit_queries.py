@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonbytes import canonical_checkpoint, canonical_entry, canonical_record, genesis_seed, json_attributes, json_string, sha256_hex
+from ..functions import ed25519
+from ..functions.jsonbytes import canonical_checkpoint, canonical_entry, canonical_record, genesis_seed, json_attributes, json_string, numeric_times, sha256_hex
 from ..functions.profile import id_check, unix_nano_column
 from ..operators import chain, records, stage, verify, wal
 from ..sources import datasets, jsonl, otlp
@@ -18,6 +19,8 @@ from ..streaming import assemble, seal
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, Query] = {}
 _STAMP = "2026-01-01T00:00:00Z"
+#: A key for made-up logs, no secret.
+_KEY = bytes(range(32))
 
 
 def query(f: Query) -> Query:
@@ -129,7 +132,8 @@ def prj6_kind_names(spark, sf):
 @query
 def prj9_key_fingerprint(spark, sf):
     users = datasets.table(spark, sf, "events").select("user_id").distinct()
-    return users.select("user_id", F.sha2(F.unhex(sha256_hex(F.concat(F.lit("key"), F.col("user_id").cast("string")))), 256).alias("key_id"))
+    public = F.unhex(sha256_hex(F.concat(F.lit("key"), F.col("user_id").cast("string"))))
+    return users.select("user_id", ed25519.key_ids(public).alias("key_id"))
 
 
 @query
@@ -147,7 +151,7 @@ def flt2_roots(spark, sf):
 def flt4_version_classes(spark, sf):
     v = datasets.table(spark, sf, "events").select(F.concat(F.lit("v"), (F.col("user_id") % 6).cast("string")).alias("schema_version")).distinct()
     x = F.col("schema_version")
-    return v.select(x, x.isin("v1", "v2").alias("numeric_times"), x.isin(*records.RESTAMPABLE).alias("restampable"), x.isin(*records.VERSIONS).alias("implemented"))
+    return v.select(x, numeric_times(x).alias("numeric_times"), x.isin(*records.RESTAMPABLE).alias("restampable"), x.isin(*records.VERSIONS).alias("implemented"))
 
 
 @query
@@ -194,7 +198,7 @@ def jn6_late_spans(spark, sf):
 @query
 def jn7_own_tip_pending(spark, sf):
     t = _tips(spark, sf)
-    return t.join(t.where("seal_no % 4 = 2").select("trace_id", "tip_hash"), ["trace_id", "tip_hash"], "left_semi").select("trace_id", "tip_hash")
+    return chain.still_pending(t, t.where("seal_no % 4 = 2")).select("trace_id", "tip_hash")
 
 
 @query
@@ -291,8 +295,7 @@ def wn3_checkpoint_link(spark, sf):
 @query
 def wn4_adjacent_duplicates(spark, sf):
     e = datasets.table(spark, sf, "events").select("user_id", (F.col("event_id") % 50).alias("seq"))
-    again = e.withColumn("same", F.lag("seq").over(Window.partitionBy("user_id").orderBy("seq")) == F.col("seq"))
-    return again.where("same").groupBy("user_id", "seq").agg(F.count("*").alias("repeats"))
+    return verify.repeated_numbers(e, "user_id", "seq")
 
 
 @query
@@ -311,6 +314,20 @@ def vf1_chain_states(spark, sf):
     return states.select("trace_id", F.col("n").cast("long").alias("n"), F.when(F.col("dup"), "dup").when(F.col("error").isNotNull(), "bad").otherwise("ok").alias("state"))
 
 
+@query
+def vf2_signatures(spark, sf):
+    """A signed log in which every 97th entry was edited, every 89th names another algorithm, and every 83rd has no
+    signature that can be read: the first error of each chain."""
+    log = chain.hash_entries(_sequenced(spark, sf), _KEY).withColumns(
+        {
+            "span_name": F.when(F.col("event_id") % 97 == 0, "edited").otherwise(F.col("span_name")),
+            "algorithm": F.when(F.col("event_id") % 89 == 0, "rsa").otherwise(F.col("algorithm")),
+            "signature": F.when(F.col("event_id") % 83 == 0, "?").otherwise(F.col("signature")),
+        }
+    )
+    return verify.chain_states(log, ed25519.public_key(_KEY)).select("trace_id", F.col("n").cast("long").alias("n"), "error", F.col("tip").isNotNull().alias("verified"))
+
+
 @query
 def vf3_checkpoint_links(spark, sf):
     cps = _unlinked(_checkpoints(spark, sf).withColumn("line_no", F.col("checkpoint_seq")))
@@ -373,9 +390,8 @@ def tk3_fragment_prefix(spark, sf):
 @query
 def st1_claimed_keys(spark, sf):
     e = datasets.table(spark, sf, "events")
-    return e.select(
-        F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id")
-    ).union(e.select(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string")))).distinct()
+    entries = e.select(F.concat(F.lit("key"), (F.col("event_id") % 5).cast("string")).alias("key_id"))
+    return verify.claimed_key_ids(entries, e.select(F.concat(F.lit("cp"), (F.col("user_id") % 4).cast("string")).alias("key_id")))
 
 
 @query

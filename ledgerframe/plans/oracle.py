@@ -162,6 +162,9 @@ SQL = {
     "wn6_wal_replay": f"WITH {_WAL} SELECT line_no, trace_id, span_id, schema_version FROM live",
     "vf1_chain_states": f"WITH {TAMPERED} SELECT trace_id, CAST(n AS BIGINT) AS n, state FROM cs",
     "vf3_checkpoint_links": f"WITH {CHECKPOINTS}, {_links('b')} SELECT checkpoint_seq, prev_checkpoint_hash, expected_prev FROM lk WHERE prev_checkpoint_hash <> expected_prev",
+    "vf2_signatures": f"""WITH {RECORDS}, x AS (SELECT trace_id, seq_in_trace, CASE WHEN event_id % 89 = 0 THEN 'unsupported algorithm "rsa"' WHEN event_id % 83 = 0 THEN 'decode signature: illegal base64 data' WHEN event_id % 97 = 0 THEN 'signature verification failed' END AS wrong FROM s),
+  y AS (SELECT trace_id, count(*) AS n, min(seq_in_trace) FILTER (wrong IS NOT NULL) AS k FROM x GROUP BY trace_id)
+  SELECT y.trace_id, y.n, CASE WHEN k IS NOT NULL THEN 'entry ' || k || ': ' || wrong END AS error, k IS NULL AS verified FROM y LEFT JOIN x ON x.trace_id = y.trace_id AND x.seq_in_trace = y.k""",
     "vf4_findings": f"WITH {TAMPERED}, {_links('made')} {_FINDINGS}",
     "vf6_key_id_mismatch": f"WITH {TAMPERED} SELECT c.trace_id, c.span_id, 'other' AS key_id FROM c JOIN cs USING (trace_id) WHERE cs.state = 'ok' AND c.event_id % 5 = 1",
     "so2_checkpoint_tips": f"WITH {CHECKPOINTS} SELECT checkpoint_seq, tips_json FROM p",

@@ -1,6 +1,7 @@
 """Published hashes, parsing cases and verification scenarios of the audit operators."""
 
 import base64
+import hashlib
 import json
 from decimal import Decimal
 
@@ -320,3 +321,77 @@ def test_spans_of_export_requests(spark):
 def test_new_keys_differ():
     a, b = ed25519.new_key(), ed25519.new_key()
     assert a != b and len(a) == 32 and ed25519.verify(ed25519.public_key(a), b"m", ed25519.sign(a, b"m"))
+
+
+def serial_state(rows, public):
+    """What walking one chain entry by entry gives: (dup, error, tip)."""
+    rows = sorted(rows, key=lambda r: (r["seq_in_trace"], r["schema_version"], r["bytes"], r["entry_hash"]))
+    dup = any(a["seq_in_trace"] == b["seq_in_trace"] for a, b in zip(rows, rows[1:]))
+    seed = rows[0]["seed"]
+    if seed is None:
+        return dup, "the chain has no seed: its trace_id is no hex, or its schema_version is empty", None
+    prev, error = bytes.fromhex(seed), None
+    for k, r in enumerate(rows):
+        payload = r["bytes"].encode() + prev
+        prev = hashlib.sha256(payload).digest()
+        if r["schema_version"] != rows[0]["schema_version"]:
+            error = f"schema_version {r['schema_version']} in a chain of {rows[0]['schema_version']}"
+        elif public and not ed25519.verify(public, payload, base64.b64decode(r["signature"])):
+            error = "signature verification failed"
+        elif r["entry_hash"] != prev.hex():
+            error = f"stored hash {r['entry_hash']}, its content gives {prev.hex()}"
+        if error:
+            return dup, f"entry {k}: {error}", None
+    return dup, None, None if dup else prev.hex()
+
+
+@pytest.mark.parametrize("signed", [False, True])
+def test_parallel_check_is_the_serial_one(spark, signed):
+    """Chains with edits, exchanged hashes, other versions, repeats, lost entries and ids without a seed, over many
+    ranges, so that chains and what is wrong in them lie across borders."""
+    pair = F.array().cast("array<struct<key:string,value:string>>")
+    spans = spark.range(600).select(
+        F.when(F.col("id") % 17 == 16, "xyz").otherwise(F.lpad(F.hex(F.col("id") % 17), 32, "0")).alias("trace_id"), F.lpad(F.hex("id"), 16, "0").alias("span_id"), F.lit("").alias("parent_span_id"), F.lit("n").alias("name"), F.lit(1).alias("kind"),
+        F.col("id").cast("decimal(20,0)").alias("start_time_unix_nano"), F.col("id").cast("decimal(20,0)").alias("end_time_unix_nano"), F.lit(1).alias("status_code"), pair.alias("attributes"),
+    )
+    log = chain.hash_entries(records.with_sequence(records.to_records(spans)), KEY if signed else None)
+    t, k = F.conv(F.substring("trace_id", 31, 2), 16, 10).cast("int"), F.col("seq_in_trace")
+    log = log.withColumns({
+        "span_name": F.when((t == 1) & (k == 0) | (t == 2) & (k == 34) | (t == 3) & k.isin(9, 20), "edited").otherwise(F.col("span_name")),
+        "schema_version": F.when((t == 4) & (k == 7) | (t == 5) & (k == 0), "v2").otherwise(F.col("schema_version")),
+        "entry_hash": F.when((t == 6) & (k == 11), F.upper("entry_hash")).when((t == 7) & (k == 12), "no hash").otherwise(F.col("entry_hash")),
+    })
+    log = log.where(~((t == 8) & (k == 5) | (t == 9) & (k == 0) | (t == 10) & (k > 20))).unionByName(log.where((t == 11) & (k == 3))).unionByName(log.where((t == 3) & (k == 30)))
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        log = stage.kept(log.repartition(7))
+        public = PUBLIC if signed else None
+        states = verify.chain_states(log, public)
+        got = {r.trace_id: (r.dup, r.error, r.tip) for r in states.collect()}
+        plan = states._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    rows = log.select("trace_id", "seq_in_trace", "schema_version", "entry_hash", "signature", canonical_record().alias("bytes"), genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.trace_id, []).append(r.asDict())
+    assert got == {x: serial_state(v, public) for x, v in by.items()}
+    assert ("ArrowEvalPython" in plan) == signed and "MapInArrow" not in plan
+
+
+def test_many_signatures_at_once():
+    messages = [b"%d" % k for k in range(40)]
+    signatures = [ed25519.sign(KEY, m) for m in messages]
+    changed = list(signatures)
+    changed[3] = changed[4]
+    changed[7] = changed[7][:63]
+    changed[9] = changed[9][:32] + (int.from_bytes(changed[9][32:], "little") + ed25519.Q).to_bytes(32, "little")
+    changed[11] = bytes([changed[11][0] ^ 1]) + changed[11][1:]
+    changed[12] = changed[12][:31] + bytes([changed[12][31] ^ 128]) + changed[12][32:]
+    assert ed25519.verify_many(PUBLIC, messages, signatures) == [True] * 40
+    assert [k for k, ok in enumerate(ed25519.verify_many(PUBLIC, messages, changed)) if not ok] == [3, 7, 9, 11, 12]
+    assert ed25519.verify_many(b"\2" * 31, messages, signatures) == [False] * 40 and ed25519.verify_many(PUBLIC, [], []) == []
+    # the second vector of RFC 8032
+    seed = bytes.fromhex("4ccd089b28ff96da9db6c346ec114e0f5b8a319f35aba624da8cf6ed4fb8a6fb")
+    assert ed25519.public_key(seed).hex() == "3d4017c3e843895a92b70aa74d1b7ebc9c982ccf2ec4968cc0cd55f12af4660c"
+    assert ed25519.sign(seed, b"\x72").hex() == "92a009a9f0d4cab8720e820b5f642540a2b27b5416503f8fb3762223ebdb69da085ac1e43e15996e458f3613d0f11d8c387b2eaeb4302aeeb00d291612bb0c00"
