@@ -4,7 +4,7 @@ Every text is a reference: its non-overlapping blocks of ten words are indexed b
 words of every text probes the index. A window of twenty words that occurs twice holds a whole block of the other
 occurrence, whatever its offset, so its place is hit on both sides. Hits are extended to the windows of twenty words
 around them; those are compared whole, by two hashes of 61 bits, and what the later ones of a kind cover, run by run, is
-removed. Blocks meet by one, as a false hit only makes a candidate more.
+removed. Blocks meet by a quick one, as a false hit only makes a candidate more.
 
 Probes are as many as words, so they go through the join in PASSES passes by ranges of the hash, which bounds the disk
 that shuffles hold at any time; each pass handles its range completely.
@@ -41,7 +41,8 @@ def _grams(window: int, block: int, aligned: bool, part: int, parts: int):
             docs, prints = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
             for a, b, some, off in T.slices(data, offsets):
                 starts, ends, first = T.words(some, off)
-                at, h = T.gram_hashes(T.bytes_hashes(some, starts, ends), first, block)
+                at = T.gram_starts(first, block)
+                h = T.quick_hashes(T.quick_words(some, starts, ends), at, at + block)
                 n = np.diff(first)
                 row = _spread(n)[at] if len(at) else np.zeros(0, np.int64)
                 pos = at - first[row]

@@ -129,10 +129,13 @@ class Encoder:
         ends = np.append(starts[1:], n)
         h = T.bytes_hashes(data, starts, ends)
         uniq, first, each = np.unique(h, return_index=True, return_inverse=True)
-        # pieces are the same by two hashes; the second is compared wherever the first is the same
-        check = T.bytes_hashes(data, starts, ends, 1)
+        # pieces are the same by two hashes; where only the first is the same, nothing is taken from the table
+        check = T.quick_words(data, starts, ends)
         if (check != check[first][each]).any():
-            raise ValueError("two pieces of the text have the same hash")
+            found = self.model.encode_batch_fast([data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)], add_special_tokens=False)
+            size = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
+            before = np.concatenate(([0], np.cumsum(size)))
+            return np.fromiter((x for e in found for x in e.ids), np.uint32, int(before[-1])), before[np.searchsorted(starts, offsets)]
         if len(self.hash) > self.KEEP:
             self.clear()
         at = np.searchsorted(self.hash, uniq)

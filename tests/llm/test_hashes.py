@@ -43,6 +43,34 @@ def test_ranges(which, kind, monkeypatch):
     assert textops.range_hash(textops.prefix_sums(values, which), a, b).tolist() == got.tolist()
 
 
+def test_pieces_with_one_hash(monkeypatch):
+    """Where the first hash of two pieces is the same, the second tells them apart, within a slice and between slices."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        encoder = token_file.Encoder(f.read())
+    texts = ["some words here", "other words there", "the same words here"]
+
+    def ids(*some):
+        data = "".join(some).encode()
+        offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in some])))
+        found, before = encoder.encode(np.frombuffer(data, np.uint8), offsets)
+        return [found[a:b].tolist() for a, b in zip(before, before[1:])]
+
+    want = [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids(*texts) == want
+    encoder.clear()
+    monkeypatch.setattr(token_file.T, "bytes_hashes", lambda data, starts, ends, which=0: np.full(len(starts), 7, np.uint64))
+    assert ids(*texts) == want and [x for t in texts for x in ids(t)] == want
+
+
+@pytest.mark.parametrize("hashed", [textops.bytes_hashes, textops.quick_words])
+def test_words_by_slices(hashed, monkeypatch):
+    data = np.random.default_rng(2).integers(97, 122, 5000).astype(np.uint8)
+    cuts = np.unique(np.random.default_rng(3).integers(0, 5000, 300))
+    whole = hashed(data, cuts[:-1], cuts[1:])
+    monkeypatch.setattr(textops, "SLICE_BYTES", 100)
+    assert np.array_equal(hashed(data, cuts[:-1], cuts[1:]), whole)
+
+
 def test_patterned_strings():
     for n in (1024, 2048):
         both = np.frombuffer((EVEN[:n] + ODD[:n]).encode(), np.uint8)
