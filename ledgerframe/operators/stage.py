@@ -3,24 +3,71 @@ them out again and a lost executor costs no more than a task."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: The folder of the work that is under way, for tables that go when it ends.
+_work: contextvars.ContextVar[str | None] = contextvars.ContextVar("work", default=None)
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` as a checkpoint in ``spark.checkpoint.dir``; a session in one process that sets none gets a temporary
-    folder, which on a cluster would be the driver's alone."""
-    spark = df.sparkSession
+
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder: ``spark.checkpoint.dir``. A session in one process that sets none gets a temporary folder,
+    which on a cluster would be the driver's alone."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         found = spark.conf.get("spark.checkpoint.dir", None)
         if not found and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(found or tempfile.mkdtemp(prefix="ledgerframe-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def folder(spark: SparkSession, path: str):
+    """A path and its file system, for listing and deleting."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where there is no folder."""
+    target, fs = folder(spark, path)
+    return sorted(str(x.getPath().getName()) for x in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, fs = folder(spark, path)
+    fs.delete(target, True)
+
+
+@contextlib.contextmanager
+def work(spark: SparkSession) -> Iterator[None]:
+    """Tables that are kept inside go when the block ends; nothing may read them then."""
+    path = f"{shared_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    token = _work.set(path)
+    try:
+        yield
+    finally:
+        _work.reset(token)
+        delete(spark, path)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, written: as a checkpoint in ``spark.checkpoint.dir``, or inside ``work`` as a table that goes with it."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    path = _work.get()
+    if path is None:
+        return df.checkpoint()
+    path = f"{path}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, *order: str, name: str = "seal_no", before: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:

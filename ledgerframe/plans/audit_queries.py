@@ -600,6 +600,42 @@ def ss8_sealed_batches(spark, sf):
     )
 
 
+@query
+def ss10_segments(spark, sf):
+    """Three batches of traces; one trace in six comes with each of them, as a segment of its own."""
+    spans = datasets.event_spans(spark, sf).drop("event_id")
+    settings = seal.Settings(path := _folder(spark, "segments"), f"{path}.checkpoints", checkpoint_interval=20)
+    sealer = seal.Sealer(settings, T.StructType(spans.schema.fields), stamp=lambda: _STAMP)
+    packed = stage.kept(assemble.carried(spans, "start_time_unix_nano").withColumn("segment", F.lit("complete")))
+    for k in range(3):
+        sealer(packed.where((_user() % 3 == k) | (_user() % 6 == 0)), k)
+    return seal.segments(spark, settings).select("trace_id", F.col("segment_no").cast("long").alias("segment_no"), "entry_count")
+
+
+@query
+def ss17_finished_stream(spark, sf):
+    """A stream over the events, in which one trace in four has lost its root, to its end: all traces are sealed and
+    covered by checkpoints, the last of them short."""
+    spans = datasets.event_spans(spark, sf).drop("event_id").where((_user() % 4 != 1) | (F.col("parent_span_id") != ""))
+    path = _folder(spark, "finished")
+    spans.write.parquet(f"{path}-in")
+    settings = seal.Settings(path, f"{path}.checkpoints", checkpoint_interval=20, timeout_ms=3_600_000)
+    stream = spark.readStream.schema(spans.schema).parquet(f"{path}-in")
+    seal.drain(seal.start(stream, settings, f"{path}-stream", arrival="start_time_unix_nano"))
+    seal.finish(spark, settings, spans.schema, f"{path}-stream")
+    entries, torn = jsonl.read_entries(spark, settings.log_path)
+    cps = jsonl.read_checkpoints(spark, settings.checkpoint_path)
+    pending = len(seal.Sealer(settings, spans.schema).passed(spark, 1 << 30)["pending"])
+    counts = cps.agg(F.count("*").alias("checkpoints"), F.coalesce(F.sum(F.size("trace_tips")), F.lit(0)).cast("long").alias("covered"))
+    return counts.withColumns(
+        {
+            "entries": F.lit(entries.count()).cast("long"),
+            "findings": F.lit(verify.findings(entries, cps, None, torn).count()).cast("long"),
+            "pending": F.lit(pending).cast("long"),
+        }
+    )
+
+
 @query
 def ss12_restamped(spark, sf):
     return wal.restamped(datasets.wal_lines(spark, sf)).select("line_no", "trace_id", "span_id", "schema_version")

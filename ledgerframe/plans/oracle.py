@@ -191,6 +191,10 @@ SQL = {
     "fn7_attributes_key": "SELECT '\"a\"=\"' || user_id || '\"' || chr(1) || '\"b\"=\"' || event_type || '\"' AS attributes, count(*) AS n FROM events GROUP BY user_id, event_type",
     "tk4_drop_pending": "SELECT CAST(0 AS BIGINT) AS pending, count(DISTINCT user_id) AS dropped FROM events",
     "ss8_sealed_batches": "SELECT CAST(t // 20 AS BIGINT) AS checkpoints, CAST(t // 20 * 20 AS BIGINT) AS covered, CAST(0 AS BIGINT) AS findings, e AS entries, CAST(t % 20 AS BIGINT) AS pending, t AS sealed FROM (SELECT count(DISTINCT user_id) AS t, count(*) AS e FROM events)",
+    "ss10_segments": f"WITH {RECORDS}, n AS (SELECT trace_id, user_id, count(*) AS entry_count FROM s GROUP BY trace_id, user_id) SELECT trace_id, unnest(range(0, CASE WHEN user_id % 6 = 0 THEN 3 ELSE 1 END)) AS segment_no, entry_count FROM n",
+    "ss17_finished_stream": f"""WITH {RECORDS}, n AS (SELECT trace_id, user_id % 4 = 1 AS open, count(*) AS k FROM s WHERE user_id % 4 <> 1 OR parent_span_id <> '' GROUP BY trace_id, user_id % 4 = 1),
+  done AS (SELECT count(*) FILTER (NOT open) AS done, count(*) AS t, CAST(sum(k) AS BIGINT) AS e FROM n)
+  SELECT CAST(done // 20 + ceil((t - done // 20 * 20) / 20.0) AS BIGINT) AS checkpoints, t AS covered, e AS entries, CAST(0 AS BIGINT) AS findings, CAST(0 AS BIGINT) AS pending FROM done""",
     "ss12_restamped": f"WITH {_WAL} SELECT d.line_no, d.trace_id, d.span_id, 'v3' AS schema_version FROM d JOIN a USING (trace_id) WHERE a.action = 'restamp'",
     "src2_conversation_log": f"SELECT row_number() OVER (ORDER BY trace_id, turn) AS line_no, trace_id, span_id, span_name, audit_kind, CAST(NULL AS VARCHAR) AS torn FROM (SELECT {_hex('conv_id', 32)} AS trace_id, {_hex('turn', 16)} AS span_id, turn, coalesce(text, '') AS span_name, CASE WHEN role = 'user' THEN 'handoff' ELSE 'task' END AS audit_kind FROM conversations)",
 }

@@ -202,12 +202,17 @@ def read_wal(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def batch_path(path: str, batch_id: int) -> str:
-    """The folder of a batch; folders sort by name as the batches by number."""
-    return f"{path.rstrip('/')}/batch={batch_id:012d}"
+def batch_name(batch_id: int | str) -> str:
+    """The name of a batch's folder; names sort as the batches by number. What isn't a batch of the stream has a name of
+    its own, which sorts after that of the batch it begins with."""
+    return f"batch={batch_id:012d}" if isinstance(batch_id, int) else f"batch={batch_id}"
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, *order: str) -> None:
+def batch_path(path: str, batch_id: int | str) -> str:
+    return f"{path.rstrip('/')}/{batch_name(batch_id)}"
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int | str, *order: str) -> None:
     """Write the column ``line`` of a batch of a stream as text, in the given order, so that a repeated batch replaces
     itself: one folder for each batch id, which appears as a whole when Spark commits it."""
     rows.orderBy(*order).select("line").write.mode("overwrite").text(batch_path(path, batch_id))

@@ -179,6 +179,122 @@ def test_from_requests_to_a_verified_log(spark, tmp_path, one_partition):
     assert entries.where(F.size("selected_attributes") == 1).count() == 18
 
 
+def parquet_file(spark, place, name, rows):
+    """Spans (trace, span, parent, version) as a file of a stream's folder."""
+    made = [(t, s, p, f"n {s}", 1, Decimal(k), Decimal(k + 5), 1, [("gen_ai.operation.name", "chat")], v) for k, (t, s, p, v) in enumerate(rows)]
+    spark.createDataFrame(made, SPANS).coalesce(1).write.parquet(str(place / f"made-{name}"))
+    (place / "in").mkdir(exist_ok=True)
+    for f in (place / f"made-{name}").glob("part-*"):
+        f.rename(place / "in" / f"{name}.parquet")
+
+
+def run(spark, place, settings, **more):
+    """All files of the folder through the stream."""
+    stream = spark.readStream.schema(SPANS).parquet(str(place / "in"))
+    seal.drain(seal.start(stream, settings, str(place / "stream"), KEY, **more), 120)
+
+
+def ids(k):
+    return f"{k:032x}"
+
+
+def test_end_of_a_stream(spark, tmp_path, one_partition):
+    """Open traces are sealed and short checkpoints written; a second end changes nothing, and a stream that goes on seals
+    only what is new."""
+    settings = seal.Settings(str(tmp_path / "log"), str(tmp_path / "cp"), checkpoint_interval=3, timeout_ms=600_000)
+    end = lambda: seal.finish(spark, settings, T.StructType.fromDDL(SPANS), str(tmp_path / "stream"), KEY)
+    s = seal.Sealer(settings, T.StructType.fromDDL(SPANS), KEY)
+    parquet_file(spark, tmp_path, "a", [*traces(range(4)), (ids(8), "b", "x", None), (ids(8), "c", "x", None), (ids(9), "d", "x", None)])
+    run(spark, tmp_path, settings)
+    assert len(s.passed(spark, 99)["pending"]) == 1
+    end()
+    entries, cps, found = verified(spark, s)
+    assert found == [] and s.passed(spark, 99)["pending"] == [] and entries.count() == 11
+    assert [len(r.trace_tips) for r in cps.orderBy("checkpoint_seq").collect()] == [3, 3]
+    end()
+    assert verified(spark, s)[0].count() == 11
+    # trace 9 comes out of the state without anything new, trace 8 with a root
+    parquet_file(spark, tmp_path, "b", [(ids(8), "x", "", None), (ids(10), "y", "", None)])
+    run(spark, tmp_path, settings)
+    end()
+    entries, cps, found = verified(spark, s)
+    # two chains under one id are all that the verifier reports
+    assert {r.trace_id for r in verify.findings(entries, cps, PUBLIC, strict_seq=True).collect()} == {ids(8)}
+    assert "duplicate_trace_segment" in found
+    assert sorted((r.trace_id, r.span_id) for r in entries.collect() if r.trace_id in (ids(8), ids(9), ids(10))) == [(ids(8), "b"), (ids(8), "c"), (ids(8), "x"), (ids(9), "d"), (ids(10), "y")]
+    got = {(r.trace_id, r.segment_no): r.entry_count for r in seal.segments(spark, settings).collect()}
+    assert (got[ids(8), 0], got[ids(8), 1], got[ids(9), 0], got[ids(10), 0], len(got)) == (2, 1, 1, 1, 8)
+    assert cps.count() == 3 and s.passed(spark, 99)["pending"] == []
+
+
+def test_an_end_that_fails_is_taken_back(spark, tmp_path, one_partition, monkeypatch):
+    settings = seal.Settings(str(tmp_path / "log"), str(tmp_path / "cp"), checkpoint_interval=3, timeout_ms=600_000)
+    s = seal.Sealer(settings, T.StructType.fromDDL(SPANS), KEY)
+    parquet_file(spark, tmp_path, "a", [*traces(range(2)), (ids(8), "b", "x", None)])
+    run(spark, tmp_path, settings)
+
+    def fails(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(seal.Sealer, "_commit", fails)
+        with pytest.raises(OSError):
+            s.finish(spark, str(tmp_path / "stream"))
+    parquet_file(spark, tmp_path, "b", [(ids(8), "x", "", None)])
+    run(spark, tmp_path, settings)
+    s.finish(spark, str(tmp_path / "stream"))
+    entries, cps, found = verified(spark, s)
+    assert found == [] and entries.count() == 6 and [r.segment_no for r in seal.segments(spark, settings).collect()] == [0, 0, 0]
+    assert cps.count() == 1
+
+
+WAL_LINE = '{{"type":"span","trace_id":"{0}","record":{{"schema_version":"{2}","trace_id":"{0}","span_id":"{1}","parent_span_id":"{3}","seq_in_trace":0,"start_time_unix_nano":{4},"end_time_unix_nano":{4},"span_name":"from the log","otel_kind":"Client","gen_ai_operation":"chat","audit_kind":"task","selected_attributes":[{{"key":"gen_ai.system","value":"s"}}],"status":"Ok"}}}}'
+
+
+def test_restart_from_a_write_ahead_log(spark, tmp_path, one_partition):
+    """A trace that is half in the log and half in the stream is one chain; tips without a checkpoint get one; traces of
+    other versions are sealed as they are or set aside."""
+    span = lambda t, s, v="v3", parent="r": WAL_LINE.format(ids(t), s, v, parent, "5" if v in ("v1", "v2") else '"5"')
+    lines = [
+        '{"type":"span","torn', span(1, "a"), span(1, "b", "v2"), span(1, "a", "v2"), span(2, "c", "v1"), span(3, "d", "v1"), span(3, "e", "v3"), span(4, "f", "v9"), span(6, "g"),
+        span(5, "h", parent=""), f'{{"type":"sealed","trace_id":"{ids(5)}","tip_hash":"{"7" * 64}","entry_count":1}}', span(7, "i", parent=""),
+    ]
+    (tmp_path / "wal").write_text("\n".join(lines) + "\n")
+    settings = seal.Settings(str(tmp_path / "log"), str(tmp_path / "cp"), checkpoint_interval=3, timeout_ms=600_000)
+    s = seal.Sealer(settings, T.StructType.fromDDL(SPANS), KEY)
+    parquet_file(spark, tmp_path, "a", [(ids(1), "r", "", None), (ids(2), "late", "c", None), (ids(8), "x", "", None), (ids(7), "i", "", None)])
+    run(spark, tmp_path, settings, wal_lines=jsonl.read_wal(spark, str(tmp_path / "wal")))
+    left = s.passed(spark, 99)
+    assert (left["quarantined"], left["late"], left["sealed"]) == (3, 1, 5)
+    s.finish(spark, str(tmp_path / "stream"))
+    entries, cps, found = verified(spark, s)
+    rows = sorted((int(r.trace_id, 16), r.span_id, r.schema_version, r.span_name) for r in entries.collect())
+    log = "from the log"
+    assert rows == [(1, "a", "v3", log), (1, "b", "v3", log), (1, "r", "v3", "n r"), (2, "c", "v1", log), (6, "g", "v3", log), (7, "i", "v3", "n i"), (8, "x", "v3", "n x")]
+    tips = [t for r in cps.collect() for t in r.trace_tips]
+    assert sorted(int(t.trace_id, 16) for t in tips) == [1, 2, 5, 6, 7, 8]
+    # the tip of the trace whose entries an older log holds is all that this log can't confirm
+    assert sorted(set(found)) == ["entry_count_mismatch", "tip_hash_mismatch"] or set(found) == {"entry_count_mismatch"}
+    with pytest.raises(ValueError):
+        s.begin(spark, jsonl.read_wal(spark, str(tmp_path / "wal")))
+
+
+def test_segments_over_batches_and_merges(spark, tmp_path, monkeypatch):
+    """A trace that is delivered again gets the next number, a batch that is repeated the same ones, also when tables of
+    earlier batches were merged; working folders don't grow with the batches."""
+    monkeypatch.setattr("ledgerframe.streaming.segments.FAN", 2)
+    s = sealer(tmp_path)
+    place = spark.sparkContext.getCheckpointDir() or stage.shared_dir(spark)
+    counts = []
+    for k, who in enumerate([(0, 1), (1, 2), (1, 3), (4,), (2, 1)]):
+        for _ in range(1 + (k == 2)):
+            s(packed(spark, *traces(who)), k)
+        counts.append((len(stage.listed(spark, place)), len(stage.listed(spark, s.settings.state)), len(stage.listed(spark, s.settings.segments_path))))
+    got = sorted((int(r.trace_id, 16), r.segment_no) for r in seal.segments(spark, s.settings).collect())
+    assert got == [(0, 0), (1, 0), (1, 1), (1, 2), (1, 3), (2, 0), (2, 1), (3, 0), (4, 0)]
+    assert len({c[0] for c in counts}) == 1 and max(c[1] for c in counts) <= 4 and max(c[2] for c in counts) <= 4
+
+
 def test_settings(tmp_path):
     s = seal.Settings("log", "cp", checkpoint_interval=0, timeout_ms=0)
     assert (s.interval, s.pending_cap, s.timeout, s.key()) == (100, 1000, 30_000, None)
