@@ -12,7 +12,7 @@ occurrence:
    (bincount), again summed as a tree, and write the slots of all positions as the stream of the next length.
 
 Candidates are hashed up to ``keys`` at a time; more take more rounds of the third pass, so a task's memory and what is
-broadcast don't grow with the data. The buckets are one for 32 words, 2**26 at most: beyond some 200 billion words they
+broadcast don't grow with the data. The buckets are one for 32 words, 2**26 at most: beyond some seven billion words they
 rule out less and less, and the number of rounds grows.
 """
 
