@@ -395,3 +395,23 @@ def test_many_signatures_at_once():
     seed = bytes.fromhex("4ccd089b28ff96da9db6c346ec114e0f5b8a319f35aba624da8cf6ed4fb8a6fb")
     assert ed25519.public_key(seed).hex() == "3d4017c3e843895a92b70aa74d1b7ebc9c982ccf2ec4968cc0cd55f12af4660c"
     assert ed25519.sign(seed, b"\x72").hex() == "92a009a9f0d4cab8720e820b5f642540a2b27b5416503f8fb3762223ebdb69da085ac1e43e15996e458f3613d0f11d8c387b2eaeb4302aeeb00d291612bb0c00"
+
+
+def test_roots_of_trees_of_any_size(spark):
+    """Sizes around powers of two, against the recursion of the paper; leaves in any order, over many groups."""
+
+    def root(leaves):
+        if len(leaves) == 1:
+            return hashlib.sha256(b"\0" + leaves[0]).digest()
+        k = 1 << (len(leaves) - 1).bit_length() - 1
+        return hashlib.sha256(b"\1" + root(leaves[:k]) + root(leaves[k:])).digest()
+
+    leaf = lambda g, n: hashlib.sha256(f"{g}.{n}".encode()).digest()
+    sizes = [1, 2, 3, 4, 5, 7, 8, 9, 31, 32, 33, 100, 255, 257, 600]
+    rows = [(g, n, leaf(g, n).hex()) for g in sizes for n in range(g)]
+    df = spark.createDataFrame(rows, "g int, leaf_no long, leaf string").repartition(7)
+    found = chain.merkle_root(df, ["g"])
+    assert {r.g: r.root for r in found.collect()} == {g: root([leaf(g, n) for n in range(g)]).hex() for g in sizes}
+    assert chain.merkle_root(df.where("g = 1")).first().root == root([leaf(1, 0)]).hex()
+    planned = chain.merkle_root(df, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert planned.count("Exchange hashpartitioning") == 2
