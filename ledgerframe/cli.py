@@ -1,4 +1,6 @@
-"""Verify a log: ``python -m ledgerframe.cli [--json] (--key HEX | --key-file FILE) LOG CHECKPOINTS``.
+"""Verify a log: ``python -m ledgerframe.cli [--json | --out FOLDER] (--key HEX | --key-file FILE) LOG CHECKPOINTS``.
+
+``--out`` lets the executors write the report, of any length, into a folder, and prints the status alone.
 
 Exit code 0: nothing fatal was found; 1: something was; 2: the log couldn't be read, or wrong use.
 """
@@ -19,7 +21,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser = argparse.ArgumentParser(prog="ledgerframe")
     parser.add_argument("log")
     parser.add_argument("checkpoints")
-    parser.add_argument("--json", action="store_true")
+    how = parser.add_mutually_exclusive_group()
+    how.add_argument("--json", action="store_true")
+    how.add_argument("--out")
     key = parser.add_mutually_exclusive_group(required=True)
     key.add_argument("--key")
     key.add_argument("--key-file")
@@ -32,7 +36,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             public = ed25519.read_public_key(given.key)
         entries, torn = jsonl.read_entries(spark, given.log)
-        report = verify.report(entries, jsonl.read_checkpoints(spark, given.checkpoints), public, torn)
+        checkpoints = jsonl.read_checkpoints(spark, given.checkpoints)
+        if given.out:
+            status = verify.write_report(entries, checkpoints, public, given.out, torn)
+            print(status)
+            return int("FAILED" in status)
+        report = verify.report(entries, checkpoints, public, torn)
     except (OSError, ValueError) as e:
         print(e, file=sys.stderr)
         return 2

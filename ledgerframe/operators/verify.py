@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import ed25519
 from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed
 from .chain import payload_hashes
-from .stage import kept, numbered
+from .stage import kept, numbered, work
 
 # Kinds of findings.
 FATAL = ("chain", "checkpoint", "tip_hash_mismatch", "entry_count_mismatch", "tip_hash_unverifiable", "duplicate_trace_segment")
@@ -228,13 +228,17 @@ class Report:
     def text(self, most_ids: int = 10, most_bytes: int = 128) -> str:
         out = [f"Traces processed:      {self.traces}", f"Checkpoints processed: {self.checkpoints}", self.status()]
         out += [f"  [{label(e['TraceID'], e['Kind'])}] {e['Kind']} ({e['Severity']}): {e['Detail']}" for e in self.errors]
-        if self.other_key_ids:
-            out.append(f"Note: the log claims {len(self.other_key_ids)} key_id(s) other than the supplied key's:")
-            out += [f"  {quoted(k, most_bytes)}" for k in self.other_key_ids[:most_ids]]
-            if len(self.other_key_ids) > most_ids:
-                out.append(f"  ... and {len(self.other_key_ids) - most_ids} more not shown")
+        out += Report(0, 0, [], self.other_key_ids[:most_ids]).notes(len(self.other_key_ids), most_bytes)
         return "\n".join(out) + "\n"
 
+    def notes(self, many: int, most_bytes: int) -> list[str]:
+        """Lines on the first of ``many`` other key ids."""
+        if not many:
+            return []
+        shown = [f"  {quoted(k, most_bytes)}" for k in self.other_key_ids]
+        more = [f"  ... and {many - len(shown)} more not shown"] * (many > len(shown))
+        return [f"Note: the log claims {many} key_id(s) other than the supplied key's:", *shown, *more]
+
     def json(self) -> str:
         out = {"TracesProcessed": self.traces, "CheckpointsProcessed": self.checkpoints, "Errors": self.errors or None}
         if self.other_key_ids:
@@ -272,3 +276,30 @@ def report(entries: DataFrame, checkpoints: DataFrame, public: bytes, torn: str
     errors = [{"TraceID": r.trace_id, "Kind": r.kind, "Detail": r.detail, "Severity": r.severity} for r in found.toLocalIterator()]
     ids = sorted(r.key_id for r in other_key_ids(entries, checkpoints, ed25519.key_id(public)).toLocalIterator())
     return Report(entries.select("trace_id").distinct().count(), checkpoints.count(), errors, ids)
+
+
+def report_lines(found: DataFrame) -> DataFrame:
+    """(phase, k1, k2, k3, line): findings as the lines of the report, with their sort key."""
+    line = F.concat(F.lit("  ["), label_column(F.col("trace_id"), F.col("kind")), F.lit("] "), F.col("kind"), F.lit(" ("), F.col("severity"), F.lit("): "), F.col("detail"))
+    return found.select("phase", "k1", "k2", "k3", line.alias("line"))
+
+
+def write_report(entries: DataFrame, checkpoints: DataFrame, public: bytes, path: str, torn: str | None = None, most_ids: int = 10, most_bytes: int = 128) -> str:
+    """The text of ``report`` as a folder of files that read in the order of their paths; its status.
+
+    Findings are written by executors, range by range of their order, so there may be any number of them; the driver has
+    the counts and a bounded number of other key ids.
+    """
+    spark = entries.sparkSession
+    with work(spark):
+        found = kept(findings(entries, checkpoints, public, torn))
+        status = summary(found).first().status
+        others = other_key_ids(entries, checkpoints, ed25519.key_id(public))
+        ids = [r.key_id for r in others.orderBy("key_id").limit(most_ids).collect()]
+        tail = Report(0, 0, [], ids).notes(others.count() if ids else 0, most_bytes)
+        head = [f"Traces processed:      {entries.select('trace_id').distinct().count()}", f"Checkpoints processed: {checkpoints.count()}", status]
+        for k, some in enumerate((head, None, tail)):
+            # one file each but for the findings, which Spark deals by ranges
+            lines = report_lines(found).orderBy("phase", "k1", "k2", "k3").select("line") if some is None else spark.createDataFrame([(x,) for x in some], "line string").coalesce(1)
+            lines.write.mode("overwrite").text(f"{path.rstrip('/')}/part={k}")
+    return status

@@ -415,3 +415,20 @@ def test_roots_of_trees_of_any_size(spark):
     assert chain.merkle_root(df.where("g = 1")).first().root == root([leaf(1, 0)]).hex()
     planned = chain.merkle_root(df, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert planned.count("Exchange hashpartitioning") == 2
+
+
+def test_report_written_by_executors(spark, log, capsys):
+    """The files of the folder, in order, are the text of the report; the status is what the command line goes by."""
+    from ledgerframe import cli
+
+    _, e, c = log
+    other = [x.replace(ed25519.key_id(PUBLIC), f"{k:064d}") for k, x in enumerate(e)]
+    for entries, most in ((e, 10), (other[:5] + [e[5].replace("span", "spam")] + other[6:], 3)):
+        _, rows, place = kinds(spark, log, entries, c)
+        cps = jsonl.read_checkpoints(spark, str(place / "cp"))
+        status = verify.write_report(rows, cps, PUBLIC, str(place / "report"), most_ids=most)
+        made = verify.report(rows, cps, PUBLIC)
+        text = "".join(f.read_text() for f in sorted((place / "report").glob("part=*/part-*")))
+        assert text == made.text(most_ids=most) and status == made.status()
+        code = cli.main(["--key", PUBLIC.hex(), "--out", str(place / "again"), str(place / "log"), str(place / "cp")], spark)
+        assert code == int("FAILED" in status) and capsys.readouterr().out.splitlines()[-1] == status
