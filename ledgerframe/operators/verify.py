@@ -20,6 +20,9 @@ from .stage import kept, numbered, work
 # Kinds of findings.
 FATAL = ("chain", "checkpoint", "tip_hash_mismatch", "entry_count_mismatch", "tip_hash_unverifiable", "duplicate_trace_segment")
 ADVISORY = ("key_id_field_mismatch", "torn_trailing_line")
+# The lines of a report that give its counts, and what stands after a text that was cut.
+COUNTS = ("Traces processed:      {}", "Checkpoints processed: {}")
+CUT = " [truncated: {} more byte(s)]"
 _COLUMNS = ("phase", "k1", "k2", "k3", "trace_id", "kind", "severity", "detail")
 
 
@@ -226,7 +229,7 @@ class Report:
         return f"Status: FAILED ({fatal} fatal, {advisory} advisory)" if advisory else f"Status: FAILED ({fatal} error(s))"
 
     def text(self, most_ids: int = 10, most_bytes: int = 128) -> str:
-        out = [f"Traces processed:      {self.traces}", f"Checkpoints processed: {self.checkpoints}", self.status()]
+        out = [COUNTS[0].format(self.traces), COUNTS[1].format(self.checkpoints), self.status()]
         out += [f"  [{label(e['TraceID'], e['Kind'])}] {e['Kind']} ({e['Severity']}): {e['Detail']}" for e in self.errors]
         out += Report(0, 0, [], self.other_key_ids[:most_ids]).notes(len(self.other_key_ids), most_bytes)
         return "\n".join(out) + "\n"
@@ -236,8 +239,8 @@ class Report:
         if not many:
             return []
         shown = [f"  {quoted(k, most_bytes)}" for k in self.other_key_ids]
-        more = [f"  ... and {many - len(shown)} more not shown"] * (many > len(shown))
-        return [f"Note: the log claims {many} key_id(s) other than the supplied key's:", *shown, *more]
+        more = [f"  and {many - len(shown)} others"] * (many > len(shown))
+        return [f"Keys that entries or checkpoints name beside the given one: {many}", *shown, *more]
 
     def json(self) -> str:
         out = {"TracesProcessed": self.traces, "CheckpointsProcessed": self.checkpoints, "Errors": self.errors or None}
@@ -268,7 +271,7 @@ def quoted(text: str, most: int) -> str:
         plain = chr(c) if 32 <= c < 127 else f"\\x{c:02x}" if c < 128 else f"\\u{c:04x}" if c < 1 << 16 else f"\\U{c:08x}"
         out.append(_SHORT.get(c, plain))
     rest = len(raw) - len(cut.encode("utf-8", "surrogatepass"))
-    return f'"{"".join(out)}"' + (f" [truncated: {rest} more byte(s)]" if rest else "")
+    return f'"{"".join(out)}"' + (CUT.format(rest) if rest else "")
 
 
 def report(entries: DataFrame, checkpoints: DataFrame, public: bytes, torn: str | None = None) -> Report:
@@ -297,7 +300,7 @@ def write_report(entries: DataFrame, checkpoints: DataFrame, public: bytes, path
         others = other_key_ids(entries, checkpoints, ed25519.key_id(public))
         ids = [r.key_id for r in others.orderBy("key_id").limit(most_ids).collect()]
         tail = Report(0, 0, [], ids).notes(others.count() if ids else 0, most_bytes)
-        head = [f"Traces processed:      {entries.select('trace_id').distinct().count()}", f"Checkpoints processed: {checkpoints.count()}", status]
+        head = [COUNTS[0].format(entries.select("trace_id").distinct().count()), COUNTS[1].format(checkpoints.count()), status]
         for k, some in enumerate((head, None, tail)):
             # one file each but for the findings, which Spark deals by ranges
             lines = report_lines(found).orderBy("phase", "k1", "k2", "k3").select("line") if some is None else spark.createDataFrame([(x,) for x in some], "line string").coalesce(1)
