@@ -30,7 +30,7 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(low) AS low FROM
 _NEEDED = f"CASE WHEN n < {decontaminate.LEAST} THEN n ELSE CAST(ceil(least({decontaminate.STRETCH}, n) * {decontaminate.SHARE} / 100.0) AS BIGINT) END"
 _LEAKS = f"""
 WITH b AS (SELECT item_id, {words("lower(text)")} AS w FROM benchmark WHERE text IS NOT NULL),
-i AS (SELECT item_id, len(w) AS n, unnest(w) AS w, generate_subscripts(w, 1) AS a FROM b WHERE len(w) >= {decontaminate.SHORTEST}),
+i AS (SELECT item_id, len(w) AS n, unnest(w) AS w, generate_subscripts(w, 1) AS a FROM b),
 d AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS p FROM (SELECT doc_id, {words("lower(text)")} AS w FROM documents)),
 m AS (SELECT doc_id, item_id, n, p - a AS shift, a, {_NEEDED} AS needed FROM d JOIN i USING (w)),
 q AS (SELECT * FROM m QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= needed),

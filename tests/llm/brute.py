@@ -87,7 +87,7 @@ def written(spans, kinds=("assign", "access", "hex", "entropy")):
     return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def leaks(docs, items, needed, stretch, shortest):
+def leaks(docs, items, needed, stretch):
     """{doc_id: set of items}: all alignments of each item are slid along each document, without masks or seeds."""
     found = defaultdict(set)
     low = lambda t: [x.lower() for x in words(t)]
@@ -103,7 +103,7 @@ def leaks(docs, items, needed, stretch, shortest):
                 equal[i, p - a].append(a)
         for (i, _), at in equal.items():
             n = len(texts[i])
-            if n < shortest or len(at) < needed(n):
+            if len(at) < needed(n):
                 continue
             k = 0
             for j, a in enumerate(at):

@@ -15,7 +15,7 @@ def aligned(docs, items, stretch=20, share=75):
     for (d, t), (i, x) in itertools.product(docs, items):
         w, x = ([y.lower() for y in brute.words(z)] for z in (t, x))
         size = min(stretch, len(x))
-        if size < decontaminate.SHORTEST:
+        if not size:
             continue
         for shift in range(-len(x), len(w)):
             eq = [int(0 <= shift + k < len(w) and w[shift + k] == x[k]) for k in range(len(x))]
@@ -29,14 +29,14 @@ def _copies(rng, words, n):
     fresh = lambda: f"x{rng.randrange(10**9)}"
     for period, start in [(p, s) for p in (3, 4, 5) for s in range(p)]:
         yield [fresh() if k % period == start else w for k, w in enumerate(words)]
-    for _ in range(n):
+    for _ in range(n if len(words) > 2 else 0):
         gone = set(rng.sample(range(len(words)), rng.randrange(1, len(words) // 3 + 1)))
         yield [fresh() if k in gone else w for k, w in enumerate(words)]
 
 
 def test_every_pattern_within_the_threshold_is_found(spark):
     rng = random.Random(5)
-    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((3, 5, 7, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 30, 59))]
+    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 30, 59))]
     docs, common = [], [f"c{k}" for k in range(9)]
     for _, text in items:
         for copy in _copies(rng, text.split(), 12):
@@ -59,17 +59,30 @@ def test_every_fifth_and_fourth_word_replaced(spark):
 
 @pytest.mark.parametrize("size", range(5, 21))
 def test_masks_hit_whatever_words_are_replaced(size):
-    mask = decontaminate.MASKS[size < decontaminate.STRETCH]
-    at = [sum(1 << (o + k) for k, c in enumerate(mask) if c == "1") for o in range(size - len(mask) + 1)]
+    used = [0] if size >= decontaminate.STRETCH else [1] if size > decontaminate.TEN else [1, 2]
+    at = [sum(1 << (o + k) for k, c in enumerate(m) if c == "1") for m in (decontaminate.MASKS[u] for u in used) for o in range(size - len(m) + 1)]
     for gone in itertools.combinations(range(size), size - decontaminate.needed(size)):
         left = (1 << size) - 1 - sum(1 << k for k in gone)
         assert any(left & m == m for m in at)
     assert any("0" in m for m in decontaminate.MASKS)
 
 
+def test_short_items_in_many_places(spark):
+    """A word that fills documents meets its item once for each of them; ties and repeated rows count once."""
+    docs = [(1, "The the THE " * 500), (1, "the"), (2, "of the x of"), (3, "ofthe"), (4, None), (5, ""), (6, "x of the"), (6, "x of the")]
+    items = [(1, "the"), (2, "of The"), (3, "the the the the"), (4, ""), (5, None), (6, "the"), (7, "of the x y")]
+    frames = spark.createDataFrame([(*d, "n") for d in docs], "doc_id long, text string, item string"), spark.createDataFrame(items, "item_id long, text string")
+    hits = sorted(tuple(r) for r in decontaminate.overlaps(*frames).distinct().collect())
+    assert {(d, i) for d, i, *_ in hits} == {(1, 1), (1, 3), (1, 6), (2, 1), (2, 2), (2, 6), (6, 1), (6, 2), (6, 6)}
+    assert (2, 2, 0, 0, 2) in hits and (6, 1, 2, 0, 1) in hits
+    out = decontaminate.decontaminate(*frames)
+    assert sorted((r.doc_id, r["items"], r.equal) for r in out.where("contaminated").collect()) == [(1, [1, 3, 6], 4)] * 2 + [(2, [1, 2, 6], 2)] + [(6, [1, 2, 6], 2)] * 2
+    assert out.count() == len(docs)
+
+
 def test_more_seeds_than_are_broadcast(spark, monkeypatch):
     rng = random.Random(6)
-    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((6, 12, 25, 25))]
+    items = [(k, " ".join(f"I{k}w{j}" for j in range(n))) for k, n in enumerate((6, 12, 25, 25, 2, 1))]
     items += [(9, items[2][1])]
     docs = [(k, "a b " + " ".join(c)) for k, c in enumerate(c for _, t in items for c in _copies(rng, t.split(), 4))]
     docs += [(500, None), (501, ""), (502, items[3][1]), (502, items[3][1])]
