@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,40 +38,75 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(*[F.coalesce(b, F.array().cast("array<string>")) for b in both]))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, least: int = 20, lift: float = 1.25, z: float = 2.0) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.002, least: int = 20, precision: float = 0.5, error: float = 0.05) -> DataFrame:
     """(rule, items, confidence, support) from rows (url, bad): token combinations that imply a bad page.
 
-    A rule stands for ``support`` of all labelled rows, and for ``least`` bad rows at the fewest. How confident it must
-    be is learned from the labels: ``lift`` times the share of bad rows among all, and so much that the lower end of its
-    confidence interval (Wilson, ``z`` standard errors) is above that share. Rules that a more general one of at least
-    the same confidence covers are left out, and so are those that don't hold to the same standard on the labelled rows
-    that no more confident rule matches: what made them look good is the other rule's. FP-growth runs distributed, and
-    its rules are few, as each stands for ``support`` of the rows. A url that repeats counts each time; a null url, or a
-    null label, teaches nothing.
+    Rules are mined on one half of the urls and proved on the other. A rule stands for ``support`` of the rows mined,
+    and for ``least`` bad rows at the fewest. ``precision`` is the share of bad pages among those blocked that it must
+    exceed: c / (1 + c) where blocking a good page costs c times as much as passing a bad one, a half at equal costs.
+    Rules that a more general one of at least the same confidence covers are left out. Of the rest those stay whose
+    share of bad rows on the half held out is proved to exceed ``precision``, among all rows they match and then among
+    those that no more confident rule matches: the lower end of the confidence interval (Wilson), at a chance of
+    ``error`` that any of the candidates is wrong (Bonferroni).
+
+    Tokens of the same urls are one to FP-growth (see ``_alike``), so a rule names all that its urls share. FP-growth
+    runs distributed; its rules are few, unless a dozen tokens stand together in nearly, but not quite, the same urls.
+    A url that repeats counts each time, always in the same half; a null url, or a null label, teaches nothing.
     """
-    none = F.array().cast("array<string>")
-    known = labelled.where("url is not null and bad is not null")
-    baskets = known.select(F.concat(tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(_BAD))).otherwise(none)).alias("items"), "bad").where(F.size("items") > 0)
-    schema = "rule long, items array<string>, confidence double, support double"
-    n, bad = baskets.agg(F.count(F.lit(1)), F.count_if("bad")).first()
-    if not bad:
-        return labelled.sparkSession.createDataFrame([], schema)
-    base = bad / n
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, least / n)), minConfidence=min(1.0, lift * base)).fit(baskets.select("items"))
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD))).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
-    rules = rules.where(_lower(F.col("confidence"), F.col("support") * n / F.col("confidence"), z) > base)
+    scratch = Scratch(labelled.sparkSession, "mined")
+    known = labelled.where("url is not null and bad is not null").select("url", F.col("bad").cast("boolean").alias("bad"))
+    counts = known.groupBy("url").agg(F.count(F.lit(1)).alias("m"), F.count_if("bad").alias("k"))
+    counts = scratch.keep(counts.withColumn("held", F.crc32("url") % 2 == 1).withColumn("tokens", tokens(F.col("url"))), "counts")
+    n, bad = counts.where("not held").agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
+    need = max(support * n, least)
+    if bad < need:
+        return labelled.sparkSession.createDataFrame([], "rule long, items array<string>, confidence double, support double")
+    named = _alike(counts.where("not held"), need, scratch)
+    own = counts.where("not held").select("url", F.explode("tokens").alias("token")).join(named.select("token", "name"), "token")
+    own = own.groupBy("url").agg(F.collect_set("name").alias("names"))
+    end = F.when(F.col("bad"), F.array(F.lit(_BAD))).otherwise(F.array().cast("array<string>"))
+    baskets = known.join(own, "url").select(F.concat("names", end).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=need / n, minConfidence=precision).fit(scratch.keep(baskets, "baskets"))
+    # support and lift of the model count baskets with a token that may matter; those here count all rows mined
+    size = F.lit(scratch.spark.read.parquet(scratch.path("baskets")).count() / n)
+    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD))).select(F.explode("antecedent").alias("name"), F.xxhash64(F.array_sort("antecedent")).alias("rule"), "confidence", (F.col("support") * size).alias("support"))
+    rules = rules.join(named, "name").groupBy("rule", "confidence", "support").agg(F.array_sort(F.collect_set("token")).alias("items"))
+    rules = scratch.keep(rules.select(F.xxhash64("items").alias("rule"), "items", "confidence", "support"), "found")
     # more general rules: every rule of fewer tokens that has its first token in this one and lies within it
     wide = rules.select(F.explode("items").alias("first"), "items", "confidence")
     less = rules.select(F.col("items")[0].alias("first"), F.col("items").alias("general"), F.col("confidence").alias("at_least"))
     covers = (F.size("general") < F.size("items")) & (F.col("at_least") >= F.col("confidence")) & (F.size(F.array_except("general", "items")) == 0)
     within = wide.join(less, "first").where(covers).select("items").distinct()
-    kept = rules.join(within, "items", "left_anti").select(F.xxhash64("items").alias("rule"), "items", "confidence", "support")
-    scratch = Scratch(labelled.sparkSession, "mined")
-    kept = scratch.keep(kept, "kept")
-    own = known.join(match(known, kept, scratch).select("url", "rule"), "url").groupBy("rule").agg(F.count(F.lit(1)).alias("m"), F.count_if("bad").alias("k"))
-    share = F.col("k") / F.col("m")
-    holds = own.where((share >= lift * base) & (_lower(share, F.col("m"), z) > base)).select("rule")
-    return kept.join(holds, "rule", "left_semi")
+    kept = scratch.keep(rules.join(within, "items", "left_anti").select("rule", "items", "confidence", "support"), "kept")
+    candidates = kept.count()
+    if not candidates:
+        return kept
+    z = NormalDist().inv_cdf(1 - error / candidates)
+    proof = counts.where("held").select("url", "m", "k")
+    for name, hits in (("all", _met), ("own", match)):
+        met = proof.join(hits(proof, kept, Scratch(labelled.sparkSession, "proof")).select("url", "rule"), "url")
+        shown = met.groupBy("rule").agg(F.sum("m").alias("m"), F.sum("k").alias("k"))
+        shown = shown.where(_lower(F.col("k") / F.col("m"), F.col("m"), z) > precision).select("rule")
+        kept = scratch.keep(kept.join(shown, "rule", "left_semi"), name)
+    return kept
+
+
+def _alike(counts: DataFrame, need: float, scratch: Scratch) -> DataFrame:
+    """(token, name) of the tokens of ``need`` bad rows, from rows (url, k, tokens): tokens that stand in the same urls
+    have one name, the least of them.
+
+    Any combination of such tokens has the rows of all of them, and a dozen would make thousands. Candidates have as many
+    urls and equal sums of two hashes; each url then shows whether it holds all tokens of a name or none.
+    """
+    each = counts.select("url", "k", F.explode("tokens").alias("token"))
+    part = lambda seed: F.sum(F.shiftright(F.xxhash64(F.lit(seed), "url"), 24))
+    marks = each.groupBy("token").agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("n"), part(1).alias("x"), part(2).alias("y")).where(F.col("k") >= need)
+    same = marks.groupBy("n", "x", "y").agg(F.min("token").alias("name"), F.count(F.lit(1)).alias("size"), F.collect_list("token").alias("members"))
+    named = scratch.keep(same.select("name", "size", F.explode("members").alias("token")), "names")
+    held = each.join(named.where("size > 1"), "token").groupBy("url", "name", "size").agg(F.count(F.lit(1)).alias("n"))
+    wrong = held.where("n < size").select("name").distinct().withColumn("wrong", F.lit(True))
+    named = named.join(wrong, "name", "left")
+    return scratch.keep(named.select("token", F.when(F.col("wrong"), F.col("token")).otherwise(F.col("name")).alias("name")), "alike")
 
 
 def _lower(p: Column, m: Column, z: float) -> Column:
@@ -77,21 +114,27 @@ def _lower(p: Column, m: Column, z: float) -> Column:
     return (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
 
 
-def match(urls: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
-    """(url, rule, confidence, n_rules) of the distinct urls that a rule matches, with the most confident rule (of
-    several the one with more tokens), by an inverted index: a rule waits at its rarest token, and a url looks at the
-    rules of its own tokens alone."""
-    rules = scratch.keep(rules, "rules")
-    if rules.isEmpty():
-        return urls.select("url", F.lit(0).cast("long").alias("rule"), F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("n_rules")).limit(0)
+def _met(urls: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
+    """(url, rule, confidence, items) of the distinct urls and all rules that match them, by an inverted index: a rule
+    waits at its rarest token, and a url looks at the rules of its own tokens alone."""
     rows = scratch.keep(urls.where("url is not null").select("url").distinct().withColumn("tokens", tokens(F.col("url"))), "tokens")
     wanted = rules.select(F.explode("items").alias("token")).distinct()
     counts = rows.select(F.explode("tokens").alias("token")).join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     index = rules.withColumn("token", F.explode("items")).join(counts, "token", "left")
     index = index.groupBy("rule", "items", "confidence").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token"))
-    met = rows.select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token").where(F.size(F.array_except("items", "tokens")) == 0)
+    met = rows.select("url", "tokens", F.explode("tokens").alias("token")).join(index, "token")
+    return met.where(F.size(F.array_except("items", "tokens")) == 0).select("url", "rule", "confidence", "items")
+
+
+def match(urls: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
+    """(url, rule, confidence, n_rules) of the distinct urls that a rule matches, with the most confident rule, of
+    several the one with more tokens."""
+    rules = scratch.keep(rules, "rules")
+    if rules.isEmpty():
+        return urls.select("url", F.lit(0).cast("long").alias("rule"), F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("n_rules")).limit(0)
     best = F.max(F.struct("confidence", F.size("items").alias("size"), "items", "rule"))
-    return met.groupBy("url").agg(best.alias("best"), F.count(F.lit(1)).alias("n_rules")).select("url", "best.rule", "best.confidence", "n_rules")
+    met = _met(urls, rules, scratch).groupBy("url").agg(best.alias("best"), F.count(F.lit(1)).alias("n_rules"))
+    return met.select("url", "best.rule", "best.confidence", "n_rules")
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", key: str = "page_id") -> DataFrame:

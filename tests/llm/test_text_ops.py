@@ -3,15 +3,18 @@ import math
 import random
 import zlib
 from collections import defaultdict
+from statistics import NormalDist
 
 import brute
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerframe.llm import language_id, mixing, token_file, url_filter
 from ledgerframe.llm.queries import URL_RULES
+from ledgerframe.llm.store import Scratch
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 MORE = ["a  b  c  d\n\n e", "it's <|endoftext|> here's\t\tx ", "日本 語　 x", " lead", "x" * 3000, "é è\u0085 z"]
@@ -159,51 +162,89 @@ def test_url_rules_are_mined(spark):
     assert [sorted(r["items"]) for r in rules] == [["p:shop", "q:ad"]]
 
 
-def _rules(rows, least, lift, z):
-    """All token combinations that a plain count accepts, without those that a more general rule covers."""
-    base = sum(bad for _, bad in rows) / len(rows)
+def _lower(met, z):
+    m, p = len(met), sum(met) / len(met)
+    return (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+
+
+def _rules(rows, precision, least=20, error=0.05):
+    """All token combinations that plain counts accept, from rows (url, tokens, bad): found on one half of the urls, each
+    with all tokens of its urls that always stand together, and proved on the other."""
+    mined = [(have, bad) for u, have, bad in rows if zlib.crc32(u.encode()) % 2 == 0]
+    held = [(have, bad) for u, have, bad in rows if zlib.crc32(u.encode()) % 2]
+    need = max(least, 0.002 * len(mined))
+    where = defaultdict(list)
+    for k, (have, _) in enumerate(mined):
+        for t in have:
+            where[t].append(k)
+    groups = defaultdict(list)
+    for t, at in where.items():
+        if sum(mined[k][1] for k in at) >= need:
+            groups[tuple(at)].append(t)
     found = {}
-    every = sorted({t for items, _ in rows for t in items})
-    for size in (1, 2, 3, 4):
-        for items in itertools.combinations(every, size):
-            met = [bad for have, bad in rows if set(items) <= have]
-            k, m = sum(met), len(met)
-            if k < max(least, 0.002 * len(rows)):
-                continue
-            p = k / m
-            lower = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-            if p >= lift * base and lower > base:
-                found[items] = p
+    for size in (1, 2, 3, 4, 5):
+        for some in itertools.combinations(groups, size):
+            met = [mined[k][1] for k in set.intersection(*map(set, some))]
+            if sum(met) >= need and sum(met) / len(met) >= precision:
+                found[tuple(sorted(t for g in some for t in groups[g]))] = sum(met) / len(met)
     kept = {i: p for i, p in found.items() if not any(set(o) < set(i) and q >= p - 1e-12 for o, q in found.items())}
+    if kept:
+        z = NormalDist().inv_cdf(1 - error / len(kept))
+    met = {i: [bad for have, bad in held if set(i) <= have] for i in kept}
+    kept = {i: p for i, p in kept.items() if met[i] and _lower(met[i], z) > precision}
     own = defaultdict(list)
-    for have, bad in rows:
+    for have, bad in held:
         if hit := [(p, len(i), i) for i, p in kept.items() if set(i) <= have]:
             own[max(hit)[2]].append(bad)
-    for i, met in own.items():
-        m, p = len(met), sum(met) / len(met)
-        lower = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-        own[i] = p >= lift * base and lower > base
-    return {i: p for i, p in kept.items() if own.get(i)}
+    return {i: p for i, p in kept.items() if i in own and _lower(own[i], z) > precision}
 
 
-def test_mined_rules_against_plain_counts(spark):
+def _tokens(spark, frame):
+    return {r.url: set(r.t) for r in frame.select("url", url_filter.tokens(F.col("url")).alias("t")).collect() if r.url}
+
+
+@pytest.mark.parametrize("precision", [0.5, 0.25])
+def test_mined_rules_against_plain_counts(spark, precision):
     rng = random.Random(2)
     pages = []
-    for k in range(1500):
+    for k in range(3000):
         spam, host = rng.random() < 0.3, rng.choice(("a", "b", "c"))
         url = f"http://{host}.{'xyz' if spam else 'org'}/{rng.choice(('shop', 'news'))}/{k}" + rng.choice(("", "?ad=1"))
         pages.append((k, url, rng.random() < (0.8 if spam and "shop" in url else 0.4 if host == "b" else 0.1)))
     pages += [(9000, None, True), (9001, "http://a.org/x", None), (9002, "no scheme", False), (9003, pages[0][1], True)]
     labelled = spark.createDataFrame(pages, "page_id long, url string, bad boolean")
-    own = {r.url: set(r.t) for r in labelled.select("url", url_filter.tokens(F.col("url")).alias("t")).collect() if r.url}
-    want = _rules([(own[u], b) for _, u, b in pages if u and b is not None and own[u]], 20, 1.25, 2.0)
-    got = {tuple(sorted(r["items"])): r.confidence for r in url_filter.mine(labelled.select("url", "bad")).collect()}
-    assert len(want) > 1 and set(got) == {tuple(sorted(i)) for i in want}
-    out = url_filter.judge(labelled.select("page_id", "url"), labelled.select("url", "bad"), []).collect()
-    for r in out:
-        url = dict((p, u) for p, u, _ in pages)[r.page_id]
-        hit = [p for i, p in want.items() if url and set(i) <= own[url]]
-        assert r.verdict == ("block" if hit else "allow") and (not hit or abs(r.confidence - max(hit)) < 1e-9)
+    own = _tokens(spark, labelled)
+    want = _rules([(u, own[u], b) for _, u, b in pages if u and b is not None], precision)
+    rules = url_filter.mine(labelled.select("url", "bad"), precision=precision)
+    got = {tuple(sorted(r["items"])): r.confidence for r in rules.collect()}
+    assert want and set(got) == set(want) and all(abs(got[i] - p) < 1e-9 for i, p in want.items())
+    assert len(want) > 1 or precision == 0.5
+    hits = {r.url: r.confidence for r in url_filter.match(labelled, rules, Scratch(spark, "t")).collect()}
+    best = {u: max(p for i, p in want.items() if set(i) <= have) for u, have in own.items() if any(set(i) <= have for i in want)}
+    assert hits == pytest.approx(best)
+    if precision == 0.5:
+        out = {r.page_id: r.verdict for r in url_filter.judge(labelled.select("page_id", "url"), labelled.select("url", "bad"), []).collect()}
+        assert out == {p: "block" if u in best else "allow" for p, u, _ in pages}
+
+
+def test_nothing_is_mined_from_noise(spark):
+    """Labels that don't depend on the url give no rule, though some token of many has a share of bad rows by chance."""
+    rng = random.Random(9)
+    rows = [(f"http://h{rng.randrange(30)}.org/{rng.choice('abcdefgh')}/{rng.choice('ijklmnop')}?{rng.choice('qrst')}=1", rng.random() < 0.45) for _ in range(3000)]
+    assert url_filter.mine(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0
+
+
+def test_long_families_of_tokens(spark):
+    """Thirty path parts that always stand together are one to the miner, apart from those of other families."""
+    parts = ["/".join(f"{f}{k}" for k in range(30)) for f in "ab"]
+    rows = [(f"http://x.org/{parts[k % 2]}/{k}" + "?ad" * (k % 3 == 0), k % 2 == 0 and k % 10 != 2) for k in range(600)]
+    rows += [(f"http://x.org/a7/{k}", False) for k in range(9)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    got = {tuple(r["items"]) for r in url_filter.mine(labelled).collect()}
+    own = _tokens(spark, labelled)
+    assert got == set(_rules([(u, own[u], b) for u, b in rows], 0.5))
+    # p:a7 alone is as good but for urls that are all good
+    assert any(len(items) == 29 for items in got) and not any("p:a7" in items for items in got)
 
 
 def test_mined_rules_decide_on_a_real_table(spark):
@@ -211,3 +252,11 @@ def test_mined_rules_decide_on_a_real_table(spark):
 
     out = op8_url_filter(spark, "/root/testdata/sf0.1")
     assert out.where("rule is null and verdict = 'block'").count() == out.where("confidence is not null").count()
+    pages, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("pages", "labels"))
+    bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    blocked = out.where("confidence is not null").join(bad, "page_id").agg(F.count_if("bad"), F.count(F.lit(1))).first()
+    assert 2 * blocked[0] >= blocked[1]
+    labelled = pages.join(bad, "page_id").select("url", "bad")
+    own = _tokens(spark, labelled)
+    want = _rules([(r.url, own[r.url], r.bad) for r in labelled.collect() if r.url and r.bad is not None], 0.5)
+    assert {tuple(r["items"]) for r in url_filter.mine(labelled).collect()} == set(want)
