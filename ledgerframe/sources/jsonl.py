@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from pathlib import Path
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,10 +18,12 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.profile import unix_nano
-from ..operators.stage import kept
+from ..operators.stage import delete, kept, listed
 
 #: Longest line that is read.
 MOST_BYTES = 4 << 20
+#: Folders of one level of a log that are merged into one of the next.
+FAN = 8
 
 ATTRIBUTES = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
 RECORD = T.StructType(
@@ -72,9 +75,19 @@ class MalformedLine(ValueError):
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(order, line) of the non-blank lines of a file, or of the files of a folder in the order of their paths, trimmed;
-    a missing file is empty. ``order`` grows with the place of a line and has gaps."""
+    a missing file is empty. ``order`` grows with the place of a line and has gaps. Of a log whose batches were merged
+    (``compact``) each line counts once, whatever a merge that was cut short has left."""
+    live, gone = _folders(spark, path)
+    paths = [path]
+    if gone or any(f.level for f in live):
+        rest = [n for n in listed(spark, path) if n[0] not in "_." and not n.startswith("batch=")]
+        paths = [f"{path.rstrip('/')}/{n}" for n in [*rest, *(f.name for f in live)]]
+    return _read(spark, *paths)
+
+
+def _read(spark: SparkSession, *paths: str) -> DataFrame:
     try:
-        raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+        raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -218,6 +231,67 @@ def write_batch(rows: DataFrame, path: str, batch_id: int | str, *order: str) ->
     rows.orderBy(*order).select("line").write.mode("overwrite").text(batch_path(path, batch_id))
 
 
+class Folder(NamedTuple):
+    """A folder of a log: that of a batch, ``batch=<last>`` of level 0, or one into which those of the batches from
+    ``first`` to ``last`` were merged, ``batch=<last>.<level>.<first>``. Both sort as their last batches."""
+
+    last: str
+    level: int
+    first: str
+    name: str
+
+
+def _folders(spark: SparkSession, path: str) -> tuple[list[Folder], list[str]]:
+    """The folders of batches that make up a log, in order, and the names of those that don't count: merged ones that
+    never were completed, and what lies within a completed one."""
+    found = []
+    for name in listed(spark, path):
+        if name.startswith("batch="):
+            last, *merged = name.removeprefix("batch=").split(".")
+            found.append(Folder(last, int(merged[0]) if merged else 0, merged[1] if merged else last, name))
+    whole = [f for f in found if not f.level or "_SUCCESS" in listed(spark, f"{path.rstrip('/')}/{f.name}")]
+    wide = [f for f in whole if f.level]
+    live = [f for f in whole if not any(m.level > f.level and m.first <= f.last <= m.last for m in wide)]
+    names = {f.name for f in live}
+    return sorted(live), [f.name for f in found if f.name not in names]
+
+
+def compact(spark: SparkSession, path: str, before: str) -> None:
+    """Merge the folders of the batches of a log that come before the one of the name ``before`` and are never repeated:
+    ``FAN`` or more of a level become one of the next, so n batches leave FAN * log(n) folders and each line is rewritten
+    log(n) times. Lines keep their order and numbers.
+
+    The merged lines are compared with their sources, by number, before these are deleted. A log has one writer; what
+    reads it meanwhile may have to read again.
+    """
+    root = path.rstrip("/")
+    for name in _folders(spark, path)[1]:
+        delete(spark, f"{root}/{name}")
+    level = 0
+    while True:
+        live = [f for f in _folders(spark, path)[0] if f.name < before]
+        if not any(f.level >= level for f in live):
+            return
+        some = [f for f in live if f.level == level]  # all of a level lie side by side: higher ones before, lower ones after
+        if len(some) >= FAN:
+            source = numbered(_read(spark, *[f"{root}/{f.name}" for f in some]))
+            merged = f"{root}/batch={some[-1].last}.{level + 1}.{some[0].first}"
+            source.orderBy("line_no").select("line").write.mode("overwrite").text(merged)
+            told = [_digest(rows) for rows in (source, numbered(_read(spark, merged)))]
+            if told[0] != told[1]:
+                delete(spark, merged)
+                raise MalformedLine(f"{merged}: (lines, digest) {told[1]} instead of {told[0]}")
+            for f in some:
+                delete(spark, f"{root}/{f.name}")
+        level += 1
+
+
+def _digest(rows: DataFrame) -> tuple[int, int]:
+    """Number of lines, and a sum of hashes of the lines with their numbers."""
+    part = F.shiftright(F.xxhash64("line_no", "line"), 24)
+    return tuple(rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(part), F.lit(0))).first())
+
+
 def dropped_prefix(fragment: Column, most: int = 256) -> Column:
     """What a repair tells of the bytes it dropped: the first ``most`` of them."""
     return F.substring(fragment, 1, most)

@@ -2,7 +2,8 @@
 
 A batch of the stream is sealed as a whole. What passes from batch to batch (the last checkpoint, the tips that wait for
 one, counters) is one row, written last; a batch reads the row of the batch before it. All writes of a batch are folders
-that carry its number, so a batch that is repeated after a failure replaces what it wrote and nothing else. Tables that a
+that carry its number, so a batch that is repeated after a failure replaces what it wrote and nothing else; those of
+earlier batches are merged by eights, so that a log of any length has few files. Tables that a
 batch needs on its way go with it, so a stream of any length has a constant number of working folders.
 
 A stream begins with ``begin``, where a write-ahead log of unfinished traces and uncommitted tips is there to be taken
@@ -169,6 +170,8 @@ class Sealer:
         set_aside = self._quarantine(made, batch_id)
         ledger = Ledger(spark, self.settings.segments_path)
         ledger.compact(jsonl.batch_name(batch_id))
+        for path in (self.settings.log_path, self.settings.checkpoint_path, self.settings.quarantine_path):
+            jsonl.compact(spark, path, jsonl.batch_name(batch_id))
         tips = ledger.add(self._log(made, batch_id), batch_id).drop("segment_no")
         passed = passed | {"batch": batch_id if isinstance(batch_id, int) else passed["batch"], "quarantined": passed["quarantined"] + set_aside}
         passed = self._checkpoint(spark, passed, tips, batch_id, final)

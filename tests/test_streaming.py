@@ -12,7 +12,7 @@ from ledgerframe import cli
 from ledgerframe.functions import ed25519
 from ledgerframe.operators import stage, verify
 from ledgerframe.sources import jsonl, otlp
-from ledgerframe.streaming import assemble, seal
+from ledgerframe.streaming import assemble, emit, seal
 
 KEY = bytes(range(32))
 PUBLIC = ed25519.public_key(KEY)
@@ -295,6 +295,75 @@ def test_segments_over_batches_and_merges(spark, tmp_path, monkeypatch):
     assert len({c[0] for c in counts}) == 1 and max(c[1] for c in counts) <= 4 and max(c[2] for c in counts) <= 4
 
 
+def test_scopes_are_emitted_as_the_batch_groups_them(spark, tmp_path, one_partition):
+    """Traces of two resources and three scopes, of which one comes in two files; then a late span."""
+    (tmp_path / "in").mkdir()
+    pair = lambda k, v: {"key": k, "value": {"stringValue": v}}
+    span = lambda t, s: {"traceId": f"{t:032x}", "spanId": f"{s:016x}", "parentSpanId": "" if s == 0 else f"{0:016x}", "name": f"n{s}"}
+    scope = lambda n, *spans: {"scope": {"name": n, "version": "1", "attributes": [pair("s", n)]}, "spans": list(spans)}
+    resource = lambda host, *scopes: {"resource": {"attributes": [pair("z", "1"), pair("host", host)]}, "schemaUrl": "u", "scopeSpans": list(scopes)}
+    files = [
+        [resource("a", scope("x", span(1, 1), span(2, 3)), scope("y", span(1, 2))), resource("b", scope("x", span(1, 3)))],
+        [resource("a", scope("x", span(1, 0), span(2, 0), span(2, 3)))],
+        [resource("a", scope("x", span(1, 9)))],
+    ]
+    out, checkpoint = tmp_path / "out", str(tmp_path / "cp")
+    requests = lambda read: otlp.spans(read.text(str(tmp_path / "in")))
+    for k, request in enumerate(files):
+        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"resourceSpans": request}))
+        seal.drain(emit.start(requests(spark.readStream), str(out), checkpoint, 600_000), 120)
+    got = spark.read.option("recursiveFileLookup", "true").parquet(str(out))
+    late = F.col("span_id") == f"{9:016x}"
+    whole = requests(spark.read).dropDuplicates(["trace_id", "span_id"]).withColumn("segment", F.when(late, "late").otherwise("complete"))
+    want = otlp.regrouped(whole, *[c for c in whole.columns if c not in emit.OUTSIDE])
+    rows = lambda df: sorted(str(r.asDict(recursive=True)) for r in df.select(*sorted(df.columns)).collect())
+    assert rows(got) == rows(want) and got.count() == 5
+    assert [len(r.spans) for r in got.where("segment = 'late'").collect()] == [1]
+
+
+def test_batches_of_a_log_are_merged(spark, tmp_path, monkeypatch):
+    """Lines and their numbers stay, folders are few, and a merge that was cut short at any place is no harm."""
+    monkeypatch.setattr(jsonl, "FAN", 3)
+    log, want = tmp_path / "log", []
+
+    def put(name, n):
+        (log / name).mkdir(parents=True)
+        for part in range(2):
+            some = [f'{{"b":"{name}","n":{k}}}' for k in range(part, n, 2)]
+            want.extend(some)
+            (log / name / f"part-0000{part}.txt").write_text("".join(f"{x}\n" for x in some))
+        (log / name / "_SUCCESS").write_text("")
+
+    def read():
+        return [r.line for r in jsonl.numbered(jsonl.lines(spark, str(log))).orderBy("line_no").collect()]
+
+    jsonl.compact(spark, str(log), jsonl.batch_name(0))  # no log yet
+    put(jsonl.batch_name("-begin"), 3)
+    for k in range(12):
+        put(jsonl.batch_name(k), k % 4)
+        if k == 4:
+            put(jsonl.batch_name("000000000004_end"), 2)
+        jsonl.compact(spark, str(log), jsonl.batch_name(k))
+        assert jsonl.batch_name(k) in {p.name for p in log.iterdir()}
+    assert read() == want and len(list(log.iterdir())) <= 6 and any(".2." in p.name for p in log.iterdir())
+    # sources that are still there, and a merged folder that isn't whole
+    before = sorted(p.name for p in log.iterdir())
+    (log / "batch=000000000001").mkdir()
+    (log / "batch=000000000001" / "part-00000.txt").write_text("again\n")
+    (log / "batch=000000000011.1.000000000010").mkdir()
+    (log / "batch=000000000011.1.000000000010" / "part-00000.txt").write_text("half\n")
+    assert read() == want
+    monkeypatch.setattr(jsonl, "FAN", 8)
+    jsonl.compact(spark, str(log), jsonl.batch_name(12))
+    assert sorted(p.name for p in log.iterdir()) == before and read() == want
+    # a merge that doesn't give what its sources hold leaves them
+    monkeypatch.setattr(jsonl, "FAN", 1)
+    monkeypatch.setattr(jsonl, "_digest", lambda rows, n=iter(range(9)): (next(n), 0))
+    with pytest.raises(jsonl.MalformedLine):
+        jsonl.compact(spark, str(log), jsonl.batch_name(12))
+    assert sorted(p.name for p in log.iterdir()) == before and read() == want
+
+
 def test_settings(tmp_path):
     s = seal.Settings("log", "cp", checkpoint_interval=0, timeout_ms=0)
     assert (s.interval, s.pending_cap, s.timeout, s.key()) == (100, 1000, 30_000, None)
