@@ -45,10 +45,10 @@ NUMERIC_TIME_VERSIONS = ("v1", "v2")
 
 
 def json_string(value: Column) -> Column:
-    """A quoted JSON string. Texts without any special character, nearly all, skip the replacements."""
-    out = value
-    for raw, written in ESCAPES:
-        out = F.replace(out, F.lit(raw), F.lit(written))
+    """A quoted JSON string. Texts without any special character, nearly all, skip the replacements, which are a loop
+    over a constant array: written out, those of a record's fields are more code than the JVM compiles."""
+    pairs = F.array(*[F.struct(F.lit(raw).alias("raw"), F.lit(written).alias("written")) for raw, written in ESCAPES])
+    out = F.aggregate(pairs, value, lambda text, e: F.replace(text, e["raw"], e["written"]))
     special = value.rlike(r'[\\"\x00-\x1f<>&\u2028\u2029]')
     return F.concat(F.lit('"'), F.when(special, out).otherwise(value), F.lit('"'))
 

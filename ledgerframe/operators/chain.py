@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import ed25519
 from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed, sha256_hex
-from .stage import kept
+from .stage import dealt_over, kept
 
 ZERO_HASH = "0" * 64
 EMPTY_BATCH = "EMPTY_BATCH"
@@ -22,7 +22,7 @@ EMPTY_BATCH = "EMPTY_BATCH"
 def in_chain_order(rows: DataFrame, *ties: str) -> DataFrame:
     """Rows dealt by trace and sorted along each chain, for functions that stream with one hash of state: a trace of any
     length needs no memory of its own. A chain is serial, so the entries of one trace do pass through one task."""
-    return rows.repartition("trace_id").sortWithinPartitions("trace_id", "seq_in_trace", *ties)
+    return rows.repartition(dealt_over(rows), "trace_id").sortWithinPartitions("trace_id", "seq_in_trace", *ties)
 
 
 def _texts(batch: pa.RecordBatch, *names: str) -> list[list]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stage import dealt_over
+
 # Attributes that a record keeps, in the order of their output.
 ALLOWED = (
     "gen_ai.guardrail.action",
@@ -92,7 +94,7 @@ def last_wins(records: DataFrame, *arrival: Column) -> DataFrame:
 def with_sequence(records: DataFrame) -> DataFrame:
     """``seq_in_trace`` from 0 by (start time, span id)."""
     w = Window.partitionBy("trace_id").orderBy("start_time_unix_nano", "span_id")
-    return records.withColumn("seq_in_trace", F.row_number().over(w) - 1)
+    return records.repartition(dealt_over(records), "trace_id").withColumn("seq_in_trace", F.row_number().over(w) - 1)
 
 
 def traces(records: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows that one task sorts, of a kilobyte or so each.
+ROWS = 50_000
 #: The folder of the work that is under way, for tables that go when it ends.
 _work: contextvars.ContextVar[str | None] = contextvars.ContextVar("work", default=None)
 
@@ -59,33 +61,44 @@ def work(spark: SparkSession) -> Iterator[None]:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df``, written: as a checkpoint in ``spark.checkpoint.dir``, or inside ``work`` as a table that goes with it."""
+    """``df``, written as a table in ``spark.checkpoint.dir``, which inside ``work`` goes with it. What reads it reads the
+    columns it needs, which a checkpoint of serialized rows doesn't allow."""
     spark = df.sparkSession
-    shared_dir(spark)
-    path = _work.get()
-    if path is None:
-        return df.checkpoint()
-    path = f"{path}/{uuid.uuid4().hex}"
+    path = f"{_work.get() or shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_over(df: DataFrame) -> int:
+    """Over how many tasks to deal ``df``. The number grows with the rows and is given to Spark, which would merge
+    parts by their compressed size, a fraction of what sorting them takes, down to one for each core."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS))
+
+
 def numbered(df: DataFrame, *order: str, name: str = "seal_no", before: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with the place of each row in the given order, from 0, and the columns ``before`` of the row before it in
     the struct ``_before`` (null for the first row).
 
-    Rows are dealt by ranges of the order and numbered within, where ``ties`` order what is equal; only one row of each
-    range, its count and its last row, meets the others in a window.
+    Rows are dealt by ranges of the order, sorted and numbered within, where ``ties`` order what is equal; only one row of
+    each range, its count and its last row, meets the others in a window. Ranges are found by a look at ``df``, which is
+    worked out twice: what takes long is better kept before.
     """
-    dealt = kept(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    many = dealt_over(df)
     whole = (*order, *ties)
-    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), *[F.max_by(F.struct(*before), F.struct(*whole)).alias("_last")] * bool(before))
+    # an increasing id has the place within the part in its lower 33 bits
+    own = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = kept(df.repartitionByRange(many, *order).sortWithinPartitions(*whole).withColumns({"_part": F.spark_partition_id(), "_own": own}))
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    if before:
+        ends = F.broadcast(counts.select("_part", (F.col("_n") - 1).alias("_own")))
+        last = dealt.join(ends, ["_part", "_own"]).select("_part", F.struct(*before).alias("_last"))
+        counts = counts.join(last, "_part")
     parts = Window.orderBy("_part")
     edges = [(F.sum("_n").over(parts) - F.col("_n")).alias("_start"), *[F.lag("_last").over(parts).alias("_edge")] * bool(before)]
-    within = Window.partitionBy("_part").orderBy(*whole)
-    rows = dealt.withColumn("_own", F.row_number().over(within) - 1)
+    rows = dealt
     if before:
-        rows = rows.withColumn("_before", F.lag(F.struct(*before)).over(within))
+        within = Window.partitionBy("_part").orderBy("_own")
+        rows = rows.repartition(many, "_part").withColumn("_before", F.lag(F.struct(*before)).over(within))
     # one row a range
     rows = rows.join(F.broadcast(counts.select(F.col("_part").alias("_p"), *edges)), F.col("_part") == F.col("_p"))
     if before:

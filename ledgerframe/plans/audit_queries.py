@@ -41,7 +41,7 @@ def _sequenced(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tips(spark: SparkSession, sf: str) -> DataFrame:
-    return stage.numbered(chain.chain_tips(_sequenced(spark, sf)), "trace_id")
+    return stage.numbered(stage.kept(chain.chain_tips(_sequenced(spark, sf))), "trace_id")
 
 
 def _batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,10 +58,11 @@ def _user(trace: str = "trace_id"):
 
 def _tampered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """A log with edited and repeated entries and missing traces, and checkpoints with some made-up tips and links."""
-    sealed = chain.hash_entries(_sequenced(spark, sf))
+    sealed = stage.kept(chain.hash_entries(_sequenced(spark, sf)))
     log = sealed.where(_user() % 7 != 3).withColumn("span_name", F.when(F.col("event_id") % 997 == 0, F.lit("edited")).otherwise(F.col("span_name")))
-    log = stage.kept(log.unionByName(log.where("event_id % 991 = 0")))
-    b = _batches(spark, sf).withColumn("tip_hash", F.when(F.col("seal_no") % 13 == 5, F.lit("a" * 64)).otherwise(F.col("tip_hash")))
+    log = log.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("event_id") % 991 == 0, 2).otherwise(1)))).drop("_copy")
+    tips = sealed.groupBy("trace_id").agg(F.count(F.lit(1)).alias("entry_count"), F.max_by("entry_hash", "seq_in_trace").alias("tip_hash"))
+    b = chain.checkpoint_batches(stage.numbered(stage.kept(tips), "trace_id"), 20).withColumn("tip_hash", F.when(F.col("seal_no") % 13 == 5, F.lit("a" * 64)).otherwise(F.col("tip_hash")))
     cps = chain.checkpoints(b, F.lit(_STAMP), "k").withColumn("line_no", F.col("checkpoint_seq")).withColumn("signature", F.lit(""))
     return log, stage.kept(_unlinked(cps))
 
@@ -325,7 +326,7 @@ def vf2_signatures(spark, sf):
             "signature": F.when(F.col("event_id") % 83 == 0, "?").otherwise(F.col("signature")),
         }
     )
-    return verify.chain_states(log, ed25519.public_key(_KEY)).select("trace_id", F.col("n").cast("long").alias("n"), "error", F.col("tip").isNotNull().alias("verified"))
+    return verify.chain_states(stage.kept(log), ed25519.public_key(_KEY)).select("trace_id", F.col("n").cast("long").alias("n"), "error", F.col("tip").isNotNull().alias("verified"))
 
 
 @query

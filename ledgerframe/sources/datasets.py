@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.stage import dealt_over
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +28,7 @@ def _nanos(ts: str) -> Column:
 def event_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trace: a user; span: an event; the first event of a user is the root."""
     e = table(spark, sf_dir, "events")
+    e = e.repartition(dealt_over(e), "user_id")
     first = F.first("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     kind = F.col("event_type")
     operation = F.when(kind == "click", "execute_tool").when(kind == "purchase", "tool_call").when(kind == "signup", "handoff").when(kind == "view", "chat")
