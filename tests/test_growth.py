@@ -1,8 +1,11 @@
 """What has to grow with the rows, and what must not."""
 
+import secrets
+
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerframe.functions import ed25519 as E
 from ledgerframe.functions.jsonbytes import json_string
 from ledgerframe.operators import chain, records, stage
 
@@ -31,3 +34,20 @@ def test_json_strings_are_little_code(spark):
     """A record has a dozen: written out, each had 37 replacements."""
     plan = spark.range(1).select(json_string(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("replace(") < 5
+
+
+@pytest.mark.skipif(E._openssl() is None, reason="no OpenSSL here")
+def test_openssl_gives_the_same(monkeypatch):
+    key = secrets.token_bytes(32)
+    public, messages = E.public_key(key), [secrets.token_bytes(k) for k in range(40)]
+    signed = [E.sign(key, m) for m in messages]
+    assert signed == [E._sign(key, m) for m in messages]
+    bad = [s if k % 3 else s[:k] + bytes([s[k] ^ 1]) + s[k + 1 :] for k, s in enumerate(signed)]
+    bad[1], bad[2] = bad[1][:32] + (int.from_bytes(bad[1][32:], "little") + E.Q).to_bytes(32, "little"), b"x"
+    assert E.verify_many(public, messages, bad) == E._verify_many(public, messages, bad)
+    # points of small order, and others that are written in ways that the standard doesn't allow
+    odd = [x.to_bytes(32, "little") for x in (0, 1, E.P - 1, E.P, E.P + 1, 1 | 1 << 255, (E.P - 1) | 1 << 255)]
+    for p in odd:
+        assert E.verify_many(p, [b"m"] * len(odd), [r + bytes(32) for r in odd]) == E._verify_many(p, [b"m"] * len(odd), [r + bytes(32) for r in odd])
+    monkeypatch.setattr(E, "_openssl", lambda: None)
+    assert E.sign(key, b"m") == E._sign(key, b"m") and E.verify(public, b"m", E._sign(key, b"m"))
