@@ -9,7 +9,7 @@ texts that are scored.
 
 All training texts are counted, in strings of ``ORDER`` + 1 bytes. Nodes with less than one in ``NODES`` of all symbols
 are not told apart: what a node's kept children don't hold is one more child, which has no children itself. That bounds
-the model (8 * NODES nodes a depth, 16 bytes and more each) whatever the size of the corpus, at any size alike.
+the model (8 * NODES nodes a depth, 32 bytes each) whatever the size of the corpus, at any size alike.
 """
 
 from __future__ import annotations
@@ -141,7 +141,8 @@ class Model:
         self.depths.reverse()
 
     def __getstate__(self):
-        return {"depths": [(k, *[x.astype(np.float32) for x in more]) for k, *more in self.depths], "costs": None}
+        # in full precision: an estimate near one, in half of it, leaves nothing to the other bit
+        return {"depths": self.depths, "costs": None}
 
     def bits(self, grams: np.ndarray) -> np.ndarray:
         """Code length in bits of the last byte of each string after those before it."""
@@ -151,19 +152,23 @@ class Model:
             one = (x >> _U(7 - j) & _U(1)).astype(bool)
             chance, left, open_ = np.zeros(len(grams)), np.ones(len(grams)), np.arange(len(grams))
             rest = np.full(len(grams), 0.5)
+            # chances of the bit that came, as a difference from one would lose small ones
             for depth, (keys, estimate, weight, other) in enumerate(self.depths):
                 context = grams[open_] >> _U(8) & _U((1 << 8 * depth) - 1)
                 at, ok = _find(keys, context << _U(8) | so_far[open_])
+                estimate, other = estimate[at], other[at]
+                zero = ~one[open_]
+                estimate[zero], other[zero] = 1 - estimate[zero], 1 - other[zero]
                 gone = open_[~ok]
                 chance[gone] += left[gone] * rest[gone]
                 left[gone] = 0
                 at, open_ = at[ok], open_[ok]
-                chance[open_] += left[open_] * weight[at] * estimate[at]
+                chance[open_] += left[open_] * weight[at] * estimate[ok]
                 left[open_] *= 1 - weight[at]
-                rest[open_] = other[at]
+                rest[open_] = other[ok]
                 open_ = open_[left[open_] > 0]
             chance += left * rest
-            out -= np.log2(np.where(one, chance, 1 - chance))
+            out -= np.log2(chance)
         return out
 
     def lengths(self, grams: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Context-tree weighting against a plain recursion, and the scores of the registered query."""
 
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -162,3 +163,15 @@ def test_all_depths_are_counted(spark, tmp_path):
     grams = spark.createDataFrame([(int.from_bytes(s, "big"), 1) for s in strings("abcab")], "gram long, n long")
     counts = C.nodes(grams, 1, Scratch(spark, "test"))
     assert [int((z + o).sum()) for _, z, o in counts] == [6 * 8] * (C.ORDER + 1)
+
+
+def test_what_never_came_has_a_chance():
+    """Bytes that a model of a billion like symbols has never seen, in a task that got it from the driver."""
+    n = 1e9
+    so_far = [1 << j | 0x61 >> 8 - j for j in range(8)]
+    ones = np.array([n * (0x61 >> 7 - j & 1) for j in range(8)])
+    inner = np.array([c << 8 | b for c in [0x61] for b in so_far], np.uint64)
+    model = C.Model([(np.array(so_far, np.uint64), n - ones, ones), (inner, n - ones, ones)])
+    grams = np.array([int.from_bytes(b"aaaaa" + bytes([x]), "big") for x in range(256)], np.uint64)
+    got = pickle.loads(pickle.dumps(model)).bits(grams)
+    assert np.isfinite(got).all() and (got > 0).all() and np.allclose(got, model.bits(grams)) and abs(np.exp2(-got).sum() - 1) < 1e-9
