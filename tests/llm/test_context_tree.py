@@ -175,3 +175,17 @@ def test_what_never_came_has_a_chance():
     grams = np.array([int.from_bytes(b"aaaaa" + bytes([x]), "big") for x in range(256)], np.uint64)
     got = pickle.loads(pickle.dumps(model)).bits(grams)
     assert np.isfinite(got).all() and (got > 0).all() and np.allclose(got, model.bits(grams)) and abs(np.exp2(-got).sum() - 1) < 1e-9
+
+
+@pytest.mark.parametrize("hot", [C.HOT, 3, 0])
+def test_rare_contexts_are_told_apart(spark, hot):
+    """Contexts that came once in more than 2**18 symbols; strings looked up in the task and by a join."""
+    docs = list(enumerate([*TEXTS, "another cat on another mat", "a cot, a mut", "y" * (1 << 18)] * 2))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    plain = Plain([t for d, t in docs if zlib.crc32(str(d).encode()) % 7 != 2], 1 << 62)
+    costs = {s: plain.bits(s) for s in {s for _, t in docs for s in strings(t)}}
+    got = {r.doc_id: r.score for r in C.score(df, hot=hot).collect()}
+    assert len(got) == len(docs)
+    for d, t in docs:
+        bits = sum(costs[s] for s in strings(t))
+        assert abs(got[d] + bits * math.log10(2)) < 1e-9 * max(1, bits), (d, t and t[:30])
