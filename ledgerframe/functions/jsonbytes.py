@@ -83,10 +83,11 @@ def canonical_record(get=F.col) -> Column:
     return F.concat(*parts, F.lit("}"))
 
 
-def canonical_entry(get=F.col) -> Column:
-    """A log line: the record and its signature block (fields key_id, algorithm, entry_hash, signature)."""
+def canonical_entry(get=F.col, record: Column | None = None) -> Column:
+    """A log line: the record (its bytes, where they are there) and its signature block (fields key_id, algorithm,
+    entry_hash, signature)."""
     signed = F.concat(*[x for k, n in enumerate(("key_id", "algorithm", "entry_hash", "signature")) for x in (F.lit(("," if k else "") + f'"{n}":'), json_string(get(n)))])
-    return F.concat(F.lit('{"record":'), canonical_record(get), F.lit(',"signed":{'), signed, F.lit("}}"))
+    return F.concat(F.lit('{"record":'), canonical_record(get) if record is None else record, F.lit(',"signed":{'), signed, F.lit("}}"))
 
 
 def checkpoint_payload(get=F.col) -> Column:

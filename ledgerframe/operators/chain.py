@@ -61,27 +61,28 @@ def chain_tips(records: DataFrame) -> DataFrame:
 SIGNED = ("entry_hash", "prev_hash", "key_id", "algorithm", "signature")
 
 
-def hash_entries(records: DataFrame, key: bytes | None = None) -> DataFrame:
+def hash_entries(records: DataFrame, key: bytes | None = None, text: str | None = None) -> DataFrame:
     """``records`` with entry_hash, prev_hash and, given a private key, key_id, algorithm and signature.
 
-    All columns go through the stream, so nothing is joined back. Entries of a trace whose seed can't be made have null
-    hashes.
+    All columns go through the stream, so nothing is joined back; ``text`` names one more, the bytes of the record. Entries
+    of a trace whose seed can't be made have null hashes.
     """
     public = ed25519.public_key(key) if key else b""
-    own = len(records.columns)
+    rows = records.select("*", *([canonical_record().alias(text)] if text else []))
+    own = len(rows.columns)
     by = hashlib.sha256(public).hexdigest() if key else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trace, prev = None, None
         for batch in batches:
             out: list[tuple] = []
-            for t, seed, text in zip(*_texts(batch, "trace_id", "_seed", "_bytes"), strict=True):
+            for t, seed, record in zip(*_texts(batch, "trace_id", "_seed", text or "_bytes"), strict=True):
                 if t != trace:
                     trace, prev = t, seed
                 if prev is None:
                     out.append((None, None, by, "ed25519" if key else "", ""))
                     continue
-                payload = text.encode() + bytes.fromhex(prev)
+                payload = record.encode() + bytes.fromhex(prev)
                 now = hashlib.sha256(payload).hexdigest()
                 sig = base64.b64encode(ed25519.sign(key, payload)).decode() if key else ""
                 out.append((now, prev, by, "ed25519" if key else "", sig))
@@ -89,8 +90,8 @@ def hash_entries(records: DataFrame, key: bytes | None = None) -> DataFrame:
             more = zip(*out, strict=True) if out else [()] * len(SIGNED)
             yield pa.RecordBatch.from_arrays([*batch.columns[:own], *[pa.array(x, pa.string()) for x in more]], names=[*batch.schema.names[:own], *SIGNED])
 
-    rows = records.select("*", genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("_seed"), canonical_record().alias("_bytes"))
-    schema = T.StructType([*records.schema.fields, *[T.StructField(n, T.StringType()) for n in SIGNED]])
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.StringType()) for n in SIGNED]])
+    rows = rows.select("*", genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("_seed"), *[canonical_record().alias("_bytes")] * (not text))
     return in_chain_order(rows).mapInArrow(run, schema)
 
 

@@ -8,7 +8,7 @@ import contextvars
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,19 +75,20 @@ def dealt_over(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS))
 
 
-def numbered(df: DataFrame, *order: str, name: str = "seal_no", before: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
+def numbered(df: DataFrame, *order: str, name: str = "seal_no", before: tuple[str, ...] = (), ties: tuple[str, ...] = (), made: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` with the place of each row in the given order, from 0, and the columns ``before`` of the row before it in
     the struct ``_before`` (null for the first row).
 
     Rows are dealt by ranges of the order, sorted and numbered within, where ``ties`` order what is equal; only one row of
     each range, its count and its last row, meets the others in a window. Ranges are found by a look at ``df``, which is
-    worked out twice: what takes long is better kept before.
+    worked out twice: what takes long is better kept before, or left to ``made``, which gets the rows when they are dealt.
     """
     many = dealt_over(df)
     whole = (*order, *ties)
     # an increasing id has the place within the part in its lower 33 bits
     own = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    dealt = kept(df.repartitionByRange(many, *order).sortWithinPartitions(*whole).withColumns({"_part": F.spark_partition_id(), "_own": own}))
+    ranges = df.repartitionByRange(many, *order)
+    dealt = kept((made(ranges) if made else ranges).sortWithinPartitions(*whole).withColumns({"_part": F.spark_partition_id(), "_own": own}))
     counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     if before:
         ends = F.broadcast(counts.select("_part", (F.col("_n") - 1).alias("_own")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ed25519
-from ..functions.jsonbytes import canonical_record, checkpoint_payload, genesis_seed
+from ..functions.jsonbytes import RECORD_FIELDS, canonical_record, checkpoint_payload, genesis_seed
 from .chain import payload_hashes
 from .stage import kept, numbered, work
 
@@ -60,8 +60,10 @@ def chain_states(entries: DataFrame, public: bytes | None) -> DataFrame:
     own functions.
     """
     names = ["trace_id", "seq_in_trace", "schema_version", "entry_hash"]
-    rows = entries.select(*names, *["algorithm", "signature"] * (public is not None), genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed"), canonical_record().alias("bytes"))
-    rows = numbered(rows, "trace_id", "seq_in_trace", name="place", before=tuple(names), ties=("schema_version", "bytes", "entry_hash"))
+    names += ["algorithm", "signature"] * (public is not None)
+    made = lambda rows: rows.select(*names, genesis_seed(F.col("trace_id"), F.col("schema_version")).alias("seed"), canonical_record().alias("bytes"))
+    rows = entries.select(*dict.fromkeys([*names, *RECORD_FIELDS]))
+    rows = numbered(rows, "trace_id", "seq_in_trace", name="place", before=tuple(names[:4]), ties=("schema_version", "bytes", "entry_hash"), made=made)
     last = F.col("_before")
     inner = last["trace_id"].eqNullSafe(F.col("trace_id"))
     prev = F.when(inner, last["entry_hash"]).otherwise(F.col("seed"))

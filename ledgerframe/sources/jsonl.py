@@ -7,14 +7,16 @@ count. A bad last line is a torn write, reported or dropped; any other bad line
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.profile import unix_nano
@@ -66,7 +68,6 @@ WAL = T.StructType(
         T.StructField("entry_count", T.LongType()),
     ]
 )
-_ZERO = {"string": "", "integer": 0, "long": 0}
 
 
 class MalformedLine(ValueError):
@@ -92,83 +93,92 @@ def _read(spark: SparkSession, *paths: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return spark.createDataFrame([], "order struct<file:string,block:long,row:long>, line string")
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    placed = raw.select(place.alias("order"), F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("line"))
-    return placed.where("line <> ''")
+    # trimmed before rows are counted, so that the lines of a split have neighbouring ids
+    lines = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.btrim("value", F.lit(" \t\n\x0b\f\r")).alias("line")).where("line <> ''")
+    return lines.select(F.struct("file", "block", F.monotonically_increasing_id().alias("row")).alias("order"), "line")
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``lines()`` with line_no, from 1: counts per split first, so only they meet in one window."""
+    """``rows`` of ``lines()`` with line_no, from 1. A task reads a split from its begin to its end, so the ids of its lines
+    are neighbours: only the first id and the count of each split meet in one window, and no line is moved."""
     split = F.struct("order.file", "order.block")
-    counts = rows.groupBy(split.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("b", (F.sum("n").over(Window.orderBy("b")) - F.col("n")).alias("before"))
-    own = F.row_number().over(Window.partitionBy(split).orderBy("order.row"))
-    placed = rows.withColumn("_own", own).withColumn("_b", split).join(before, F.col("_b") == F.col("b"))
-    return placed.select((F.col("_own") + F.col("before")).cast("long").alias("line_no"), "line")
+    counts = rows.groupBy(split.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("order.row").alias("first"))
+    before = counts.select("b", (F.sum("n").over(Window.orderBy("b")) - F.col("n") - F.col("first") + 1).alias("before"))
+    placed = rows.withColumn("_b", split).join(F.broadcast(before), F.col("_b") == F.col("b"))
+    return placed.select((F.col("order.row") + F.col("before")).cast("long").alias("line_no"), "line")
 
 
-def _fits(value, kind: T.DataType):
-    """A JSON value as a field of the type, with the type's zero for null; raises where it has another type."""
+def _parse_number(text: str):
+    raise ValueError(f"not an integer: {text}")
+
+
+_DECODER = json.JSONDecoder(parse_float=_parse_number, parse_constant=_parse_number)
+
+
+def _decoded(line: str):
+    # one decoder for all lines: ``json.loads`` with options makes one for each
+    return json.loads(line) if line.startswith("\ufeff") else _DECODER.decode(line)
+
+
+def _fitting(kind: T.DataType) -> Callable:
+    """A function that makes a JSON value a field of the type (objects are tuples), with the type's zero for null; it raises
+    where the value has another type."""
     if isinstance(kind, T.StructType):
-        if value is None:
-            value = {}
-        if not isinstance(value, dict):
-            raise ValueError("not an object")
-        # member names match in any case, the last of a name counts
-        by = {k.lower(): v for k, v in value.items()}
-        return tuple(unix_nano(by.get(f.name)) if f.name.endswith("_unix_nano") else _fits(by.get(f.name), f.dataType) for f in kind.fields)
-    if value is None:
-        return None if isinstance(kind, T.ArrayType) else _ZERO[kind.typeName()]
-    if isinstance(kind, T.ArrayType):
-        if not isinstance(value, list):
-            raise ValueError("not an array")
-        return [_fits(v, kind.elementType) for v in value]
-    if isinstance(kind, T.StringType):
-        if not isinstance(value, str):
-            raise ValueError("not a string")
-        return value
-    if isinstance(value, bool) or not isinstance(value, int):
-        raise ValueError("not an integer")
-    return value
+        fields = [(f.name, unix_nano if f.name.endswith("_unix_nano") else _fitting(f.dataType)) for f in kind.fields]
 
+        def fit(value):
+            if value is None:
+                value = {}
+            if not isinstance(value, dict):
+                raise ValueError("not an object")
+            # member names match in any case, the last of a name counts
+            by = {k.lower(): v for k, v in value.items()}
+            return tuple([f(by.get(name)) for name, f in fields])
 
-def _parse_number(text: str):
-    raise ValueError(f"not an integer: {text}")
+    elif isinstance(kind, T.ArrayType):
+        item = _fitting(kind.elementType)
+
+        def fit(value):
+            if value is not None and not isinstance(value, list):
+                raise ValueError("not an array")
+            return None if value is None else [item(v) for v in value]
+
+    elif isinstance(kind, T.StringType):
+
+        def fit(value):
+            if value is not None and not isinstance(value, str):
+                raise ValueError("not a string")
+            return "" if value is None else value
+
+    else:
+
+        def fit(value):
+            if value is not None and (isinstance(value, bool) or not isinstance(value, int)):
+                raise ValueError("not an integer")
+            return 0 if value is None else value
+
+    return fit
 
 
 def parsed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """(line_no, value, error, size): each line strictly parsed, or the reason why it can't be."""
     out = T.StructType([T.StructField("line_no", T.LongType()), T.StructField("value", schema), T.StructField("error", T.StringType()), T.StructField("size", T.LongType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fit, kind = _fitting(schema), to_arrow_type(schema)
+        for batch in batches:
             values, errors = [], []
-            for line in frame["line"]:
+            for line in batch.column(1).to_pylist():
                 try:
-                    value = _fits(json.loads(line, parse_float=_parse_number, parse_constant=_parse_number), schema)
-                    values.append(_as_dict(value, schema))
+                    values.append(fit(_decoded(line)))
                     errors.append(None)
                 except (ValueError, RecursionError) as e:
                     values.append(None)
                     errors.append(str(e))
-            yield pd.DataFrame(
-                {
-                    "line_no": frame["line_no"],
-                    "value": pd.Series(values, dtype=object),
-                    "error": pd.Series(errors, dtype=object),
-                    "size": frame["line"].map(lambda x: len(x.encode())),
-                }
-            )
-
-    return rows.mapInPandas(run, out)
-
-
-def _as_dict(value, kind: T.DataType):
-    if isinstance(kind, T.StructType) and value is not None:
-        return {f.name: _as_dict(v, f.dataType) for f, v in zip(kind.fields, value)}
-    if isinstance(kind, T.ArrayType) and value is not None:
-        return [_as_dict(v, kind.elementType) for v in value]
-    return value
+            size = pc.binary_length(batch.column(1)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, kind), pa.array(errors, pa.string()), size], names=out.names)
+
+    return rows.select("line_no", "line").mapInArrow(run, out)
 
 
 def _strict(found: DataFrame) -> tuple[DataFrame, str | None]:

@@ -11,6 +11,7 @@ an emission is a value that the store forgets by itself.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -30,6 +31,7 @@ SPAN = T.StructType(
     ]
 )
 ASSEMBLED = T.StructType([*SPAN.fields, T.StructField("segment", T.StringType())])
+_NAMES = ASSEMBLED.fieldNames()
 #: What is held of a span.
 HELD = T.StructType(SPAN.fields[1:])
 _STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -78,36 +80,43 @@ class Assembler(StatefulProcessor):
         """Append spans and let the trace's timer start anew."""
         if spans:
             self.spans.appendList(spans)
-        if self.open.exists():
-            self.handle.deleteTimer(self.open.get()[0])
+        self._stop_timer()
         self.open.update((now + self.timeout,))
         self.handle.registerTimer(now + self.timeout)
 
-    def _emit(self, key, now: int, segment: str | None = None) -> Iterator[Row]:
-        """All held spans, of each id the last to arrive; the segment by whether there is a root, if none is given."""
+    def _stop_timer(self) -> bool:
+        """Whether the trace is open, which it is if it has spans in state; its timer no longer goes off."""
+        if not self.open.exists():
+            return False
+        self.handle.deleteTimer(self.open.get()[0])
+        return True
+
+    def _emit(self, key, now: int, held: bool = True, come: list[tuple] = (), segment: str | None = None) -> Iterator[Row]:
+        """All spans that are held and that have come, of each id the last to arrive; the segment by whether there is a
+        root, if none is given. What comes with its root is never written to the state."""
         last: dict[str, tuple] = {}
-        for span, parent, arrival, payload in self.spans.get():
+        for span, parent, arrival, payload in itertools.chain(self.spans.get() if held else (), come):
             if span not in last or last[span][1] <= arrival:
                 last[span] = parent, arrival, payload
         if segment is None:
             segment = "complete" if any(not parent for parent, _, _ in last.values()) else "partial"
-        self.spans.clear()
-        self.open.clear()
+        if held:
+            self.spans.clear()
+            self.open.clear()
         self.emitted.update((now,))
-        for span, held in sorted(last.items()):
-            yield Row(**dict(zip(ASSEMBLED.fieldNames(), (key[0], span, *held, segment), strict=True)))
+        for span, rest in sorted(last.items()):
+            yield Row(**dict(zip(_NAMES, (key[0], span, *rest, segment), strict=True)))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
         come = sorted(((r.span_id, r.parent_span_id, int(r.arrival), r.payload) for r in rows), key=lambda s: s[2])
         if self.emitted.exists():
             for span in come:
-                yield Row(**dict(zip(ASSEMBLED.fieldNames(), (key[0], *span, "late"), strict=True)))
-            return
-        self._hold(come, now)
-        if any(not parent for _, parent, _, _ in come):
-            self.handle.deleteTimer(self.open.get()[0])
-            yield from self._emit(key, now, "complete")
+                yield Row(**dict(zip(_NAMES, (key[0], *span, "late"), strict=True)))
+        elif any(not parent for _, parent, _, _ in come):
+            yield from self._emit(key, now, self._stop_timer(), come, "complete")
+        else:
+            self._hold(come, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._emit(key, timerValues.getCurrentProcessingTimeInMs())

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import datetime
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -166,7 +167,8 @@ class Sealer:
             self._seal(spark, self._undrained(rows.where(~late)), batch_id, passed | {"late": passed["late"] + seen.get["late"]})
 
     def _seal(self, spark: SparkSession, rows: DataFrame, batch_id: int | str, passed: dict, final: bool = False) -> None:
-        made = records.last_wins(self._records(assemble.restored(rows, self._schema)), F.col("arrival"))
+        # read for the quarantine, for the number of tasks and for the log
+        made = kept(records.last_wins(self._records(assemble.restored(rows, self._schema)), F.col("arrival")))
         set_aside = self._quarantine(made, batch_id)
         ledger = Ledger(spark, self.settings.segments_path)
         ledger.compact(jsonl.batch_name(batch_id))
@@ -292,7 +294,7 @@ class Sealer:
     def _log(self, made: DataFrame, batch_id: int | str) -> DataFrame:
         """Append the entries of the traces that can be sealed; their tips."""
         good = records.with_sequence(made.where("reason is null").drop("reason", "versions", "fate", "arrival", "segment"))
-        lines = kept(chain.hash_entries(good, self.key_bytes).select("trace_id", "seq_in_trace", "entry_hash", canonical_entry().alias("line")))
+        lines = kept(chain.hash_entries(good, self.key_bytes, "text").select("trace_id", "seq_in_trace", "entry_hash", canonical_entry(record=F.col("text")).alias("line")))
         jsonl.write_batch(lines, self.settings.log_path, batch_id, "trace_id", "seq_in_trace")
         return lines.groupBy("trace_id").agg(F.max_by("entry_hash", "seq_in_trace").alias("tip_hash"), F.count(F.lit(1)).alias("entry_count"))
 
@@ -362,8 +364,8 @@ def start(spans: DataFrame, settings: Settings, checkpoint: str, key: bytes | No
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def drain(query: StreamingQuery, seconds: float = 300) -> None:
-    """Stop a stream once it has taken in all that its source held. Its timers keep it busy, so it never ends by itself:
+def drain(query: StreamingQuery, seconds: float = math.inf) -> None:
+    """Stop a stream once it has taken in all that its source held, however long that takes, if not ``seconds``. Its timers keep it busy, so it never ends by itself:
     the sign is a second batch without input, as the first may be one that an earlier stop had broken off."""
     end = time.monotonic() + seconds
     while query.isActive and time.monotonic() < end:

@@ -1,13 +1,17 @@
 """What has to grow with the rows, and what must not."""
 
 import secrets
+from unittest.mock import Mock
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ledgerframe.functions import ed25519 as E
 from ledgerframe.functions.jsonbytes import json_string
 from ledgerframe.operators import chain, records, stage
+from ledgerframe.sources import jsonl
+from ledgerframe.streaming import assemble
 
 
 def test_tasks_grow_with_rows(spark, monkeypatch):
@@ -51,3 +55,28 @@ def test_openssl_gives_the_same(monkeypatch):
         assert E.verify_many(p, [b"m"] * len(odd), [r + bytes(32) for r in odd]) == E._verify_many(p, [b"m"] * len(odd), [r + bytes(32) for r in odd])
     monkeypatch.setattr(E, "_openssl", lambda: None)
     assert E.sign(key, b"m") == E._sign(key, b"m") and E.verify(public, b"m", E._sign(key, b"m"))
+
+
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path):
+    """No line is moved for its number: only the counts of the splits meet in a window."""
+    for name, text in (("a", "x\n\n \t y\n"), ("b", "\nz\x0b\n")):
+        (tmp_path / name).write_text(text)
+    rows = jsonl.numbered(jsonl.lines(spark, str(tmp_path)))
+    assert sorted(map(tuple, rows.collect())) == [(1, "x"), (2, "y"), (3, "z")]
+    assert "row_number" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_made_after_dealing(spark):
+    """What is costly is worked out once, when the rows are in their ranges."""
+    got = stage.numbered(spark.range(5), "id", name="place", before=("twice",), made=lambda rows: rows.withColumn("twice", 2 * F.col("id")))
+    assert [(r.place, r.twice, r._before and r._before.twice) for r in got.orderBy("place").collect()] == [(k, 2 * k, 2 * k - 2 if k else None) for k in range(5)]
+
+
+def test_what_comes_with_its_root_is_not_written_to_the_state():
+    a = assemble.Assembler(1000)
+    a.handle, a.spans, a.open, a.emitted = Mock(), Mock(), Mock(), Mock()
+    a.open.exists.return_value = a.emitted.exists.return_value = False
+    rows = [Row(span_id="b", parent_span_id="a", arrival=2, payload="y"), Row(span_id="a", parent_span_id="", arrival=1, payload="x")]
+    out = list(a.handleInputRows(("t",), iter(rows), Mock()))
+    assert [(r.span_id, r.segment) for r in out] == [("a", "complete"), ("b", "complete")]
+    assert not a.spans.method_calls and not a.handle.method_calls and a.emitted.update.called
