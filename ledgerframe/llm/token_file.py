@@ -85,8 +85,12 @@ def unpack(chunks: list[bytes], more: list[bytes]) -> np.ndarray:
     return above if above is not None else np.zeros(0, np.uint32)
 
 
-_LETTER = np.array([chr(k).isalpha() and k < 128 for k in range(256)])
-_PUNCTUATION = np.array([32 < k < 127 and not chr(k).isalnum() for k in range(256)])
+# What a byte is to the cuts of a text; the second byte of an accented Latin letter counts as one.
+_SPACE, _PLAIN, _POINT, _LETTER = 1, 2, 4, 8
+_KINDS = bytes(
+    _SPACE * (not T._SOLID[k]) | _PLAIN * (32 < k < 127) | _POINT * (32 < k < 127 and not chr(k).isalnum()) | _LETTER * (k < 128 and chr(k).isalpha())
+    for k in range(256)
+)
 
 
 class Encoder:
@@ -95,76 +99,143 @@ class Encoder:
     A text is cut before white space that follows a character which is surely none, and before punctuation that follows
     a letter: byte-level pre-tokenization always splits there, so the ids of the pieces in order are the ids of the
     text. Special tokens of the file hold no white space, but letters before punctuation, so texts near ``<|`` are cut
-    at white space alone.
+    at white space alone. For the same reason new pieces that begin with white space and end with a plain character are
+    tokenized many in a row, as one text; the bytes of its tokens tell where each piece ends.
     """
 
     #: Pieces kept between batches.
     KEEP = 1 << 22
+    #: Pieces tokenized as one text.
+    ROW = 256
 
     def __init__(self, blob: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_buffer(blob)
+        # a character of a token of the vocabulary stands for a byte, added tokens stand as they are
+        width = {k: len(x) for x, k in self.model.get_vocab(with_added_tokens=False).items()}
+        width |= {k: len(x.content.encode()) for k, x in self.model.get_added_tokens_decoder().items()}
+        self.width = np.zeros(max(width, default=0) + 1, np.int64)
+        self.width[list(width)] = list(width.values())
         self.clear()
 
     def clear(self) -> None:
         self.hash, self.where, self.ids, self.off = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.check = np.zeros(0, np.uint64)
 
+    def _ids(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _singly(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._ids(pieces)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((x for f in found for x in f), np.uint32, int(size.sum())), size
+
+    def _in_rows(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of pieces that may stand side by side."""
+        raw = data.tobytes()
+        at = off[:: self.ROW].tolist() + [int(off[-1])]
+        ids = np.concatenate([np.zeros(0, np.uint32)] + [np.array(x, np.uint32) for x in self._ids([raw[a:b] for a, b in zip(at, at[1:]) if a < b])])
+        ends = np.cumsum(self.width[ids])
+        last = np.searchsorted(ends, off[1:])
+        if len(ids) and ends[-1] == len(raw) and (ends[last] == off[1:]).all():
+            return ids, np.diff(last, prepend=-1)
+        return self._singly([raw[a:b] for a, b in zip(off.tolist(), off[1:].tolist())])
+
+    def _tokenized(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of pieces, in any company."""
+        data, off = _content(pieces)
+        kinds = np.frombuffer(_KINDS, np.uint8)
+        last = data[off[1:] - 1]
+        beside = (kinds[data[off[:-1]]] & _SPACE > 0) & ((kinds[last] & _PLAIN > 0) | (last >= 0x80) & (data[off[1:] - 2] == 0xC3))
+        if not beside.any():
+            return self._singly(pieces.to_pylist())
+        rows, others = np.flatnonzero(beside), np.flatnonzero(~beside)
+        ids, size = self._in_rows(*_content(pieces.take(pa.array(rows))))
+        if not len(others):
+            return ids, size
+        more, sizes = self._singly(pieces.take(pa.array(others)).to_pylist())
+        order = np.argsort(np.concatenate((rows, others)))
+        size = np.concatenate((size, sizes))
+        start = (np.cumsum(size) - size)[order]
+        return _ranges(np.concatenate((ids, more)), start, size[order]), size[order]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids before each text."""
         n = len(data)
-        raw = b""
         cut = np.zeros(n, bool)
         if n > 1:
-            space = ~T._SOLID[data]
-            plain = (data > 32) & (data < 127)
-            plain[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80)  # Latin letters with accents
-            cut[1:] = space[1:] & plain[:-1]
-            if b"<|" not in (raw := data.tobytes()):
-                cut[1:] |= _PUNCTUATION[data[1:]] & (_LETTER[data[:-1]] | (plain[:-1] & (data[:-1] >= 0x80)))
+            raw = data.tobytes()
+            kinds = np.frombuffer(raw.translate(_KINDS), np.uint8)
+            if raw.find(0xC3) >= 0:
+                kinds = kinds.copy()
+                accent = np.flatnonzero(data[:-1] == 0xC3) + 1
+                kinds[accent] = np.where((data[accent] == 0x97) | (data[accent] == 0xB7), _PLAIN, _PLAIN | _LETTER)  # two are signs
+            # a kind shifted by a bit is the kind that may follow it
+            follows = (kinds[:-1] & _PLAIN) >> 1
+            if b"<|" not in raw:
+                follows |= (kinds[:-1] & _LETTER) >> 1
+            cut[1:] = (kinds[1:] & follows) != 0
         cut[offsets[:-1][offsets[:-1] < n]] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], n)
-        h = T.bytes_hashes(data, starts, ends)
-        uniq, first, each = np.unique(h, return_index=True, return_inverse=True)
-        # pieces are the same by two hashes; where only the first is the same, nothing is taken from the table
-        check = T.quick_words(data, starts, ends)
-        if (check != check[first][each]).any():
-            found = self.model.encode_batch_fast([data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)], add_special_tokens=False)
-            size = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
-            before = np.concatenate(([0], np.cumsum(size)))
-            return np.fromiter((x for e in found for x in e.ids), np.uint32, int(before[-1])), before[np.searchsorted(starts, offsets)]
+        # equal pieces are found by their content, those of earlier slices by two hashes
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, n)), pa.py_buffer(data)]).dictionary_encode()
+        each, uniq = pieces.indices.to_numpy(), pieces.dictionary
+        ids, size = self._looked_up(uniq)
+        start = (np.cumsum(size) - size)[each]
+        size = size[each]
+        before = np.concatenate(([0], np.cumsum(size)))
+        return _ranges(ids, start, size), before[np.searchsorted(starts, offsets)]
+
+    def _looked_up(self, uniq: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of different pieces, from the table or new."""
+        some, off = _content(uniq)
+        h = T.bytes_hashes(some, off[:-1], off[1:])
+        check = T.quick_words(some, off[:-1], off[1:])
+        order = np.argsort(h)
+        uniq_h = h[order]
+        if (uniq_h[1:] == uniq_h[:-1]).any():
+            # the table can't tell these apart
+            return self._tokenized(uniq)
         if len(self.hash) > self.KEEP:
             self.clear()
-        at = np.searchsorted(self.hash, uniq)
-        known = np.zeros(len(uniq), bool)
+        at = np.searchsorted(self.hash, uniq_h)
+        known = np.zeros(len(order), bool)
         inside = at < len(self.hash)
-        known[inside] = self.hash[at[inside]] == uniq[inside]
-        old = np.flatnonzero(known)
-        if (self.check[self.where[at[old]]] != check[first[old]]).any():
+        known[inside] = self.hash[at[inside]] == uniq_h[inside]
+        if (self.check[self.where[at[known]]] != check[order[known]]).any():
             self.clear()
-            return self.encode(data, offsets)
+            return self._looked_up(uniq)
         new = np.flatnonzero(~known)
         if len(new):
-            found = [e.ids for e in self.model.encode_batch_fast([raw[starts[first[k]] : ends[first[k]]].decode() for k in new], add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            more = np.fromiter((x for f in found for x in f), np.uint32, int(size.sum()))
+            more, size = self._tokenized(uniq.take(pa.array(order[new])))
             place = len(self.off) - 1 + np.arange(len(new))
             self.off = np.concatenate((self.off, self.off[-1] + np.cumsum(size)))
             self.ids = np.concatenate((self.ids, more))
-            self.check = np.concatenate((self.check, check[first[new]]))
+            self.check = np.concatenate((self.check, check[order[new]]))
             self.where = np.insert(self.where, at[new], place)
-            self.hash = np.insert(self.hash, at[new], uniq[new])
-            at = np.searchsorted(self.hash, uniq)
-        piece = self.where[at] if len(uniq) else np.zeros(0, np.int64)
-        size = (self.off[piece + 1] - self.off[piece])[each]
-        before = np.concatenate(([0], np.cumsum(size)))
-        narrow = np.int32 if max(before[-1], len(self.ids)) < 1 << 31 else np.int64
-        shift = self.off[piece].astype(narrow)[each] - before[:-1].astype(narrow)
-        ids = self.ids[np.repeat(shift, size) + np.arange(before[-1], dtype=narrow)]
-        return ids, before[np.searchsorted(starts, offsets)]
+            self.hash = np.insert(self.hash, at[new], uniq_h[new])
+            at += np.cumsum(~known) - ~known
+        piece = np.zeros(len(order), np.int64)
+        piece[order] = self.where[at]
+        size = self.off[piece + 1] - self.off[piece]
+        return _ranges(self.ids, self.off[piece], size), size
+
+
+def _content(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of large binaries and its n + 1 offsets, from 0 on."""
+    _, off, data = pieces.buffers()
+    off = np.frombuffer(off, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1] if len(pieces) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8)[off[0] : off[-1]] if off[-1] > off[0] else np.zeros(0, np.uint8), off - off[0]
+
+
+def _ranges(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[start : start + size] of all ranges, one after another."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    narrow = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    return values[np.repeat((start - (ends - size)).astype(narrow), size) + np.arange(total, dtype=narrow)]
 
 
 _ENCODERS: dict[int, Encoder] = {}

@@ -62,6 +62,50 @@ def test_pieces_with_one_hash(monkeypatch):
     assert ids(*texts) == want and [x for t in texts for x in ids(t)] == want
 
 
+def _encoded(encoder, texts):
+    data = "".join(texts).encode()
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    found, before = encoder.encode(np.frombuffer(data, np.uint8), offsets)
+    return [found[a:b].tolist() for a, b in zip(before, before[1:])]
+
+
+def test_new_pieces_in_rows():
+    """Pieces that were not met are handed to the model many in a row; where the bytes don't tell where one ends, one by one."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        encoder = token_file.Encoder(f.read())
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.texts = model, 0
+
+        def encode_batch_fast(self, texts, **kwargs):
+            self.texts += len(texts)
+            return self.model.encode_batch_fast(texts, **kwargs)
+
+    texts = [" ".join(f"w{k * k}x" for k in range(1000)), "", "Ünd  two\n\nlines fin\u00e9 d\u00e9j\u00e0 vu <|endoftext|> (x) "]
+    want = [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder.model = Counted(encoder.model)
+    assert _encoded(encoder, texts) == want and encoder.model.texts < 40
+    handed = encoder.model.texts
+    assert _encoded(encoder, texts[::-1]) == want[::-1] and encoder.model.texts == handed
+    encoder.clear()
+    encoder.width = encoder.width + 1
+    assert _encoded(encoder, texts) == want and encoder.model.texts > 1000
+
+
+def test_signs_among_latin_letters():
+    """Punctuation after a multiplication or division sign belongs to the same run of signs."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        encoder = token_file.Encoder(f.read())
+    some = [" ", "  ", "\n", "a", "B", "\u00e9", "\u00d7", "\u00f7", ".", "!", "'s", "'", "1", "<|", "<|endoftext|>", "\u65e5", "\u3000", "\u0301", "$", "\x00"]
+    rng = np.random.default_rng(7)
+    texts = ["\u00d7's", "a\u00f7... b"] + ["".join(rng.choice(some, rng.integers(0, 14))) for _ in range(600)]
+    want = [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert _encoded(encoder, texts) == want
+    encoder.clear()
+    assert [_encoded(encoder, [t])[0] for t in texts] == want
+
+
 @pytest.mark.parametrize("hashed", [textops.bytes_hashes, textops.quick_words])
 def test_words_by_slices(hashed, monkeypatch):
     data = np.random.default_rng(2).integers(97, 122, 5000).astype(np.uint8)
