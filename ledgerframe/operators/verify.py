@@ -241,8 +241,8 @@ class Report:
         if not many:
             return []
         shown = [f"  {quoted(k, most_bytes)}" for k in self.other_key_ids]
-        more = [f"  and {many - len(shown)} others"] * (many > len(shown))
-        return [f"Keys that entries or checkpoints name beside the given one: {many}", *shown, *more]
+        more = [f"  and {many - len(shown)} more"] * (many > len(shown))
+        return [f"The log claims {many} key_id value(s) beside that of the given key:", *shown, *more]
 
     def json(self) -> str:
         out = {"TracesProcessed": self.traces, "CheckpointsProcessed": self.checkpoints, "Errors": self.errors or None}
